@@ -360,7 +360,7 @@ def manifest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "',\"network_mode\":\"', CASE n_nationkey % 4 WHEN 0 THEN 'Simulated-INetSim' WHEN 1 THEN 'live egress' "
         "WHEN 2 THEN 'odd' ELSE 'isolated' END, "
         "'\",\"correlation\":{', CASE n_nationkey % 3 WHEN 0 THEN '\"clock_quality_acceptable\":true' "
-        "WHEN 1 THEN concat('\"maximum_uncertainty_ns\":', n_nationkey * 1000000000) ELSE '\"reason\":\"r\"' END, "
+        "WHEN 1 THEN concat('\"maximum_uncertainty_ns\":', n_nationkey * 1000000000L) ELSE '\"reason\":\"r\"' END, "
         "CASE WHEN n_nationkey % 5 = 0 THEN ',\"host_network_correlation_enabled\":false' ELSE '' END, "
         "'},\"telemetry\":{\"telemetry_degraded\":', CASE WHEN n_nationkey % 2 = 0 THEN 'true' ELSE 'false' END, "
         "',\"providers_unavailable\":[', CASE n_nationkey % 3 WHEN 0 THEN '{\"provider\":\"Kernel-File\"},{\"x\":1}' "

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from netforensics.adapters import driver_tables as t
 from netforensics.functions import ip as ipf
 from netforensics.functions import rules
-from netforensics.functions.numbers import round_even
 from netforensics.functions.text import host_header_domain, subdomain, registered_domain, entropy
 from netforensics.operators import (
     connections as cn, correlate as co, custody as cu, dga, dns as dn, emit as em, evaluate as ev, flows as fl,
@@ -765,9 +764,7 @@ def dga_score(spark, sf):
     weights = dga.name_features(names).select("feature").distinct().withColumn(
         "weight", ((F.ascii(F.substr("feature", F.lit(4))) % 7) - 3) * 2.0
     )
-    return dga.score_names(names, weights, bias=-0.25).select(
-        "name", round_even(F.col("probability"), 3).alias("probability"), "is_dga"
-    )
+    return dga.score_names(names, weights, bias=-0.25).select("name", "probability", "is_dga")
 
 
 @query
@@ -886,8 +883,8 @@ def handoff_manifest(spark, sf):
 def clock_quality(spark, sf):
     docs = t.read(spark, sf, "supplier").selectExpr(
         "concat('case-', s_suppkey) AS case_id",
-        "concat('{\"algorithm\":\"linear\",\"measurements\":{\"start\":{\"uncertainty_ns\":', s_suppkey * 1000000, "
-        "'},\"end\":{\"uncertainty_ns\":', s_nationkey * 2000000, '}},\"quality\":{\"acceptable\":', "
+        "concat('{\"algorithm\":\"linear\",\"measurements\":{\"start\":{\"uncertainty_ns\":', s_suppkey * 1000000L, "
+        "'},\"end\":{\"uncertainty_ns\":', s_nationkey * 2000000L, '}},\"quality\":{\"acceptable\":', "
         "CASE WHEN s_suppkey % 2 = 0 THEN 'true' ELSE 'false' END, "
         "CASE WHEN s_suppkey % 3 = 0 THEN ',\"maximum_observed_uncertainty_ns\":502000000' ELSE '' END, '}}') AS raw",
     )
