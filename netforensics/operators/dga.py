@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from netforensics.functions.numbers import round_even
 from netforensics.functions.text import char_ngrams, count_matching, entropy, first_label, longest_run, registered_domain
 from netforensics.operators.dns import top_resolvers
+from netforensics.session import reliable_checkpoint
 
 SCALARS = ["f:len", "f:vowel_ratio", "f:digit_ratio", "f:max_consonant_run", "f:entropy"]
 CONSONANTS = "[b-df-hj-np-tv-z]+"
@@ -31,20 +32,27 @@ def name_features(names: DataFrame, column: str = "name") -> DataFrame:
     no shuffle is needed.
     """
     low = F.lower(column)
-    base = names.withColumn("_low", low).filter(F.col("_low") != "").withColumn("_grams", char_ngrams(F.col("_low")))
-    size = F.size("_grams")
+    base = names.withColumn("_low", low).filter(F.col("_low") != "")
+    # Sorted n-grams form runs; a run's length is the distance to the next start, so counting is
+    # linear in the length of the name.
+    size = F.size("_sorted")
+    starts = F.filter(
+        F.sequence(F.lit(1), size),
+        lambda i: (i == 1) | (F.element_at("_sorted", i) != F.element_at("_sorted", F.greatest(i - 1, F.lit(1)))),
+    )
     grams = F.transform(
-        F.array_distinct("_grams"),
-        lambda g: F.struct(
-            F.concat(F.lit("ng:"), g).alias("feature"),
-            (F.size(F.filter("_grams", lambda x: x == g)) / size).alias("value"),
+        "_starts",
+        lambda s, i: F.struct(
+            F.concat(F.lit("ng:"), F.element_at("_sorted", s)).alias("feature"),
+            ((F.coalesce(F.get("_starts", i + 1), size + 1) - s) / size).alias("value"),
         ),
     )
     scalars = F.array(
         *[F.struct(F.lit(n).alias("feature"), v.alias("value")) for n, v in zip(SCALARS, scalar_features(F.col("_low")))]
     )
     keep = [c for c in names.columns]
-    return base.select(*keep, F.explode(F.concat(grams, scalars)).alias("f")).select(*keep, "f.feature", "f.value")
+    listed = base.withColumn("_sorted", F.array_sort(char_ngrams(F.col("_low")))).withColumn("_starts", starts)
+    return listed.select(*keep, F.inline(F.concat(grams, scalars)))
 
 
 def build_vocabulary(features: DataFrame, min_df: int = 20, max_features: int = 6000) -> DataFrame:
@@ -96,7 +104,8 @@ def train(samples: DataFrame, min_df: int = 20, max_features: int = 6000, l2: fl
         VectorAssembler(inputCols=["shares", *scalars], outputCol="features"),
         LogisticRegression(regParam=l2, elasticNetParam=0.0, standardization=False, maxIter=max_iter),
     ]
-    model = Pipeline(stages=stages).fit(prepared)
+    # Vocabulary and optimiser read the input many times; do not rebuild it from the sources.
+    model = Pipeline(stages=stages).fit(reliable_checkpoint(prepared))
     names = ["ng:" + g for g in model.stages[0].vocabulary] + SCALARS
     fitted = model.stages[-1]
     rows = [(n, float(w)) for n, w in zip(names, fitted.coefficients.toArray())]

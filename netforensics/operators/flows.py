@@ -14,6 +14,7 @@ from netforensics.operators.tls import first_client_hello
 from netforensics.vocab import DNS_QTYPES, DNS_RCODES, SMTP_PORTS
 
 CHUNK = 65_536
+_LINE = r"(?:(?!\r\n).)*"
 
 
 def latin1(payload: Column) -> Column:
@@ -22,17 +23,17 @@ def latin1(payload: Column) -> Column:
 
 def _http_parts(head: Column) -> tuple[Column, Column, Column]:
     method = F.regexp_extract(head, r"^(POST|GET|PUT) ", 1)
-    uri = F.get(F.split(head, " "), F.lit(1))
-    lines = F.split(head, "\r\n")
-    hosts = F.filter(lines, lambda line: F.lower(line).startswith("host:"))
-    host = F.trim(F.regexp_replace(F.element_at(hosts, -1), r"^[^:]*:", ""))
-    return F.when(method != "", method), uri, F.when(F.size(hosts) > 0, host)
+    uri = F.substring_index(F.substring_index(head, " ", 2), " ", -1)
+    # The greedy prefix finds the last Host line of the request head.
+    pattern = rf"(?is)^(?:.*\r\n)?host:({_LINE})"
+    host = F.when(head.rlike(pattern), F.trim(F.regexp_extract(head, pattern, 1)))
+    return F.when(method != "", method), uri, host
 
 
 def _store_command(head: Column) -> Column:
-    trimmed = F.transform(F.split(head, "\r\n"), lambda line: F.trim(line))
-    found = F.filter(trimmed, lambda line: F.upper(line).rlike(r"^(STOR |STOU |APPE |STOU$)"))
-    return F.get(found, F.lit(0))
+    pattern = rf"(?is)(?:^|\r\n)\s*((?:STOR |STOU |APPE ){_LINE}|STOU(?=\s*(?:\r\n|$)))"
+    found = F.trim(F.regexp_extract(head, pattern, 1))
+    return F.when(found != "", found)
 
 
 def assemble_flows(packets: DataFrame) -> DataFrame:
@@ -164,8 +165,7 @@ def outbound_content(packets: DataFrame, min_bytes: int = 64, max_flow_bytes: in
         .filter(F.col("_start") < max_flow_bytes)
         .select(*flow, "seq", F.substr("payload", F.lit(1), room.cast("int")).alias("piece"))
         .groupBy(*flow)
-        .agg(F.array_sort(F.collect_list(F.struct("seq", "piece"))).alias("pieces"))
-        .withColumn("content", F.unhex(F.array_join(F.transform("pieces", lambda p: F.hex(p["piece"])), "")))
+        .agg(F.expr("listagg(piece) WITHIN GROUP (ORDER BY seq, piece)").alias("content"))
     )
     preview = F.regexp_replace(latin1(F.substring("content", 1, 300)), "[^ -~]", ".")
     none = F.lit(None).cast("string")

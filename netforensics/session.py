@@ -26,6 +26,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, name: str =
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -26,6 +26,11 @@ def _filled(value: Column) -> Column:
     return F.when(text != "", text)
 
 
+def _parsed(documents: DataFrame, name: str, schema: str) -> DataFrame:
+    """(case_id, raw, parsed document). A generator parses once, not once per field read."""
+    return documents.select("case_id", "raw", F.explode(F.array(F.from_json("raw", schema))).alias(name))
+
+
 # --- host access events -----------------------------------------------------------
 
 def read_access_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -99,7 +104,7 @@ PRIOR_SCHEMA = (
 
 def parse_static_priors(documents: DataFrame) -> DataFrame:
     """One row per static indicator with `error` set on invalid ones."""
-    prior = documents.withColumn("p", F.from_json("raw", PRIOR_SCHEMA))
+    prior = _parsed(documents, "p", PRIOR_SCHEMA)
     family = F.coalesce("p.family", "p.family_attribution.family")
     listed = prior.select(
         "case_id", F.col("p.sample_sha256").alias("sample_sha256"), family.alias("family"),
@@ -121,7 +126,7 @@ def parse_static_priors(documents: DataFrame) -> DataFrame:
 
 def static_families(documents: DataFrame) -> DataFrame:
     """(case_id, family, capabilities) stated by the static analysis."""
-    prior = documents.withColumn("p", F.from_json("raw", PRIOR_SCHEMA))
+    prior = _parsed(documents, "p", PRIOR_SCHEMA)
     own = F.when(F.size("p.capabilities") > 0, F.col("p.capabilities"))
     return prior.select(
         "case_id", F.coalesce("p.family", "p.family_attribution.family").alias("family"),
@@ -154,7 +159,7 @@ STATUS_SCHEMA = (
 
 def parse_clock_quality(documents: DataFrame) -> DataFrame:
     """(case_id, clock_uncertainty_ms, algorithm, acceptable). The clock offset is never read."""
-    doc = documents.withColumn("c", F.from_json("raw", CLOCK_SCHEMA))
+    doc = _parsed(documents, "c", CLOCK_SCHEMA)
     worst = F.array_max(F.transform(F.map_values("c.measurements"), lambda m: m["uncertainty_ns"]))
     uncertainty = F.coalesce("c.quality.maximum_observed_uncertainty_ns", worst, F.lit(0.0))
     return doc.select(
@@ -169,9 +174,9 @@ def parse_manifests(
     """One normalised manifest row per case, sidecars joined, unsafe gaps read the safe way."""
     spark = documents.sparkSession
     empty = spark.sql("SELECT CAST(NULL AS STRING) AS case_id, CAST(NULL AS STRING) AS raw WHERE false")
-    m = documents.withColumn("m", F.from_json("raw", MANIFEST_SCHEMA)).select("case_id", "m")
+    m = _parsed(documents, "m", MANIFEST_SCHEMA)
     quality = parse_clock_quality(clock if clock is not None else empty)
-    side = (status if status is not None else empty).select("case_id", F.from_json("raw", STATUS_SCHEMA).alias("s"))
+    side = _parsed(status if status is not None else empty, "s", STATUS_SCHEMA)
     providers = F.transform(
         F.filter(
             F.coalesce("m.telemetry.providers_unavailable", F.array().cast("array<struct<provider:string>>")),
@@ -215,7 +220,7 @@ def parse_sample_meta(documents: DataFrame) -> DataFrame:
         "schema_version", "sample_sha256", "sample_md5", "sample_sha1", "file_type", "static_risk_score",
         "static_hypotheses", "yara", "clamav", "vt_lookup",
     ]
-    doc = documents.withColumn("d", F.from_json("raw", ", ".join(f"{n} string" for n in names)))
+    doc = _parsed(documents, "d", ", ".join(f"{n} string" for n in names))
     field = {n: F.col(f"d.{n}") for n in names}
     none = F.array().cast("array<string>")
     object_ok = F.ltrim("raw").startswith("{")

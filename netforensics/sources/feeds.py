@@ -65,12 +65,14 @@ def parse_threatfox(lines: DataFrame) -> DataFrame:
     """C2 indicators by family; the port of an address goes into the note."""
     schema = ", ".join(f"c{i} string" for i in range(16))
     row = F.from_csv(F.regexp_replace("value", r'(,)\s+"', '$1"'), schema, {"sep": ",", "quote": '"', "escape": '"'})
-    rows = lines.filter((F.trim("value") != "") & ~F.ltrim("value").startswith("#")).withColumn("_r", row)
+    # A generator parses each line once; field access on from_csv would parse once per field.
+    content = lines.filter((F.trim("value") != "") & ~F.ltrim("value").startswith("#"))
+    rows = content.select("seq", "value", F.inline(F.array(row)))
 
     def part(i: int) -> Column:
-        return F.btrim(F.coalesce(F.col("_r").getField(f"c{i}"), F.lit("")), F.lit('" '))
+        return F.btrim(F.coalesce(F.col(f"c{i}"), F.lit("")), F.lit('" '))
 
-    rows = rows.filter(F.col("_r").getField("c7").isNotNull() | (F.size(F.split("value", ",")) >= 8)).select(
+    rows = rows.filter(F.col("c7").isNotNull() | (F.size(F.split("value", ",")) >= 8)).select(
         "seq", part(0).alias("last_seen"), part(2).alias("raw"), F.lower(part(3)).alias("ioc_type"),
         F.when(part(7) != "", part(7)).when(part(5) != "", part(5)).otherwise("unknown").alias("family"),
     )

@@ -48,11 +48,13 @@ def parse_tsv(lines: DataFrame, fields: list[str]) -> DataFrame:
 def parse_json_lines(lines: DataFrame, fields: list[str]) -> DataFrame:
     """Rows of JSON logs; a line that is not valid JSON is skipped."""
     schema = ", ".join(f"`{n}` string" for n in fields) + ", `_bad` string"
-    parsed = lines.filter(F.col("value").startswith("{")).withColumn(
-        "_r", F.from_json("value", schema, {"columnNameOfCorruptRecord": "_bad"})
+    # A generator parses each line once; field access on from_json would parse once per field.
+    parsed = lines.filter(F.col("value").startswith("{")).select(
+        "case_id", "seq", F.inline(F.array(F.from_json("value", schema, {"columnNameOfCorruptRecord": "_bad"})))
+    )
+    return parsed.filter(F.col("_bad").isNull()).select(
+        "case_id", "seq", *[blank_to_null(F.col(f"`{n}`")).alias(n) for n in fields]
     )
-    good = parsed.filter(F.col("_r").isNotNull() & F.col("_r").getField("_bad").isNull())
-    return good.select("case_id", "seq", *[blank_to_null(F.col("_r").getField(n)).alias(n) for n in fields])
 
 
 def parse_log(lines: DataFrame, fields: list[str]) -> DataFrame:
