@@ -809,7 +809,10 @@ def _zeek_lines(spark, sf):
         head.select("case_id", "file", F.lit(-1).cast("bigint").alias("seq"), F.lit("#fields\t" + "\t".join(names)).alias("value"))
     )
     broken = base.filter("is_json").select("case_id", "file", F.lit(-1).cast("bigint").alias("seq"), F.lit('{"ts": ').alias("value")).distinct()
-    return body.unionByName(lines).unionByName(broken)
+    # The generator keeps filters on the text from evaluating its construction again.
+    return body.unionByName(lines).unionByName(broken).select(
+        F.inline(F.array(F.struct("case_id", "file", "seq", "value")))
+    )
 
 
 @query

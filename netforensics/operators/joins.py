@@ -106,9 +106,8 @@ def network_lookup(rows: DataFrame, networks: DataFrame, column: str = "dst_ip")
     if not lengths:
         lengths = [1]
     addresses = (
-        rows.select(column).filter(F.col(column).isNotNull()).distinct()
-        .withColumn("_key", ip_key(F.col(column)))
-        .filter(F.col("_key").isNotNull())
+        rows.select(column).distinct()
+        .withColumn("_key", F.coalesce(ip_key(F.col(column)), F.lit("")))
         .withColumn("_len", F.explode(literals(sorted(lengths))))
         .filter(F.col("_len") <= F.length("_key"))
         .withColumn("_prefix", F.substr("_key", F.lit(1), F.col("_len")))
@@ -151,8 +150,11 @@ def allowlist_lookup(
 
 def range_lookup(rows: DataFrame, ranges: DataFrame, column: str = "dst_ip") -> DataFrame:
     """Join each distinct v4 address with its (lo, hi) numeric range by /16 bucket."""
+    # An address that is not v4 gets number -1, which no range holds. A nullable number would let
+    # the optimizer push its IS NOT NULL test, and with it the parsing, below the distinct.
     addresses = (
-        rows.select(column).distinct().withColumn("_n", v4_number(F.col(column))).filter(F.col("_n").isNotNull())
+        rows.select(column).distinct()
+        .withColumn("_n", F.coalesce(v4_number(F.col(column)), F.lit(-1)))
         .withColumn("_bucket", F.floor(F.col("_n") / 65536))
     )
     table = ranges.withColumn(

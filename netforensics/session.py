@@ -25,6 +25,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, name: str =
     spark = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
+        # Small results of costly expressions stay spread over the cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -23,43 +23,52 @@ TABLE_OF_LOG = {"conn": "sessions", "dns": "dns", "http": "http", "ssl": "tls",
                 "files": "artifacts"}
 
 
-def parse_tsv(lines: DataFrame, fields: list[str]) -> DataFrame:
-    """Rows of classic logs: values are found by the position of their name in the #fields line."""
+# One header row per file and a few hundred bytes each: up to this many are sent to every task.
+MAX_LOCAL_HEADERS = 50_000
+
+
+def file_headers(lines: DataFrame) -> DataFrame:
+    """(case_id, file, _from, _to, _names): the #fields lines, each ruling until the next one."""
     headers = lines.filter(F.col("value").startswith("#fields")).select(
-        "case_id", "file", F.col("seq").alias("_from"),
-        F.expr("slice(split(value, '\\t'), 2, 100000)").alias("_names"),
+        "case_id", "file", F.col("seq").alias("_from"), F.expr("slice(split(value, '\\t'), 2, 100000)").alias("_names")
     )
-    # A file may carry several headers; each rules until the next one.
     ranged = headers.withColumn("_to", F.lead("_from").over(Window.partitionBy("case_id", "file").orderBy("_from")))
-    body = lines.filter(
-        (F.col("value") != "") & ~F.col("value").startswith("#") & ~F.col("value").startswith("{")
-    ).withColumn("_vals", F.split("value", "\t"))
-    joined = body.join(ranged, ["case_id", "file"]).filter(
-        (F.col("seq") > F.col("_from")) & (F.col("_to").isNull() | (F.col("seq") < F.col("_to")))
-    )
-
-    def value(name: str) -> Column:
-        place = F.array_position("_names", F.lit(name)).cast("int")
-        return blank_to_null(F.get(F.col("_vals"), place - 1)).alias(name)
+    found = ranged.limit(MAX_LOCAL_HEADERS + 1).collect()
+    if len(found) > MAX_LOCAL_HEADERS:
+        return ranged
+    return F.broadcast(lines.sparkSession.createDataFrame(found, ranged.schema))
 
-    return joined.select("case_id", "seq", *[value(n) for n in fields])
 
+def parse_log(lines: DataFrame, fields: list[str]) -> DataFrame:
+    """All rows of a log whatever its encoding (classic TSV or JSON lines), every field as text.
 
-def parse_json_lines(lines: DataFrame, fields: list[str]) -> DataFrame:
-    """Rows of JSON logs; a line that is not valid JSON is skipped."""
+    TSV values are found by the position of their name in the file's header; a JSON line that is
+    not valid is skipped. The body is read once for both encodings, and its rows are not shuffled
+    while the headers are few enough to be sent along (their number is checked).
+    """
+    headers = file_headers(lines)
+    body = lines.filter((F.col("value") != "") & ~F.col("value").startswith("#"))
+    is_json = F.col("value").startswith("{")
+    ruled = body.join(
+        headers.withColumnsRenamed({"case_id": "_case", "file": "_file"}),
+        (F.col("case_id") == F.col("_case")) & (F.col("file") == F.col("_file")) & ~is_json
+        & (F.col("seq") > F.col("_from")) & (F.col("_to").isNull() | (F.col("seq") < F.col("_to"))),
+        "left",
+    ).filter(is_json | F.col("_names").isNotNull())
     schema = ", ".join(f"`{n}` string" for n in fields) + ", `_bad` string"
-    # A generator parses each line once; field access on from_json would parse once per field.
-    parsed = lines.filter(F.col("value").startswith("{")).select(
-        "case_id", "seq", F.inline(F.array(F.from_json("value", schema, {"columnNameOfCorruptRecord": "_bad"})))
-    )
-    return parsed.filter(F.col("_bad").isNull()).select(
-        "case_id", "seq", *[blank_to_null(F.col(f"`{n}`")).alias(n) for n in fields]
+    parsed = F.from_json(F.when(is_json, F.col("value")), schema, {"columnNameOfCorruptRecord": "_bad"})
+    vals = F.when(~is_json, F.split("value", "\t"))
+    # A generator evaluates both once per line; field access would parse once per field.
+    split = ruled.select(
+        "case_id", "seq", "_names", F.inline(F.array(F.struct(parsed.alias("_json"), vals.alias("_vals"))))
     )
 
+    def value(name: str) -> Column:
+        place = F.array_position("_names", F.lit(name)).cast("int")
+        plain = F.get(F.col("_vals"), place - 1)
+        return blank_to_null(F.coalesce(plain, F.col("_json").getField(name))).alias(name)
 
-def parse_log(lines: DataFrame, fields: list[str]) -> DataFrame:
-    """All rows of a log whatever its encoding, every field as text."""
-    return parse_tsv(lines, fields).unionByName(parse_json_lines(lines, fields))
+    return split.filter(F.col("_json._bad").isNull()).select("case_id", "seq", *[value(n) for n in fields])
 
 
 def number(name: str, kind: str, default=None) -> Column:
