@@ -15,7 +15,9 @@ from netforensics.operators import (
     connections as cn, correlate as co, custody as cu, dga, dns as dn, emit as em, evaluate as ev, flows as fl,
     joins as jn, services as sv, story as st, tiers as ti, tls as tl, traffic as tr,
 )
-from netforensics.session import apply_settings
+from netforensics.plans.case import Context, analyse
+from netforensics.plans.case import network_findings as case_findings
+from netforensics.session import apply_settings, reliable_checkpoint
 from netforensics.sources import documents as doc
 from netforensics.sources import feeds as fd
 from netforensics.sources import zeek
@@ -982,3 +984,39 @@ def ground_truth(spark, sf):
         "CASE WHEN s_suppkey % 4 = 0 THEN 'true' ELSE 'false' END, '}}') AS raw",
     )
     return doc.parse_ground_truth(docs)
+
+
+# --- the whole analysis ---------------------------------------------------------------------------------------------------------
+
+
+def _case_tables(spark, sf):
+    sessions = t.sessions(spark, sf)
+    http = t.page_http(spark, sf).unionByName(t.order_http(spark, sf))
+    return {
+        "sessions": sessions, "http": http, "ftp": t.order_ftp(spark, sf), "dns": t.dns(spark, sf),
+        "tls": t.page_tls(spark, sf), "smtp": t.smtp(spark, sf), "icmp": t.icmp(spark, sf),
+    }
+
+
+def _context(spark, sf):
+    return Context(
+        intel=t.intel(spark, sf), static_iocs=t.static_iocs(spark, sf), manifests=t.manifests(spark, sf),
+        access=t.access(spark, sf).withColumn("ts", F.col("ts") * 60), artifacts=t.artifacts(spark, sf),
+        samples=t.manifests(spark, sf).select("case_id", F.sha2("case_id", 256).alias("sample_id")),
+        stage=reliable_checkpoint,
+    )
+
+
+@query
+def network_findings(spark, sf):
+    """Every finding of every case after scope, enrichment, tiers and gates."""
+    return case_findings(_case_tables(spark, sf), _context(spark, sf)).select(
+        "case_id", "kind", "dst_ip", "dst_port", "destination_domain", "confidence", "confidence_tier",
+        "reputation_hit", "reputation_note", "static_match", "allowlist_match", "capped_by_caveat",
+    )
+
+
+@query
+def case_events(spark, sf):
+    """The 29-column event rows of every case, hash-chained."""
+    return analyse(_case_tables(spark, sf), _context(spark, sf))["events"]
