@@ -949,3 +949,30 @@ SQL["ground_truth"] = """WITH s AS (SELECT *, s_suppkey % 4 <> 0 AS mal FROM sup
 SELECT concat('cap', s_suppkey) AS case_id, mal AS is_malware, concat('d', s_suppkey, '.example') AS indicator FROM s WHERE mal
 UNION ALL SELECT concat('cap', s_suppkey), mal, concat('1.2.3.', s_nationkey) FROM s WHERE mal AND s_nationkey % 3 <> 0
 UNION ALL SELECT concat('cap', s_suppkey), mal, NULL FROM s WHERE NOT mal"""
+
+SQL["dga_learned"] = sql("dns", "label", body=f""",
+z AS (SELECT name, 1 / (1 + exp(-(-0.25 + sum(value * (((ascii(substr(feature, 4, 1)) % 7) - 3) * 2.0))))) AS p FROM feat GROUP BY 1),
+d AS (SELECT case_id, {registered('lower(query)')} AS domain, dst_ip, count(*) AS n, min(seq) AS f FROM dns GROUP BY 1, 2, 3),
+r AS (SELECT *, row_number() OVER (PARTITION BY case_id, domain ORDER BY n DESC, f) AS rk FROM d),
+c AS (SELECT case_id, domain, sum(n)::BIGINT AS query_count, string_agg(dst_ip, ',' ORDER BY rk) FILTER (rk <= 3) AS resolvers FROM r GROUP BY 1, 2)
+SELECT case_id, 'dga_ml' AS kind, domain, query_count, length(name)::DOUBLE AS avg_sub_len,
+  {rnd('round_even(p * 10000.0, 0) / 10000.0', 2)} AS confidence, resolvers
+FROM c JOIN z ON z.name = string_split(c.domain, '.')[1] WHERE length(name) >= 8 AND round_even(p * 10000.0, 0) / 10000.0 >= 0.6""")
+SQL["zeek_ssl"] = sql("ptls", body="""
+SELECT case_id, src_ip, dst_ip, dst_port, ja3, ja3s, CASE WHEN seq % 7 = 0 THEN NULL ELSE server_name END AS server_name,
+  CASE WHEN seq % 3 = 0 THEN NULL ELSE subject END AS subject FROM ptls
+QUALIFY row_number() OVER (PARTITION BY case_id, src_ip, dst_ip, dst_port ORDER BY seq DESC) = 1""")
+SQL["packet_tables"] = sql("pkt", "dns", "hello", body=""",
+p AS (SELECT * FROM pkt WHERE case_id NOT IN (SELECT concat('case-', r_regionkey) FROM region)),
+o AS (SELECT *, first_value(up) OVER (PARTITION BY case_id, client, server, port ORDER BY seq, ts, up) AS first_up FROM p),
+f AS (SELECT case_id, client, server, port, max((CASE WHEN server LIKE '192.168.%' THEN up = first_up ELSE up END AND rf = 'R')::INT) AS h,
+  max((CASE WHEN server LIKE '192.168.%' THEN up = first_up ELSE up END AND rf = 'N')::INT) AS s FROM o GROUP BY 1, 2, 3, 4)
+SELECT case_id, 'sessions' AS table_name, count(*) AS records FROM f GROUP BY 1
+UNION ALL SELECT case_id, 'http', count(*) FROM f WHERE h = 1 GROUP BY 1
+UNION ALL SELECT case_id, 'ftp', count(*) FROM f WHERE s = 1 GROUP BY 1
+UNION ALL SELECT case_id, 'dns', count(*) FROM dns WHERE seq % 10 <> 0 AND case_id NOT IN (SELECT concat('case-', r_regionkey) FROM region) GROUP BY 1
+UNION ALL SELECT case_id, 'tls', count(DISTINCT host) FROM printed WHERE message = 'client'
+  AND case_id NOT IN (SELECT concat('case-', r_regionkey) FROM region) GROUP BY 1
+UNION ALL SELECT case_id, 'icmp', count(*) FROM p WHERE seq % 9 IN (0, 1) GROUP BY 1""")
+SQL["object_labels"] = """WITH n AS (SELECT trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM documents)
+SELECT CASE WHEN t = '' THEN NULL WHEN length(t) <= 160 THEN length(t) ELSE 159 END AS label_length, count(*) AS documents FROM n GROUP BY 1"""

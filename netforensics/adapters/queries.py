@@ -1020,3 +1020,54 @@ def network_findings(spark, sf):
 def case_events(spark, sf):
     """The 29-column event rows of every case, hash-chained."""
     return analyse(_case_tables(spark, sf), _context(spark, sf))["events"]
+
+
+@query
+def dga_learned(spark, sf):
+    weights = dga.name_features(_labels(spark, sf)).select("feature").distinct().withColumn(
+        "weight", ((F.ascii(F.substr("feature", F.lit(4))) % 7) - 3) * 2.0
+    )
+    return dga.detect_dga_ml(t.dns(spark, sf).withColumn("query", F.lower("query")), weights, -0.25, min_prob=0.6).select(
+        "case_id", "kind", "domain", "query_count", "avg_sub_len", "confidence",
+        F.array_join("resolver_ips", ",").alias("resolvers"),
+    )
+
+
+@query
+def zeek_ssl(spark, sf):
+    """ssl.log lines built from pages, then fingerprint records (last row of a key wins)."""
+    base = t.page_tls(spark, sf).withColumn("file", F.concat("case_id", F.lit("/ssl.log")))
+    names = ["ts", "id.orig_h", "id.resp_h", "id.resp_p", "server_name", "ja3", "ja3s", "subject"]
+    values = [F.lit("1.0"), F.col("src_ip"), F.col("dst_ip"), F.col("dst_port").cast("string"),
+              F.when(F.col("seq") % 7 == 0, "(empty)").otherwise(F.col("server_name")), F.col("ja3"), F.col("ja3s"),
+              F.when(F.col("seq") % 3 == 0, "-").otherwise(F.col("subject"))]
+    body = base.select("case_id", "file", "seq", F.concat_ws("\t", *values).alias("value"))
+    head = base.select("case_id", "file").distinct().select(
+        "case_id", "file", F.lit(-1).cast("bigint").alias("seq"), F.lit("#fields\t" + "\t".join(names)).alias("value")
+    )
+    return zeek.fingerprints_from_ssl_log(zeek.parse_log(body.unionByName(head), zeek.LOG_FIELDS["ssl"]))
+
+
+@query
+def packet_tables(spark, sf):
+    """Case tables derived from packets for the cases without logs, counted per table."""
+    messages = t.dns(spark, sf).select(
+        "case_id", "seq", "ts", "src_ip", "dst_ip", F.concat("query", F.lit(".")).alias("query"),
+        F.when(F.col("qtype") == "TXT", 16).otherwise(1).alias("qtype"),
+        F.when(F.col("rcode") == "NXDOMAIN", 3).otherwise(0).alias("rcode"),
+        (F.col("seq") % 10 == 0).alias("is_response"),
+    )
+    logged = t.read(spark, sf, "region").selectExpr("concat('case-', r_regionkey) AS case_id")
+    packets = t.packets(spark, sf).withColumn(
+        "icmp_type", F.when(F.col("seq") % 9 == 0, 8).when(F.col("seq") % 9 == 1, 0).when(F.col("seq") % 9 == 2, 3)
+    )
+    tables = fl.tables_from_packets(packets, messages, tl.fingerprint_hellos(_hellos(spark, sf)), logged)
+    return cn.record_counts(tables)
+
+
+@query
+def object_labels(spark, sf):
+    """Whole document texts as object names, elided in the middle when over-long."""
+    return t.read(spark, sf, "documents").select("doc_id", rules.object_label(F.col("text")).alias("label")).groupBy(
+        F.length("label").alias("label_length")
+    ).agg(F.count(F.lit(1)).alias("documents"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from netforensics.functions.ip import is_private
 from netforensics.functions.rules import network_mode
 from netforensics.functions.text import host_header_domain
 from netforensics.operators.connections import (
-    guests, infrastructure, scope_case, scope_rules, simulated_scope, to_connections,
+    infrastructure, scope_case, scope_rules, simulated_scope, to_connections,
 )
 from netforensics.operators.correlate import apply_veto, correlate_best
 from netforensics.operators.dga import detect_dga_ml
@@ -118,7 +118,7 @@ def case_times(conns: DataFrame, dns: DataFrame) -> DataFrame:
 def detect(case: dict[str, DataFrame], conns: DataFrame, ctx: Context, allow: DataFrame | None = None) -> DataFrame:
     """All detector outputs as findings without tiers (preset_tier where a detector sets one)."""
     service = ["case_id", "dst_ip", "dst_port"]
-    times = case_times(conns, case["dns"])
+    times = ctx.stage(case_times(conns, case["dns"]))
     first_seen = conns.groupBy(*service).agg(F.min(F.struct("seq", "ts")).alias("_f")).select(
         *service, F.col("_f.ts").alias("_first_ts")
     )
@@ -141,15 +141,17 @@ def detect(case: dict[str, DataFrame], conns: DataFrame, ctx: Context, allow: Da
     where = F.coalesce("_http_domain", "_sni")
     endpoint = F.concat_ws(":", "dst_ip", "dst_port")
 
-    exfil = merge_exfil(
-        detect_exfil(conns, min_raw_upload_bytes=RAW_UPLOAD_BYTES, allow=allow), detect_ftp_exfil(conns, allow)
+    exfil = ctx.stage(
+        merge_exfil(
+            detect_exfil(conns, min_raw_upload_bytes=RAW_UPLOAD_BYTES, allow=allow), detect_ftp_exfil(conns, allow)
+        )
     )
     f_exfil = _finding(
         described(exfil), "exfil", 0, F.col("seq"), dst_ip=F.col("dst_ip"), dst_port=F.col("dst_port"),
         event_time=own_time, confidence=F.col("confidence"), http_uri=F.col("http_uri"), destination_domain=where,
         ja3_hash=F.col("ja3"), plaintext_available=F.col("http_method").isNotNull(),
     )
-    beacons = detect_beaconing(conns, allow=allow).filter("is_beacon")
+    beacons = ctx.stage(detect_beaconing(conns, allow=allow).filter("is_beacon"))
     unanswered = F.col("unanswered")
     f_beacon = _finding(
         described(beacons), "beacon", 1, name=endpoint, dst_ip=F.col("dst_ip"), dst_port=F.col("dst_port"),
@@ -166,6 +168,7 @@ def detect(case: dict[str, DataFrame], conns: DataFrame, ctx: Context, allow: Da
         ),
     )
     flows_covered = exfil.select("case_id", "dst_ip").unionByName(beacons.select("case_id", "dst_ip"))
+    flows_covered = ctx.stage(flows_covered.distinct())
     tls = placed(tls_findings(case["tls"], flows_covered, ctx.intel))
     f_tls = _finding(
         tls, F.col("kind"), 2, F.col("seq"), dst_ip=F.col("dst_ip"), dst_port=F.col("dst_port"), event_time=own_time,
@@ -173,7 +176,7 @@ def detect(case: dict[str, DataFrame], conns: DataFrame, ctx: Context, allow: Da
         ja4=F.col("ja4"), plaintext_available=F.lit(False), preset_tier=F.col("severity"), cert_reason=F.col("reason"),
     )
 
-    tunnels, bursts = detect_dns_tunneling(case["dns"]), detect_dga(case["dns"])
+    tunnels, bursts = ctx.stage(detect_dns_tunneling(case["dns"])), ctx.stage(detect_dga(case["dns"]))
     dns_found = [(tunnels, "dns_tunnel", 3, "strong"), (bursts, "dga", 4, "strong")]
     claimed = tunnels.select("case_id", "domain").unionByName(bursts.select("case_id", "domain"))
     if ctx.dga_weights is not None:
@@ -253,20 +256,32 @@ def detect(case: dict[str, DataFrame], conns: DataFrame, ctx: Context, allow: Da
     return specific.unionByName(_union([f_egress]))
 
 
+def staged_inputs(ctx: Context) -> Context:
+    """Side inputs read in many places, staged once."""
+    names = ("intel", "manifests", "static_iocs", "access", "sample_meta", "static_families", "samples")
+    return replace(ctx, **{n: ctx.stage(getattr(ctx, n)) for n in names if getattr(ctx, n) is not None})
+
+
 def network_findings(case: dict[str, DataFrame], ctx: Context) -> DataFrame:
     """Scope, detect, enrich, tier and gate: the findings of every case."""
-    allow, infra = None, infrastructure(case["dns"])
+    return _network_findings(case, staged_inputs(ctx))
+
+
+def _network_findings(case: dict[str, DataFrame], ctx: Context) -> DataFrame:
+    allow, infra = None, ctx.stage(infrastructure(case["dns"]))
     if ctx.manifests is not None:
-        guest = guests(ctx.manifests, case["sessions"])
-        infra = infrastructure(case["dns"], guest)
-        case = scope_case(case, scope_rules(ctx.manifests, case["sessions"]))
+        # One small row per case; staged because every table below is scoped by it.
+        scope = ctx.stage(scope_rules(ctx.manifests, case["sessions"]))
+        guest = scope.select("case_id", "guest_ip")
+        infra = ctx.stage(infrastructure(case["dns"], guest))
+        case = scope_case(case, scope)
         simulated = ctx.manifests.filter(network_mode(F.col("network_mode")) == "simulated").select("case_id")
         sessions = case["sessions"].join(simulated, "case_id", "left_semi")
-        allow = simulated_scope(sessions, guest, infra)
+        allow = ctx.stage(simulated_scope(sessions, guest, infra))
     conns = ctx.stage(to_connections(case["sessions"], case["http"], case["ftp"]))
     found = detect(case, conns, ctx, allow)
     found = apply_reputation(found, ctx.intel)
-    found = apply_domain_reputation(found, ctx.intel)
+    found = ctx.stage(apply_domain_reputation(found, ctx.intel))
     found = ctx.stage(apply_corroboration(found))
     if ctx.static_iocs is not None:
         found = apply_static_prior(
@@ -283,7 +298,8 @@ def network_findings(case: dict[str, DataFrame], ctx: Context) -> DataFrame:
 
 def analyse(case: dict[str, DataFrame], ctx: Context) -> dict[str, DataFrame]:
     """Everything a case report needs, as lazy DataFrames by name."""
-    findings = ctx.stage(network_findings(case, ctx))
+    ctx = staged_inputs(ctx)
+    findings = ctx.stage(_network_findings(case, ctx))
     out = {"findings": findings}
     if ctx.manifests is not None:
         out["notes"] = case_notes(ctx.manifests, findings)
