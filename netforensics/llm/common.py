@@ -51,3 +51,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that `df` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe_codec, packing, token_counts
-from .common import documents, tokenizer_path
+from . import bpe_codec, merkle, packing, quality_rules, token_counts, warc, weak_quality
+from .common import documents, shared_folder, tokenizer_path
 
 
 def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,14 +17,55 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir, "doc_id", "text"), tokenizer_path())
 
 
+def host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(documents(spark, sf_dir, "doc_id", "text", "source"))
+
+
+def weak_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_quality.classify(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir, "doc_id", "text"), tokenizer_path())
 
 
+def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    captures = warc.with_revisits(pages, "page_id", "html")
+    written = warc.write(captures, shared_folder(spark, "warc"), "page_id", "url", "html").collect()  # one row per archive
+    paths = spark.createDataFrame(written, "path string, records long, bytes long").repartition(max(1, len(written)))
+    rows = warc.transactions(warc.read(paths, with_payload=False))
+    return rows.select(
+        warc.note("metadata", "capture-key").cast("long").alias("page_id"),
+        "response.payload_bytes",
+        "response.payload_digest",
+        F.col("response.kind").alias("record_type"),
+        warc.note("metadata", "refers-to-key").cast("long").alias("refers_to"),
+    )
+
+
+def edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edit_report(documents(spark, sf_dir, "doc_id", "text"))
+
+
 REGISTRY = {
     "op2_bpe": bpe,
     "op3_token_counts": counts,
+    "op4_host_rules": host_rules,
+    "op5_weak_classifier": weak_classifier,
     "op7_best_fit": best_fit,
+    "op8_warc": archives,
+    "op10_merkle": edits,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op8_warc": """
+        with d as (select page_id, coalesce(html, '') as html from pages),
+        p as (select page_id, strlen(html) as payload_bytes, sha256(html) as payload_digest,
+                     min(page_id) over (partition by sha256(html)) as head from d)
+        select page_id, payload_bytes, payload_digest,
+               case when payload_bytes >= 100 and head <> page_id then 'revisit' else 'response' end as record_type,
+               case when payload_bytes >= 100 and head <> page_id then head end as refers_to
+        from p
+    """,
+}
