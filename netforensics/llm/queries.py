@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, merkle, packing, quality_rules, token_counts, warc, weak_quality
+from . import bpe_codec, kneser_ney, merkle, packing, quality_rules, token_counts, warc, weak_quality
 from .common import documents, shared_folder, tokenizer_path
 
 
@@ -44,6 +44,11 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return kneser_ney.score(docs, kneser_ney.train(docs))
+
+
 def edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edit_report(documents(spark, sf_dir, "doc_id", "text"))
 
@@ -55,6 +60,7 @@ REGISTRY = {
     "op5_weak_classifier": weak_classifier,
     "op7_best_fit": best_fit,
     "op8_warc": archives,
+    "op9_kneser_ney": language_model,
     "op10_merkle": edits,
 }
 

@@ -44,7 +44,7 @@ class _Words(dict):
     """Word -> one number: buckets of letters and shape, two flags and a checksum; forgets when full."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 700_000:
+        if len(self) > 400_000:
             self.clear()
         low = word.lower()
         core = low if word.isalpha() else low.strip(MARKS)

@@ -28,7 +28,7 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}
 
 BEYOND = regex.compile(f"[{chr(0x250)}-{chr(0x10FFFF)}]")
 SHORT = 64  # longer pre-tokens are merged one by one
-PIECES_KEPT = 300_000
+PIECES_KEPT = 200_000
 
 
 def split_words(text: str) -> list[str]:
@@ -316,7 +316,7 @@ class WordMemory(dict):
     Two generations of at most `limit` words bound the memory; a forgotten word is encoded again.
     """
 
-    def __init__(self, coder: WordBpe, render: Callable[[list[int]], object], limit: int = 400_000) -> None:
+    def __init__(self, coder: WordBpe, render: Callable[[list[int]], object], limit: int = 200_000) -> None:
         super().__init__()
         self.coder, self.render, self.limit, self.older = coder, render, limit, {}
 
