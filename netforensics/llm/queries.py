@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, kneser_ney, merkle, packing, quality_rules, token_counts, warc, weak_quality
+from . import bpe_codec, kneser_ney, merkle, minhash_join, packing, quality_rules, token_counts, warc, weak_quality
 from .common import documents, shared_folder, tokenizer_path
 
 
@@ -49,6 +49,10 @@ def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.score(docs, kneser_ney.train(docs))
 
 
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_join.near_duplicates(documents(spark, sf_dir, "doc_id", "text"), width=4)
+
+
 def edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edit_report(documents(spark, sf_dir, "doc_id", "text"))
 
@@ -58,6 +62,7 @@ REGISTRY = {
     "op3_token_counts": counts,
     "op4_host_rules": host_rules,
     "op5_weak_classifier": weak_classifier,
+    "op6_minhash_join": near_duplicates,
     "op7_best_fit": best_fit,
     "op8_warc": archives,
     "op9_kneser_ney": language_model,
