@@ -17,7 +17,7 @@ for the last step, so that no list meets in one task.
 
 Sets: distinct shingles of `width` words (A-Z lowered, words are runs of anything but blanks,
 tabs and line ends); fewer words: the whole sequence; no words or null: empty and linked with
-nothing. Repeated keys are one document each by their text; the class id is its smallest key.
+nothing. The class id is its smallest key; keys must name one text each (repeated rows of the same text are fine).
 """
 
 from __future__ import annotations
@@ -39,12 +39,12 @@ from .kneser_ney import HASHES, mixed
 
 COORDINATES, MATCHES = 32, 12
 BYTES, BYTE_MATCHES = 128, 78  # at a similarity of 0.8 five standard deviations below the mean
-BLOCK = 1000
+BLOCK = 500
 BROADCAST_IDS = 1_000_000  # ids of 8 bytes; beyond it the join with the texts shuffles
 
 _numbers = np.random.default_rng(7)
-FACTORS = _numbers.integers(1 << 62, 1 << 63, BYTES, dtype=np.uint64) | np.uint64(1)
-OFFSETS = _numbers.integers(0, 1 << 63, BYTES, dtype=np.uint64)
+FACTORS = _numbers.integers(1 << 30, 1 << 32, BYTES, dtype=np.uint32) | np.uint32(1)
+OFFSETS = _numbers.integers(0, 1 << 32, BYTES, dtype=np.uint32)
 
 
 def shingles(text: str, width: int) -> np.ndarray:
@@ -62,11 +62,11 @@ def shingles(text: str, width: int) -> np.ndarray:
 
 def signature(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The minimum of each of BYTES hash functions: values of the first COORDINATES, one byte of all."""
-    least = np.full(BYTES, np.iinfo(np.uint64).max)
-    with np.errstate(over="ignore"):
-        for at in range(0, len(found), 512):
-            hashed = found[at : at + 512, None] * FACTORS + OFFSETS
-            least = np.minimum(least, (hashed >> np.uint64(20)).min(axis=0))
+    folded = (found ^ (found >> np.uint64(32))).astype(np.uint32)
+    least = np.full(BYTES, np.iinfo(np.uint32).max)
+    for at in range(0, len(folded), 256):
+        least = np.minimum(least, (folded[at : at + 256, None] * FACTORS + OFFSETS).min(axis=0))
+    least = least.astype(np.uint64)
     return least[:COORDINATES], (mixed(least) & np.uint64(255)).astype(np.uint8)
 
 
@@ -108,10 +108,11 @@ def _lists(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tupl
         cid, n, comp = (table.column(c).to_numpy() for c in ("cid", "n", "comp"))
         marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(-1, BYTES)
         side = table.column("side").to_numpy()
+        members = table.column("members").to_pylist() if "members" in table.column_names else None
         whole = len(starts) if last else len(starts) - 1
         for a, b in zip(starts[:whole].tolist(), stops[:whole].tolist(), strict=True):
             if b - a > 1:
-                yield cid[a:b], n[a:b], marks[a:b], comp[a:b], side[a:b]
+                yield [tuple(k[a] for k in keys), cid[a:b], n[a:b], marks[a:b], comp[a:b], side[a:b], members and members[a:b]]
         return table.slice(int(starts[-1])) if not last else None
 
     for batch in batches:
@@ -144,7 +145,7 @@ def _best_pairs(posts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[int, int, int]] = []
-        for cid, n, marks, comp, _ in _lists(batches, ["key", "block"]):
+        for _, cid, n, marks, comp, _, _ in _lists(batches, ["key", "block"]):
             for i in range(1, len(cid)):
                 count = np.where(comp[:i] != comp[i], _agreements(n, marks, i, slice(0, i)), 0)
                 j = int(count.argmax())
@@ -161,52 +162,95 @@ def _best_pairs(posts: DataFrame) -> DataFrame:
     return best.select("a", (-F.col("best.b")).alias("b"))
 
 
-def _cross_pairs(posts: DataFrame) -> DataFrame:
-    """All pairs of different components that share a list and agree often enough.
+CELL = ["key", "block", "other"]
 
-    posts has the length of the list as `count`; a long list is compared as pairs of blocks.
+
+def _cross_links(posts: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between different components: every pair of a list that agrees often enough is compared on the full sets.
+
+    Long lists are compared as pairs of blocks. A first pass finds the members that have a
+    candidate at all; only they get their sets. Of the confirmed links of a pair of blocks a
+    spanning forest is returned, so neither pass has a row for each pair.
     """
     mixed_lists = posts.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("length"))
     mixed_lists = mixed_lists.where("lo <> hi").select(F.col("key").alias("k"), "length")
     rows = posts.join(mixed_lists, F.col("key") == F.col("k")).drop("k")
     blocks = F.ceil(F.col("length") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("cid"), blocks).cast("int")
-    rows = rows.withColumn("own", own).withColumn("meets", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select(
-        "key", F.least("own", "meets").alias("block"), F.greatest("own", "meets").alias("other"), (F.col("own") <= F.col("meets")).cast("int").alias("side"), *POSTS
-    )
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("cid"), blocks).cast("int")).withColumn("meets", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    block, other, side = F.least("own", "meets"), F.greatest("own", "meets"), (F.col("own") <= F.col("meets")).cast("int")
+    rows = rows.select("key", block.alias("block"), other.alias("other"), side.alias("side"), *POSTS)
+
+    def wanted(comp: np.ndarray, side: np.ndarray, i: int) -> np.ndarray:
+        """Earlier members of other components; of the other block if the cell has two."""
+        apart = comp[:i] != comp[i]
+        return apart & (side[:i] != side[i]) if side.min() != side.max() else apart
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell, cid, n, marks, comp, side, _ in _lists(batches, CELL):
+            hit = np.zeros(len(cid), bool)
+            for i in range(1, len(cid)):
+                ask = wanted(comp, side, i)
+                if ask.any():
+                    close = ask & (_agreements(n, marks, i, slice(0, i)) >= BYTE_MATCHES)
+                    hit[:i] |= close
+                    hit[i] |= close.any()
+            at = np.flatnonzero(hit)
+            if len(at):
+                fixed = [pa.array(np.full(len(at), v), k) for v, k in zip(cell, (pa.int64(), pa.int32(), pa.int32()), strict=True)]
+                columns = [*fixed, pa.array(side[at], pa.int32()), *(pa.array(x[at], pa.int64()) for x in (cid, n)), pa.array([m.tobytes() for m in marks[at]], pa.binary()), pa.array(comp[at], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, [*CELL, "side", *POSTS])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[tuple[int, int, int]] = []
-        for cid, n, marks, comp, side in _lists(batches, ["key", "block", "other"]):
-            apart = side.min() != side.max()  # two blocks: only pairs between them
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, cid, n, marks, comp, side, members in _lists(batches, CELL):
+            sets = [np.frombuffer(m, np.uint64) for m in members]
+            distinct, flat = np.unique(np.concatenate(sets), return_inverse=True)
+            sizes = np.array([len(x) for x in sets])
+            starts = np.cumsum(sizes) - sizes
+            flag = np.zeros(len(distinct), np.int64)
+            group = comp.copy()  # joined as links are found
+            found = []
             for i in range(1, len(cid)):
-                wanted = comp[:i] != comp[i]
-                if apart:
-                    wanted &= side[:i] != side[i]
-                if wanted.any():
-                    count = np.where(wanted, _agreements(n, marks, i, slice(0, i)), 0)
-                    found += [(int(max(cid[i], cid[j])), int(min(cid[i], cid[j])), int(count[j])) for j in np.flatnonzero(count >= BYTE_MATCHES)]
-            if len(found) > 50_000:
-                yield _emit(found)
-                found = []
-        yield _emit(found)
+                ask = wanted(group, side, i)
+                if not ask.any() or not (ask & (_agreements(n, marks, i, slice(0, i)) >= BYTE_MATCHES)).any():
+                    continue
+                own = flat[starts[i] : starts[i] + sizes[i]]
+                flag[own] = 1
+                both = np.add.reduceat(flag[flat[: starts[i]]], starts[:i])
+                flag[own] = 0
+                linked = ask & (100 * both >= percent * (sizes[:i] + sizes[i] - both))
+                for j in np.flatnonzero(linked).tolist():
+                    if group[j] != group[i]:
+                        found.append((int(max(cid[i], cid[j])), int(min(cid[i], cid[j])), 0))
+                        group[group == group[j]] = group[i]
+            yield _emit(found)
+
+    dealt = rows.repartition(*CELL).sortWithinPartitions(*CELL, "cid").select(*CELL, "side", *POSTS)
+    types = "key long, block int, other int, side int, cid long, n long, marks binary, comp long"
+    hits = reliable_checkpoint(dealt.mapInArrow(candidates, types))
+    sets = _sets(hits.select(F.col("cid").alias("id")).distinct(), docs, width)
+    rows = hits.join(sets, F.col("cid") == F.col("id")).repartition(*CELL).sortWithinPartitions(*CELL, "cid")
+    return rows.select(*CELL, "side", *POSTS, "members").mapInArrow(compare, PAIR).select("a", "b").distinct()
+
+
+def _sets(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """id and members (sorted 64-bit hashes) of the texts with these keys."""
+    ids = reliable_checkpoint(ids)
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    found = docs.join(F.broadcast(ids) if few else ids, F.col("key") == F.col("id")).select("key", "text")
 
-    dealt = rows.repartition("key", "block", "other").sortWithinPartitions("key", "block", "other", "cid")
-    return dealt.select("key", "block", "other", *POSTS, "side").mapInArrow(run, PAIR).select("a", "b").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [shingles(t, width).tobytes() for t in texts(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sets, pa.binary())], ["id", "members"])
+
+    return found.dropDuplicates(["key"]).mapInArrow(run, "id long, members binary")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
     pairs = reliable_checkpoint(pairs)
     ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    few = ends.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    wanted = docs.join(F.broadcast(ends) if few else ends, F.col("key") == F.col("id")).select("key", "text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sets = [shingles(t, width).tobytes() for t in texts(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sets, pa.binary())], ["id", "members"])
+    sets = _sets(ends, docs, width).repartition("id")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,7 +261,6 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> D
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    sets = wanted.mapInArrow(run, "id long, members binary").repartition("id")
     left = sets.select(F.col("id").alias("ida"), F.col("members").alias("of_a"))
     right = sets.select(F.col("id").alias("idb"), F.col("members").alias("of_b"))
     joined = pairs.join(left, F.col("a") == F.col("ida")).join(right, F.col("b") == F.col("idb"))
@@ -261,7 +304,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     heads = labelled(links).groupBy("key", "comp").agg(F.min(F.struct("cid", "n", "marks")).alias("head"))
     heads = heads.select("key", F.lit(0).alias("block"), "comp", "head.cid", "head.n", "head.marks")
     links = reliable_checkpoint(links.unionByName(_confirmed(_best_pairs(heads), source, width, percent)))
-    links = links.unionByName(_confirmed(_cross_pairs(labelled(links).drop("length")), source, width, percent))
+    links = links.unionByName(_cross_links(labelled(links).drop("length"), source, width, percent))
     parts = components(links)
     of_class = classes.join(parts, F.col("cid") == F.col("id"), "left").select("cls", F.coalesce("component", "cid").alias("component"))
     found = rows.select("key", "n", "cls").join(of_class.withColumnRenamed("cls", "c"), F.col("cls") == F.col("c"), "left")
