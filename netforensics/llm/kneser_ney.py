@@ -26,40 +26,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
+from .blobs import BLOBS, HASHES, blob, by_bucket, dealt, key_bucket, mixed, summed
 from .common import shared_folder, slices, texts
 
 BEGIN, FINISH = np.uint64(1), np.uint64(2)
 PENDING = 4_000_000  # pairs that a task sums before it sends them
-MIX = np.uint64(0x9E3779B97F4A7C15)
-BLOBS = "kind int, bucket int, data binary"
 # Kinds of rows between the stages: pairs, contexts, words, and notes for the driver.
 PAIRS, CONTEXTS, WORDS_KIND, NOTE = 0, 1, 2, 3
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        self[word] = out = xxhash.xxh64_intdigest(word) | 4  # never one of the marks
-        return out
-
-
-HASHES = _Hashes()  # of this worker process
-
-
-def mixed(a: np.ndarray, b: np.ndarray | np.uint64 = np.uint64(0)) -> np.ndarray:
-    """A 64-bit hash of one or two hashes."""
-    with np.errstate(over="ignore"):
-        x = (a ^ (a >> np.uint64(32))) * MIX + b
-        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        return x ^ (x >> np.uint64(32))
-
-
 def tokens(many: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens of the texts, and the number of tokens of each text."""
     parts, sizes = [], []
@@ -82,39 +61,6 @@ def in_training(key: object) -> bool:
     return zlib.crc32(b"" if key is None else str(key).encode()) % 7 != 2
 
 
-def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Sums of the values by key, keys ascending."""
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-    return keys[starts], *(np.add.reduceat(v[order], starts) if len(starts) else v[:0] for v in values)
-
-
-def _pack(*arrays: np.ndarray) -> bytes:
-    return b"".join([len(arrays[0]).to_bytes(8, "little"), *(a.tobytes() for a in arrays)])
-
-
-def _unpack(data: bytes, kinds: tuple) -> list[np.ndarray]:
-    n, at, out = int.from_bytes(data[:8], "little"), 8, []
-    for kind in kinds:
-        out.append(np.frombuffer(data, kind, n, at))
-        at += n * np.dtype(kind).itemsize
-    return out
-
-
-def _dealt(kind: int, buckets: np.ndarray, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of `arrays`, cut by bucket; their order stays within a bucket."""
-    order = np.argsort(buckets, kind="stable")
-    numbers, starts = np.unique(buckets[order], return_index=True)
-    for number, start, stop in zip(numbers.tolist(), starts.tolist(), [*starts.tolist()[1:], len(order)], strict=True):
-        part = order[start:stop]
-        yield _blob(kind, number, _pack(*(a[part] for a in arrays)))
-
-
-def _blob(kind: int, bucket: int, data: bytes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([bucket], pa.int32()), pa.array([data], pa.binary())], ["kind", "bucket", "data"])
-
-
 def _system(uri: str):
     from pyarrow import fs
 
@@ -185,10 +131,6 @@ def _pair_bucket(u: np.ndarray, v: np.ndarray, buckets: int) -> np.ndarray:
     return ((mixed(u) % np.uint64(buckets) + mixed(v) % np.uint64(spread) * np.uint64(max(1, buckets // spread))) % np.uint64(buckets)).astype(np.int32)
 
 
-def _key_bucket(key: np.ndarray, buckets: int) -> np.ndarray:
-    return (mixed(key, MIX) % np.uint64(buckets)).astype(np.int32)
-
-
 def _discounts(counts: np.ndarray) -> tuple[float, float, float]:
     """D1, D2, D3+ from the numbers of entries that occur once to four times."""
     n1, n2, n3, n4 = (max(float(c), 1.0) for c in counts)
@@ -217,7 +159,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
             u, v, times = u[first], v[first], times.astype(np.uint32)
             order = np.argsort(u)  # equal contexts side by side take little room once compressed
             u, v, times = u[order], v[order], times[order]
-            yield from _dealt(PAIRS, _pair_bucket(u, v, buckets), u, v, times)
+            yield from dealt(PAIRS, _pair_bucket(u, v, buckets), u, v, times)
 
         for batch in slices(batches):
             chosen = [t for k, t in zip(batch.column("key").to_pylist(), texts(batch), strict=True) if in_training(k)]
@@ -232,7 +174,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
             yield from flush()
 
     def merge_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, parts in _by_bucket(batches, {PAIRS: ("<u8", "<u8", "<u4")}):
+        for bucket, parts in by_bucket(batches, {PAIRS: ("<u8", "<u8", "<u4")}):
             u, v, n = parts[PAIRS]
             keys = mixed(u, v)
             order = np.argsort(keys, kind="stable")
@@ -240,25 +182,25 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
             starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
             keys, u, v, n = keys[starts], u[starts], v[starts], np.add.reduceat(n, starts)
             name = _store(folder, keys, np.minimum(n, 0xFFFFFFFF).astype("<u4"))
-            contexts = _summed(u, n, *((n == k).astype(np.int64) for k in (1, 2)), (n > 2).astype(np.int64))
-            words = _summed(v, n, np.ones(len(n), np.int64))
+            contexts = summed(u, n, *((n == k).astype(np.int64) for k in (1, 2)), (n > 2).astype(np.int64))
+            words = summed(v, n, np.ones(len(n), np.int64))
             for kind, table in ((CONTEXTS, contexts), (WORDS_KIND, words)):
-                yield from _dealt(kind, _key_bucket(table[0], buckets), table[0], *(c.astype("<u4") for c in table[1:]))
+                yield from dealt(kind, key_bucket(table[0], buckets), table[0], *(c.astype("<u4") for c in table[1:]))
             note = ("pairs", bucket, name, [len(n), int(n.sum()), *((int((n == k).sum())) for k in (1, 2, 3, 4))])
-            yield _blob(NOTE, bucket, repr(note).encode())
+            yield blob(NOTE, bucket, repr(note).encode())
 
     def merge_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {CONTEXTS: ("<u8", *["<u4"] * 4), WORDS_KIND: ("<u8", "<u4", "<u4")}
-        for bucket, parts in _by_bucket(batches, kinds):
+        for bucket, parts in by_bucket(batches, kinds, (NOTE,)):
             for note in parts.get(NOTE, []):
-                yield _blob(NOTE, bucket, note)
+                yield blob(NOTE, bucket, note)
             for kind, table in ((CONTEXTS, "contexts"), (WORDS_KIND, "words")):
                 if kind in parts:
-                    keys, *values = _summed(parts[kind][0], *(p.astype(np.int64) for p in parts[kind][1:]))
+                    keys, *values = summed(parts[kind][0], *(p.astype(np.int64) for p in parts[kind][1:]))
                     name = _store(folder, keys, *values)
                     last = values[-1]
                     numbers = [len(keys), int(values[0].sum()), *(int((last == k).sum()) for k in (1, 2, 3, 4))]
-                    yield _blob(NOTE, bucket, repr((table, bucket, name, numbers)).encode())
+                    yield blob(NOTE, bucket, repr((table, bucket, name, numbers)).encode())
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(count, BLOBS)
     rows = rows.repartition(buckets, "bucket").mapInArrow(merge_pairs, BLOBS)
@@ -283,24 +225,13 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
     return model
 
 
-def _by_bucket(batches: Iterator[pa.RecordBatch], kinds: dict[int, tuple]) -> Iterator[tuple[int, dict]]:
-    """All arrays of each bucket of this task; a task has one bucket or a few."""
-    parts: dict[int, dict[int, list]] = {}
-    for batch in batches:
-        for kind, bucket, data in zip(*(batch.column(c).to_pylist() for c in ("kind", "bucket", "data")), strict=True):
-            parts.setdefault(bucket, {}).setdefault(kind, []).append(data)
-    for bucket in sorted(parts):
-        of = parts.pop(bucket)
-        yield bucket, {k: blobs if k == NOTE else [np.concatenate(c) for c in zip(*(_unpack(b, kinds[k]) for b in blobs), strict=True)] for k, blobs in of.items()}
-
-
 def probabilities(model: Model, u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """P(v | u) by the model, and the training count of v; for distinct pairs."""
     (pair,) = model.look_up("pairs", mixed(u, v), _pair_bucket(u, v, model.buckets))
     contexts, of_u = np.unique(u, return_inverse=True)
-    total, once, twice, often = (x[of_u] for x in model.look_up("contexts", contexts, _key_bucket(contexts, model.buckets)))
+    total, once, twice, often = (x[of_u] for x in model.look_up("contexts", contexts, key_bucket(contexts, model.buckets)))
     words, of_v = np.unique(v, return_inverse=True)
-    count, preceded = (x[of_v] for x in model.look_up("words", words, _key_bucket(words, model.buckets)))
+    count, preceded = (x[of_v] for x in model.look_up("words", words, key_bucket(words, model.buckets)))
     d = model.word_discounts
     alone = np.maximum(preceded - discount(preceded, d), 0) / max(model.distinct_pairs, 1) + model.word_rest / (model.words + 1)
     d = model.pair_discounts

@@ -33,9 +33,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from netforensics.session import reliable_checkpoint
 
+from .blobs import HASHES, mixed
 from .common import slices, texts
 from .components import components
-from .kneser_ney import HASHES, mixed
 
 COORDINATES, MATCHES = 32, 12
 BYTES, BYTE_MATCHES = 128, 78  # at a similarity of 0.8 five standard deviations below the mean

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, kneser_ney, merkle, minhash_join, packing, quality_rules, token_counts, warc, weak_quality
+from . import bpe_codec, kneser_ney, merkle, minhash_join, packing, quality_rules, suffix_dedup, token_counts, warc, weak_quality
 from .common import documents, shared_folder, tokenizer_path
 
 
+def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats_report(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(documents(spark, sf_dir, "doc_id", "text"), tokenizer_path())
 
@@ -58,6 +62,7 @@ def edits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op1_suffix_dedup": repeats,
     "op2_bpe": bpe,
     "op3_token_counts": counts,
     "op4_host_rules": host_rules,
