@@ -315,3 +315,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         component.alias("component_id"),
         F.coalesce(F.col("key") == component, F.lit(True)).alias("kept"),
     )
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """`docs` with one row's document of each group of near duplicates; columns unchanged."""
+    gone = near_duplicates(docs, key, text, width, percent).where("not kept").select(F.col(key).cast("long").alias("_gone"))
+    gone = reliable_checkpoint(gone)
+    few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if few else gone, F.col(key).cast("long") == F.col("_gone"), "left_anti")

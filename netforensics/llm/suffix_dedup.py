@@ -38,9 +38,9 @@ from .blobs import BLOBS, blob, by_bucket, dealt, key_bucket, mixed
 from .common import as_batch, slices, texts
 
 GRAM = 32
-STRETCH = 1 << 21  # bytes that are hashed at once
+STRETCH = 1 << 17  # bytes that are hashed at once
 PENDING = 600_000  # segments that a task gathers before it sends them
-BATCH = 3_000  # segments of one construction, more only for one anchor
+BATCH = 1_000  # segments of one construction, more only for one anchor
 BROADCAST_IDS = 1_000_000
 SELF = 1 << 31  # mark in the number of strings: the anchor occurs twice in the segment
 SEGMENTS, SETTLED, ASKED, CONTENTS = 0, 1, 2, 3
