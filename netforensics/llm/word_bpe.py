@@ -10,6 +10,7 @@ boundary that would have come first. Words with a failing pair are merged step b
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 from collections.abc import Callable, Iterable
@@ -28,7 +29,7 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}
 
 BEYOND = regex.compile(f"[{chr(0x250)}-{chr(0x10FFFF)}]")
 SHORT = 64  # longer pre-tokens are merged one by one
-PIECES_KEPT = 200_000
+PIECES_KEPT = 400_000
 
 
 def split_words(text: str) -> list[str]:
@@ -325,6 +326,16 @@ class WordMemory(dict):
         if len(self) > self.limit:
             self.older = dict(self)
             self.clear()
+        # Nothing below makes cycles; collecting them meanwhile would walk the whole memory again and again.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            self._fill(words)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _fill(self, words: set[str]) -> None:
         new = words.difference(self)
         known = {w: self.older[w] for w in new if w in self.older}
         self.update(known)
@@ -335,9 +346,9 @@ class WordMemory(dict):
 _MEMORIES: dict[tuple, WordMemory] = {}
 
 
-def word_memory(path: str, kind: str, render: Callable[[WordBpe, list[int]], object]) -> WordMemory:
+def word_memory(path: str, kind: str, render: Callable[[WordBpe, list[int]], object], limit: int = 300_000) -> WordMemory:
     """The memory of this worker process for a vocabulary and a kind of rendering; tasks share it."""
     if (path, kind) not in _MEMORIES:
         coder = next((m.coder for (p, _), m in _MEMORIES.items() if p == path), None) or WordBpe(path)
-        _MEMORIES[path, kind] = WordMemory(coder, lambda ids: render(coder, ids))
+        _MEMORIES[path, kind] = WordMemory(coder, lambda ids: render(coder, ids), limit)
     return _MEMORIES[path, kind]
