@@ -34,6 +34,9 @@ FUNCTION_WORDS = frozenset(
 )
 LABELLERS = ("symbols", "capitals", "variety", "exclamations", "function_words", "bars", "runs")
 GOOD, BAD, ABSTAIN = 1, 0, 2
+# Labellers are made to spare good documents: their rate of good votes on those is held above this, so that a
+# kind of junk that few of them see is not taken for a kind of good documents.
+LEAST_GOOD = 0.95
 BUCKETS = 1 << 14
 SAMPLE = 5_000
 PUNCTUATION = ".,;:?!()"
@@ -106,13 +109,14 @@ def estimate(counts: dict[int, int], rounds: int = 100) -> tuple[dict[int, float
     cast = (patterns[:, None] // 3 ** np.arange(len(LABELLERS))) % 3
     voted = cast != ABSTAIN
     good = np.where(voted, cast, 0)
-    ayes, total = good.sum(axis=1), voted.sum(axis=1)
-    posterior = (ayes + 2.0) / (total + 3.0)  # to begin with: a majority vote that leans to good
+    nays = voted.sum(axis=1) - good.sum(axis=1)
+    posterior = 0.9 * 0.3**nays  # to begin with: each vote for bad counts, whoever casts it
     share, rates = 0.5, np.zeros((2, len(LABELLERS)))
     for _ in range(rounds):
         share = min(max(float((weight * posterior).sum() / max(weight.sum(), 1.0)), 1e-3), 1 - 1e-3)
         by_class = np.stack([weight * (1 - posterior), weight * posterior])
         rates = (by_class @ good + [[1.0], [2.0]]) / (by_class @ voted + 3.0)
+        rates[1] = np.maximum(rates[1], LEAST_GOOD)
         odds = math.log(share / (1 - share)) + np.where(
             voted, np.where(good == 1, np.log(rates[1] / rates[0]), np.log((1 - rates[1]) / (1 - rates[0]))), 0.0
         ).sum(axis=1)
