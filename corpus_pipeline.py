@@ -31,7 +31,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Best-fit packing of the remaining texts."""
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack(docs, tokenizer_path(), words_kept=150_000)
 
 
 STAGES = [

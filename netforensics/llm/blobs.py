@@ -8,13 +8,15 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
+from .common import remembers
+
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BLOBS = "kind int, bucket int, data binary"
 
 
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 300_000:
             self.clear()
         self[word] = out = xxhash.xxh64_intdigest(word) | 4  # never one of the marks
         return out
@@ -23,6 +25,9 @@ class WordHashes(dict):
 HASHES = WordHashes()  # of this worker process
 
 
+remembers("hashes", HASHES.clear)
+
+
 def mixed(a: np.ndarray, b: np.ndarray | np.uint64 = np.uint64(0)) -> np.ndarray:
     """A 64-bit hash of one or two hashes."""
     with np.errstate(over="ignore"):

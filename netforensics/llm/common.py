@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from netforensics.session import reliable_checkpoint
 
 # Rows of one slice inside a task hold about this many bytes of text.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -22,6 +22,22 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+_MEMORIES: dict[str, Callable[[], None]] = {}
+
+
+def remembers(name: str, forget: Callable[[], None]) -> None:
+    """Register what a worker process may keep between tasks, and how to drop it."""
+    _MEMORIES[name] = forget
+
+
+def only(name: str = "") -> None:
+    """Drop what this worker remembers for other operators: it serves one after the other."""
+    for other, forget in _MEMORIES.items():
+        if other != name:
+            forget()
+    pa.default_memory_pool().release_unused()
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about SLICE_BYTES of `column` (one row at least)."""
     for batch in batches:

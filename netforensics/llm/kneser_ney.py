@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from .blobs import BLOBS, HASHES, blob, by_bucket, dealt, key_bucket, mixed, summed
-from .common import shared_folder, slices, texts
+from .common import only, shared_folder, slices, texts
 
 BEGIN, FINISH = np.uint64(1), np.uint64(2)
 PENDING = 4_000_000  # pairs that a task sums before it sends them
@@ -150,6 +150,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
     folder = shared_folder(spark, "kneser-ney")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("hashes")
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 

@@ -34,7 +34,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from netforensics.session import reliable_checkpoint
 
 from .blobs import HASHES, mixed
-from .common import slices, texts
+from .common import only, slices, texts
 from .components import components
 
 COORDINATES, MATCHES = 32, 12
@@ -74,6 +74,7 @@ def _rows(docs: DataFrame, width: int) -> DataFrame:
     """key, n_shingles, class hash, posting keys and byte signature of every text with shingles or without."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("hashes")
         coordinate = np.arange(COORDINATES, dtype=np.uint64)
         for batch in slices(batches):
             sizes, classes, keys, marks = [], [], [], []

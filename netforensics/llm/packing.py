@@ -48,11 +48,11 @@ class Capacity:
             raise ValueError("a full piece must fit into an empty sequence")
 
 
-def pieces(docs: DataFrame, path: str, tokens: int = 4096, end_id: int = 1, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pieces(docs: DataFrame, path: str, tokens: int = 4096, end_id: int = 1, key: str = "doc_id", text: str = "text", words_kept: int = 700_000) -> DataFrame:
     """Per piece: key, piece, start, length, ids_crc32 and slot (a number that spreads equal rows)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = word_memory(path, "bytes", lambda _, ids: np.array(ids, "<u4").tobytes(), 700_000)
+        memory = word_memory(path, "bytes", lambda _, ids: np.array(ids, "<u4").tobytes(), words_kept)
         end = np.array([end_id], "<u4").tobytes()
         slot = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         for batch in slices(batches, text):
@@ -143,11 +143,14 @@ def _dealt(rows: DataFrame, count: int) -> DataFrame:
     return rows.withColumn("grp", F.pmod(F.xxhash64("slot"), F.lit(max(1, -(-count // GROUP_ROWS)))).cast("long"))
 
 
-def pack(docs: DataFrame, path: str, limit: Capacity | None = None, key: str = "doc_id", text: str = "text", end_id: int = 1) -> DataFrame:
-    """Per piece: key, piece, start, length, ids_crc32, sequence_id, offset."""
+def pack(docs: DataFrame, path: str, limit: Capacity | None = None, key: str = "doc_id", text: str = "text", end_id: int = 1, words_kept: int = 700_000) -> DataFrame:
+    """Per piece: key, piece, start, length, ids_crc32, sequence_id, offset.
+
+    A worker remembers `words_kept` words (two generations of about 200 bytes a word); fewer only cost time.
+    """
     limit = limit or Capacity()
     limit.check()
-    rows = reliable_checkpoint(pieces(docs, path, limit.tokens, end_id, key, text))
+    rows = reliable_checkpoint(pieces(docs, path, limit.tokens, end_id, key, text, words_kept))
     total = rows.count()
     once = total <= GROUP_ROWS
     first = reliable_checkpoint(_packed(_dealt(rows, total), limit, 0, once))

@@ -22,7 +22,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from netforensics.session import reliable_checkpoint
 
-from .common import free_name, slices, texts
+from .common import free_name, only, slices, texts
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -76,6 +76,7 @@ def with_counts(docs: DataFrame, into: str, text: str = "text") -> DataFrame:
     kind = pa.struct([(n, pa.int64()) for n in COUNTS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
         for batch in slices(batches, text):
             columns = list(zip(*map(measure, texts(batch, text)), strict=True)) or [[]] * len(COUNTS)
             yield batch.append_column(into, pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], fields=list(kind)))

@@ -35,7 +35,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from netforensics.session import reliable_checkpoint
 
 from .blobs import BLOBS, blob, by_bucket, dealt, key_bucket, mixed
-from .common import as_batch, slices, texts
+from .common import as_batch, only, slices, texts
 
 GRAM = 32
 STRETCH = 1 << 17  # bytes that are hashed at once
@@ -271,6 +271,7 @@ def settled_strings(docs: DataFrame, length: int = 100) -> DataFrame:
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
         held: list[tuple] = []
         size = 0
         for batch in slices(batches):

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, IntegerType, StructField, StructType
 
-from .common import free_name, slices, texts
+from .common import free_name, only, remembers, slices, texts
 
 # Frequent function words of English, French, German and Spanish.
 FUNCTION_WORDS = frozenset(
@@ -47,7 +47,7 @@ class _Words(dict):
     """Word -> one number: buckets of letters and shape, two flags and a checksum; forgets when full."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 400_000:
+        if len(self) > 300_000:
             self.clear()
         low = word.lower()
         core = low if word.isalpha() else low.strip(MARKS)
@@ -65,6 +65,7 @@ class _Words(dict):
 
 
 WORDS = _Words()  # of this worker process
+remembers("quality", WORDS.clear)
 
 
 def coded(words: list[str]) -> np.ndarray:
@@ -174,6 +175,7 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> tuple[np
     """Weights, intercept and the labeller model. All documents are voted on; about `sample` fit the scorer."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("quality")
         for batch in slices(batches):
             counts = Counter(map(votes, texts(batch)))
             yield pa.RecordBatch.from_pydict({"pattern": pa.array(counts.keys(), pa.int32()), "n": pa.array(counts.values(), pa.int32())})
@@ -214,6 +216,7 @@ def with_score(docs: DataFrame, model: tuple[np.ndarray, float, dict], into: str
     shared = docs.sparkSession.sparkContext.broadcast((weights.astype(float), bias))  # BUCKETS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("quality")
         w, b = shared.value
         for batch in slices(batches, text):
             scores = [score(t, w, b) for t in texts(batch, text)]

@@ -18,6 +18,8 @@ from collections.abc import Callable, Iterable
 import numpy as np
 import regex
 
+from .common import only, remembers
+
 END = "</w>"
 NEVER = np.int64(1) << 40
 # Unicode white space, as a character class (str.isspace() takes ODD_CONTROLS besides).
@@ -29,7 +31,6 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}
 
 BEYOND = regex.compile(f"[{chr(0x250)}-{chr(0x10FFFF)}]")
 SHORT = 64  # longer pre-tokens are merged one by one
-PIECES_KEPT = 400_000
 
 
 def split_words(text: str) -> list[str]:
@@ -74,6 +75,7 @@ class WordBpe:
         self._base = np.array([[d[bytes([b])] for b in range(256)] for d in (self.inner, self.final)], np.int64)
         self._build_trie()
         self.known: dict[bytes, list[int]] = {}
+        self.pieces_kept = 200_000
         # Merge tables: rank of the merge that makes a token (-1: a single symbol) and its two parts.
         self.rank, self.left, self.right = (np.full(size, -1, np.int64) for _ in range(3))
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
@@ -299,7 +301,7 @@ class WordBpe:
         if not words:
             return {}
         cut = self.cut(words)
-        if len(self.known) > PIECES_KEPT:
+        if len(self.known) > self.pieces_kept:
             self.known.clear()
         known = self.known
         new = list({p for ps in cut for p in ps if not isinstance(p, int) and p not in known})
@@ -344,11 +346,15 @@ class WordMemory(dict):
 
 
 _MEMORIES: dict[tuple, WordMemory] = {}
+remembers("word_bpe", _MEMORIES.clear)
 
 
 def word_memory(path: str, kind: str, render: Callable[[WordBpe, list[int]], object], limit: int = 300_000) -> WordMemory:
     """The memory of this worker process for a vocabulary and a kind of rendering; tasks share it."""
-    if (path, kind) not in _MEMORIES:
-        coder = next((m.coder for (p, _), m in _MEMORIES.items() if p == path), None) or WordBpe(path)
-        _MEMORIES[path, kind] = WordMemory(coder, lambda ids: render(coder, ids), limit)
-    return _MEMORIES[path, kind]
+    only("word_bpe")
+    if (path, kind, limit) not in _MEMORIES:
+        coder = next((m.coder for (p, *_), m in _MEMORIES.items() if p == path), None) or WordBpe(path)
+        _MEMORIES.clear()
+        coder.pieces_kept = limit // 2
+        _MEMORIES[path, kind, limit] = WordMemory(coder, lambda ids: render(coder, ids), limit)
+    return _MEMORIES[path, kind, limit]
