@@ -109,11 +109,12 @@ def _lists(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tupl
         cid, n, comp = (table.column(c).to_numpy() for c in ("cid", "n", "comp"))
         marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(-1, BYTES)
         side = table.column("side").to_numpy()
+        posted = table.column("posted").to_pylist() if "posted" in table.column_names else None
         members = table.column("members").to_pylist() if "members" in table.column_names else None
         whole = len(starts) if last else len(starts) - 1
         for a, b in zip(starts[:whole].tolist(), stops[:whole].tolist(), strict=True):
             if b - a > 1:
-                yield [tuple(k[a] for k in keys), cid[a:b], n[a:b], marks[a:b], comp[a:b], side[a:b], members and members[a:b]]
+                yield [tuple(k[a] for k in keys), cid[a:b], n[a:b], marks[a:b], comp[a:b], side[a:b], members and members[a:b], posted and posted[a:b]]
         return table.slice(int(starts[-1])) if not last else None
 
     for batch in batches:
@@ -146,7 +147,7 @@ def _best_pairs(posts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[int, int, int]] = []
-        for _, cid, n, marks, comp, _, _ in _lists(batches, ["key", "block"]):
+        for _, cid, n, marks, comp, *_ in _lists(batches, ["key", "block"]):
             for i in range(1, len(cid)):
                 count = np.where(comp[:i] != comp[i], _agreements(n, marks, i, slice(0, i)), 0)
                 j = int(count.argmax())
@@ -179,7 +180,7 @@ def _cross_links(posts: DataFrame, docs: DataFrame, width: int, percent: int) ->
     blocks = F.ceil(F.col("length") / BLOCK).cast("int")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("cid"), blocks).cast("int")).withColumn("meets", F.explode(F.sequence(F.lit(0), blocks - 1)))
     block, other, side = F.least("own", "meets"), F.greatest("own", "meets"), (F.col("own") <= F.col("meets")).cast("int")
-    rows = rows.select("key", block.alias("block"), other.alias("other"), side.alias("side"), *POSTS)
+    rows = rows.select("key", block.alias("block"), other.alias("other"), side.alias("side"), *POSTS, "posted")
 
     def wanted(comp: np.ndarray, side: np.ndarray, i: int) -> np.ndarray:
         """Earlier members of other components; of the other block if the cell has two."""
@@ -187,12 +188,19 @@ def _cross_links(posts: DataFrame, docs: DataFrame, width: int, percent: int) ->
         return apart & (side[:i] != side[i]) if side.min() != side.max() else apart
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cell, cid, n, marks, comp, side, _ in _lists(batches, CELL):
+        for cell, cid, n, marks, comp, side, _, posted in _lists(batches, CELL):
             hit = np.zeros(len(cid), bool)
+            lists = np.full((len(cid), COORDINATES), np.iinfo(np.int64).max)
+            for i, keys in enumerate(posted):
+                lists[i, : len(keys)] = keys
             for i in range(1, len(cid)):
                 ask = wanted(comp, side, i)
                 if ask.any():
                     close = ask & (_agreements(n, marks, i, slice(0, i)) >= BYTE_MATCHES)
+                    if close.any():  # a pair that shares several lists is compared in the first of them only
+                        at = np.flatnonzero(close)
+                        shared = np.where(np.isin(lists[at], posted[i]), lists[at], np.iinfo(np.int64).max)
+                        close[at] = shared.min(axis=1) == cell[0]
                     hit[:i] |= close
                     hit[i] |= close.any()
             at = np.flatnonzero(hit)
@@ -202,7 +210,7 @@ def _cross_links(posts: DataFrame, docs: DataFrame, width: int, percent: int) ->
                 yield pa.RecordBatch.from_arrays(columns, [*CELL, "side", *POSTS])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, cid, n, marks, comp, side, members in _lists(batches, CELL):
+        for _, cid, n, marks, comp, side, members, _ in _lists(batches, CELL):
             sets = [np.frombuffer(m, np.uint64) for m in members]
             distinct, flat = np.unique(np.concatenate(sets), return_inverse=True)
             sizes = np.array([len(x) for x in sets])
@@ -225,7 +233,7 @@ def _cross_links(posts: DataFrame, docs: DataFrame, width: int, percent: int) ->
                         group[group == group[j]] = group[i]
             yield _emit(found)
 
-    dealt = rows.repartition(*CELL).sortWithinPartitions(*CELL, "cid").select(*CELL, "side", *POSTS)
+    dealt = rows.repartition(*CELL).sortWithinPartitions(*CELL, "cid").select(*CELL, "side", *POSTS, "posted")
     types = "key long, block int, other int, side int, cid long, n long, marks binary, comp long"
     hits = reliable_checkpoint(dealt.mapInArrow(candidates, types))
     sets = _sets(hits.select(F.col("cid").alias("id")).distinct(), docs, width)
@@ -290,9 +298,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     shared = posted.join(lengths, F.col("key") == F.col("k")).groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("length", "key"))).alias("shared"))
     prefix = COORDINATES - MATCHES + 1
     kept = F.greatest(F.size("shared") - (COORDINATES - prefix), F.lit(0))
-    chosen = shared.where(F.size("shared") >= MATCHES).select(F.col("cid").alias("c"), F.explode(F.slice("shared", 1, kept)).alias("post"))
+    chosen = shared.where(F.size("shared") >= MATCHES).select(F.col("cid").alias("c"), F.slice("shared", 1, kept).alias("posts"))
+    chosen = chosen.select("c", F.col("posts.key").alias("posted"), F.explode("posts").alias("post"))
     posts = chosen.join(classes.select("cid", "n", "marks"), F.col("c") == F.col("cid"))
-    posts = reliable_checkpoint(posts.select(F.col("post.key").alias("key"), F.col("post.length").alias("length"), "cid", "n", "marks"))
+    posts = reliable_checkpoint(posts.select(F.col("post.key").alias("key"), F.col("post.length").alias("length"), "cid", "n", "marks", "posted"))
     blocks = F.ceil(F.col("length") / BLOCK)
     alone = posts.withColumn("comp", F.col("cid")).withColumn("block", F.pmod(F.xxhash64("cid"), blocks).cast("int"))
     links = reliable_checkpoint(_confirmed(_best_pairs(alone), source, width, percent))
