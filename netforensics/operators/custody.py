@@ -103,30 +103,62 @@ def seal_segments(chained: DataFrame) -> DataFrame:
     return sealed.select("case_id", "rows", F.size("tails").alias("segments"), folded.alias("seal"))
 
 
-def verify_chain(chained: DataFrame, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+def verify_chain(
+    chained: DataFrame, segment_rows: int | None = None, text: Column | None = None, record: DataFrame | None = None
+) -> DataFrame:
     """(case_id, rows, is_valid, first_broken): fully parallel, each row against its predecessor.
 
+    Every position from 0 on must be there exactly once, so removed, repeated and swapped rows show.
+    `text` recomputes the row text from the event columns, so an edited column shows although
+    `row_text` was kept. `record` (case_id, rows, seal: the stored result of `seal_segments`) shows
+    removed last rows, rewritten chains and missing cases. Segments are those written in the rows
+    (`chain_segment`); `segment_rows` is only needed for rows without it.
+
     The predecessor comes from an equi join on (case, position), so a long chain is no hot key.
     `first_broken` is -1 for a valid chain.
     """
-    needed = chained.select("case_id", "chain_pos", "chain_seed", "row_text", "evidence_hash")
-    previous = needed.select(
-        "case_id", (F.col("chain_pos") + 1).alias("chain_pos"), F.col("evidence_hash").alias("_prev")
+    segment = F.floor(F.col("chain_pos") / (segment_rows or SEGMENT_ROWS))
+    segment = F.col("chain_segment") if "chain_segment" in chained.columns else segment
+    shown = F.col("row_text") if text is None else text
+    needed = chained.select(
+        "case_id", "chain_pos", "chain_seed", "row_text", "evidence_hash", segment.alias("_segment"),
+        F.coalesce(shown != F.col("row_text"), F.lit(True)).alias("_edited"),
     )
-    segment = F.floor(F.col("chain_pos") / segment_rows)
-    starts = F.col("chain_pos") % segment_rows == 0
-    before = F.when(starts, segment_seed(F.col("chain_seed"), segment)).otherwise(F.col("_prev"))
+    places = needed.groupBy("case_id", "chain_pos").agg(
+        F.count(F.lit(1)).alias("_times"), F.min("evidence_hash").alias("_hash"), F.min("_segment").alias("_of")
+    )
+    own = places.select("case_id", "chain_pos", "_times")
+    previous = places.select(
+        "case_id", (F.col("chain_pos") + 1).alias("chain_pos"), F.col("_hash").alias("_prev"), F.col("_of").alias("_before")
+    )
+    starts = (F.col("chain_pos") == 0) | (F.col("_before") != F.col("_segment"))
+    before = F.when(starts, segment_seed(F.col("chain_seed"), F.col("_segment"))).otherwise(F.col("_prev"))
     expected = F.sha2(F.concat(before, F.col("row_text")), 256)
-    bad = F.coalesce(expected != F.col("evidence_hash"), F.lit(True))
-    return (
-        needed.join(previous, ["case_id", "chain_pos"], "left")
+    missing = (F.col("chain_pos") > 0) & F.col("_prev").isNull()
+    bad = F.coalesce(expected != F.col("evidence_hash"), F.lit(True)) | missing | (F.col("_times") > 1) | F.col("_edited")
+    # A missing row breaks the chain at its own place, not at that of the row behind the gap.
+    place = F.when(missing, F.col("chain_pos") - 1).otherwise(F.col("chain_pos"))
+    checked = (
+        needed.join(own, ["case_id", "chain_pos"])
+        .join(previous, ["case_id", "chain_pos"], "left")
         .withColumn("_bad", bad)
         .groupBy("case_id")
-        .agg(F.count(F.lit(1)).alias("rows"), F.min(F.when(F.col("_bad"), F.col("chain_pos"))).alias("_first"))
-        .select(
-            "case_id", "rows", F.col("_first").isNull().alias("is_valid"),
-            F.coalesce("_first", F.lit(-1)).cast("bigint").alias("first_broken"),
+        .agg(F.count(F.lit(1)).alias("rows"), F.min(F.when(F.col("_bad"), place)).alias("_first"))
+    )
+    if record is not None:
+        stored = record.select("case_id", F.col("rows").alias("_rows"), F.col("seal").alias("_stored"))
+        seals = seal_segments(chained).select("case_id", "seal") if "chain_segment" in chained.columns else None
+        if seals is None:
+            raise ValueError("a record can only be compared with rows that carry their segment")
+        cut = F.coalesce((F.col("rows") != F.col("_rows")) | (F.col("seal") != F.col("_stored")), F.lit(True))
+        known = F.coalesce("rows", F.lit(0))
+        checked = (
+            checked.join(seals, "case_id", "left").join(stored, "case_id", "full")
+            .withColumn("_first", F.coalesce("_first", F.when(cut, F.least(known, F.coalesce("_rows", known)))))
+            .withColumn("rows", known)
         )
+    return checked.select(
+        "case_id", "rows", F.col("_first").isNull().alias("is_valid"), F.coalesce("_first", F.lit(-1)).cast("bigint").alias("first_broken")
     )
 
 

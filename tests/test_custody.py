@@ -53,3 +53,27 @@ def test_manifest_id_ignores_order(spark):
     a = spark.createDataFrame([("c", "h1", 1), ("c", "h2", 2)], "case_id string, sha256 string, size_bytes bigint")
     b = spark.createDataFrame([("c", "h2", 2), ("c", "h1", 1)], "case_id string, sha256 string, size_bytes bigint")
     assert cu.case_manifest(a).first().manifest_id == cu.case_manifest(b).first().manifest_id
+
+
+def test_removed_repeated_swapped_and_edited_rows_are_found(spark):
+    got = cu.hash_chain(rows(spark), ["n"], segment_rows=10).filter("case_id = 'c1'").persist()
+    record = cu.seal_segments(got)
+    pos = F.col("chain_pos")
+    again = got.filter(pos == 4)
+    swapped = got.withColumn("chain_pos", F.when(pos == 6, 7).when(pos == 7, 6).otherwise(pos).cast("bigint"))
+    cases = {
+        "intact": (got, -1),
+        "first": (got.filter(pos != 0), 0),
+        "middle": (got.filter(pos != 13), 13),
+        "segment": (got.filter("chain_segment <> 1"), 19),
+        "repeated": (got.unionByName(again), 4),
+        "swapped": (swapped, 6),
+        "column": (got.withColumn("n", F.when(pos == 17, -1).otherwise(F.col("n"))), 17),
+        "tail": (got.filter(pos < 22), 22),
+    }
+    text = F.concat(F.lit("row "), F.col("n"))
+    for name, (tampered, place) in cases.items():
+        report = cu.verify_chain(tampered, text=text, record=record).first()
+        assert (report.is_valid, report.first_broken) == (place < 0, place), name
+    gone = cu.verify_chain(got.filter("false"), text=text, record=record).first()
+    assert (gone.rows, gone.is_valid, gone.first_broken) == (0, False, 0)
