@@ -718,8 +718,8 @@ def new_events(spark, sf):
 
 
 def _outcomes(spark, sf):
-    truth = t.intel(spark, sf).filter("indicator_type = 'ip'").crossJoin(
-        F.broadcast(spark.sql("SELECT explode(sequence(0, 7)) AS c"))
+    truth = t.intel(spark, sf).filter("indicator_type = 'ip'").withColumn(
+        "c", F.explode(F.sequence(F.lit(0), F.lit(7)))
     ).selectExpr("concat('case-', c) AS case_id", "CASE WHEN c < 5 THEN value END AS indicator", "c < 5 AS is_malware").distinct()
     return ev.case_outcomes(ev.flagged_by_threshold(_tiered(spark, sf)), truth)
 

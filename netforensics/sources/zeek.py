@@ -72,10 +72,10 @@ def parse_log(lines: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def number(name: str, kind: str, default=None) -> Column:
-    """Lenient numeric cast; integers accept only integer text."""
+    """Lenient numeric cast; integers accept integer text and whole numbers written with a point (443.0)."""
     text = F.trim(F.col(f"`{name}`"))
     if kind in ("int", "bigint"):
-        text = F.when(text.rlike(r"^[+-]?[0-9]+$"), text)
+        text = F.when(text.rlike(r"^[+-]?[0-9]+(\.0*)?$"), F.regexp_replace(text, r"\..*$", ""))
     value = text.try_cast(kind)
     return value if default is None else F.coalesce(value, F.lit(default).cast(kind))
 
