@@ -165,8 +165,12 @@ def token_counts(
         enc = encoder(path)
         for batch in slices(batches, text):
             many = texts(batch, text)
-            enc.learn([t for t in many if len(t) <= chunk])
-            counts = [count(t, enc, chunk, overlap) for t in many]
+            short = [i for i, t in enumerate(many) if len(t) <= chunk]
+            enc.learn([many[i] for i in short])
+            counts = [0] * len(many)
+            # Short texts first: the chunks of a long one make the memory forget what was just learned.
+            for i in [*short, *(i for i, t in enumerate(many) if len(t) > chunk)]:
+                counts[i] = count(many[i], enc, chunk, overlap)
             sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(key), sizes, pa.array(counts, pa.int64()), pa.array([n > limit for n in counts], pa.bool_())],
