@@ -16,6 +16,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +53,7 @@ def pieces(docs: DataFrame, path: str, tokens: int = 4096, end_id: int = 1, key:
     """Per piece: key, piece, start, length, ids_crc32 and slot (a number that spreads equal rows)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = word_memory(path, "bytes", lambda _, ids: np.array(ids, "<u4").tobytes(), words_kept)
+        memory = word_memory(path, "bytes", lambda _, ids: pack_ids(f"<{len(ids)}I", *ids), words_kept)
         end = np.array([end_id], "<u4").tobytes()
         slot = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         for batch in slices(batches, text):

@@ -14,6 +14,7 @@ import gc
 import heapq
 import json
 from collections.abc import Callable, Iterable
+from itertools import chain
 
 import numpy as np
 import regex
@@ -108,6 +109,7 @@ class WordBpe:
     def cut(self, words: list[str]) -> list[list[bytes | int]]:
         """Pre-tokens of each word in UTF-8, special tokens as ids."""
         out: list[list[bytes | int]] = []
+        find = PIECES.findall
         # Below U+0250 all characters are composed and classes and cases agree in every Unicode version.
         joined = "\n".join(words)
         plain = joined.isascii() or not BEYOND.search(joined)
@@ -123,7 +125,7 @@ class WordBpe:
                     at = m.end()
                 out.append(found + self._library_cut(word[at:]))
             elif low:
-                out.append([p.encode() for p in PIECES.findall(low)])
+                out.append([p.encode() for p in find(low)])
             else:
                 out.append(self._library_cut(word))
         return out
@@ -304,11 +306,11 @@ class WordBpe:
         if len(self.known) > self.pieces_kept:
             self.known.clear()
         known = self.known
-        new = list({p for ps in cut for p in ps if not isinstance(p, int) and p not in known})
+        new = list({p for p in chain.from_iterable(cut) if p.__class__ is bytes}.difference(known))
         known.update(zip(new, self.encode_pieces(new), strict=True))
         return {
-            w: known[ps[0]] if len(ps) == 1 and not isinstance(ps[0], int)
-            else [t for p in ps for t in ((p,) if isinstance(p, int) else known[p])]
+            w: known[ps[0]] if len(ps) == 1 and ps[0].__class__ is bytes
+            else [t for p in ps for t in (known[p] if p.__class__ is bytes else (p,))]
             for w, ps in zip(words, cut, strict=True)
         }
 
@@ -339,10 +341,12 @@ class WordMemory(dict):
 
     def _fill(self, words: set[str]) -> None:
         new = words.difference(self)
-        known = {w: self.older[w] for w in new if w in self.older}
-        self.update(known)
-        for w, ids in self.coder.encode_words(new.difference(known)).items():
-            self[w] = self.render(ids)
+        if self.older:
+            known = {w: self.older[w] for w in new if w in self.older}
+            self.update(known)
+            new.difference_update(known)
+        coded = self.coder.encode_words(new)
+        self.update(zip(coded, map(self.render, coded.values()), strict=True))
 
 
 _MEMORIES: dict[tuple, WordMemory] = {}
