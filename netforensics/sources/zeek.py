@@ -23,52 +23,57 @@ TABLE_OF_LOG = {"conn": "sessions", "dns": "dns", "http": "http", "ssl": "tls",
                 "files": "artifacts"}
 
 
-# One header row per file and a few hundred bytes each: up to this many are sent to every task.
-MAX_LOCAL_HEADERS = 50_000
+LIST_FIELDS = frozenset({"answers", "rcptto", "fuids", "tx_hosts", "rx_hosts"})
 
 
-def file_headers(lines: DataFrame) -> DataFrame:
-    """(case_id, file, _from, _to, _names): the #fields lines, each ruling until the next one."""
+def file_headers(lines: DataFrame, fields: list[str]) -> DataFrame:
+    """(case_id, file, _from, _to, _places): the #fields lines, each ruling until the next one.
+
+    `_places` holds the 0-based column of every wanted field, found once per header (null: absent).
+    """
+    names = F.split("value", "\t")
+    # The first word is "#fields" itself, so the 1-based position in it is the column number plus two.
+    places = F.struct(*[
+        (F.nullif(F.array_position("_words", F.lit(n)).cast("int"), F.lit(0)) - 2).alias(f"p{i}")
+        for i, n in enumerate(fields)
+    ])
     headers = lines.filter(F.col("value").startswith("#fields")).select(
-        "case_id", "file", F.col("seq").alias("_from"), F.expr("slice(split(value, '\\t'), 2, 100000)").alias("_names")
+        "case_id", "file", F.col("seq").alias("_from"), names.alias("_words")
     )
-    ranged = headers.withColumn("_to", F.lead("_from").over(Window.partitionBy("case_id", "file").orderBy("_from")))
-    found = ranged.limit(MAX_LOCAL_HEADERS + 1).collect()
-    if len(found) > MAX_LOCAL_HEADERS:
-        return ranged
-    return F.broadcast(lines.sparkSession.createDataFrame(found, ranged.schema))
+    following = F.lead("_from").over(Window.partitionBy("case_id", "file").orderBy("_from"))
+    return headers.select("case_id", "file", "_from", following.alias("_to"), places.alias("_places"))
 
 
 def parse_log(lines: DataFrame, fields: list[str]) -> DataFrame:
     """All rows of a log whatever its encoding (classic TSV or JSON lines), every field as text.
 
-    TSV values are found by the position of their name in the file's header; a JSON line that is
-    not valid is skipped. The body is read once for both encodings, and its rows are not shuffled
-    while the headers are few enough to be sent along (their number is checked).
+    TSV values are found by the place of their name in the file's header; a JSON line that is not
+    valid is skipped. Lists (LIST_FIELDS) come out as JSON arrays whichever encoding they had. TSV
+    lines meet their header in an equi join on (case, file), without a hint: the headers are a tiny
+    side that Spark broadcasts by measured size, and a large file is split by AQE if it shuffles.
+    JSON lines go around the join.
     """
-    headers = file_headers(lines)
     body = lines.filter((F.col("value") != "") & ~F.col("value").startswith("#"))
     is_json = F.col("value").startswith("{")
-    ruled = body.join(
-        headers.withColumnsRenamed({"case_id": "_case", "file": "_file"}),
-        (F.col("case_id") == F.col("_case")) & (F.col("file") == F.col("_file")) & ~is_json
-        & (F.col("seq") > F.col("_from")) & (F.col("_to").isNull() | (F.col("seq") < F.col("_to"))),
-        "left",
-    ).filter(is_json | F.col("_names").isNotNull())
     schema = ", ".join(f"`{n}` string" for n in fields) + ", `_bad` string"
-    parsed = F.from_json(F.when(is_json, F.col("value")), schema, {"columnNameOfCorruptRecord": "_bad"})
-    vals = F.when(~is_json, F.split("value", "\t"))
-    # A generator evaluates both once per line; field access would parse once per field.
-    split = ruled.select(
-        "case_id", "seq", "_names", F.inline(F.array(F.struct(parsed.alias("_json"), vals.alias("_vals"))))
+    parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_bad"})
+    # A generator evaluates the text once per line; field access would parse once per field.
+    encoded = body.filter(is_json).select("case_id", "seq", F.inline(F.array(parsed))).filter(F.col("_bad").isNull())
+    from_json = encoded.select("case_id", "seq", *[blank_to_null(F.col(f"`{n}`")).alias(n) for n in fields])
+    ruled = body.filter(~is_json).join(
+        file_headers(lines, fields).withColumnsRenamed({"case_id": "_case", "file": "_file"}),
+        (F.col("case_id") == F.col("_case")) & (F.col("file") == F.col("_file"))
+        & (F.col("seq") > F.col("_from")) & (F.col("_to").isNull() | (F.col("seq") < F.col("_to"))),
     )
+    split = ruled.select("case_id", "seq", "_places", F.inline(F.array(F.struct(F.split("value", "\t").alias("_vals")))))
 
-    def value(name: str) -> Column:
-        place = F.array_position("_names", F.lit(name)).cast("int")
-        plain = F.get(F.col("_vals"), place - 1)
-        return blank_to_null(F.coalesce(plain, F.col("_json").getField(name))).alias(name)
+    def value(i: int, name: str) -> Column:
+        plain = blank_to_null(F.get("_vals", F.col(f"_places.p{i}")))
+        if name in LIST_FIELDS:
+            plain = F.to_json(F.filter(F.split(plain, ","), lambda x: x != ""))
+        return plain.alias(name)
 
-    return split.filter(F.col("_json._bad").isNull()).select("case_id", "seq", *[value(n) for n in fields])
+    return split.select("case_id", "seq", *[value(i, n) for i, n in enumerate(fields)]).unionByName(from_json)
 
 
 def number(name: str, kind: str, default=None) -> Column:
@@ -81,11 +86,11 @@ def number(name: str, kind: str, default=None) -> Column:
 
 
 def text_list(name: str) -> Column:
-    """A comma list or a JSON array as ARRAY<STRING>; NULL becomes an empty array."""
+    """A list field of `parse_log` as ARRAY<STRING>; a JSON text is split at commas, NULL becomes an empty array."""
     col = F.col(f"`{name}`")
-    plain = F.filter(F.split(col, ","), lambda x: x != "")
     return F.coalesce(
-        F.when(col.startswith("["), F.from_json(col, "array<string>")).otherwise(plain),
+        F.when(col.startswith("["), F.from_json(col, "array<string>")),
+        F.filter(F.split(col, ","), lambda x: x != ""),
         F.array().cast("array<string>"),
     )
 
@@ -146,7 +151,7 @@ def typed_table(log: str, rows: DataFrame) -> DataFrame:
             F.get(text_list("tx_hosts"), F.lit(0)).alias("source_ip"),
             F.get(text_list("rx_hosts"), F.lit(0)).alias("dest_ip"),
             F.lit(False).alias("is_outbound"),
-            F.when(F.col("conn_uids").startswith("["), F.get(text_list("conn_uids"), F.lit(0)))
+            F.when(F.from_json("conn_uids", "array<string>").isNotNull(), F.get(text_list("conn_uids"), F.lit(0)))
             .otherwise(F.col("conn_uids")).alias("uid"),
             F.lit(None).cast("string").alias("preview"),
         )

@@ -36,6 +36,17 @@ def test_log_folders(spark, tmp_path):
     assert tables["smtp"].count() == 0
 
 
+def test_lists_follow_the_encoding_of_their_line(spark):
+    head = "#fields\tts\tquery\tanswers"
+    lines = [head, "1.0\ta\t[x],y", "2.0\tb\t-", "#fields\tanswers\tts", "p,q\t3.0",
+             '{"ts": 4, "query": "c", "answers": ["[u", "v"]}', '{"ts": 5, "id.resp_p": 53.0, "answers": "s,,t"}']
+    rows = [("c", "f", i, value) for i, value in enumerate(lines)] + [("c", "g", 0, "9.0\tno header\tz")]
+    frame = spark.createDataFrame(rows, "case_id string, file string, seq bigint, value string")
+    got = zeek.typed_table("dns", zeek.parse_log(frame, zeek.LOG_FIELDS["dns"])).orderBy("seq").collect()
+    assert [(r.ts, r.query, r.answers) for r in got] == [
+        (1.0, "a", ["[x]", "y"]), (2.0, "b", []), (3.0, "", ["p", "q"]), (4.0, "c", ["[u", "v"]), (5.0, "", ["s", "t"])]
+
+
 def test_feed_folder(spark, tmp_path):
     (tmp_path / "feodo_ipblocklist.csv").write_text(
         '# c\n"first_seen_utc","dst_ip","dst_port","s","l","malware"\n"2022","162.243.103.246","8080","o","l","Emotet"\n')
