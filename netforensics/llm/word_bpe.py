@@ -300,19 +300,23 @@ class WordBpe:
 
     def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
         words = list(words)
+        return dict(zip(words, self.encode_list(words), strict=True))
+
+    def encode_list(self, words: list[str]) -> list[list[int]]:
+        """Ids of each of these distinct words; lists may be shared."""
         if not words:
-            return {}
+            return []
         cut = self.cut(words)
         if len(self.known) > self.pieces_kept:
             self.known.clear()
         known = self.known
         new = list({p for p in chain.from_iterable(cut) if p.__class__ is bytes}.difference(known))
         known.update(zip(new, self.encode_pieces(new), strict=True))
-        return {
-            w: known[ps[0]] if len(ps) == 1 and ps[0].__class__ is bytes
+        return [
+            known[ps[0]] if len(ps) == 1 and ps[0].__class__ is bytes
             else [t for p in ps for t in (known[p] if p.__class__ is bytes else (p,))]
-            for w, ps in zip(words, cut, strict=True)
-        }
+            for ps in cut
+        ]
 
 
 class WordMemory(dict):
@@ -345,8 +349,8 @@ class WordMemory(dict):
             known = {w: self.older[w] for w in new if w in self.older}
             self.update(known)
             new.difference_update(known)
-        coded = self.coder.encode_words(new)
-        self.update(zip(coded, map(self.render, coded.values()), strict=True))
+        fresh = list(new)
+        self.update(zip(fresh, map(self.render, self.coder.encode_list(fresh)), strict=True))
 
 
 _MEMORIES: dict[tuple, WordMemory] = {}
