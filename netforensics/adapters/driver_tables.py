@@ -12,17 +12,9 @@ from pyspark.sql import functions as F
 Tables = dict[str, DataFrame]
 
 
-SMALL_TABLE_BYTES = 128 * 1024 * 1024
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. One that fits into a single input split has one row group and would be read
-    by one task, so it is spread over the cores; a larger one already comes in many splits."""
-    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if 1024 * 1024 < size < SMALL_TABLE_BYTES:
-        return table.repartition(spark.sparkContext.defaultParallelism)
-    return table
+    """A test table, in the splits that Spark's reader makes of it."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def address(key: str) -> str:

@@ -778,6 +778,11 @@ SQL["hash_chain"] = sql("chain", recursive=True, body="SELECT case_id, event_id,
 SQL["chain_verify"] = """WITH ev AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS pos FROM events),
 c AS (SELECT concat('user-', user_id) AS case_id, count(*) AS rows, min(pos) FILTER (user_id % 3 = 0 AND pos % 20 = 7) AS f FROM ev GROUP BY 1)
 SELECT case_id, rows, f IS NULL AS is_valid, coalesce(f, -1) AS first_broken FROM c"""
+SQL["chain_tamper"] = """WITH c AS (SELECT user_id, user_id % 6 AS way, count(*) AS n FROM events GROUP BY 1, 2),
+f AS (SELECT *, CASE WHEN way = 1 THEN 0 WHEN way = 2 AND n >= 8 THEN 7 WHEN way = 3 THEN n - 1 WHEN way = 4 AND n > 3 THEN 3
+    WHEN way = 5 AND n > 5 THEN 5 END AS first_bad FROM c)
+SELECT concat('user-', user_id) AS case_id, first_bad IS NULL AS is_valid, coalesce(first_bad, -1)::BIGINT AS first_broken,
+  (n + CASE WHEN way IN (1, 3) OR (way = 2 AND n >= 8) THEN -1 WHEN way = 4 AND n > 3 THEN 1 ELSE 0 END)::BIGINT AS rows FROM f"""
 SQL["chain_segments"] = """WITH RECURSIVE ev AS (
   SELECT concat('user-', user_id) AS case_id, concat(event_id, '|', event_type, '|', floor(value * 100)::BIGINT) AS txt,
     CASE WHEN user_id % 2 = 0 THEN sha256(user_id::VARCHAR) ELSE repeat('0', 64) END AS seed,
@@ -887,6 +892,25 @@ SQL["zeek_connections"] = sql("sess", body="""
 SELECT case_id, dst_ip, dst_port, count(*) AS n, sum(CASE WHEN orig_bytes % 7000 = 0 THEN 0 ELSE orig_bytes END)::BIGINT AS orig_bytes
 FROM sess GROUP BY 1, 2, 3""")
 
+SQL["zeek_dns"] = sql("dns", body="""
+SELECT case_id, seq, dst_ip, query, qtype, rcode, CASE seq % 3 WHEN 0 THEN concat('[x] ', qtype) WHEN 1 THEN dst_ip ELSE '' END AS answers FROM dns""")
+SQL["zeek_http"] = sql("phttp", body="""
+SELECT case_id, seq, dst_ip, (CASE WHEN seq % 11 = 0 THEN 80 ELSE dst_port END)::INT AS dst_port, method, nullif(host, '') AS host,
+  nullif(uri, '') AS uri, nullif(user_agent, '') AS user_agent, (CASE seq % 3 WHEN 0 THEN 404 WHEN 2 THEN 200 END)::INT AS status_code,
+  (CASE WHEN seq % 2 = 0 THEN seq ELSE 0 END)::BIGINT AS req_body_len, seq::BIGINT AS resp_body_len FROM phttp""")
+SQL["zeek_ftp"] = sql("oftp", body="""
+SELECT case_id, seq, src_ip, dst_ip, command, arg, (CASE WHEN seq % 2 = 0 THEN 226 END)::INT AS reply_code, uid FROM oftp""")
+SQL["zeek_smtp"] = """SELECT concat('case-', conv_id % 7) AS case_id, conv_id * 1000 + turn AS seq,
+  CASE WHEN conv_id % 8 <> 0 THEN concat('U', conv_id % 9, '@Example.com') END AS mail_from,
+  CASE WHEN conv_id % 16 = 0 THEN '' ELSE concat('u', turn % 9, '@example.com c', conv_id, '@drop.example') END AS rcpt_to,
+  concat('conversation ', conv_id, ' ', role) AS subject, CASE WHEN conv_id % 16 % 3 = 0 THEN 'F1 F2' ELSE '' END AS attachments
+FROM conversations"""
+SQL["zeek_files"] = """SELECT concat('case-', event_id % 7) AS case_id, event_id AS seq,
+  CASE WHEN event_id % 5 <> 0 THEN concat('item ', event_id) END AS filename, floor(value * 10)::BIGINT AS total_bytes,
+  sha256(event_id::VARCHAR) AS sha256, concat('10.0.0.', user_id) AS source_ip,
+  CASE WHEN event_id % 4 <> 0 THEN concat('198.51.100.', user_id) END AS dest_ip,
+  concat('C', event_id, CASE WHEN event_id % 7 % 2 = 0 THEN ',D' ELSE '' END) AS uid FROM events"""
+
 CTE["rawacc"] = """rawacc AS (SELECT concat('case-', event_id % 7) AS case_id, event_id AS seq, user_id, event_id % 9 AS m,
     strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso, epoch(date_trunc('second', ts)) AS sec,
     CASE user_id % 8 WHEN 0 THEN 'keystrokes' WHEN 1 THEN 'clipboard' WHEN 2 THEN 'bad_type' ELSE 'file_access' END AS data_type FROM events),

@@ -614,6 +614,19 @@ def chain_verify(spark, sf):
     return cu.verify_chain(edited)
 
 
+@query
+def chain_tamper(spark, sf):
+    """Sealed chains tampered in a way that depends on the user, verified against the stored record."""
+    chained = cu.hash_chain(_chain_rows(spark, sf), ["event_id"], seed="seed", segment_rows=16)
+    record = cu.seal_segments(chained).select("case_id", "rows", "seal")
+    way, place = F.substr("case_id", F.lit(6)).cast("bigint") % 6, F.col("chain_pos")
+    last = place == F.col("_rows") - 1
+    gone = ((way == 1) & (place == 0)) | ((way == 2) & (place == 7)) | ((way == 3) & last)
+    kept = chained.join(record.select("case_id", F.col("rows").alias("_rows")), "case_id").filter(~gone)
+    edited = kept.withColumn("row_text", F.when((way == 5) & (place == 5), "edited").otherwise(F.col("row_text")))
+    return cu.verify_chain(edited.unionByName(edited.filter((way == 4) & (place == 3))), record=record)
+
+
 @query
 def chain_segments(spark, sf):
     chained = cu.hash_chain(_chain_rows(spark, sf), ["event_id"], seed="seed", segment_rows=16)
@@ -773,7 +786,7 @@ def dga_score(spark, sf):
 def dga_training(spark, sf):
     """Train on page and document words against hashed names; metrics on both splits."""
     words = t.read(spark, sf, "documents").select(
-        F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{5,20})"), F.lit(1))).alias("name")
+        F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{5,})"), F.lit(1))).alias("name")
     )
     hashed = t.read(spark, sf, "events").select(F.substr(F.md5(F.col("event_id").cast("string")), F.lit(1), F.lit(16)).alias("name"))
     samples = dga.training_set((words, 0), (hashed, 1))
@@ -831,6 +844,79 @@ def zeek_connections(spark, sf):
     ).agg(F.count(F.lit(1)).alias("n"), F.sum("orig_bytes").alias("orig_bytes"))
 
 
+def _parsed_log(base, log, values):
+    """A typed log written as lines and read again: one file per case, odd cases in JSON, the others in TSV."""
+    base = base.withColumn("file", F.concat("case_id", F.lit(f"/{log}.log")))
+    is_json = F.substr("case_id", F.lit(6)).cast("int") % 2 == 1
+    tsv = F.concat_ws("\t", *[F.coalesce(F.nullif(F.concat_ws(",", v), F.lit("")), F.lit("-")) for v in values.values()])
+    as_json = F.to_json(F.struct(*[v.alias(n) for n, v in values.items()]))
+    body = base.select("case_id", "file", F.col("seq").cast("bigint").alias("seq"), F.when(is_json, as_json).otherwise(tsv).alias("value"))
+    head = base.filter(~is_json).select("case_id", "file").distinct().select(
+        "case_id", "file", F.lit(-1).cast("bigint").alias("seq"), F.lit("#fields\t" + "\t".join(values)).alias("value")
+    )
+    lines = body.unionByName(head).select(F.inline(F.array(F.struct("case_id", "file", "seq", "value"))))
+    return zeek.typed_table(log, zeek.parse_log(lines, zeek.LOG_FIELDS[log]))
+
+
+@query
+def zeek_dns(spark, sf):
+    answers = F.when(F.col("seq") % 3 == 0, F.array(F.lit("[x]"), "qtype")).when(F.col("seq") % 3 == 1, F.array("dst_ip"))
+    return _parsed_log(t.dns(spark, sf), "dns", {
+        "ts": F.col("ts").cast("string"), "id.orig_h": F.col("src_ip"), "id.resp_h": F.col("dst_ip"), "query": F.col("query"),
+        "qtype_name": F.col("qtype"), "rcode_name": F.col("rcode"), "answers": answers,
+    }).select("case_id", "seq", "dst_ip", "query", "qtype", "rcode", F.array_join("answers", " ").alias("answers"))
+
+
+@query
+def zeek_http(spark, sf):
+    return _parsed_log(t.page_http(spark, sf), "http", {
+        "id.resp_h": F.col("dst_ip"), "id.resp_p": F.when(F.col("seq") % 11 != 0, F.col("dst_port").cast("string")),
+        "method": F.col("method"), "host": F.col("host"), "uri": F.col("uri"), "user_agent": F.col("user_agent"),
+        "status_code": F.when(F.col("seq") % 3 == 0, "404").when(F.col("seq") % 3 == 1, "x").otherwise("200.0"),
+        "request_body_len": F.when(F.col("seq") % 2 == 0, F.col("seq").cast("string")),
+        "response_body_len": F.concat(F.col("seq").cast("string"), F.lit(".0")),
+    }).select("case_id", "seq", "dst_ip", "dst_port", "method", "host", "uri", "user_agent", "status_code", "req_body_len", "resp_body_len")
+
+
+@query
+def zeek_ftp(spark, sf):
+    return _parsed_log(t.order_ftp(spark, sf), "ftp", {
+        "uid": F.col("uid"), "id.orig_h": F.col("src_ip"), "id.resp_h": F.col("dst_ip"), "command": F.col("command"),
+        "arg": F.col("arg"), "reply_code": F.when(F.col("seq") % 2 == 0, "226"),
+    }).select("case_id", "seq", "src_ip", "dst_ip", "command", "arg", "reply_code", "uid")
+
+
+@query
+def zeek_smtp(spark, sf):
+    """One envelope per turn of every role."""
+    base = t.read(spark, sf, "conversations").selectExpr(
+        "concat('case-', conv_id % 7) AS case_id", "conv_id * 1000 + turn AS seq", "conv_id % 16 AS k",
+        "concat('U', conv_id % 9, '@Example.com') AS sender", "concat('conversation ', conv_id, ' ', role) AS subject",
+        "array(concat('u', turn % 9, '@example.com'), concat('c', conv_id, '@drop.example')) AS both",
+    )
+    return _parsed_log(base, "smtp", {
+        "mailfrom": F.when(F.col("k") % 8 != 0, F.col("sender")), "rcptto": F.when(F.col("k") != 0, F.col("both")),
+        "subject": F.col("subject"), "fuids": F.when(F.col("k") % 3 == 0, F.array(F.lit("F1"), F.lit("F2"))),
+    }).select(
+        "case_id", "seq", "mail_from", F.array_join("rcpt_to", " ").alias("rcpt_to"), "subject",
+        F.array_join("attachments", " ").alias("attachments"),
+    )
+
+
+@query
+def zeek_files(spark, sf):
+    base = t.read(spark, sf, "events").selectExpr(
+        "concat('case-', event_id % 7) AS case_id", "event_id AS seq", "concat('item ', event_id) AS filename",
+        "CAST(floor(value * 10) AS bigint) AS size", "concat('10.0.0.', user_id) AS sender", "concat('198.51.100.', user_id) AS receiver",
+        "sha2(CAST(event_id AS string), 256) AS digest", "array(concat('C', event_id), 'D') AS uids",
+    )
+    return _parsed_log(base, "files", {
+        "filename": F.when(F.col("seq") % 5 != 0, F.col("filename")), "total_bytes": F.col("size").cast("string"), "sha256": F.col("digest"),
+        "tx_hosts": F.array("sender", F.lit("192.0.2.1")), "rx_hosts": F.when(F.col("seq") % 4 != 0, F.array("receiver")),
+        "conn_uids": F.col("uids"),
+    }).select("case_id", "seq", "filename", "total_bytes", "sha256", "source_ip", "dest_ip", "uid")
+
+
 def _raw_access(spark, sf):
     return t.read(spark, sf, "events").selectExpr(
         "concat('case-', event_id % 7) AS case_id", "event_id AS seq",

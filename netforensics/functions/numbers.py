@@ -38,11 +38,21 @@ ZONE_PATTERN = r"([Zz]|[+-][0-9]{2}:?[0-9]{2}(:[0-9]{2})?)$"
 ISO_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?)?"
 
 
+def extended_iso(text: Column) -> Column:
+    """The extended form of an ISO text: basic dates and times get their separators, a decimal comma its point."""
+    out = F.regexp_replace(text, r"^([0-9]{4})([0-9]{2})([0-9]{2})(?=$|[T ])", "$1-$2-$3")
+    out = F.regexp_replace(out, r"^([^T ]{10}[T ][0-9]{2})([0-9]{2})([0-9]{2})(?![0-9:])", "$1:$2:$3")
+    out = F.regexp_replace(out, r"^([^T ]{10}[T ][0-9]{2})([0-9]{2})(?![0-9:])", "$1:$2")
+    return F.regexp_replace(out, r"(:[0-9]{2}:[0-9]{2}),([0-9])", "$1.$2")
+
+
 def parse_iso(text: Column, require_zone: bool = True) -> Column:
-    """Epoch seconds of an ISO-8601 text, NULL when malformed.
+    """Epoch seconds of an ISO-8601 text in extended or basic form, NULL when malformed.
 
-    A text without an offset is refused when `require_zone`, otherwise read as UTC.
+    A text without an offset is refused when `require_zone`, otherwise read as UTC. Week and
+    ordinal dates are not read.
     """
+    text = extended_iso(text)
     has_zone = text.rlike(ZONE_PATTERN)
     shape = text.rlike(ISO_PATTERN)
     seconds = F.unix_micros(F.try_to_timestamp(text)) / F.lit(1e6)

@@ -84,14 +84,20 @@ def split_training(samples: DataFrame, train_share: float = 0.85) -> tuple[DataF
 def train(samples: DataFrame, min_df: int = 20, max_features: int = 6000, l2: float = 1e-4, max_iter: int = 100):
     """Fit L2 logistic regression with Spark ML; returns (weights DataFrame, bias).
 
-    Only the weight table (at most max_features + 5 rows) comes to the driver.
+    The vocabulary is that of `build_vocabulary`. Only it and the weight table (at most
+    max_features + 5 rows each) come to the driver.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import CountVectorizer, Interaction, VectorAssembler
+    from pyspark.ml.feature import CountVectorizerModel, Interaction, VectorAssembler
 
     spark = samples.sparkSession
     low = F.col("name")
+    # At most max_features short texts, ranked by the number of names that hold them.
+    ranked = build_vocabulary(name_features(samples.select("name")), min_df, max_features)
+    grams = sorted(r.feature[len("ng:"):] for r in ranked.filter(F.col("feature").startswith("ng:")).collect())
+    if not grams:
+        raise ValueError("no n-gram occurs in min_df names")
     prepared = samples.select(
         F.col("label").cast("double").alias("label"), char_ngrams(low).alias("grams"),
         (F.lit(1.0) / F.size(char_ngrams(low))).alias("inverse"),
@@ -99,14 +105,14 @@ def train(samples: DataFrame, min_df: int = 20, max_features: int = 6000, l2: fl
     )
     scalars = [n.replace(":", "_") for n in SCALARS]
     stages = [
-        CountVectorizer(inputCol="grams", outputCol="counts", minDF=min_df, vocabSize=max_features),
+        CountVectorizerModel.from_vocabulary(grams, inputCol="grams", outputCol="counts"),
         Interaction(inputCols=["inverse", "counts"], outputCol="shares"),
         VectorAssembler(inputCols=["shares", *scalars], outputCol="features"),
         LogisticRegression(regParam=l2, elasticNetParam=0.0, standardization=False, maxIter=max_iter),
     ]
-    # Vocabulary and optimiser read the input many times; do not rebuild it from the sources.
+    # The optimiser reads the input many times; do not rebuild it from the sources.
     model = Pipeline(stages=stages).fit(reliable_checkpoint(prepared))
-    names = ["ng:" + g for g in model.stages[0].vocabulary] + SCALARS
+    names = ["ng:" + g for g in grams] + SCALARS
     fitted = model.stages[-1]
     rows = [(n, float(w)) for n, w in zip(names, fitted.coefficients.toArray())]
     return spark.createDataFrame(rows, "feature string, weight double"), float(fitted.intercept)
