@@ -249,3 +249,15 @@ def test_merkle_edits(docs, empty):
         assert row["fingerprint"] == marks[i]["fingerprint"] == merkle.fingerprint(own) and row["edited_fingerprint"] == merkle.fingerprint(new)
         assert (row["near_edited"] == 1.0) == (own == new) and (row["near_next"] == 1.0) == (own == following)
     assert merkle.edit_report(empty).count() == 0
+
+
+def test_long_texts_do_not_make_short_ones_forgotten(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_path())
+    # More distinct words than a worker remembers, in one slice, behind a text that is cut into chunks.
+    many = [" ".join(f"q{i:x}" for i in range(12_000))]
+    many += [" ".join(f"w{k:x}" for k in range(i, i + 6_000)) for i in range(0, 330_000, 6_000)]
+    docs = spark.createDataFrame(list(enumerate(many)), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs, tokenizer_path()).collect()}
+    assert got == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in enumerate(many)}
