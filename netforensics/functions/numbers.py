@@ -39,10 +39,10 @@ ISO_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][
 
 
 def extended_iso(text: Column) -> Column:
-    """The extended form of an ISO text: basic dates and times get their separators, a decimal comma its point."""
+    """The extended form of an ISO text: basic dates and times get their separators and seconds, a decimal comma its point."""
     out = F.regexp_replace(text, r"^([0-9]{4})([0-9]{2})([0-9]{2})(?=$|[T ])", "$1-$2-$3")
     out = F.regexp_replace(out, r"^([^T ]{10}[T ][0-9]{2})([0-9]{2})([0-9]{2})(?![0-9:])", "$1:$2:$3")
-    out = F.regexp_replace(out, r"^([^T ]{10}[T ][0-9]{2})([0-9]{2})(?![0-9:])", "$1:$2")
+    out = F.regexp_replace(out, r"^([^T ]{10}[T ][0-9]{2}):?([0-9]{2})(?![0-9:])", "$1:$2:00")
     return F.regexp_replace(out, r"(:[0-9]{2}:[0-9]{2}),([0-9])", "$1.$2")
 
 

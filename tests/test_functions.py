@@ -129,3 +129,14 @@ def test_object_label_elision(spark):
     got = one(spark, rules.object_label(F.lit(long)), rules.object_label(F.lit(" a \n b ")), rules.object_label(F.lit(" ")))
     assert len(got[0]) <= 160 and got[0].startswith("C:/") and got[0].endswith("Login Data") and "..." in got[0]
     assert got[1:] == ("a b", None)
+
+
+def test_iso_texts_in_basic_form(spark):
+    from netforensics.functions.numbers import parse_iso
+
+    texts = ["20241023T191530Z", "2024-10-23T19:15:30,5Z", "20241023T191530.5+0000", "20241023T1915Z", "2024-10-23T19:15:30+00:00",
+             "2024-10-23T19:15:30", "20241323T191530Z", "yesterday", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string").orderBy("i")
+    got = [r.v for r in rows.select(parse_iso(rows.s).alias("v")).collect()]
+    second = 1729710930.0
+    assert got == [second, second + 0.5, second + 0.5, second - 30, second, None, None, None, None]
