@@ -12,8 +12,12 @@ threshold or with sizes too unlike are dropped. What remains is confirmed on the
 Lists are not expanded into all their pairs. First every class proposes the one earlier member
 that agrees most; confirmed links give components. Then components that share a list propose
 their smallest members. At last only pairs of different components are listed, all of them, so
-that no link between components is lost. Long lists are dealt into blocks, and pairs of blocks
-for the last step, so that no list meets in one task.
+that no link between components is lost. Long lists are dealt into blocks in the first two steps.
+In the last one lists of up to HOT rows are compared as pairs of blocks. A longer list is not: it
+holds what shares a passage, and its members are posted anew under the rarest shingles of their
+full sets, for each pair of size bands as many as two sets of these sizes and the wanted
+similarity must have one in common of. The shingles of a passage that does not make two texts
+similar enough are not among them, so the work does not grow with the square of the list.
 
 Sets: distinct shingles of `width` words (A-Z lowered, words are runs of anything but blanks,
 tabs and line ends); fewer words: the whole sequence; no words or null: empty and linked with
@@ -22,6 +26,7 @@ nothing. The class id is its smallest key; keys must name one text each (repeate
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Iterator
 
@@ -40,6 +45,11 @@ from .components import components
 COORDINATES, MATCHES = 32, 12
 BYTES, BYTE_MATCHES = 128, 78  # at a similarity of 0.8 five standard deviations below the mean
 BLOCK = 500
+HOT = 4 * BLOCK  # rows of a list beyond which its members meet under shingles
+SLOTS = 1 << 22  # counters by which shingles are ordered from rare to common
+EDGES = [1]  # sizes at which the bands of sizes begin
+while EDGES[-1] < 1 << 40:
+    EDGES.append(max(EDGES[-1] + 1, EDGES[-1] * 21 // 20))
 BROADCAST_IDS = 1_000_000  # ids of 8 bytes; beyond it the join with the texts shuffles
 
 _numbers = np.random.default_rng(7)
@@ -167,6 +177,99 @@ def _best_pairs(posts: DataFrame) -> DataFrame:
 CELL = ["key", "block", "other"]
 
 
+def _heads(labelled: DataFrame) -> DataFrame:
+    """Smallest members of the components of each list, dealt into blocks."""
+    heads = labelled.groupBy("key", "comp").agg(F.min(F.struct("cid", "n", "marks")).alias("head"))
+    many = heads.groupBy("key").agg(F.count("*").alias("heads")).where("heads > 1").withColumnRenamed("key", "k")
+    block = F.pmod(F.xxhash64("head.cid"), F.ceil(F.col("heads") / BLOCK)).cast("int")
+    return heads.join(many, F.col("key") == F.col("k")).select("key", block.alias("block"), "comp", "head.cid", "head.n", "head.marks")
+
+
+def prefixes(found: np.ndarray, counts: np.ndarray, percent: int) -> list[tuple[np.ndarray, int]]:
+    """Posting keys of a set for each pair of size bands, ascending, and the side of the pair that it is on.
+
+    `counts` has 0 for shingles of one component only; they come first in the order and are not posted.
+
+    Sets of the sizes a and s that are similar enough share at least o = percent (a + s) / (100 + percent)
+    members, so the first shared one in any common order is among the first a - o + 1 of either.
+    """
+    size = len(found)
+    times = counts[(found % np.uint64(SLOTS)).astype(np.int64)]
+    order = np.lexsort((found, times))
+    ranked, alone = found[order], int((times == 0).sum())
+    own = bisect.bisect_right(EDGES, size) - 1
+    least, most = -(-percent * size // 100), 100 * size // percent
+    out = []
+    for band in range(bisect.bisect_right(EDGES, least) - 1, bisect.bisect_right(EDGES, most)):
+        shared = -(-percent * (size + max(EDGES[band], least)) // (100 + percent))
+        part = ranked[alone : max(0, size - shared + 1)]
+        keys = mixed(part, mixed(np.uint64([min(own, band) << 16 | max(own, band)]))).view(np.int64)
+        out.append((np.sort(keys), 2 if own == band else int(own > band)))
+    return out
+
+
+def _by_shingles(members: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """key, cid, n, marks, comp, posted: posts of `members` (cid, n, marks, comp) under the rarest shingles of their sets."""
+    sets = _sets(members.select(F.col("cid").alias("id")), docs, width)
+    of = members.select("cid", F.col("comp").alias("group"))
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("hashes")
+        counts, low, high = np.zeros(SLOTS, np.int64), np.full(SLOTS, np.iinfo(np.int64).max), np.full(SLOTS, np.iinfo(np.int64).min)
+        for batch in batches:
+            for data, group in zip(batch.column("members").to_pylist(), batch.column("group").to_pylist(), strict=True):
+                slots = np.unique((np.frombuffer(data, np.uint64) % np.uint64(SLOTS)).astype(np.int64))
+                counts[slots] += 1
+                low[slots], high[slots] = np.minimum(low[slots], group), np.maximum(high[slots], group)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(x[at]) for x in (counts, low, high))], ["slot", "times", "low", "high"])
+
+    # SLOTS numbers at most. Whatever they are, they give one order to all sets; a slot of one component has no link between two.
+    joined = sets.join(of, F.col("id") == F.col("cid")).select("members", "group")
+    tallied = joined.mapInArrow(tally, "slot int, times long, low long, high long").groupBy("slot")
+    table = tallied.agg(F.sum("times").alias("times"), F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("slot", "times").toArrow()
+    counts = np.zeros(SLOTS, np.int64)
+    counts[table.column("slot").to_numpy()] = table.column("times").to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cid, data in zip(batch.column("id").to_pylist(), batch.column("members").to_pylist(), strict=True):
+                for keys, side in prefixes(np.frombuffer(data, np.uint64), shared.value, percent):
+                    if len(keys):
+                        some = pa.array([keys[:COORDINATES]] * len(keys), pa.list_(pa.int64()))
+                        columns = [pa.array(keys), pa.array(np.full(len(keys), side, np.int32)), pa.array(np.full(len(keys), cid)), some]
+                        yield pa.RecordBatch.from_arrays(columns, ["key", "half", "c", "posted"])
+
+    posts = reliable_checkpoint(sets.mapInArrow(post, "key long, half int, c long, posted array<long>"))
+    # Of a pair of bands both must be there.
+    several = posts.groupBy("key").agg(F.min("half").alias("lo"), F.max("half").alias("hi"), F.count("*").alias("rows"))
+    several = several.where("rows > 1 and (lo <> hi or lo = 2)").select(F.col("key").alias("k"))
+    posts = posts.join(several, F.col("key") == F.col("k")).select("key", "c", "posted")
+    return posts.join(members, F.col("c") == F.col("cid")).select("key", *POSTS, "posted")
+
+
+def _cells(posts: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Rows of the lists with different components, once for each pair of blocks that they belong to."""
+
+    def mixed_lists(posts: DataFrame) -> DataFrame:
+        lists = posts.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("length"))
+        return lists.where("lo <> hi").select(F.col("key").alias("k"), "length")
+
+    lists = reliable_checkpoint(mixed_lists(posts))
+    rows = posts.join(lists.where(F.col("length") <= HOT), F.col("key") == F.col("k")).drop("k")
+    hot = lists.where(F.col("length") > HOT).select("k")
+    if not hot.isEmpty():
+        members = posts.join(hot, F.col("key") == F.col("k"), "left_semi").groupBy("cid").agg(*(F.min(c).alias(c) for c in ("n", "marks", "comp")))
+        anew = reliable_checkpoint(_by_shingles(reliable_checkpoint(members), docs, width, percent))
+        anew = anew.join(mixed_lists(anew), F.col("key") == F.col("k")).drop("k")
+        rows = rows.unionByName(anew)
+    blocks = F.ceil(F.col("length") / BLOCK).cast("int")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("cid"), blocks).cast("int")).withColumn("meets", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    block, other, side = F.least("own", "meets"), F.greatest("own", "meets"), (F.col("own") <= F.col("meets")).cast("int")
+    return rows.select("key", block.alias("block"), other.alias("other"), side.alias("side"), *POSTS, "posted")
+
+
 def _cross_links(posts: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between different components: every pair of a list that agrees often enough is compared on the full sets.
 
@@ -174,13 +277,7 @@ def _cross_links(posts: DataFrame, docs: DataFrame, width: int, percent: int) ->
     candidate at all; only they get their sets. Of the confirmed links of a pair of blocks a
     spanning forest is returned, so neither pass has a row for each pair.
     """
-    mixed_lists = posts.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("length"))
-    mixed_lists = mixed_lists.where("lo <> hi").select(F.col("key").alias("k"), "length")
-    rows = posts.join(mixed_lists, F.col("key") == F.col("k")).drop("k")
-    blocks = F.ceil(F.col("length") / BLOCK).cast("int")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("cid"), blocks).cast("int")).withColumn("meets", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    block, other, side = F.least("own", "meets"), F.greatest("own", "meets"), (F.col("own") <= F.col("meets")).cast("int")
-    rows = rows.select("key", block.alias("block"), other.alias("other"), side.alias("side"), *POSTS, "posted")
+    rows = _cells(posts, docs, width, percent)
 
     def wanted(comp: np.ndarray, side: np.ndarray, i: int) -> np.ndarray:
         """Earlier members of other components; of the other block if the cell has two."""
@@ -200,7 +297,7 @@ def _cross_links(posts: DataFrame, docs: DataFrame, width: int, percent: int) ->
                     if close.any():  # a pair that shares several lists is compared in the first of them only
                         at = np.flatnonzero(close)
                         shared = np.where(np.isin(lists[at], posted[i]), lists[at], np.iinfo(np.int64).max)
-                        close[at] = shared.min(axis=1) == cell[0]
+                        close[at] = shared.min(axis=1) >= cell[0]  # rows name their first lists, maybe not this one
                     hit[:i] |= close
                     hit[i] |= close.any()
             at = np.flatnonzero(hit)
@@ -310,10 +407,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         parts = components(found)
         return posts.join(parts, F.col("cid") == F.col("id"), "left").withColumn("comp", F.coalesce("component", "cid")).drop("id", "component")
 
-    # Smallest members of the components of a list.
-    heads = labelled(links).groupBy("key", "comp").agg(F.min(F.struct("cid", "n", "marks")).alias("head"))
-    heads = heads.select("key", F.lit(0).alias("block"), "comp", "head.cid", "head.n", "head.marks")
-    links = reliable_checkpoint(links.unionByName(_confirmed(_best_pairs(heads), source, width, percent)))
+    links = reliable_checkpoint(links.unionByName(_confirmed(_best_pairs(_heads(labelled(links))), source, width, percent)))
     links = links.unionByName(_cross_links(labelled(links).drop("length"), source, width, percent))
     parts = components(links)
     of_class = classes.join(parts, F.col("cid") == F.col("id"), "left").select("cls", F.coalesce("component", "cid").alias("component"))

@@ -261,3 +261,40 @@ def test_long_texts_do_not_make_short_ones_forgotten(spark):
     docs = spark.createDataFrame(list(enumerate(many)), "doc_id long, text string").coalesce(1)
     got = {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs, tokenizer_path()).collect()}
     assert got == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in enumerate(many)}
+
+
+def test_a_hot_list_of_unlike_texts_does_not_grow_with_its_square(spark, monkeypatch):
+    monkeypatch.setattr(minhash_join, "BLOCK", 10)
+    monkeypatch.setattr(minhash_join, "HOT", 40)
+    rnd = random.Random(5)
+    passage = [f"p{i}" for i in range(60)]
+    texts = [passage + [f"d{k}w{i}" for i in range(rnd.randint(35, 55))] for k in range(300)]
+    texts += [[*t[:-5], *(f"x{i}" for i in range(5))] for t in texts[:20]]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {k: set(minhash_join.shingles(t, 4).tolist()) for k, t in rows}
+    marks = {k: minhash_join.signature(minhash_join.shingles(t, 4))[1].tobytes() for k, t in rows}
+    posts = spark.createDataFrame(
+        [(7, k, len(sets[k]), marks[k], k, [7]) for k in sets], "key long, cid long, n long, marks binary, comp long, posted array<long>"
+    )
+    source = docs.withColumnRenamed("doc_id", "key")
+    links = {(r["a"], r["b"]) for r in minhash_join._cross_links(posts, source, 4, 80).collect()}
+    pairs = [(a, b) for a in sets for b in sets if b < a]
+    assert links == {(a, b) for a, b in pairs if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8} and len(links) == 20
+    cells = minhash_join._cells(posts, source, 4, 80)
+    assert cells.groupBy("key", "block", "other").count().agg({"count": "max"}).first()[0] <= 40  # the passage makes no cell
+    heads = minhash_join._heads(posts)
+    assert heads.count() == len(rows) and heads.groupBy("key", "block").count().agg({"count": "max"}).first()[0] <= 40
+
+
+def test_prefixes_of_like_sets_meet():
+    rnd = np.random.default_rng(3)
+    counts = rnd.integers(1, 9, minhash_join.SLOTS)
+    for _ in range(300):
+        size = int(rnd.integers(1, 150))
+        base = rnd.integers(0, 1 << 63, size + 40, dtype=np.uint64)
+        a, b = np.unique(base[:size]), np.unique(base[int(rnd.integers(0, size // 9 + 1)) : size + int(rnd.integers(0, size // 9 + 1))])
+        both = len(np.intersect1d(a, b))
+        if 100 * both >= 80 * (len(a) + len(b) - both):
+            met = [{(k, side) for keys, side in minhash_join.prefixes(s, counts, 80) for k in keys.tolist()} for s in (a, b)]
+            assert any((k, 2 if h == 2 else 1 - h) in met[1] for k, h in met[0])
