@@ -171,8 +171,16 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, float]], epochs: int = 8, batch
     return weights, bias
 
 
+def drawn(docs: DataFrame, sample: int) -> DataFrame:
+    """`sample` distinct texts, or all if there are fewer: those of the smallest hashes. Equal texts count once."""
+    hashed = docs.where(F.length("text") > 0).select(F.xxhash64("text").alias("hash"))
+    least = hashed.distinct().orderBy("hash").limit(sample)
+    found = docs.where(F.length("text") > 0).join(F.broadcast(least), F.xxhash64("text") == F.col("hash"), "left_semi")
+    return found.groupBy(F.xxhash64("text").alias("hash")).agg(F.min("text").alias("text")).select("text")
+
+
 def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> tuple[np.ndarray, float, dict]:
-    """Weights, intercept and the labeller model. All documents are voted on; about `sample` fit the scorer."""
+    """Weights, intercept and the labeller model. All documents are voted on; `sample` distinct texts fit the scorer."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only("quality")
@@ -184,8 +192,6 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> tuple[np
     voted = source.mapInArrow(vote, "pattern int, n int").groupBy("pattern").agg(F.sum("n").alias("n"))
     counts = {r["pattern"]: r["n"] for r in voted.collect()}
     posterior, model = estimate(counts)
-    total = sum(counts.values())
-    share = min(1.0, sample / max(1, total))
 
     def shape(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -200,11 +206,9 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> tuple[np
             )
 
     schema = StructType([StructField("pattern", IntegerType()), StructField("at", BinaryType()), StructField("value", BinaryType())])
-    # Equal texts fall in or out of the sample together and count once.
-    drawn = source.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1).where(F.length("text") > 0)
     rows = [
         (np.frombuffer(r["at"], np.uint16).astype(np.int64), np.frombuffer(r["value"], np.float32).astype(float), posterior[r["pattern"]])
-        for r in drawn.mapInArrow(shape, schema).collect()
+        for r in drawn(source, sample).mapInArrow(shape, schema).collect()
     ]
     weights, bias = fit(rows)
     return weights, bias, model

@@ -298,3 +298,11 @@ def test_prefixes_of_like_sets_meet():
         if 100 * both >= 80 * (len(a) + len(b) - both):
             met = [{(k, side) for keys, side in minhash_join.prefixes(s, counts, 80) for k in keys.tolist()} for s in (a, b)]
             assert any((k, 2 if h == 2 else 1 - h) in met[1] for k, h in met[0])
+
+
+def test_weak_classifier_draws_distinct_texts(spark):
+    rows = [(i, "same text again") for i in range(500)] + [(1000 + i, f"text number {i} of some") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for sample in (5, 40, 100):
+        drawn = [r["text"] for r in weak_quality.drawn(docs, sample).collect()]
+        assert len(drawn) == len(set(drawn)) == min(sample, 41)
