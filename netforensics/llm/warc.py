@@ -10,8 +10,9 @@ one that is comes from an aggregate of digests, so no group of copies meets in o
 
 Archives are gzip with one member per record. A task writes its archive under a name of its own
 and only names it in its result once it is complete, so what a lost or repeated attempt left
-behind is never read. Null payloads count as empty; rows with a null key get no archive record
-identifier of their own and are refused, since the identifiers are made from the keys.
+behind is never read. Null payloads count as empty. The identifiers are made from the keys;
+rows with a null key get theirs from their digest and place (partition and row) and come back with
+an empty capture-key. They are written whole, and no revisit refers to them.
 """
 
 from __future__ import annotations
@@ -74,10 +75,11 @@ def _record(headers: list[tuple[str, str]], body: bytes) -> bytes:
     return gzip.compress(b"WARC/1.1\r\n" + head.encode() + b"\r\n" + body + b"\r\n\r\n", compresslevel=1, mtime=0)
 
 
-def _capture(key: object, uri: str, date: str, payload: bytes, digest: str, size: int, refers_to: object) -> bytes:
+def _capture(key: object, uri: str, date: str, payload: bytes, digest: str, size: int, refers_to: object, place: int) -> bytes:
     """The three records of a capture."""
     uri = "".join((uri or "").split())
-    own = record_id(key, "response")
+    name = f"null:{digest}:{place}" if key is None else key
+    own = record_id(name, "response")
     common = [("WARC-Date", date)] + ([("WARC-Target-URI", uri)] if uri else [])
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     kind = "response" if refers_to is None else "revisit"
@@ -92,9 +94,9 @@ def _capture(key: object, uri: str, date: str, payload: bytes, digest: str, size
         headers += [("WARC-Refers-To", record_id(refers_to, "response")), ("WARC-Profile", PROFILE)]
     asked = f"GET {uri or '/'} HTTP/1.1\r\n\r\n".encode()
     joined = ("WARC-Concurrent-To", own)
-    request = [("WARC-Type", "request"), ("WARC-Record-ID", record_id(key, "request")), *common, joined, ("Content-Type", "application/http; msgtype=request")]
-    notes = f"capture-key: {key}\r\nrefers-to-key: {'' if refers_to is None else refers_to}\r\n".encode()
-    metadata = [("WARC-Type", "metadata"), ("WARC-Record-ID", record_id(key, "metadata")), *common, joined, ("Content-Type", "application/warc-fields")]
+    request = [("WARC-Type", "request"), ("WARC-Record-ID", record_id(name, "request")), *common, joined, ("Content-Type", "application/http; msgtype=request")]
+    notes = f"capture-key: {'' if key is None else key}\r\nrefers-to-key: {'' if refers_to is None else refers_to}\r\n".encode()
+    metadata = [("WARC-Type", "metadata"), ("WARC-Record-ID", record_id(name, "metadata")), *common, joined, ("Content-Type", "application/warc-fields")]
     return _record(headers, http + (payload if refers_to is None else b"")) + _record(request, asked) + _record(metadata, notes)
 
 
@@ -110,6 +112,7 @@ def write(captures: DataFrame, folder: str, key: str, uri: str, payload: str, da
         "payload_digest",
         "payload_bytes",
         "refers_to",
+        F.monotonically_increasing_id().alias("place"),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,9 +128,7 @@ def write(captures: DataFrame, folder: str, key: str, uri: str, payload: str, da
 
         for batch in slices(batches, "payload"):
             for row in batch.to_pylist():
-                if row["key"] is None:
-                    raise ValueError("a capture needs a key")
-                data = _capture(row["key"], row["uri"], date, row["payload"] or b"", row["payload_digest"], row["payload_bytes"], row["refers_to"])
+                data = _capture(row["key"], row["uri"], date, row["payload"] or b"", row["payload_digest"], row["payload_bytes"], row["refers_to"], row["place"])
                 if out is None:
                     path = f"{base}/{uuid.uuid4().hex}.warc.gz"
                     out = [system.open_output_stream(path, compression=None), path, 0, 0]

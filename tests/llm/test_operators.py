@@ -300,6 +300,18 @@ def test_prefixes_of_like_sets_meet():
             assert any((k, 2 if h == 2 else 1 - h) in met[1] for k, h in met[0])
 
 
+def test_warc_null_keys_come_back(spark, tmp_path):
+    schema = "page_id long, url string, html string"
+    pages = spark.createDataFrame([(None, "http://a", "x" * 200), (1, "http://b", "x" * 200), (None, None, None), (None, "http://a", "x" * 200), (2, "http://c", "y")], schema)
+    captures = warc.with_revisits(pages, "page_id", "html")
+    paths = warc.write(captures, str(tmp_path / "warc"), "page_id", "url", "html")
+    rows = warc.read(spark.createDataFrame(paths.collect(), "path string, records long, bytes long"), with_payload=False)
+    ids = [r["record_id"] for r in rows.where("kind <> 'warcinfo'").collect()]
+    assert len(ids) == len(set(ids)) == 15
+    back = warc.transactions(rows).select(warc.note("metadata", "capture-key").cast("long").alias("k"), "response.payload_bytes", "response.kind").collect()
+    assert sorted(map(tuple, back), key=repr) == sorted([(None, 200, "response"), (None, 200, "response"), (1, 200, "response"), (None, 0, "response"), (2, 1, "response")], key=repr)
+
+
 def test_weak_classifier_draws_distinct_texts(spark):
     rows = [(i, "same text again") for i in range(500)] + [(1000 + i, f"text number {i} of some") for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
