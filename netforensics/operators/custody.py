@@ -14,8 +14,6 @@ from netforensics.session import reliable_checkpoint
 from netforensics.sources.lines import case_from_path
 from netforensics.vocab import GENESIS
 
-SEGMENT_ROWS = 100_000
-
 
 def canonical_json(columns: Sequence[str]) -> Column:
     """Row text with sorted names and explicit NULLs."""
@@ -67,19 +65,19 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def hash_chain(
     rows: DataFrame, order: Sequence[str], text: str = "row_text", seed: str | None = None,
-    segment_rows: int = SEGMENT_ROWS,
+    segment_rows: int | None = None,
 ) -> DataFrame:
     """Add chain_pos and evidence_hash with h(i) = sha256(h(i-1) + row text) per case.
 
-    A chain is serial by definition. To keep one huge case out of a single task it is cut into
-    segments of `segment_rows`, each a chain of its own from a seed derived from the case seed;
-    `seal_segments` binds them. A case of up to `segment_rows` rows is one plain chain. Within a
-    segment rows stream through the task in order; nothing is collected.
+    A chain is serial by definition: a case of any size is one plain chain, whose rows stream through
+    a task in order; nothing is collected. Only a caller that passes `segment_rows` has cases cut into
+    segments of so many rows, each a chain of its own from a seed derived from the case seed and
+    named in its rows (`chain_segment`); `seal_segments` binds them.
     """
     base = rows.withColumn("row_text", F.col(text)) if text != "row_text" else rows
     base = base.withColumn("_seed", F.coalesce(F.col(seed), F.lit(GENESIS)) if seed else F.lit(GENESIS))
     placed = chain_positions(base, order)
-    segment = F.floor(F.col("chain_pos") / segment_rows)
+    segment = F.floor(F.col("chain_pos") / segment_rows) if segment_rows else F.lit(0).cast("bigint")
     ready = (
         placed.withColumn("chain_segment", segment)
         .withColumn("_start", segment_seed(F.col("_seed"), F.col("chain_segment")))
@@ -117,7 +115,7 @@ def verify_chain(
     The predecessor comes from an equi join on (case, position), so a long chain is no hot key.
     `first_broken` is -1 for a valid chain.
     """
-    segment = F.floor(F.col("chain_pos") / (segment_rows or SEGMENT_ROWS))
+    segment = F.floor(F.col("chain_pos") / segment_rows) if segment_rows else F.lit(0).cast("bigint")
     segment = F.col("chain_segment") if "chain_segment" in chained.columns else segment
     shown = F.col("row_text") if text is None else text
     needed = chained.select(

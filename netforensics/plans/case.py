@@ -15,6 +15,7 @@ from netforensics.operators.connections import (
     infrastructure, scope_case, scope_rules, simulated_scope, to_connections,
 )
 from netforensics.operators.correlate import apply_veto, correlate_best
+from netforensics.operators.custody import seal_segments
 from netforensics.operators.dga import detect_dga_ml
 from netforensics.operators.dns import detect_dga, detect_dns_tunneling, detect_resolved_destinations
 from netforensics.operators.emit import emit_events, event_rows, event_table, ioc_rows
@@ -321,6 +322,7 @@ def analyse(case: dict[str, DataFrame], ctx: Context) -> dict[str, DataFrame]:
         )
         chained = ctx.stage(chained)
         out["chained_events"] = chained
+        out["seals"] = seal_segments(chained)
         out["events"] = event_table(chained)
         out["iocs"] = ioc_rows(chained)
     return out

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from netforensics import schemas
 from netforensics.operators import custody as cu, emit as em
 from netforensics.plans.case import Context, analyse
@@ -104,3 +106,10 @@ def test_reports(result):
     assert actors == {"host", "network", "static"}
     fams = {(r.family, r.confidence) for r in result["families"].collect()}
     assert ("Cobalt Strike", "likely") in fams and ("AgentTesla", "possible") in fams
+
+
+def test_events_come_with_their_seal(result):
+    chained, record = result["chained_events"], result["seals"]
+    assert [r.rows for r in record.collect()] == [result["events"].count()]
+    last = chained.agg(F.max("chain_pos")).first()[0]
+    assert [r.is_valid for r in cu.verify_chain(chained.where(F.col("chain_pos") < last), record=record).collect()] == [False]

@@ -77,3 +77,11 @@ def test_removed_repeated_swapped_and_edited_rows_are_found(spark):
         assert (report.is_valid, report.first_broken) == (place < 0, place), name
     gone = cu.verify_chain(got.filter("false"), text=text, record=record).first()
     assert (gone.rows, gone.is_valid, gone.first_broken) == (0, False, 0)
+
+
+def test_a_long_case_is_one_plain_chain(spark):
+    texts = [f"row {i}" for i in range(100_003)]
+    long = spark.range(100_003).select(F.lit("c").alias("case_id"), F.col("id").alias("n"), F.concat(F.lit("row "), "id").alias("row_text"))
+    got = cu.hash_chain(long, ["n"])
+    assert [r.evidence_hash for r in got.where("chain_pos >= 99999").orderBy("chain_pos").collect()] == chain(texts)[99_999:]
+    assert [r.segments for r in cu.seal_segments(got).collect()] == [1]
