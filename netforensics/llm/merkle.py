@@ -210,6 +210,6 @@ def edit_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     ends = found.where("place <> 'inner'").select("key", "place", "loose")
     # In key order; within one key a head stands before the tail of the same range.
     sequence = [F.col("key").desc_nulls_last(), F.col("loose").desc(), F.when(F.col("place") == "head", 0).otherwise(1)]
-    joined = ends.coalesce(1).sortWithinPartitions(*sequence).mapInArrow(join_ends, StructType([f for f in report if f.name not in ("place", "loose")]))
+    joined = ends.repartition(1).sortWithinPartitions(*sequence).mapInArrow(join_ends, StructType([f for f in report if f.name not in ("place", "loose")]))
     inner = found.where("place = 'inner'").select("key", *FIELDS)
     return inner.unionByName(joined).withColumnRenamed("key", key)

@@ -318,3 +318,8 @@ def test_weak_classifier_draws_distinct_texts(spark):
     for sample in (5, 40, 100):
         drawn = [r["text"] for r in weak_quality.drawn(docs, sample).collect()]
         assert len(drawn) == len(set(drawn)) == min(sample, 41)
+
+
+def test_merkle_ends_are_filtered_before_they_meet(docs):
+    plan = merkle.edit_report(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce 1" not in plan
