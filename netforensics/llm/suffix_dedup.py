@@ -6,13 +6,17 @@ with a smaller key, or earlier in the same one. The suffixes are never sorted as
 1. Every string of `length` bytes has an anchor, the least hash of the grams inside it. Equal
    strings have equal anchors, so runs of neighbouring strings with one anchor (segments) are dealt
    to buckets by it. An anchor that occurs once can't belong to a repeat. Equal segments
-   are recognised by their hash and all but the first are settled at once.
+   are recognised by their hash and all but the first are settled at once, in the task that reads
+   them and then among the tasks.
 2. Different segments with one anchor may still overlap in whole strings. Their bytes are
    fetched, and each bucket builds the suffix order of its collection column by column: round t
    inserts the suffixes of length t of all segments at once, one symbol for each, at the rows that
    the Burrows-Wheeler transform of the round before gives for them, and updates the common
    prefixes of neighbouring rows with range minima. Each round is a sequential pass over the arrays
    of the bucket; the buckets are the files of a Spark exchange.
+   An anchor with more than HOT different segments (a line with many neighbours) is not built in
+   one collection: its strings are dealt by anchor and hash of the whole string, and equal ones
+   are recognised by it, as equal segments are.
 3. Rows in a common prefix of `length` bytes are equal strings; all but the first are settled.
 4. The settled strings of each document are merged to spans and cut out.
 
@@ -41,6 +45,7 @@ GRAM = 32
 STRETCH = 1 << 17  # bytes that are hashed at once
 PENDING = 600_000  # segments that a task gathers before it sends them
 BATCH = 1_000  # segments of one construction, more only for one anchor
+HOT = 20_000  # different segments of an anchor beyond which its strings are dealt by their hashes
 BROADCAST_IDS = 1_000_000
 SELF = 1 << 31  # mark in the number of strings: the anchor occurs twice in the segment
 SEGMENTS, SETTLED, ASKED, CONTENTS = 0, 1, 2, 3
@@ -223,6 +228,28 @@ def repeated(keys: np.ndarray, starts: np.ndarray, ends: np.ndarray, symbols: np
     return key[again], at[again]
 
 
+def _first_of_equal(anchor: np.ndarray, content: np.ndarray, key: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Order by anchor, content and place, which entries of it are the first of equal ones, and which start later."""
+    order = np.lexsort((start, key, content, anchor))
+    anchor, content, key, start = (x[order] for x in (anchor, content, key, start))
+    head = np.r_[True, (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])]
+    which = np.cumsum(head) - 1
+    return order, head, (key != key[head][which]) | (start != start[head][which])
+
+
+def strings_of(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Segment, place in it and hash of every string of the segments laid end to end."""
+    POWERS.to(len(data) + 1)
+    with np.errstate(over="ignore"):
+        sums = np.cumsum(np.r_[np.uint64(0), (data.astype(np.uint64) + np.uint64(1)) * POWERS.up[: len(data)]])
+        begin = np.r_[0, ends[:-1]]
+        counts = ends - begin - length + 1
+        which = np.repeat(np.arange(len(ends)), counts)
+        place = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
+        at = begin[which] + place
+        return which, place, mixed((sums[at + length] - sums[at]) * POWERS.down[at], np.uint64(length))
+
+
 def _spans(key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Neighbouring strings of a document as spans."""
     order = np.lexsort((at, key))
@@ -289,37 +316,56 @@ def settled_strings(docs: DataFrame, length: int = 100) -> DataFrame:
             yield from send(held)
 
     def send(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        arrays = [np.concatenate(x) for x in zip(*held, strict=True)]
-        yield from dealt(SEGMENTS, key_bucket(arrays[0], buckets), *arrays)
+        yield from combined(*(np.concatenate(x) for x in zip(*held, strict=True)), by_content=False)
+
+    def combined(anchor, content, key, start, strings, by_content: bool) -> Iterator[pa.RecordBatch]:
+        """The first of equal segments is sent, the later ones are settled."""
+        order, head, again = _first_of_equal(anchor, content, key, start)
+        anchor, content, key, start, strings = (x[order] for x in (anchor, content, key, start, strings))
+        if again.any():
+            yield from settled(key[again], start[again], strings[again] & (SELF - 1))
+        rest = [x[head] for x in (anchor, content, key, start, strings)]
+        yield from dealt(SEGMENTS, key_bucket(mixed(rest[0], rest[1]) if by_content else rest[0], buckets), *rest)
+
+    def settled(key: np.ndarray, start: np.ndarray, strings: np.ndarray) -> Iterator[pa.RecordBatch]:
+        yield from dealt(SETTLED, key_bucket(key.astype(np.uint64), buckets), key, start, strings)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, parts in by_bucket(batches, {SEGMENTS: SEGMENT}):
+        for _, parts in by_bucket(batches, {SEGMENTS: SEGMENT, SETTLED: SPAN}):
+            if SETTLED in parts:
+                yield from settled(*parts[SETTLED])
+            if SEGMENTS not in parts:
+                continue
             anchor, content, key, start, strings = parts[SEGMENTS]
             _, which, times = np.unique(anchor, return_inverse=True, return_counts=True)
             twice = (times[which] > 1) | (strings >= SELF)
             anchor, content, key, start, strings = (x[twice] for x in (anchor, content, key, start, strings))
             if not len(anchor):
                 continue
-            order = np.lexsort((start, key, content, anchor))
-            anchor, content, key, start, strings = (x[order] for x in (anchor, content, key, start, strings))
-            head = np.r_[True, (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])]
-            which = np.cumsum(head) - 1
-            again = (key != key[head][which]) | (start != start[head][which])
+            order, head, again = _first_of_equal(anchor, content, key, start)
+            anchor, key, start, strings = (x[order] for x in (anchor, key, start, strings))
             if again.any():
-                yield from dealt(SETTLED, key_bucket(key[again].astype(np.uint64), buckets), key[again], start[again], strings[again] & (SELF - 1))
+                yield from settled(key[again], start[again], strings[again] & (SELF - 1))
             anchor, key, start, strings = anchor[head], key[head], start[head], strings[head]
             _, which, times = np.unique(anchor, return_inverse=True, return_counts=True)
             several = (times[which] > 1) | (strings >= SELF)
             if several.any():
-                yield from dealt(ASKED, key_bucket(key[several].astype(np.uint64), buckets), key[several], start[several], strings[several] & (SELF - 1), anchor[several])
+                hot = np.where(times[which] > HOT, SELF, 0).astype("<u4")
+                strings = (strings & (SELF - 1)) | hot
+                yield from dealt(ASKED, key_bucket(key[several].astype(np.uint64), buckets), key[several], start[several], strings[several].astype("<u4"), anchor[several])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows = []
+            rows, hot = [], []
             for key, text, asked in zip(batch.column("key").to_pylist(), texts(batch), batch.column("asked").to_pylist(), strict=True):
                 data = text.encode()
                 for start, strings, anchor in np.frombuffer(asked, "<u4,<u4,<u8").tolist():
-                    rows.append((anchor, key, start, data[start : start + strings + length - 1]))
+                    (hot if strings & SELF else rows).append((anchor, key, start, data[start : start + (strings & (SELF - 1)) + length - 1]))
+            for at in range(0, len(hot), 5_000):
+                anchor, key, start, content = zip(*hot[at : at + 5_000], strict=True)
+                which, place, hashes = strings_of(np.frombuffer(b"".join(content), np.uint8), np.cumsum([len(c) for c in content]), length)
+                starts = (np.array(start, np.int64)[which] + place).astype("<u4")
+                yield from combined(np.array(anchor, np.uint64)[which], hashes, np.array(key, np.int64)[which], starts, np.ones(len(which), "<u4"), by_content=True)
             if rows:
                 anchor, key, start, content = zip(*rows, strict=True)
                 anchors = np.array(anchor, np.uint64)
@@ -331,7 +377,17 @@ def settled_strings(docs: DataFrame, length: int = 100) -> DataFrame:
                     yield blob(CONTENTS, number, data)
 
     def construct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, parts in by_bucket(batches, {}, (CONTENTS,)):
+        for _, parts in by_bucket(batches, {SEGMENTS: SEGMENT, SETTLED: SPAN}, (CONTENTS,)):
+            if SETTLED in parts:
+                yield from settled(*parts[SETTLED])
+            if SEGMENTS in parts:
+                anchor, content, key, start, _ = parts[SEGMENTS]
+                order, _, again = _first_of_equal(anchor, content, key, start)
+                if again.any():
+                    keys, at, strings = _spans(key[order][again], start[order][again].astype(np.int64))
+                    yield from settled(keys, at.astype("<u4"), strings.astype("<u4"))
+            if CONTENTS not in parts:
+                continue
             heads, bodies = [], []
             for data in parts[CONTENTS]:
                 n = int.from_bytes(data[:8], "little")

@@ -323,3 +323,31 @@ def test_weak_classifier_draws_distinct_texts(spark):
 def test_merkle_ends_are_filtered_before_they_meet(docs):
     plan = merkle.edit_report(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Coalesce 1" not in plan
+
+
+def test_an_anchor_with_many_neighbours_is_not_one_collection(spark, monkeypatch):
+    whole = suffix_dedup.repeated
+
+    def small(keys, starts, ends, symbols, length):
+        assert len(ends) <= 24, "one collection for a whole anchor"
+        return whole(keys, starts, ends, symbols, length)
+
+    monkeypatch.setattr(suffix_dedup, "repeated", small)
+    monkeypatch.setattr(suffix_dedup, "HOT", 12, raising=False)
+    monkeypatch.setattr(suffix_dedup, "BATCH", 1)
+    rnd = random.Random(8)
+    noise = lambda n: "".join(rnd.choice("abcdefghij klm") for _ in range(n))
+    line = noise(80)
+    texts = [noise(90) + line + noise(90) for _ in range(60)]
+    texts += [texts[3][:200] + noise(50), noise(30) + texts[7][60:190], texts[9], texts[9], line + line + line]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = _by_id(suffix_dedup.repeats_report(docs))
+    seen = set()
+    for i, text in enumerate(texts):
+        cut = bytearray(len(text))
+        for p in range(len(text) - 99):
+            if (part := text[p : p + 100]) in seen:
+                cut[p : p + 100] = b"\1" * 100
+            seen.add(part)
+        kept = "".join(b for b, c in zip(text, cut, strict=True) if not c)
+        assert (got[i]["n_removed"], got[i]["kept_sha256"]) == (sum(cut), hashlib.sha256(kept.encode()).hexdigest())
