@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, kneser_ney, merkle, minhash_join, packing, quality_rules, suffix_dedup, token_counts, warc, weak_quality
+from . import (
+    best_position, bpe_codec, kneser_ney, merkle, minhash_join, packing, quality_rules, suffix_dedup, token_counts, warc, weak_quality, whitening, window_dedup,
+)
 from .common import documents, shared_folder, tokenizer_path
 
 
@@ -61,6 +63,18 @@ def edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edit_report(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_position.search(documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("seen")
+
+
+def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_dedup.digests(documents(spark, sf_dir, "doc_id", "text"))
+
+
 REGISTRY = {
     "op1_suffix_dedup": repeats,
     "op2_bpe": bpe,
@@ -72,6 +86,9 @@ REGISTRY = {
     "op8_warc": archives,
     "op9_kneser_ney": language_model,
     "op10_merkle": edits,
+    "op11_best_position": ranked_search,
+    "op12_qdwh_whitening": whitened,
+    "op13_window_dedup": repeated_windows,
 }
 
 SQL: dict[str, str] = {
@@ -84,4 +101,40 @@ SQL: dict[str, str] = {
                case when payload_bytes >= 100 and head <> page_id then head end as refers_to
         from p
     """,
+    "op11_best_position": r"""
+        with words as (
+            select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from documents),
+        tf as (select doc_id, term, count(*) as tf from words group by all),
+        sizes as (select doc_id, sum(tf)::bigint as n from tf group by all),
+        total as (select count(*) as docs, sum(n)::bigint as terms from sizes),
+        df as (select term, count(*) as df from tf group by all),
+        asked as (
+            select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+        item as (select item_id, term, count(*) as times from asked group by all),
+        weighted as (
+            select item_id, term, times * floor(1000 * ln((2.0 * docs + 2) / (2.0 * df + 1)))::bigint as w
+            from item join df using (term) cross join total),
+        scored as (
+            select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))))::bigint as score
+            from weighted join tf using (term) join sizes using (doc_id) cross join total group by all),
+        ranked as (
+            select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score
+            from scored where score > 0)
+        select item_id, rank, doc_id, score from ranked where rank <= 20
+    """,
+    "op13_window_dedup": r"""
+        with words as (
+            select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+        starts as (select doc_id, w, unnest(range(1, len(w) - 33)) as s from words),
+        windows as (select doc_id, s, hash(array_to_string(w[s : s + 34], ' ')) as h, array_to_string(w[s : s + 34], ' ') as t from starts),
+        twice as (select t from windows group by t having count(*) > 1),
+        gone as (select distinct doc_id, unnest(range(s, s + 35)) as place from windows semi join twice using (t)),
+        lost as (select doc_id, list(place) as places from gone group by doc_id)
+        select doc_id, len(w)::bigint as n_words, coalesce(len(places), 0)::bigint as n_removed,
+               sha256(array_to_string(case when places is null then w else
+                   [x for x, i in w if not list_contains(places, i)] end, ' ')) as kept_sha256
+        from words left join lost using (doc_id)
+    """,
 }
