@@ -130,11 +130,13 @@ def dns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dga_dns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A4: the error events alone, as names that do not exist."""
-    return read(spark, sf_dir, "events").filter("event_type = 'error'").selectExpr(
+    """A4: clicks and signups as names that exist, all other events as names that do not."""
+    return read(spark, sf_dir, "events").selectExpr(
         "concat('case-', event_id % 7) AS case_id", "event_id AS seq", f"{epoch('ts')} AS ts",
         "'10.0.0.5' AS src_ip", "'10.0.1.53' AS dst_ip",
-        "concat(md5(CAST(event_id AS string)), '.com') AS query", "'A' AS qtype", "'NXDOMAIN' AS rcode",
+        "CASE WHEN event_type IN ('click', 'signup') THEN concat('www.site', user_id, '.com') "
+        "ELSE concat(md5(CAST(event_id AS string)), '.com') END AS query", "'A' AS qtype",
+        "CASE WHEN event_type IN ('click', 'signup') THEN 'NOERROR' ELSE 'NXDOMAIN' END AS rcode",
     )
 
 
@@ -152,11 +154,11 @@ def _cloud_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cloud_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """A5: TLS rows of clicks, HTTP rows of views, sessions of all events."""
+    """A5: clicks and signups are TLS rows, all other events HTTP rows; every event is a session."""
     base = _cloud_base(spark, sf_dir)
     none = F.lit(None).cast("string")
-    tls = base.filter("event_type = 'click'").withColumnRenamed("host", "server_name").drop("event_type")
-    http = base.filter("event_type = 'view'").drop("event_type")
+    tls = base.filter("event_type IN ('click', 'signup')").withColumnRenamed("host", "server_name").drop("event_type")
+    http = base.filter("event_type NOT IN ('click', 'signup')").drop("event_type")
     return {
         "tls": tls.select(
             "case_id", "seq", "ts", "src_ip", "dst_ip", "dst_port", "server_name",
@@ -206,11 +208,12 @@ def page_tls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def smtp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A7: one envelope per user turn."""
-    return read(spark, sf_dir, "conversations").filter("role = 'user'").selectExpr(
+    """A7: one envelope per turn; those of other roles are written by the conversation's service."""
+    return read(spark, sf_dir, "conversations").selectExpr(
         "concat('case-', conv_id % 7) AS case_id", "conv_id * 1000 + turn AS seq", "1704067200.0D + conv_id AS ts",
         "concat('10.0.0.', conv_id % 200 + 1) AS src_ip", "concat('198.51.100.', conv_id % 50) AS dst_ip",
-        "CASE WHEN conv_id % 8 <> 0 THEN concat('U', conv_id % 9, '@Example.com') END AS mail_from",
+        "CASE WHEN role <> 'user' THEN concat('bot', conv_id % 5, '@service.example') "
+        "WHEN conv_id % 8 <> 0 THEN concat('U', conv_id % 9, '@Example.com') END AS mail_from",
         "CASE WHEN conv_id % 16 = 0 THEN CAST(array() AS array<string>) "
         "ELSE array(concat('u', turn % 9, '@example.com'), concat('c', conv_id, '@drop.example')) END AS rcpt_to",
         "concat('conversation ', conv_id, ' turn ', turn) AS subject",
@@ -220,10 +223,12 @@ def smtp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def icmp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A8: one echo per error event."""
-    return read(spark, sf_dir, "events").filter("event_type = 'error'").selectExpr(
+    """A8: one echo per event; only those of errors carry as much data as the event's value."""
+    return read(spark, sf_dir, "events").selectExpr(
         "concat('case-', event_id % 2) AS case_id", "event_id AS seq", "'10.0.0.5' AS src_ip",
-        "concat('198.51.', user_id div 250, '.', user_id % 250) AS dst_ip", "CAST(floor(value) AS int) AS data_len",
+        "CASE WHEN event_type = 'error' THEN concat('198.51.', user_id div 250, '.', user_id % 250) "
+        "ELSE concat('198.52.', user_id div 250, '.', user_id % 250) END AS dst_ip",
+        "CAST(CASE WHEN event_type = 'error' THEN floor(value) ELSE 56 END AS int) AS data_len",
     )
 
 
@@ -232,9 +237,9 @@ ACCESS_TYPES = ["browser_credentials", "keystrokes", "screenshot", "clipboard",
 
 
 def access(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A9, host side: clicks and views, minutes read as seconds."""
+    """A9, host side: all events but purchases and signups (those are the network side), minutes read as seconds."""
     types = ", ".join(f"'{t}'" for t in ACCESS_TYPES)
-    rows = read(spark, sf_dir, "events").filter("event_type IN ('click', 'view')").selectExpr(
+    rows = read(spark, sf_dir, "events").filter("event_type NOT IN ('purchase', 'signup')").selectExpr(
         "concat('case-', event_id % 7) AS case_id", "event_id AS seq", f"{epoch('ts')} / 60 AS ts",
         f"concat('t', CAST(rint({epoch('ts')} / 60 * 1e6) AS bigint)) AS raw_timestamp",
         f"element_at(array({types}), CAST(user_id % 7 AS int) + 1) AS data_type",
@@ -253,7 +258,7 @@ def access(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def network(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A9, network side: purchases and signups as findings."""
+    """A9, network side: purchases and signups as findings (all other events are the host side)."""
     return read(spark, sf_dir, "events").filter("event_type IN ('purchase', 'signup')").selectExpr(
         "concat('case-', event_id % 7) AS case_id",
         "named_struct('kind_rank', 0, 'seq', event_id, 'name', '') AS finding_no",
@@ -275,9 +280,10 @@ def network(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recovered content of purchases."""
-    return read(spark, sf_dir, "events").filter("event_type = 'purchase'").selectExpr(
-        "concat('case-', event_id % 7) AS case_id", "event_id AS seq", "concat('198.51.100.', user_id) AS dest_ip",
+    """Recovered content: that of purchases and signups went to their destination, that of other events elsewhere."""
+    return read(spark, sf_dir, "events").selectExpr(
+        "concat('case-', event_id % 7) AS case_id", "event_id AS seq",
+        "concat(CASE WHEN event_type IN ('purchase', 'signup') THEN '198.51.100.' ELSE '198.51.101.' END, user_id) AS dest_ip",
         "CAST(floor(value * 10) AS bigint) AS total_bytes", "sha2(CAST(event_id AS string), 256) AS sha256",
         "concat('item ', event_id) AS preview",
     )

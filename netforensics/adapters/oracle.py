@@ -86,14 +86,15 @@ CTE["ohttp"] = f"""ohttp AS (
     concat('/o/', o_orderkey) AS uri, CASE WHEN o_orderstatus = 'O' THEN concat('C', o_orderkey, '-1') END AS uid FROM orders)"""
 
 CTE["oftp"] = f"""oftp AS (
-  SELECT concat('case-', o_orderkey % 7) AS case_id, o_orderkey AS seq, concat('10.0.0.', o_orderkey % 200 + 1) AS src_ip,
+  SELECT concat('case-', o_orderkey % 7) AS case_id, o_orderkey AS seq, epoch(o_orderdate) AS ts, concat('10.0.0.', o_orderkey % 200 + 1) AS src_ip,
     {address('o_orderkey')} AS dst_ip,
     CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'STOR' WHEN '2' THEN 'appe' ELSE 'RETR' END AS command,
     concat('doc', o_custkey, '.zip') AS arg, CASE WHEN o_orderstatus = 'O' THEN concat('C', o_orderkey, '-2') END AS uid
   FROM orders)"""
 
 CTE["dns"] = f"""dns AS (
-  SELECT concat('case-', event_id % 7) AS case_id, event_id * 2 AS seq, concat('10.0.1.', 53 + user_id % 3) AS dst_ip,
+  SELECT concat('case-', event_id % 7) AS case_id, event_id * 2 AS seq, epoch(ts) AS ts, concat('10.0.0.', user_id % 200 + 1) AS src_ip,
+    concat('10.0.1.', 53 + user_id % 3) AS dst_ip,
     CASE event_type WHEN 'error' THEN concat(md5(event_id::VARCHAR), '.com')
       WHEN 'purchase' THEN concat(md5(event_id::VARCHAR), '.t', user_id % 5, '-update.com')
       WHEN 'view' THEN concat('WWW.Site', user_id, '.com') WHEN 'click' THEN 'v10.events.data.microsoft.com'
@@ -101,7 +102,8 @@ CTE["dns"] = f"""dns AS (
     CASE WHEN event_type = 'purchase' THEN 'TXT' ELSE 'A' END AS qtype,
     CASE WHEN event_type = 'error' THEN 'NXDOMAIN' ELSE 'NOERROR' END AS rcode FROM events
   UNION ALL
-  SELECT concat('case-', page_id % 7), page_id * 2 + 1, '10.0.1.53', {HOST}, 'A', 'NOERROR' FROM pages)"""
+  SELECT concat('case-', page_id % 7), page_id * 2 + 1, 1704067200.0 + page_id, concat('10.0.0.', page_id % 200 + 1), '10.0.1.53', {HOST}, 'A',
+    'NOERROR' FROM pages)"""
 
 CTE["tunnel"] = f"""q AS (SELECT *, {registered('query')} AS domain, {subdomain('query')} AS sub FROM dns),
 stat AS (
@@ -123,7 +125,8 @@ CTE["cloud"] = """cloud AS (
     event_type, floor(value * 10)::BIGINT AS orig_bytes, event_id % 997 AS resp_bytes FROM events)"""
 
 CTE["phttp"] = f"""phttp AS (
-  SELECT concat('case-', page_id % 7) AS case_id, page_id AS seq, concat('203.0.113.', page_id % 40) AS dst_ip,
+  SELECT concat('case-', page_id % 7) AS case_id, page_id AS seq, 1704067200.0 + page_id AS ts, concat('10.0.0.', page_id % 200 + 1) AS src_ip,
+    concat('203.0.113.', page_id % 40) AS dst_ip,
     CASE page_id % 4 WHEN 0 THEN 80 WHEN 1 THEN 8080 WHEN 2 THEN 55123 ELSE 443 END AS dst_port,
     CASE WHEN page_id % 2 = 0 THEN 'GET' ELSE 'POST' END AS method, {HOST} AS host,
     CASE page_id % 9 WHEN 0 THEN '/Gate.PHP' WHEN 1 THEN '/panel/x' WHEN 2 THEN '/gate'
@@ -132,7 +135,7 @@ CTE["phttp"] = f"""phttp AS (
       AS user_agent FROM pages)"""
 
 CTE["ptls"] = f"""ptls AS (
-  SELECT concat('case-', page_id % 7) AS case_id, page_id AS seq, concat('10.0.0.', page_id % 3 + 1) AS src_ip,
+  SELECT concat('case-', page_id % 7) AS case_id, page_id AS seq, 1704067200.0 + page_id AS ts, concat('10.0.0.', page_id % 3 + 1) AS src_ip,
     concat('203.0.113.', page_id % 60) AS dst_ip, CASE WHEN page_id % 4 = 0 THEN 4444 ELSE 443 END AS dst_port,
     {HOST} AS server_name, md5({HOST}) AS ja3, md5(concat('s', {HOST})) AS ja3s, concat('CN=', {HOST}) AS subject,
     CASE WHEN page_id % 5 = 0 THEN concat('CN=', {HOST}) ELSE 'CN=Root' END AS issuer,
@@ -210,7 +213,7 @@ CTE["acc"] = """acc AS (
     ['T1555.003', 'T1056.001', 'T1113', 'T1115', 'T1005', 'T1082', 'T1005'][user_id % 7 + 1] AS technique,
     CASE WHEN event_type = 'click' THEN 'GetClipboardData' ELSE 'NtReadFile' END AS api_call,
     CASE WHEN user_id % 3 = 0 THEN concat('C:/Users/u', user_id, '/Login Data') WHEN user_id % 2 = 0 THEN 'Login Data' END AS obj
-  FROM events WHERE event_type IN ('click', 'view')),
+  FROM events WHERE event_type NOT IN ('purchase', 'signup')),
 net AS (
   SELECT concat('case-', event_id % 7) AS case_id, event_id AS seq, round_even(epoch(ts) / 60 * 1e6, 0)::BIGINT AS us,
     epoch(ts) / 60 AS ts, user_id, CASE WHEN event_type = 'purchase' THEN 'exfil' ELSE 'http_c2' END AS kind,
@@ -338,9 +341,10 @@ SELECT case_id, seq, src_ip, dst_ip, dst_port, orig_bytes, {rnd('ratio', 2)} AS
 
 SQL["exfil_merged"] = sql("conn", body=f""", f AS (SELECT *, {_EXFIL.format(limit=40000)} FROM pub),
 vol AS (SELECT * FROM f WHERE big OR high), {_FTP},
-m AS (SELECT case_id, http_method, dst_ip FROM vol UNION ALL
-  SELECT case_id, 'FTP', dst_ip FROM ftp ANTI JOIN vol USING (case_id, dst_ip, dst_port))
-SELECT case_id, http_method, count(*) AS verdicts, count(DISTINCT dst_ip) AS destinations FROM m GROUP BY 1, 2""")
+m AS (SELECT case_id, seq, dst_ip, dst_port, orig_bytes, http_method, http_uri,
+    {rnd("0.5 + CASE WHEN big THEN 0.3 ELSE 0 END + CASE WHEN ratio >= 0.7 THEN 0.2 ELSE 0 END", 2)} AS confidence FROM vol UNION ALL
+  SELECT case_id, seq, dst_ip, dst_port, orig_bytes, 'FTP', ftp_upload_cmd, 0.8 FROM ftp ANTI JOIN vol USING (case_id, dst_ip, dst_port))
+SELECT * FROM m""")
 
 SQL["unclassified_egress"] = sql("conn", body=f""", {_FTP},
 e AS (SELECT * FROM pub ANTI JOIN ftp USING (case_id, dst_ip) WHERE orig_bytes >= 2048 AND ratio >= 0.6
@@ -407,16 +411,17 @@ SELECT case_id, domain, n AS query_count, {rnd('e', 2)} AS avg_entropy, {rnd('l'
   {rnd('rt', 2)} AS tunnel_rt_fraction, {rnd('u', 2)} AS unique_ratio, {rnd('nx', 2)} AS nxdomain_ratio,
   {rnd('least(1.0, 0.5 + 0.15 * score)', 2)} AS confidence, resolvers FROM tunnels JOIN res USING (case_id, domain)""")
 
-SQL["dga_burst"] = f"""WITH q AS (SELECT concat('case-', event_id % 7) AS case_id, concat(md5(event_id::VARCHAR), '.com') AS domain
-  FROM events WHERE event_type = 'error'),
-d AS (SELECT case_id, domain, count(*) AS n FROM q GROUP BY 1, 2),
-c AS (SELECT case_id, count(*) AS k, sum(n) AS total, avg({ent("string_split(domain, '.')[1]")}) AS e FROM d GROUP BY 1)
+SQL["dga_burst"] = f"""WITH q AS (SELECT concat('case-', event_id % 7) AS case_id, event_type NOT IN ('click', 'signup') AS nx,
+    CASE WHEN event_type IN ('click', 'signup') THEN concat('site', user_id, '.com') ELSE concat(md5(event_id::VARCHAR), '.com') END AS domain FROM events),
+d AS (SELECT case_id, domain, count(*) AS n, count(*) FILTER (nx) AS nx FROM q GROUP BY 1, 2),
+c AS (SELECT case_id, count(*) FILTER (nx > 0) AS k, sum(n) AS total, sum(nx) / sum(n)::DOUBLE AS share,
+  avg({ent("string_split(domain, '.')[1]")}) FILTER (nx > 0) AS e FROM d GROUP BY 1)
 SELECT case_id, 'dga' AS kind, concat('<', k, ' algorithmic domains>') AS domain, total::BIGINT AS query_count,
-  {rnd('e', 2)} AS avg_entropy, 0.0 AS avg_sub_len, 0.0 AS tunnel_rt_fraction, 1.0 AS unique_ratio, 1.0 AS nxdomain_ratio,
-  0.7 AS confidence FROM c WHERE k >= 10 AND e >= 3.2"""
+  {rnd('e', 2)} AS avg_entropy, 0.0 AS avg_sub_len, 0.0 AS tunnel_rt_fraction, 1.0 AS unique_ratio, {rnd('share', 2)} AS nxdomain_ratio,
+  0.7 AS confidence FROM c WHERE k >= 10 AND e >= 3.2 AND share >= 0.5"""
 
 SQL["doh_endpoints"] = sql("cloud", body=f"""
-SELECT DISTINCT case_id, lower(host) AS domain FROM cloud WHERE event_type IN ('click', 'view') AND lower(host) IN ({_list(vocab.DOH_HOSTS)})""")
+SELECT DISTINCT case_id, lower(host) AS domain FROM cloud WHERE lower(host) IN ({_list(vocab.DOH_HOSTS)})""")
 
 SQL["resolved_destinations"] = sql("dns", "tunnel", body=f""",
 nm AS (SELECT case_id, {clean('query')} AS domain, count(*) AS query_count FROM dns WHERE contains({clean('query')}, '.') GROUP BY 1, 2),
@@ -440,8 +445,7 @@ _SERVICE = "CASE " + " ".join(
 ) + " END"
 
 SQL["cloud_exfil"] = sql("cloud", body=f""",
-ep AS (SELECT *, {clean('host')} AS h, CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS src FROM cloud
-  WHERE event_type IN ('click', 'view')),
+ep AS (SELECT *, {clean('host')} AS h, CASE WHEN event_type IN ('click', 'signup') THEN 0 ELSE 1 END AS src FROM cloud),
 m AS (SELECT *, {_SERVICE} AS no FROM ep),
 f AS (SELECT * FROM m WHERE no IS NOT NULL QUALIFY row_number() OVER (PARTITION BY case_id, dst_ip, host ORDER BY src, seq) = 1),
 s AS (SELECT * FROM cloud QUALIFY row_number() OVER (PARTITION BY case_id, src_ip, dst_ip, dst_port ORDER BY seq DESC) = 1)
@@ -456,9 +460,10 @@ FROM f JOIN s USING (case_id, src_ip, dst_ip, dst_port)""")
 
 SQL["smtp_exfil"] = f"""WITH m AS (
   SELECT concat('case-', conv_id % 7) AS case_id, conv_id * 1000 + turn AS seq, concat('198.51.100.', conv_id % 50) AS dst_ip,
-    CASE WHEN conv_id % 8 <> 0 THEN concat('U', conv_id % 9, '@Example.com') END AS mail_from,
+    CASE WHEN role <> 'user' THEN concat('bot', conv_id % 5, '@service.example')
+      WHEN conv_id % 8 <> 0 THEN concat('U', conv_id % 9, '@Example.com') END AS mail_from,
     conv_id % 16 = 0 AS empty, concat('u', turn % 9, '@example.com') AS r1, concat('c', conv_id, '@drop.example') AS r2,
-    concat('conversation ', conv_id, ' turn ', turn) AS subject, length(text) % 3 = 0 AS att FROM conversations WHERE role = 'user'),
+    concat('conversation ', conv_id, ' turn ', turn) AS subject, length(text) % 3 = 0 AS att FROM conversations),
 g AS (SELECT *, coalesce(NOT empty AND lower(mail_from) IN (r1, r2), false) AS self FROM m)
 SELECT case_id, seq, dst_ip, mail_from, CASE WHEN empty THEN '' ELSE concat(r1, ',', r2) END AS rcpt_to, subject,
   att AS has_attachment, self AS self_send,
@@ -477,8 +482,8 @@ SELECT case_id, dst_ip, seq, dst_port, host, uri, method,
 FROM h WHERE gate OR ua QUALIFY row_number() OVER (PARTITION BY case_id, dst_ip, uri ORDER BY seq) = 1""")
 
 SQL["icmp_tunnel"] = """WITH s AS (SELECT concat('case-', event_id % 2) AS case_id,
-  concat('198.51.', user_id // 250, '.', user_id % 250) AS dst_ip, count(*) AS n, avg(floor(value)::INT) AS m, min(event_id) AS seq
-  FROM events WHERE event_type = 'error' GROUP BY 1, 2)
+  concat(CASE WHEN event_type = 'error' THEN '198.51.' ELSE '198.52.' END, user_id // 250, '.', user_id % 250) AS dst_ip, count(*) AS n,
+  avg(CASE WHEN event_type = 'error' THEN floor(value)::INT ELSE 56 END) AS m, min(event_id) AS seq FROM events GROUP BY 1, 2)
 SELECT case_id, seq, 'icmp_tunnel' AS kind, dst_ip, 0 AS dst_port,
   concat(n, ' ICMP echoes, avg payload ', round_even(m, 0)::BIGINT, 'B (normal ping ~32-48B)') AS detail,
   0.75 AS confidence, 'strong' AS severity FROM s WHERE n >= 8 AND m >= 64"""
@@ -563,21 +568,31 @@ l AS (SELECT case_id, dst_ip, dst_port, string_agg(r, ',' ORDER BY p) AS rcpt_to
 SELECT case_id, min(seq) AS seq, '10.0.0.5' AS src_ip, dst_ip, dst_port, arg_max(f, seq) AS mail_from, any_value(rcpt_to) AS rcpt_to,
   arg_max(s, seq) AS subject, sum(att)::INT AS attachments FROM m JOIN l USING (case_id, dst_ip, dst_port) GROUP BY 1, 4, 5"""
 
+SQL["smtp_items"] = """WITH m AS (SELECT concat('case-', conv_id % 7) AS case_id, conv_id * 1000 + turn AS seq,
+  concat('198.51.100.', conv_id % 200) AS dst_ip, CASE WHEN conv_id % 2 = 0 THEN 25 ELSE 587 END AS dst_port,
+  concat('r', turn % 3, '@b.example') AS r, length(text) % 2 = 0 AS att FROM conversations),
+i AS (SELECT case_id, dst_ip, dst_port, 'recipient' AS kind, min(seq) AS seq, r AS value FROM m GROUP BY 1, 2, 3, 6
+  UNION ALL SELECT case_id, dst_ip, dst_port, 'attachment', seq, 'attachment' FROM m WHERE att)
+SELECT case_id, '10.0.0.5' AS src_ip, dst_ip, dst_port, kind,
+  row_number() OVER (PARTITION BY case_id, dst_ip, dst_port, kind ORDER BY seq)::INT AS position, value FROM i"""
+
 _CONTENT = """up AS (SELECT case_id, seq, ts, client AS source_ip, server AS dest_ip, 443 AS dport, payload FROM pkt
   WHERE up AND server NOT LIKE '192.168.%'),
 agg AS (SELECT case_id, source_ip, dest_ip, min(seq) AS seq, sum(length(payload))::BIGINT AS total_bytes,
-  substr(string_agg(payload, '' ORDER BY seq, payload), 1, {cap}) AS content FROM up GROUP BY 1, 2, 3 HAVING sum(length(payload)) >= 64)"""
+  string_agg(payload, '' ORDER BY seq, ts, payload) AS content FROM up GROUP BY 1, 2, 3 HAVING sum(length(payload)) >= 64)"""
 
-SQL["outbound_content"] = sql("pkt", body=f""", {_CONTENT.format(cap=100)}
-SELECT case_id, seq, source_ip, dest_ip, total_bytes, sha256(content) AS sha256,
+SQL["outbound_content"] = sql("pkt", body=f""", {_CONTENT}
+SELECT case_id, seq, source_ip, dest_ip, total_bytes, sha256(content) AS sha256, sha256(substr(content, 1, 100)) AS head_sha256,
   regexp_replace(substr(content, 1, 300), '[^ -~]', '.', 'g') AS preview FROM agg""")
-SQL["outbound_artifacts"] = sql("pkt", body=f""", {_CONTENT.format(cap=1 << 20)},
-files AS (SELECT concat('case-', o_orderkey % 3) AS case_id, floor(o_totalprice)::BIGINT AS total_bytes,
-  sha256(o_orderkey::VARCHAR) AS sha256 FROM orders
-  WHERE (o_orderstatus = 'P' AND o_custkey % 9 = 0) OR (o_orderstatus = 'O' AND o_custkey % 11 <> 0)),
-m AS (SELECT * FROM files UNION ALL SELECT case_id, total_bytes, sha256(content) FROM agg
-  WHERE case_id NOT IN (SELECT case_id FROM files))
-SELECT case_id, count(*) AS artifacts, sum(total_bytes)::BIGINT AS total_bytes, max(sha256) AS last_hash FROM m GROUP BY 1""")
+SQL["outbound_artifacts"] = sql("pkt", body=f""", {_CONTENT},
+files AS (SELECT concat('case-', o_orderkey % 3) AS case_id, o_orderkey AS seq, floor(o_totalprice)::BIGINT AS total_bytes,
+  sha256(o_orderkey::VARCHAR) AS sha256, NULL::VARCHAR AS head_sha256,
+  CASE WHEN o_orderstatus = 'O' THEN '10.0.0.9' ELSE '203.0.113.9' END AS source_ip, {address('o_custkey')} AS dest_ip,
+  true AS is_outbound, NULL::VARCHAR AS preview FROM orders
+  WHERE (o_orderstatus = 'P' AND o_custkey % 9 = 0) OR (o_orderstatus = 'O' AND o_custkey % 11 <> 0))
+SELECT * FROM files UNION ALL
+SELECT case_id, seq, total_bytes, sha256(content), sha256(content), source_ip, dest_ip, true,
+  regexp_replace(substr(content, 1, 300), '[^ -~]', '.', 'g') FROM agg WHERE case_id NOT IN (SELECT case_id FROM files)""")
 
 SQL["intel_lookup"] = sql("conn", "intel", body="""
 SELECT c.case_id, c.seq, (i.value IS NOT NULL OR j.value IS NOT NULL) AS reputation_hit,
@@ -609,10 +624,17 @@ SELECT d AS destination_domain, dst_ip, coalesce(CASE WHEN length(site) > coales
 
 SQL["geo_range"] = sql("conn", body=""",
 i AS (SELECT DISTINCT case_id, dst_ip, string_split(dst_ip, '.')[1]::BIGINT * 16777216 + string_split(dst_ip, '.')[2]::BIGINT * 65536
-  + string_split(dst_ip, '.')[3]::BIGINT * 256 + string_split(dst_ip, '.')[4]::BIGINT AS v FROM conn)
+  + string_split(dst_ip, '.')[3]::BIGINT * 256 + string_split(dst_ip, '.')[4]::BIGINT AS v FROM conn),
+j AS (SELECT DISTINCT concat('case-', l_orderkey % 7) AS case_id,
+  concat('2001:db8:', printf('%x', l_suppkey % 400), '::', printf('%x', l_orderkey % 9000)) AS dst_ip,
+  (l_suppkey % 400) * 4294967296 + l_orderkey % 9000 AS v FROM lineitem),
+g AS (
+  SELECT case_id, dst_ip, n_name, n_nationkey, n_regionkey
+  FROM i LEFT JOIN nation ON v BETWEEN 3405774848 + n_nationkey * 1000 AND 3405774848 + n_nationkey * 1000 + 799
+  UNION ALL SELECT case_id, dst_ip, n_name, n_nationkey, n_regionkey
+  FROM j LEFT JOIN nation ON v BETWEEN n_nationkey * 16 * 4294967296 + 4096 AND (n_nationkey * 16 + 11) * 4294967296 + 8191)
 SELECT case_id, dst_ip, n_name AS geo_country, CASE WHEN n_name IS NOT NULL THEN concat('AS', n_nationkey) END AS asn,
-  CASE WHEN n_name IS NOT NULL THEN concat('Org ', n_regionkey) END AS asn_org
-FROM i LEFT JOIN nation ON v BETWEEN 3405774848 + n_nationkey * 1000 AND 3405774848 + n_nationkey * 1000 + 799""")
+  CASE WHEN n_name IS NOT NULL THEN concat('Org ', n_regionkey) END AS asn_org FROM g""")
 SQL["geo_network"] = sql("conn", body=""",
 i AS (SELECT DISTINCT case_id, dst_ip, CASE WHEN dst_ip LIKE '203.0.%' THEN string_split(dst_ip, '.')[3]::INT END AS b FROM conn),
 w AS (SELECT n_nationkey * 2 - n_nationkey * 2 % 8 AS b0, min(n_name) AS c, min(concat('AS', n_nationkey)) AS a,
@@ -633,20 +655,37 @@ m AS (SELECT t.*, coalesce({_allow('t.domain', '')}, nm.cidr) AS mt FROM tiered
 SELECT case_id, seq, CASE WHEN tier = 'weak' AND mt IS NOT NULL THEN 'allowlisted' ELSE tier END AS confidence_tier,
   CASE WHEN tier = 'weak' THEN mt END AS allowlist_match FROM m""")
 
+_CAPPED = """b AS (SELECT best.*, m.clock_ok, (NOT best.rep AND best.tier IN ('strong', 'confirmed') AND (NOT m.clock_ok
+    OR (m.degraded AND (m.blind_all OR best.data_type = m.blind)))) AS cap FROM best JOIN man m USING (case_id) WHERE m.corr_ok)"""
+_ALIGNED = """t AS (SELECT concat('case-', event_id % 7) AS case_id, event_type NOT IN ('purchase', 'signup') AS host,
+  round_even(epoch(ts) / 60 * 60 * 1e6, 0)::BIGINT AS us FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY case_id, host ORDER BY us) AS k, count(*) OVER (PARTITION BY case_id, host) AS n FROM t),
+aligned AS (SELECT *, concat('CLOCK ALIGNMENT SUSPECT: the median host access lies ', CASE WHEN g > 0 THEN '+' ELSE '' END, round_even(g, 0)::BIGINT,
+    's from the median network event (algorithm: n/a). Host times should already be on the common clock; links in time are unreliable here and were not shifted.') AS note
+  FROM (SELECT case_id, (max(us) FILTER (host) - max(us) FILTER (NOT host)) / 1e6 AS g FROM r WHERE k = n // 2 + 1 GROUP BY 1) WHERE abs(g) > 120)"""
 _GATED = """g AS (SELECT t.*, m.mode, m.pinned, (t.kind = 'beacon' AND NOT m.clock_ok AND NOT t.hit AND t.tier IN ('strong', 'confirmed'))
   AS cap FROM tiered t LEFT JOIN man m USING (case_id))"""
 SQL["gate_findings"] = sql("intel", "find", "man", body=f""", {_GATED}
 SELECT case_id, seq, CASE WHEN cap THEN 'weak' ELSE tier END AS confidence_tier, CASE WHEN cap THEN 'clock_quality' END
   AS capped_by_caveat, CASE WHEN mode = 'simulated' THEN 'simulated_inetsim' END AS network_mode, false AS plaintext_available FROM g""")
-SQL["case_notes"] = sql("intel", "find", "man", body=f""", {_GATED}, c AS (SELECT case_id, count(*) AS n FROM g WHERE cap GROUP BY 1),
-x AS (SELECT m.*, coalesce(c.n, 0) AS n FROM man m LEFT JOIN c USING (case_id))
-SELECT case_id, 'network_simulated' AS code, 'NETWORK SIMULATED: destinations and cadence are attempted, not confirmed-delivered. The absence of exfil is not evidence that the sample is clean.' AS note FROM x WHERE mode = 'simulated'
-UNION ALL SELECT case_id, 'network_live', concat('NETWORK LIVE (mode=''', raw_mode, '''): contacted destinations were really reached; blocked ones look like ones never attempted.') FROM x WHERE mode = 'real'
-UNION ALL SELECT case_id, 'network_unrecognised', concat('NETWORK MODE UNRECOGNISED (''', raw_mode, '''): treat the absence of exfil as uninterpreted.') FROM x WHERE mode = 'unknown'
-UNION ALL SELECT case_id, 'clock_quality', concat('CLOCK QUALITY NOT ACCEPTABLE: timing-based findings capped to weak (', n, ' affected).') FROM x WHERE NOT clock_ok
-UNION ALL SELECT case_id, 'tls_not_intercepted', 'TLS NOT INTERCEPTED (certificate_rejected): detection falls back to metadata-only signals.' FROM x WHERE pinned
-UNION ALL SELECT case_id, 'tls_intercepted', 'TLS INTERCEPTED: decrypted payloads were available.' FROM x WHERE NOT pinned
-UNION ALL SELECT case_id, 'correlation_disabled', concat('HOST<->NETWORK CORRELATION DISABLED BY SANDBOX: ', coalesce(reason, 'not stated')) FROM x WHERE NOT corr_ok""")
+SQL["case_notes"] = sql("intel", "find", "man", "acc", body=f""", {_GATED}, c AS (SELECT case_id, count(*) AS n FROM g WHERE cap GROUP BY 1),
+{_CAPPED}, k AS (SELECT case_id, count(*) FILTER (NOT clock_ok) AS links, count(*) FILTER (clock_ok) AS blind_n FROM b WHERE cap GROUP BY 1),
+{_ALIGNED},
+x AS (SELECT m.*, coalesce(c.n, 0) AS n, coalesce(k.links, 0) AS links, coalesce(k.blind_n, 0) AS blind_n FROM man m LEFT JOIN c USING (case_id) LEFT JOIN k USING (case_id))
+SELECT case_id, 'network' AS gate, 'network_simulated' AS code, NULL::BIGINT AS affected, 'NETWORK SIMULATED: destinations and cadence are attempted, not confirmed-delivered. The absence of exfil is not evidence that the sample is clean.' AS note FROM x WHERE mode = 'simulated'
+UNION ALL SELECT case_id, 'network', 'network_live', NULL, concat('NETWORK LIVE (mode=''', raw_mode, '''): contacted destinations were really reached; blocked ones look like ones never attempted.') FROM x WHERE mode = 'real'
+UNION ALL SELECT case_id, 'network', 'network_unrecognised', NULL, concat('NETWORK MODE UNRECOGNISED (''', raw_mode, '''): treat the absence of exfil as uninterpreted.') FROM x WHERE mode = 'unknown'
+UNION ALL SELECT case_id, 'network', 'clock_quality', n, concat('CLOCK QUALITY NOT ACCEPTABLE: timing-based findings capped to weak (', n, ' affected).') FROM x WHERE NOT clock_ok
+UNION ALL SELECT case_id, 'network', 'tls_not_intercepted', NULL, 'TLS NOT INTERCEPTED (certificate_rejected): detection falls back to metadata-only signals.' FROM x WHERE pinned
+UNION ALL SELECT case_id, 'network', 'tls_intercepted', NULL, 'TLS INTERCEPTED: decrypted payloads were available.' FROM x WHERE NOT pinned
+UNION ALL SELECT case_id, 'correlation', 'correlation_clock', links, concat('CLOCK QUALITY NOT ACCEPTABLE: links between host and network rest on time; ', links, ' capped to weak.')
+  FROM x WHERE NOT clock_ok AND links > 0
+UNION ALL SELECT case_id, 'correlation', 'telemetry_degraded', blind_n, concat('TELEMETRY DEGRADED (providers unavailable: ',
+    CASE WHEN providers = '' THEN 'unspecified' WHEN providers = 'Kernel-File' THEN 'Kernel-File' ELSE providers END,
+    '): missing host data proves nothing for [', CASE WHEN blind_all THEN 'all data types' ELSE blind END, ']; ', blind_n, ' correlated finding(s) capped to weak.')
+  FROM x WHERE degraded
+UNION ALL SELECT case_id, 'clock', 'clock_alignment', NULL, note FROM aligned
+UNION ALL SELECT case_id, 'handoff', 'correlation_disabled', NULL, concat('HOST<->NETWORK CORRELATION DISABLED BY SANDBOX: ', coalesce(reason, 'not stated')) FROM x WHERE NOT corr_ok""")
 
 SQL["static_prior_match"] = sql("conn", "dns", "ioc", body="""
 SELECT i.case_id, i.seq, i.type, i.value, h.matched IS NOT NULL AS observed, coalesce(h.matched, '') AS matched, i.config
@@ -689,14 +728,8 @@ SELECT case_id, {rnd('g', 2)} AS min_forward_delta_s, coalesce(g <= 15, false) A
     ({rnd('g', 1)})::VARCHAR, 's — likely clock skew or misaligned captures')
   ELSE 'no network events occur after any access event; either no exfil followed the accesses, or timelines don''t overlap' END AS note
 FROM c""")
-SQL["clock_alignment"] = """WITH t AS (SELECT concat('case-', event_id % 7) AS case_id, event_type IN ('click', 'view') AS host,
-  round_even(epoch(ts) / 60 * 60 * 1e6, 0)::BIGINT AS us FROM events WHERE event_type IN ('click', 'view', 'purchase', 'signup')),
-r AS (SELECT *, row_number() OVER (PARTITION BY case_id, host ORDER BY us) AS k, count(*) OVER (PARTITION BY case_id, host) AS n FROM t),
-m AS (SELECT case_id, (max(us) FILTER (host) - max(us) FILTER (NOT host)) / 1e6 AS g FROM r WHERE k = n // 2 + 1 GROUP BY 1)
-SELECT case_id, round(g, 6) AS gap_s FROM m WHERE abs(g) > 120"""
-SQL["gate_correlated"] = sql("acc", "man", body=""",
-b AS (SELECT best.*, m.clock_ok, (NOT best.rep AND best.tier IN ('strong', 'confirmed') AND (NOT m.clock_ok
-    OR (m.degraded AND (m.blind_all OR best.data_type = m.blind)))) AS cap FROM best JOIN man m USING (case_id) WHERE m.corr_ok)
+SQL["clock_alignment"] = f"WITH {_ALIGNED} SELECT case_id, round(g, 6) AS gap_s, note FROM aligned"
+SQL["gate_correlated"] = sql("acc", "man", body=f""", {_CAPPED}
 SELECT case_id, access_seq, data_type AS data_type_accessed, CASE WHEN cap THEN 'weak' ELSE tier END AS confidence_tier,
   CASE WHEN cap THEN CASE WHEN NOT clock_ok THEN 'clock_quality' ELSE 'telemetry_degraded' END END AS capped_by_caveat FROM b""")
 
@@ -720,7 +753,7 @@ SELECT case_id, access_seq, CASE WHEN lift THEN 'confirmed' ELSE tier END AS con
 CTE["prov"] = """fs AS (SELECT case_id, dst_ip, dst_port, arg_min(kind, seq) AS kind, arg_min(coalesce(domain, ''), seq) AS domain,
     arg_min(plain, seq) AS plain, arg_min(coalesce(uri, ''), seq) AS uri FROM net GROUP BY 1, 2, 3),
 art AS (SELECT concat('case-', event_id % 7) AS case_id, concat('198.51.100.', user_id) AS dst_ip, floor(value * 10)::BIGINT AS total_bytes,
-    sha256(event_id::VARCHAR) AS sha256, concat('item ', event_id) AS preview FROM events WHERE event_type = 'purchase'
+    sha256(event_id::VARCHAR) AS sha256, concat('item ', event_id) AS preview FROM events WHERE event_type IN ('purchase', 'signup')
     QUALIFY row_number() OVER (PARTITION BY event_id % 7, user_id ORDER BY floor(value * 10) DESC, event_id) = 1),
 pr AS (SELECT b.case_id, b.access_seq, CASE b.data_type WHEN 'browser_credentials' THEN 'credential'
       WHEN 'keystrokes' THEN CASE WHEN f.uri <> '' THEN 'otp' ELSE 'keystroke_log' END
@@ -774,6 +807,9 @@ SQL["family_verdicts"] = sql("intel", "find", "fam", body=""", r AS (SELECT *, C
 SELECT case_id, family, arg_max(confidence, rk) AS confidence, arg_max(basis, rk) AS basis, max(rk) AS rank, count(*) AS evidence_count,
   min(evidence) AS first_evidence FROM r GROUP BY 1, 2""")
 
+SQL["family_evidence"] = sql("intel", "find", "fam", body=""", r AS (SELECT *, CASE confidence WHEN 'confirmed' THEN 3 WHEN 'likely' THEN 2 ELSE 1 END AS rk FROM fam)
+SELECT case_id, family, row_number() OVER (PARTITION BY case_id, family ORDER BY rk DESC, evidence)::INT AS place, confidence, basis, evidence FROM r""")
+
 SQL["hash_chain"] = sql("chain", recursive=True, body="SELECT case_id, event_id, pos AS chain_pos, h AS evidence_hash FROM chained")
 SQL["chain_verify"] = """WITH ev AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS pos FROM events),
 c AS (SELECT concat('user-', user_id) AS case_id, count(*) AS rows, min(pos) FILTER (user_id % 3 = 0 AND pos % 20 = 7) AS f FROM ev GROUP BY 1)
@@ -800,6 +836,10 @@ SQL["case_manifest"] = """WITH i AS (SELECT concat('case-', doc_id // 10) AS cas
 SELECT case_id, count(*) AS inputs, sum(s)::BIGINT AS total_bytes,
   sha256(concat('{"inputs":["', string_agg(h, '","' ORDER BY h), '"],"parameters":{}}')) AS manifest_id FROM i GROUP BY 1"""
 
+SQL["evidence_hashes"] = """SELECT concat('case-', doc_id % 50) AS case_id, 'sample' AS role,
+  sha256(string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id)) AS sha256, sum(strlen(coalesce(text, '')) + 1)::BIGINT AS size_bytes
+FROM documents GROUP BY 1"""
+
 SQL["ioc_export"] = sql("intel", "find", "evt", body="""
 SELECT case_id, ip AS destination_ip, 443 AS destination_port, domain AS destination_domain, final AS confidence_tier,
   0.5 AS confidence_score, note AS reputation_note, source AS reputation_source, technique AS mitre_technique_id,
@@ -816,18 +856,29 @@ def uuid5(name: str) -> str:
     )
 
 
-SQL["stix_objects"] = sql("intel", "find", "evt", body=f""",
-o AS (SELECT *, CASE WHEN ip IS NOT NULL THEN concat('ip:', ip) ELSE concat('domain:', domain) END AS ob,
+_STIX = f"""o AS (SELECT *, CASE WHEN ip IS NOT NULL THEN concat('ip:', ip) ELSE concat('domain:', domain) END AS ob,
+  CASE WHEN ip IS NOT NULL THEN concat('IP: ', ip) ELSE concat('domain: ', domain) END AS label,
   {uuid5('seq::VARCHAR')} AS eid FROM evt WHERE final <> 'allowlisted' AND (ip IS NOT NULL OR domain IS NOT NULL)),
 w AS (SELECT *, concat('indicator--', {uuid5('ob')}) AS iid, concat('observed-data--', eid) AS oid FROM o),
-f AS (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY case_id, ob ORDER BY seq) = 1)
-SELECT case_id, 'indicator' AS object_type, iid AS object_id, CASE WHEN ip IS NOT NULL THEN concat('[ipv4-addr:value = ''', ip, ''']')
-  ELSE concat('[domain-name:value = ''', domain, ''']') END AS pattern,
-  concat('Malicious ', CASE WHEN ip IS NOT NULL THEN concat('IP: ', ip) ELSE concat('domain: ', domain) END, coalesce(' — ' || note, '')) AS name,
-  CASE final WHEN 'confirmed' THEN '95' WHEN 'strong' THEN '75' ELSE '40' END AS confidence, NULL::VARCHAR AS source_ref,
-  NULL::VARCHAR AS target_ref FROM f
-UNION ALL SELECT case_id, 'observed-data', oid, NULL, NULL, NULL, NULL, NULL FROM w
-UNION ALL SELECT case_id, 'relationship', concat('relationship--', {uuid5("concat(iid, '|', oid)")}), NULL, NULL, NULL, iid, oid FROM w""")
+f AS (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY case_id, ob ORDER BY seq) = 1),
+obj AS (
+SELECT case_id, 'indicator' AS type, iid AS id, concat('Malicious ', label, coalesce(' — ' || note, '')) AS name,
+  concat('Destination ', CASE WHEN ip IS NOT NULL THEN concat(ip, ':443') ELSE domain END, ' flagged as ', final, ' by netforensics. ',
+    CASE WHEN note IS NOT NULL THEN concat('Attribution: ', note, ' (source: ', coalesce(source, 'n/a'), '). ') ELSE '' END,
+    'MITRE: ', coalesce(technique, 'N/A'), '.') AS description,
+  CASE WHEN ip IS NOT NULL THEN concat('[ipv4-addr:value = ''', ip, ''']') ELSE concat('[domain-name:value = ''', domain, ''']') END AS pattern,
+  'stix' AS pattern_type, concat('T', seq) AS valid_from, CASE final WHEN 'confirmed' THEN '95' WHEN 'strong' THEN '75' ELSE '40' END AS confidence,
+  '["malicious-activity"]' AS labels, CASE WHEN technique IS NOT NULL THEN concat('[{{"source_name":"mitre-attack","external_id":"', technique,
+    '","url":"https://attack.mitre.org/techniques/', replace(technique, '.', '/'), '/"}}]') END AS external_references,
+  NULL::VARCHAR AS first_observed, NULL::VARCHAR AS last_observed, NULL::VARCHAR AS number_observed, NULL::VARCHAR AS object_refs,
+  NULL::VARCHAR AS relationship_type, NULL::VARCHAR AS source_ref, NULL::VARCHAR AS target_ref FROM f
+UNION ALL SELECT case_id, 'observed-data', oid, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, concat('T', seq), concat('T', seq), '1', '[]', NULL, NULL, NULL FROM w
+UNION ALL SELECT case_id, 'relationship', concat('relationship--', {uuid5("concat(iid, '|', oid)")}), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  NULL, NULL, NULL, 'based-on', iid, oid FROM w)"""
+SQL["stix_objects"] = sql("intel", "find", "evt", body=f""", {_STIX}
+SELECT *, '2.1' AS spec_version, '2026-01-01T00:00:00+00:00' AS created, '2026-01-01T00:00:00+00:00' AS modified FROM obj""")
+SQL["stix_bundles"] = sql("intel", "find", "evt", body=f""", {_STIX}
+SELECT case_id, concat('bundle--', {uuid5('case_id')}) AS bundle_id, type, id, name, pattern, source_ref, target_ref FROM obj""")
 
 _DEST = """CASE WHEN domain IS NOT NULL AND ip IS NOT NULL THEN concat(domain, ' (', ip, ')') WHEN domain IS NOT NULL THEN domain
   WHEN ip IS NOT NULL THEN concat(ip, ':443') ELSE 'an unidentified destination' END"""
@@ -858,8 +909,9 @@ SQL["sample_tiers"] = sql("intel", "find", "evt", body=""",
 b AS (SELECT sha256(case_id) AS sample_id, max(CASE final WHEN 'confirmed' THEN 4 WHEN 'strong' THEN 3 WHEN 'weak' THEN 2 ELSE 0 END) AS r FROM evt GROUP BY 1)
 SELECT sample_id, 'windows' AS platform, CASE r WHEN 4 THEN 'confirmed' WHEN 3 THEN 'strong' WHEN 2 THEN 'weak' ELSE 'allowlisted' END AS confidence_tier FROM b
 UNION ALL SELECT sha256(concat('case-', n_nationkey)), 'windows', 'weak' FROM nation WHERE sha256(concat('case-', n_nationkey)) NOT IN (SELECT sample_id FROM b)""")
-SQL["new_events"] = """SELECT concat('case-', o_orderkey % 7) AS case_id, count(*) AS fresh FROM orders
-WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) GROUP BY 1"""
+SQL["new_events"] = sql("intel", "find", "evt", body=f"""
+SELECT case_id, {uuid5('seq::VARCHAR')} AS event_id, ip AS destination_ip, final AS confidence_tier FROM evt
+WHERE seq NOT IN (SELECT l_orderkey FROM lineitem)""")
 
 CTE["flag"] = """flag AS (SELECT DISTINCT case_id, unnest(CASE tier WHEN 'confirmed' THEN ['confirmed', 'strong+', 'any'] WHEN 'strong' THEN ['strong+', 'any']
     ELSE ['any'] END) AS threshold, CASE WHEN kind = 'dns_tunnel' AND domain IS NOT NULL THEN domain ELSE dst_ip END AS indicator FROM tiered),
@@ -986,17 +1038,182 @@ SQL["zeek_ssl"] = sql("ptls", body="""
 SELECT case_id, src_ip, dst_ip, dst_port, ja3, ja3s, CASE WHEN seq % 7 = 0 THEN NULL ELSE server_name END AS server_name,
   CASE WHEN seq % 3 = 0 THEN NULL ELSE subject END AS subject FROM ptls
 QUALIFY row_number() OVER (PARTITION BY case_id, src_ip, dst_ip, dst_port ORDER BY seq DESC) = 1""")
-SQL["packet_tables"] = sql("pkt", "dns", "hello", body=""",
-p AS (SELECT * FROM pkt WHERE case_id NOT IN (SELECT concat('case-', r_regionkey) FROM region)),
-o AS (SELECT *, first_value(up) OVER (PARTITION BY case_id, client, server, port ORDER BY seq, ts, up) AS first_up FROM p),
-f AS (SELECT case_id, client, server, port, max((CASE WHEN server LIKE '192.168.%' THEN up = first_up ELSE up END AND rf = 'R')::INT) AS h,
-  max((CASE WHEN server LIKE '192.168.%' THEN up = first_up ELSE up END AND rf = 'N')::INT) AS s FROM o GROUP BY 1, 2, 3, 4)
-SELECT case_id, 'sessions' AS table_name, count(*) AS records FROM f GROUP BY 1
-UNION ALL SELECT case_id, 'http', count(*) FROM f WHERE h = 1 GROUP BY 1
-UNION ALL SELECT case_id, 'ftp', count(*) FROM f WHERE s = 1 GROUP BY 1
-UNION ALL SELECT case_id, 'dns', count(*) FROM dns WHERE seq % 10 <> 0 AND case_id NOT IN (SELECT concat('case-', r_regionkey) FROM region) GROUP BY 1
-UNION ALL SELECT case_id, 'tls', count(DISTINCT host) FROM printed WHERE message = 'client'
-  AND case_id NOT IN (SELECT concat('case-', r_regionkey) FROM region) GROUP BY 1
-UNION ALL SELECT case_id, 'icmp', count(*) FROM p WHERE seq % 9 IN (0, 1) GROUP BY 1""")
-SQL["object_labels"] = """WITH n AS (SELECT trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM documents)
-SELECT CASE WHEN t = '' THEN NULL WHEN length(t) <= 160 THEN length(t) ELSE 159 END AS label_length, count(*) AS documents FROM n GROUP BY 1"""
+_FLOW = """o AS (SELECT *, first_value(up) OVER (PARTITION BY case_id, client, server, port ORDER BY seq, ts, up) AS first_up,
+  (server LIKE '192.168.%') AS inside FROM p),
+f AS (SELECT *, CASE WHEN NOT inside THEN up ELSE up = first_up END AS fwd,
+  CASE WHEN inside AND NOT first_up THEN false ELSE true END AS normal FROM o),
+flow AS (SELECT case_id, min(seq) AS seq, CASE WHEN normal THEN client ELSE server END AS src_ip,
+  CASE WHEN normal THEN server ELSE client END AS dst_ip, CASE WHEN normal THEN 443 ELSE port END AS dst_port,
+  coalesce(sum(length(payload)) FILTER (fwd), 0)::BIGINT AS orig_bytes, coalesce(sum(length(payload)) FILTER (NOT fwd), 0)::BIGINT AS resp_bytes,
+  max(CASE WHEN fwd AND rf = 'R' THEN 'POST' END) AS method, arg_max(host, seq) FILTER (fwd AND rf = 'R') AS host,
+  arg_max(concat('/gate.php?p=', part), seq) FILTER (fwd AND rf = 'R') AS uri,
+  arg_min(concat('STOR|part', part, '.zip'), seq) FILTER (fwd AND rf = 'N') AS store
+  FROM f GROUP BY case_id, client, server, port, normal)"""
+_NOT_LOGGED = "case_id NOT IN (SELECT concat('case-', r_regionkey) FROM region)"
+SQL["packet_tables"] = sql("pkt", "dns", "hello", body=f""", p AS (SELECT * FROM pkt WHERE {_NOT_LOGGED}), {_FLOW}
+SELECT case_id, 'sessions' AS table_name, seq, dst_ip, concat_ws('|', src_ip, dst_port, orig_bytes, resp_bytes) AS detail FROM flow
+UNION ALL SELECT case_id, 'http', seq, dst_ip, concat_ws('|', method, host, uri) FROM flow WHERE method IS NOT NULL
+UNION ALL SELECT case_id, 'ftp', seq, dst_ip, store FROM flow WHERE store IS NOT NULL
+UNION ALL SELECT case_id, 'dns', seq, dst_ip, concat_ws('|', query, CASE WHEN qtype = 'TXT' THEN 'TXT' ELSE 'A' END,
+  CASE WHEN rcode = 'NXDOMAIN' THEN 'NXDOMAIN' ELSE 'NOERROR' END) FROM dns WHERE seq % 10 <> 0 AND {_NOT_LOGGED}
+UNION ALL SELECT case_id, 'tls', seq, host, concat_ws('|', sni, ja3, ja4) FROM
+  (SELECT * FROM printed WHERE message = 'client' AND {_NOT_LOGGED} QUALIFY row_number() OVER (PARTITION BY case_id, host ORDER BY seq) = 1)
+UNION ALL SELECT case_id, 'icmp', seq, CASE WHEN up THEN server ELSE client END, length(payload)::VARCHAR FROM p WHERE seq % 9 IN (0, 1)""")
+SQL["case_sources"] = sql("sess", "pkt", body=f""", p AS (SELECT * FROM pkt WHERE case_id IN ('case-4', 'case-5', 'case-6')), {_FLOW}
+SELECT case_id, 'logs' AS source, src_ip, dst_ip, dst_port, orig_bytes, resp_bytes FROM sess WHERE case_id NOT IN ('case-4', 'case-5', 'case-6')
+UNION ALL SELECT case_id, 'capture', src_ip, dst_ip, dst_port, orig_bytes, resp_bytes FROM flow""")
+SQL["object_labels"] = """WITH n AS (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM documents)
+SELECT doc_id, CASE WHEN t = '' THEN NULL WHEN length(t) <= 160 THEN t ELSE concat(substr(t, 1, 78), '...', substr(t, length(t) - 77)) END AS label FROM n"""
+
+# --- the whole analysis ------------------------------------------------------------------
+
+_GUEST_OF = "(r.g IS NULL OR src_ip = r.g OR dst_ip = r.g)"
+_IN = _GUEST_OF + " AND ts >= 788918400 AND ts <= 1893456000"
+_BACKGROUND = (
+    f"(NOT list_has_any({suffixes('domain')}, [{_list(vocab.ABUSED_HOSTS)}]) AND list_has_any({suffixes('domain')}, [{_list(vocab.OS_BACKGROUND)}])"
+    f" OR domain IN ({_list(vocab.ALLOWLIST_DOMAINS)}) OR {registered('domain')} IN ({_list(vocab.ALLOWLIST_DOMAINS)}))"
+)
+CTE["scoped"] = f"""{_GUEST.format(t='sess')},
+r AS (SELECT m.case_id, coalesce(m.guest, x.guest_ip) AS g, m.mode, m.clock_ok FROM man m LEFT JOIN guest x USING (case_id)),
+c_sess AS (SELECT s.* FROM sess s JOIN r USING (case_id) WHERE {_IN}),
+c_http AS (
+  SELECT h.case_id, seq, src_ip, dst_ip, dst_port, method, host, uri, NULL::VARCHAR AS user_agent, uid FROM ohttp h JOIN r USING (case_id) WHERE {_IN}
+  UNION ALL SELECT p.case_id, seq, src_ip, dst_ip, dst_port, method, host, uri, user_agent, NULL FROM phttp p JOIN r USING (case_id) WHERE {_IN}),
+c_ftp AS (SELECT f.* FROM oftp f JOIN r USING (case_id) WHERE {_IN}),
+c_dns AS (SELECT d.* FROM dns d JOIN r USING (case_id) WHERE {_IN}),
+c_tls AS (SELECT t.* FROM ptls t JOIN r USING (case_id) WHERE {_IN}),
+c_icmp AS (SELECT i.* FROM (
+  SELECT concat('case-', event_id % 2) AS case_id, '10.0.0.5' AS src_ip, CASE WHEN event_type = 'error' THEN floor(value)::INT ELSE 56 END AS len,
+    concat(CASE WHEN event_type = 'error' THEN '198.51.' ELSE '198.52.' END, user_id // 250, '.', user_id % 250) AS dst_ip FROM events) i
+  JOIN r USING (case_id) WHERE {_GUEST_OF}),
+c_mail AS (SELECT m.* FROM (
+  SELECT concat('case-', conv_id % 7) AS case_id, 1704067200.0 + conv_id AS ts, concat('10.0.0.', conv_id % 200 + 1) AS src_ip,
+    concat('198.51.100.', conv_id % 50) AS dst_ip, conv_id % 16 = 0 AS empty, concat('u', turn % 9, '@example.com') AS r1,
+    concat('c', conv_id, '@drop.example') AS r2, length(text) % 3 = 0 AS att, CASE WHEN role <> 'user' THEN concat('bot', conv_id % 5, '@service.example')
+      WHEN conv_id % 8 <> 0 THEN concat('U', conv_id % 9, '@Example.com') END AS mail_from FROM conversations) m JOIN r USING (case_id) WHERE {_IN}),
+up AS (SELECT *, trim(concat(command, ' ', arg)) AS stored FROM c_ftp WHERE upper(command) IN ('STOR', 'STOU', 'APPE')),
+hu AS (SELECT * FROM c_http WHERE uid IS NOT NULL QUALIFY row_number() OVER (PARTITION BY case_id, uid ORDER BY seq) = 1),
+hk AS (SELECT * FROM c_http QUALIFY row_number() OVER (PARTITION BY case_id, src_ip, dst_ip, dst_port ORDER BY seq, method, host, uri) = 1),
+fu AS (SELECT * FROM up WHERE uid IS NOT NULL QUALIFY row_number() OVER (PARTITION BY case_id, uid ORDER BY seq) = 1),
+fk AS (SELECT * FROM up QUALIFY row_number() OVER (PARTITION BY case_id, src_ip, dst_ip ORDER BY seq) = 1),
+cc AS (
+  SELECT s.case_id, s.seq, s.ts, s.src_ip, s.dst_ip, s.dst_port, s.orig_bytes, s.resp_bytes, s.history,
+    CASE WHEN hu.seq IS NOT NULL THEN hu.method ELSE hk.method END AS http_method, CASE WHEN hu.seq IS NOT NULL THEN hu.host ELSE hk.host END AS http_host,
+    coalesce(fu.stored, fk.stored) AS ftp_upload_cmd,
+    CASE WHEN s.orig_bytes + s.resp_bytes > 0 THEN s.orig_bytes / (s.orig_bytes + s.resp_bytes)::DOUBLE ELSE 0 END AS ratio
+  FROM c_sess s LEFT JOIN hu ON hu.case_id = s.case_id AND hu.uid = s.uid
+    LEFT JOIN hk ON hk.case_id = s.case_id AND hk.src_ip = s.src_ip AND hk.dst_ip = s.dst_ip AND hk.dst_port = s.dst_port
+    LEFT JOIN fu ON fu.case_id = s.case_id AND fu.uid = s.uid
+    LEFT JOIN fk ON fk.case_id = s.case_id AND fk.src_ip = s.src_ip AND fk.dst_ip = s.dst_ip),
+infra AS (SELECT DISTINCT case_id, dst_ip FROM dns UNION SELECT case_id, g FROM r WHERE g IS NOT NULL),
+responder AS (SELECT DISTINCT c.case_id, c.dst_ip FROM c_sess c JOIN r USING (case_id) WHERE r.mode = 'simulated' AND (r.g IS NULL OR src_ip = r.g)
+  AND {private('c.dst_ip')} AND c.dst_ip NOT LIKE '%.0' AND c.dst_ip NOT LIKE '%.255' AND (c.case_id, c.dst_ip) NOT IN (SELECT (case_id, dst_ip) FROM infra)),
+pub AS (SELECT cc.* FROM cc LEFT JOIN responder x USING (case_id, dst_ip) WHERE NOT {private('dst_ip')} OR x.dst_ip IS NOT NULL)"""
+
+CTE["candidates"] = f"""rec AS (SELECT case_id, src_ip, dst_ip, dst_port, min(seq) AS f, arg_max(server_name, seq) AS sni FROM c_tls GROUP BY 1, 2, 3, 4),
+fp AS (SELECT case_id, dst_ip, dst_port, sni FROM rec QUALIFY row_number() OVER (PARTITION BY case_id, dst_ip, dst_port ORDER BY f) = 1),
+hh AS (SELECT case_id, dst_ip, arg_min(lower(http_host), seq) AS h FROM cc WHERE contains(http_host, '.') GROUP BY 1, 2),
+fx AS (SELECT *, http_method IS NOT DISTINCT FROM 'POST' AND orig_bytes >= 1024 AS big FROM pub),
+vol AS (SELECT * FROM fx WHERE big OR (orig_bytes >= CASE WHEN http_method IS NOT DISTINCT FROM 'POST' THEN 1024 ELSE 204800 END AND ratio >= 0.7)),
+ftp AS (SELECT * FROM pub WHERE ftp_upload_cmd IS NOT NULL QUALIFY row_number() OVER (PARTITION BY case_id, dst_ip
+  ORDER BY seq, src_ip, dst_port, orig_bytes, resp_bytes, ftp_upload_cmd) = 1),
+exf AS (SELECT case_id, dst_ip, dst_port, {rnd("0.5 + CASE WHEN big THEN 0.3 ELSE 0 END + CASE WHEN ratio >= 0.7 THEN 0.2 ELSE 0 END", 2)} AS conf FROM vol
+  UNION ALL SELECT case_id, dst_ip, dst_port, 0.8 FROM ftp ANTI JOIN vol USING (case_id, dst_ip, dst_port)),
+bi AS (SELECT *, ts - lag(ts) OVER (PARTITION BY case_id, dst_ip, dst_port ORDER BY ts) AS iv, (resp_bytes > 0 OR regexp_matches(history, '[a-z]')) AS answered FROM pub),
+bs AS (SELECT case_id, dst_ip, dst_port, count(*) AS n, avg(iv) AS m, coalesce(stddev_pop(iv), 0) AS sd, avg(orig_bytes) AS mz, stddev_pop(orig_bytes) AS sz,
+  count(*) FILTER (answered) AS a FROM bi GROUP BY 1, 2, 3 HAVING count(*) >= 4),
+bj AS (SELECT *, CASE WHEN m > 0 THEN sd / m ELSE 1.0 END AS jit, CASE WHEN mz > 0 THEN sz / mz ELSE 0.0 END AS cv FROM bs),
+bea AS (SELECT case_id, dst_ip, dst_port, CASE WHEN a = 0 THEN 'weak' END AS preset, {rnd("""least((1 - jit / 0.25) * 0.55 + least(n / 10.0, 1.0) * 0.35
+    + CASE WHEN cv < 0.1 THEN 0.1 ELSE 0.0 END, CASE WHEN a = 0 THEN 0.3 ELSE 1.0 END)""", 2)} AS conf FROM bj WHERE jit <= 0.25 AND m >= 1.0),
+tp AS (SELECT t.*, i.value IS NOT NULL OR j.value IS NOT NULL AS hit FROM c_tls t LEFT JOIN intel i ON i.value = t.dst_ip LEFT JOIN intel j ON j.value = t.ja3
+  WHERE NOT {private('t.dst_ip')}),
+th AS (SELECT * FROM tp WHERE hit QUALIFY row_number() OVER (PARTITION BY case_id, dst_ip ORDER BY seq) = 1),
+tc AS (SELECT t.*, CASE WHEN t.subject = t.issuer THEN 'strong' ELSE 'weak' END AS preset FROM tp t LEFT JOIN th USING (case_id, dst_ip)
+  WHERE (t.subject = t.issuer OR lower(coalesce(t.validation_status, '')) NOT IN ('', 'ok', '-')) AND (th.seq IS NULL OR t.seq < th.seq)),
+""" + CTE["tunnel"].replace("FROM dns)", "FROM c_dns)") + f""",
+rc AS (SELECT case_id, domain, dst_ip, count(*) AS c, min(seq) AS f FROM q GROUP BY 1, 2, 3),
+rr AS (SELECT * FROM rc QUALIFY row_number() OVER (PARTITION BY case_id, domain ORDER BY c DESC, f) = 1),
+dd AS (SELECT case_id, domain, count(*) AS n, count(*) FILTER (rcode = 'NXDOMAIN') AS nx FROM q GROUP BY 1, 2),
+dc AS (SELECT case_id, count(*) FILTER (nx > 0) AS k, sum(nx) / sum(n)::DOUBLE AS share, avg({ent("string_split(domain, '.')[1]")}) FILTER (nx > 0) AS e FROM dd GROUP BY 1),
+burst AS (SELECT case_id, concat('<', k, ' algorithmic domains>') AS domain FROM dc WHERE k >= 10 AND e >= 3.2 AND share >= 0.5),
+own AS (SELECT case_id, lower(domain) AS parent FROM tunnels UNION SELECT case_id, lower(domain) FROM burst),
+nm AS (SELECT DISTINCT case_id, {clean('query')} AS domain FROM c_dns WHERE contains({clean('query')}, '.')),
+np AS (SELECT case_id, domain, unnest({suffixes('domain', 2)}) AS parent FROM nm),
+nk AS (SELECT *, {_BACKGROUND} AS back FROM nm ANTI JOIN (SELECT case_id, domain FROM np SEMI JOIN own USING (case_id, parent)) USING (case_id, domain)),
+ep AS (SELECT case_id, src_ip, dst_ip, dst_port, server_name AS host, 0 AS src, seq FROM c_tls UNION ALL SELECT case_id, src_ip, dst_ip, dst_port, host, 1, seq FROM c_http),
+em AS (SELECT *, {clean('host')} AS h FROM ep WHERE host <> ''),
+es AS (SELECT *, {_SERVICE} AS no FROM em),
+ef AS (SELECT * FROM es WHERE no IS NOT NULL QUALIFY row_number() OVER (PARTITION BY case_id, dst_ip, host ORDER BY src, seq) = 1),
+ls AS (SELECT * FROM c_sess QUALIFY row_number() OVER (PARTITION BY case_id, src_ip, dst_ip, dst_port ORDER BY seq DESC) = 1),
+cl AS (SELECT f.case_id, f.dst_ip, f.dst_port, f.host, [{_list(k for _, _, k in vocab.CLOUD_SERVICES)}][no] AS risk,
+  coalesce(s.orig_bytes, 0) AS o, coalesce(s.resp_bytes, 0) AS i FROM ef f LEFT JOIN ls s USING (case_id, src_ip, dst_ip, dst_port)),
+ml AS (SELECT *, coalesce(NOT empty AND lower(mail_from) IN (r1, r2), false) AS self FROM c_mail WHERE mail_from IS NOT NULL OR NOT empty),
+wb AS (SELECT *, regexp_matches(uri, '{_GATE}') AS gate, coalesce(lower(trim(user_agent)) IN ({_list(vocab.SUSPICIOUS_AGENTS)}), false) AS ua FROM c_http),
+wf AS (SELECT * FROM wb WHERE gate OR ua QUALIFY row_number() OVER (PARTITION BY case_id, dst_ip, uri ORDER BY seq) = 1),
+ic AS (SELECT case_id, dst_ip FROM c_icmp GROUP BY 1, 2 HAVING count(*) >= 8 AND avg(len) >= 64),
+pm AS (SELECT case_id, dst_ip, dst_port FROM c_http WHERE dst_port NOT IN ({', '.join(map(str, vocab.HTTP_PORTS))})
+  UNION SELECT case_id, dst_ip, dst_port FROM c_tls WHERE dst_port NOT IN ({', '.join(map(str, vocab.TLS_PORTS))})),
+sn AS (SELECT case_id, dst_ip, arg_max(server_name, seq) AS sni FROM c_tls WHERE server_name <> '' GROUP BY 1, 2),
+eg AS (SELECT DISTINCT case_id, dst_ip, dst_port FROM pub WHERE orig_bytes >= 2048 AND ratio >= 0.6),
+cand AS (
+  SELECT e.case_id, 'exfil' AS kind, e.dst_ip, e.dst_port, coalesce(hh.h, fp.sni) AS domain, e.conf, NULL::VARCHAR AS preset
+    FROM exf e LEFT JOIN hh USING (case_id, dst_ip) LEFT JOIN fp ON fp.case_id = e.case_id AND fp.dst_ip = e.dst_ip AND fp.dst_port = e.dst_port
+  UNION ALL SELECT b.case_id, 'beacon', b.dst_ip, b.dst_port, coalesce(hh.h, fp.sni), b.conf, b.preset
+    FROM bea b LEFT JOIN hh USING (case_id, dst_ip) LEFT JOIN fp ON fp.case_id = b.case_id AND fp.dst_ip = b.dst_ip AND fp.dst_port = b.dst_port
+  UNION ALL SELECT case_id, 'ja3', dst_ip, dst_port, server_name, 0.7, NULL FROM th
+  UNION ALL SELECT case_id, 'tls_cert', dst_ip, dst_port, server_name, 0.6, preset FROM tc
+  UNION ALL SELECT t.case_id, 'dns_tunnel', rr.dst_ip, 53, t.domain, {rnd('least(1.0, 0.5 + 0.15 * t.score)', 2)}, 'strong' FROM tunnels t JOIN rr USING (case_id, domain)
+  UNION ALL SELECT case_id, 'dga', '', 53, domain, 0.7, 'strong' FROM burst
+  UNION ALL SELECT case_id, 'resolved_domain', NULL, NULL, domain, CASE WHEN back THEN 0.0 ELSE 0.4 END, CASE WHEN back THEN 'allowlisted' ELSE 'weak' END FROM nk
+  UNION ALL SELECT case_id, CASE WHEN NOT (o > i * 1.2 AND o > 0) AND i > o THEN 'cloud_staging' ELSE 'cloud_exfil' END, dst_ip, dst_port, host,
+    CASE risk WHEN 'high' THEN 0.75 ELSE 0.4 END, CASE risk WHEN 'high' THEN 'strong' ELSE 'weak' END FROM cl
+  UNION ALL SELECT case_id, 'smtp_exfil', dst_ip, 25, CASE WHEN NOT empty THEN r1 END,
+    {rnd('0.6 + CASE WHEN att THEN 0.15 ELSE 0 END + CASE WHEN self THEN 0.15 ELSE 0 END', 2)}, CASE WHEN att OR self THEN 'strong' ELSE 'weak' END FROM ml
+  UNION ALL SELECT case_id, 'http_c2', dst_ip, dst_port, host, CASE WHEN gate THEN 0.7 ELSE 0.45 END, CASE WHEN gate THEN 'strong' ELSE 'weak' END
+    FROM wf WHERE NOT {private('dst_ip')}
+  UNION ALL SELECT case_id, 'icmp_tunnel', dst_ip, 0, NULL, 0.75, 'strong' FROM ic
+  UNION ALL SELECT case_id, 'port_mismatch', dst_ip, dst_port, NULL, 0.4, 'weak' FROM pm WHERE NOT {private('dst_ip')}
+  UNION ALL SELECT e.case_id, 'unclassified_egress', e.dst_ip, e.dst_port, sn.sni, 0.4, 'weak' FROM eg e LEFT JOIN sn USING (case_id, dst_ip)),
+kd AS (SELECT case_id, dst_ip, bool_or(kind IN ('exfil', 'beacon')) AS flow, bool_or(kind <> 'unclassified_egress') AS other FROM cand GROUP BY 1, 2),
+fnd AS (SELECT c.* FROM cand c LEFT JOIN kd ON kd.case_id = c.case_id AND kd.dst_ip = c.dst_ip
+  WHERE NOT coalesce(c.kind IN ('ja3', 'tls_cert') AND kd.flow, false) AND NOT coalesce(c.kind = 'unclassified_egress' AND kd.other, false)),
+sk AS (SELECT case_id, dst_ip, count(DISTINCT kind) AS k FROM fnd WHERE dst_ip IS NOT NULL GROUP BY 1, 2),
+rp AS (
+  SELECT f.*, sk.k, i.value IS NOT NULL AS ip_hit, i.note AS ip_note, coalesce(f.domain, '') <> '' AND (d.value IS NOT NULL OR e.value IS NOT NULL) AS dom_hit,
+    CASE WHEN d.value IS NOT NULL THEN d.note ELSE e.note END AS dom_note
+  FROM fnd f LEFT JOIN sk ON sk.case_id = f.case_id AND sk.dst_ip = f.dst_ip LEFT JOIN intel i ON i.value = f.dst_ip
+    LEFT JOIN intel d ON d.value = {clean('f.domain')} LEFT JOIN intel e ON e.value = {registered(clean('f.domain'))}),
+tr AS (
+  SELECT case_id, kind, dst_ip, dst_port, domain, conf, ip_hit OR dom_hit AS hit,
+    CASE WHEN ip_hit THEN ip_note WHEN dom_hit THEN concat('domain intel: ', dom_note) END AS note,
+    CASE WHEN preset IS NOT NULL AND (ip_hit OR dom_hit) THEN 'confirmed' WHEN dom_hit AND NOT ip_hit THEN 'confirmed' WHEN preset IS NOT NULL THEN preset
+      WHEN ip_hit THEN 'confirmed' WHEN k >= 2 THEN 'strong' ELSE 'weak' END AS tier FROM rp),
+io AS (SELECT * FROM ioc ANTI JOIN (SELECT case_id, dst_ip AS value, 'ip' AS type FROM infra) USING (case_id, type, value)),
+ik AS (SELECT case_id, seq, unnest(keys) AS key FROM io),
+sx AS (
+  SELECT case_id, dst_ip AS key FROM tr UNION SELECT case_id, dst_ip FROM cc ANTI JOIN infra USING (case_id, dst_ip)
+  UNION SELECT case_id, lower(domain) FROM tr UNION SELECT case_id, lower(query) FROM c_dns),
+ih AS (SELECT DISTINCT k.case_id, k.seq, k.key FROM ik k JOIN sx USING (case_id, key) WHERE key <> ''),
+fm AS (SELECT h.case_id, h.key, max(CASE WHEN family IS NULL THEN '' ELSE concat(' (', family, ')') END) AS fam FROM ih h JOIN io USING (case_id, seq) GROUP BY 1, 2),
+pr AS (SELECT t.*, coalesce(a.fam, b.fam) AS fam FROM tr t LEFT JOIN fm a ON a.case_id = t.case_id AND a.key = t.dst_ip
+  LEFT JOIN fm b ON b.case_id = t.case_id AND b.key = lower(t.domain)),
+kn AS (SELECT DISTINCT case_id, dst_ip AS value FROM tr WHERE dst_ip IS NOT NULL UNION SELECT case_id, lower(domain) FROM tr WHERE domain IS NOT NULL),
+xi AS (SELECT i.*, EXISTS (SELECT 1 FROM ih WHERE ih.case_id = i.case_id AND ih.seq = i.seq) AS obs,
+  EXISTS (SELECT 1 FROM kn WHERE kn.case_id = i.case_id AND kn.value IN (i.value, lower(i.value))) AS known,
+  CASE WHEN i.family IS NULL THEN '' ELSE concat(' (', i.family, ')') END AS f,
+  CASE WHEN config THEN 'decrypted from the sample''s configuration' ELSE 'found as a string inside the sample' END AS how FROM io i),
+al AS (
+  SELECT case_id, kind, dst_ip, dst_port, domain, conf, CASE WHEN fam IS NOT NULL THEN 'confirmed' ELSE tier END AS tier, hit OR fam IS NOT NULL AS hit, note,
+    CASE WHEN fam IS NOT NULL THEN concat('matches static-extracted C2', fam) END AS matched FROM pr
+  UNION ALL SELECT case_id, 'static_ioc', CASE WHEN type = 'ip' THEN value ELSE '' END, 0, CASE WHEN type <> 'ip' THEN value END,
+    CASE WHEN obs AND config THEN 0.9 WHEN obs THEN 0.7 WHEN config THEN 0.8 ELSE 0.4 END,
+    CASE WHEN obs AND config THEN 'confirmed' WHEN obs OR config THEN 'strong' ELSE 'weak' END, obs, NULL,
+    CASE WHEN obs THEN concat('C2', f, ' ', how, ' and contacted on network') END FROM xi WHERE NOT obs OR NOT known),
+lk AS (SELECT *, CASE WHEN tier = 'weak' THEN {_allow('domain', '')} END AS sanctioned FROM al),
+gt AS (SELECT lk.*, CASE WHEN sanctioned IS NOT NULL THEN 'allowlisted' ELSE tier END AS graded, r.clock_ok FROM lk LEFT JOIN r USING (case_id)),
+final AS (SELECT *, kind = 'beacon' AND NOT clock_ok AND NOT hit AND coalesce(matched, '') = '' AND graded IN ('strong', 'confirmed') AS cap FROM gt)"""
+SQL["network_findings"] = sql("sess", "ohttp", "oftp", "dns", "phttp", "ptls", "man", "intel", body=""",
+""" + CTE["ioc"].split(",\nseen AS")[0] + ",\n" + CTE["scoped"] + ",\n" + CTE["candidates"] + """
+SELECT case_id, kind, dst_ip, dst_port::INT AS dst_port, domain AS destination_domain, conf AS confidence, CASE WHEN cap THEN 'weak' ELSE graded END AS confidence_tier,
+  hit AS reputation_hit, note AS reputation_note, matched AS static_match, sanctioned AS allowlist_match, CASE WHEN cap THEN 'clock_quality' END AS capped_by_caveat
+FROM final""")

@@ -17,10 +17,12 @@ from netforensics.operators import (
 )
 from netforensics.plans.case import Context, analyse
 from netforensics.plans.case import network_findings as case_findings
-from netforensics.session import apply_settings, reliable_checkpoint
+from netforensics.session import apply_settings, reliable_checkpoint, work_folder
 from netforensics.sources import documents as doc
 from netforensics.sources import feeds as fd
+from netforensics.sources import cases as case_files
 from netforensics.sources import zeek
+from netforensics.vocab import KNOWN_BAD_JA3
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -57,9 +59,7 @@ def ftp_store_exfil(spark, sf):
 def exfil_merged(spark, sf):
     conns = t.connections(spark, sf)
     merged = tr.merge_exfil(tr.detect_exfil(conns, min_raw_upload_bytes=40_000), tr.detect_ftp_exfil(conns))
-    return merged.groupBy("case_id", "http_method").agg(
-        F.count(F.lit(1)).alias("verdicts"), F.countDistinct("dst_ip").alias("destinations")
-    )
+    return merged.select("case_id", "seq", "dst_ip", "dst_port", "orig_bytes", "http_method", "http_uri", "confidence")
 
 
 @query
@@ -127,9 +127,13 @@ def simulated_scope(spark, sf):
 # --- DNS --------------------------------------------------------------------------------
 
 
+def _name_index(spark, sf):
+    return reliable_checkpoint(dn.name_index(t.dns(spark, sf)))
+
+
 @query
 def dns_tunnel(spark, sf):
-    return dn.detect_dns_tunneling(t.dns(spark, sf)).select(
+    return dn.detect_dns_tunneling(_name_index(spark, sf)).select(
         "case_id", "domain", "query_count", "avg_entropy", "avg_sub_len", "tunnel_rt_fraction", "unique_ratio",
         "nxdomain_ratio", "confidence", F.array_join("resolver_ips", ",").alias("resolvers"),
     )
@@ -148,8 +152,8 @@ def doh_endpoints(spark, sf):
 
 @query
 def resolved_destinations(spark, sf):
-    dns = t.dns(spark, sf)
-    return dn.detect_resolved_destinations(dns, dn.detect_dns_tunneling(dns)).select(
+    asked = _name_index(spark, sf)
+    return dn.detect_resolved_destinations(asked, dn.detect_dns_tunneling(asked)).select(
         "case_id", "domain", "query_count", F.round("avg_entropy", 6).alias("avg_entropy"), "avg_sub_len", "confidence",
         "evidence",
     )
@@ -258,9 +262,11 @@ def service_fingerprint(spark, sf):
 
 def _page_intel(spark, sf):
     """Suppliers as fingerprint indicators and customers as addresses of page destinations."""
-    prints = t.read(spark, sf, "pages").filter("page_id % 10 = 3").selectExpr(
-        "md5(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1)) AS value", "'pages' AS source", "'Trickbot' AS note",
-        "'ja3' AS indicator_type", "CAST(NULL AS string) AS last_seen",
+    host = "regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1)"
+    prints = t.read(spark, sf, "pages").selectExpr(
+        f"CASE WHEN page_id % 10 = 3 THEN md5({host}) ELSE concat('listed.', {host}) END AS value", "'pages' AS source",
+        "'Trickbot' AS note", "CASE WHEN page_id % 10 = 3 THEN 'ja3' ELSE 'domain' END AS indicator_type",
+        "CAST(NULL AS string) AS last_seen",
     )
     hosts = t.read(spark, sf, "supplier").filter("s_acctbal < 0").selectExpr(
         "concat('203.0.113.', s_suppkey % 60) AS value", "'suppliers' AS source", "'C2' AS note", "'ip' AS indicator_type",
@@ -271,8 +277,9 @@ def _page_intel(spark, sf):
 
 @query
 def tls_reputation(spark, sf):
-    covered = t.read(spark, sf, "supplier").filter("s_nationkey = 7").selectExpr(
-        "'case-1' AS case_id", "concat('203.0.113.', s_suppkey % 60) AS dst_ip"
+    covered = t.read(spark, sf, "supplier").selectExpr(
+        "CASE WHEN s_nationkey = 7 THEN 'case-1' ELSE concat('other-', s_nationkey) END AS case_id",
+        "concat('203.0.113.', s_suppkey % 60) AS dst_ip",
     )
     return tl.tls_findings(t.page_tls(spark, sf), covered, _page_intel(spark, sf)).select(
         "case_id", "seq", "kind", "dst_ip", "dst_port", "server_name", "confidence", "reputation_hit", "severity",
@@ -282,8 +289,7 @@ def tls_reputation(spark, sf):
 
 @query
 def known_bad_ja3(spark, sf):
-    listed = ["72a589da586844d7f0818ce684948eea", "a0e9f5d64349fb13191bc781f81f42e1",
-              "e35df3e00ca4ef31d42b34bebaa2f86e", "6734f37431670b3ab4292b8f60f29984"]
+    listed = [value for value, _ in KNOWN_BAD_JA3][:4]
     rows = t.page_tls(spark, sf).withColumn(
         "ja3",
         F.when(
@@ -301,9 +307,8 @@ def flow_assembly(spark, sf):
     return fl.assemble_flows(t.packets(spark, sf)).drop("proto", "history")
 
 
-@query
-def smtp_envelopes(spark, sf):
-    rows = t.read(spark, sf, "conversations").selectExpr(
+def _mail_packets(spark, sf):
+    return t.read(spark, sf, "conversations").selectExpr(
         "concat('case-', conv_id % 7) AS case_id", "conv_id * 1000 + turn AS seq", "1704067200.0D + conv_id AS ts",
         "'10.0.0.5' AS src_ip", "40000 AS src_port", "concat('198.51.100.', conv_id % 200) AS dst_ip",
         "CASE WHEN conv_id % 2 = 0 THEN 25 ELSE 587 END AS dst_port", "'tcp' AS proto",
@@ -311,16 +316,26 @@ def smtp_envelopes(spark, sf):
         "turn, '\\r\\n', CASE WHEN length(text) % 2 = 0 THEN 'Content-Disposition: attachment\\r\\n' ELSE '' END) "
         "AS binary) AS payload",
     )
-    return fl.smtp_envelopes(rows).select(
+
+
+@query
+def smtp_envelopes(spark, sf):
+    packets = _mail_packets(spark, sf)
+    return fl.smtp_with_lists(fl.smtp_envelopes(packets), fl.smtp_items(packets)).select(
         "case_id", "seq", "src_ip", "dst_ip", "dst_port", "mail_from", F.array_join("rcpt_to", ",").alias("rcpt_to"),
         "subject", F.size("attachments").alias("attachments"),
     )
 
 
+@query
+def smtp_items(spark, sf):
+    return fl.smtp_items(_mail_packets(spark, sf))
+
+
 @query
 def outbound_content(spark, sf):
-    return fl.outbound_content(t.packets(spark, sf), min_bytes=64, max_flow_bytes=100).select(
-        "case_id", "seq", "source_ip", "dest_ip", "total_bytes", "sha256", "preview"
+    return fl.outbound_content(t.packets(spark, sf), min_bytes=64, head_bytes=100).select(
+        "case_id", "seq", "source_ip", "dest_ip", "total_bytes", "sha256", "head_sha256", "preview"
     )
 
 
@@ -335,9 +350,8 @@ def outbound_artifacts(spark, sf):
         f"{t.address('o_custkey')} AS dest_ip", "o_orderstatus = 'P' AND o_custkey % 9 = 0 AS is_outbound",
         "CAST(NULL AS string) AS uid", "CAST(NULL AS string) AS preview",
     )
-    merged = fl.outbound_artifacts(files, t.packets(spark, sf))
-    return merged.groupBy("case_id").agg(
-        F.count(F.lit(1)).alias("artifacts"), F.sum("total_bytes").alias("total_bytes"), F.max("sha256").alias("last_hash")
+    return fl.outbound_artifacts(files, t.packets(spark, sf)).select(
+        "case_id", "seq", "total_bytes", "sha256", "head_sha256", "source_ip", "dest_ip", "is_outbound", "preview"
     )
 
 
@@ -379,12 +393,25 @@ def suffix_allowlist(spark, sf):
 
 @query
 def geo_range(spark, sf):
-    ranges = t.read(spark, sf, "nation").selectExpr(
-        "3405774848L + n_nationkey * 1000 AS lo", "3405774848L + n_nationkey * 1000 + 799 AS hi",
-        "n_name AS geo_country", "concat('AS', n_nationkey) AS asn", "concat('Org ', n_regionkey) AS asn_org",
+    """Ranges of both families, given as address texts, against addresses of both."""
+    v4 = "concat('203.0.', ({0}) div 256, '.', ({0}) % 256)"
+    v6 = "concat('2001:db8:', lower(hex({0})), '::', '{1}')"
+    bounds = [
+        (v4.format("n_nationkey * 1000"), v4.format("n_nationkey * 1000 + 799")),
+        (v6.format("n_nationkey * 16", "1000"), v6.format("n_nationkey * 16 + 11", "1fff")),
+    ]
+    ranges = t.read(spark, sf, "nation").select(
+        F.inline(F.array(*[F.struct(F.expr(lo).alias("lo"), F.expr(hi).alias("hi")) for lo, hi in bounds])),
+        F.col("n_name").alias("geo_country"), F.expr("concat('AS', n_nationkey)").alias("asn"),
+        F.expr("concat('Org ', n_regionkey)").alias("asn_org"),
     )
-    rows = t.connections(spark, sf).select("case_id", "dst_ip").distinct()
-    return jn.geo_enrich(rows, ranges)
+    rows = t.connections(spark, sf).select("case_id", "dst_ip").unionByName(
+        t.read(spark, sf, "lineitem").selectExpr(
+            "concat('case-', l_orderkey % 7) AS case_id",
+            "concat('2001:db8:', lower(hex(l_suppkey % 400)), '::', lower(hex(l_orderkey % 9000))) AS dst_ip",
+        )
+    )
+    return jn.geo_enrich(rows.distinct(), ranges)
 
 
 @query
@@ -441,8 +468,12 @@ def gate_findings(spark, sf):
 
 @query
 def case_notes(spark, sf):
-    manifests = t.manifests(spark, sf)
-    return ti.case_notes(manifests, ti.gate_findings(_tiered(spark, sf), manifests))
+    """The ledger of caveats with the notes of all gates and of the clock check."""
+    manifests, access, network = t.manifests(spark, sf), t.access(spark, sf), t.network(spark, sf)
+    correlated = ti.gate_correlated(co.apply_veto(co.correlate_best(access, network), manifests), manifests)
+    minutes = access.withColumn("ts", F.col("ts") * 60), network.withColumn("event_time", F.col("event_time") * 60)
+    aligned = co.verify_clock_alignment(*minutes, manifests=manifests)
+    return ti.case_notes(manifests, ti.gate_findings(_tiered(spark, sf), manifests), correlated, aligned)
 
 
 @query
@@ -494,7 +525,9 @@ def clock_sync(spark, sf):
 def clock_alignment(spark, sf):
     host = t.access(spark, sf).withColumn("ts", F.col("ts") * 60)
     net = t.network(spark, sf).withColumn("event_time", F.col("event_time") * 60)
-    return co.verify_clock_alignment(host, net).select("case_id", F.round("gap_s", 6).alias("gap_s"))
+    return co.verify_clock_alignment(host, net, manifests=t.manifests(spark, sf)).select(
+        "case_id", F.round("gap_s", 6).alias("gap_s"), "note"
+    )
 
 
 @query
@@ -585,6 +618,11 @@ def family_verdicts(spark, sf):
     return st.family_verdicts(_families(spark, sf))
 
 
+@query
+def family_evidence(spark, sf):
+    return st.family_evidence(_families(spark, sf))
+
+
 # --- custody and export --------------------------------------------------------------------------------------------------
 
 
@@ -642,6 +680,16 @@ def case_manifest(spark, sf):
     return cu.case_manifest(inputs)
 
 
+@query
+def evidence_hashes(spark, sf):
+    """Evidence files, one per case with a line for each document, hashed range by range."""
+    folder = work_folder(spark, "evidence")
+    docs = t.read(spark, sf, "documents").selectExpr("concat('case-', doc_id % 50) AS case_id", "doc_id", "text")
+    ordered = docs.repartition("case_id").sortWithinPartitions("case_id", "doc_id")
+    ordered.select("case_id", "text").write.partitionBy("case_id").text(folder)
+    return cu.hash_inputs(spark, folder, range_bytes=64 << 10).select("case_id", "role", "sha256", "size_bytes")
+
+
 def _events(spark, sf):
     """Tiered orders in the shape of event rows, in chain order."""
     rows = _tiered(spark, sf).withColumns(
@@ -669,13 +717,32 @@ def ioc_export(spark, sf):
     return em.ioc_rows(_events(spark, sf)).drop("reputation_score", "asn_org", "data_type_accessed")
 
 
+CREATED = "2026-01-01T00:00:00+00:00"
+STIX_FIELDS = [
+    "type", "spec_version", "id", "created", "modified", "name", "description", "pattern", "pattern_type", "valid_from",
+    "confidence", "labels", "external_references", "first_observed", "last_observed", "number_observed", "object_refs",
+    "relationship_type", "source_ref", "target_ref",
+]
+
+
+def _stix_fields(rows, *more):
+    """Every field of the objects, as text; parsed once per object."""
+    schema = ", ".join(f"{f} string" for f in STIX_FIELDS)
+    return rows.select(*more, F.inline(F.array(F.from_json("json", schema))))
+
+
 @query
 def stix_objects(spark, sf):
-    return em.stix_objects(_events(spark, sf), "2026-01-01T00:00:00+00:00").select(
-        "case_id", "object_type", "object_id", F.get_json_object("json", "$.pattern").alias("pattern"),
-        F.get_json_object("json", "$.name").alias("name"), F.get_json_object("json", "$.confidence").alias("confidence"),
-        F.get_json_object("json", "$.source_ref").alias("source_ref"),
-        F.get_json_object("json", "$.target_ref").alias("target_ref"),
+    return _stix_fields(em.stix_objects(_events(spark, sf), CREATED), "case_id")
+
+
+@query
+def stix_bundles(spark, sf):
+    """One bundle document per case, written and read back."""
+    folder = work_folder(spark, "bundles")
+    em.write_stix(em.stix_objects(_events(spark, sf), CREATED), folder)
+    return _stix_fields(em.read_stix(spark, folder), "case_id", "bundle_id").select(
+        "case_id", "bundle_id", "type", "id", "name", "pattern", "source_ref", "target_ref"
     )
 
 
@@ -724,7 +791,7 @@ def sample_tiers(spark, sf):
 def new_events(spark, sf):
     events = _events(spark, sf)
     stored = t.read(spark, sf, "lineitem").select(rules.uuid5(F.col("l_orderkey").cast("string")).alias("event_id"))
-    return em.new_events(events, stored).groupBy("case_id").agg(F.count(F.lit(1)).alias("fresh"))
+    return em.new_events(events, stored).select("case_id", "event_id", "destination_ip", "confidence_tier")
 
 
 # --- evaluation ---------------------------------------------------------------------------------------------------------------
@@ -757,8 +824,8 @@ def precision_recall(spark, sf):
 # --- learned model ---------------------------------------------------------------------------------------------------------------
 
 
-def _labels(spark, sf):
-    return t.dns(spark, sf).select(F.lower(F.substring_index(registered_domain(F.col("query")), ".", 1)).alias("name")).distinct()
+def _labels(spark, sf, dns=None):
+    return (t.dns(spark, sf) if dns is None else dns).select(F.lower(F.substring_index(registered_domain(F.col("query")), ".", 1)).alias("name")).distinct()
 
 
 @query
@@ -786,7 +853,7 @@ def dga_score(spark, sf):
 def dga_training(spark, sf):
     """Train on page and document words against hashed names; metrics on both splits."""
     words = t.read(spark, sf, "documents").select(
-        F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{5,})"), F.lit(1))).alias("name")
+        F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), F.lit(1))).alias("name")
     )
     hashed = t.read(spark, sf, "events").select(F.substr(F.md5(F.col("event_id").cast("string")), F.lit(1), F.lit(16)).alias("name"))
     samples = dga.training_set((words, 0), (hashed, 1))
@@ -1085,8 +1152,10 @@ def _case_tables(spark, sf):
 
 
 def _context(spark, sf):
+    # The manifests end their detonation before the events and pages of the test tables begin.
+    manifests = t.manifests(spark, sf).withColumn("detonation_end_utc", F.lit("2030-01-01T00:00:00+00:00"))
     return Context(
-        intel=t.intel(spark, sf), static_iocs=t.static_iocs(spark, sf), manifests=t.manifests(spark, sf),
+        intel=t.intel(spark, sf), static_iocs=t.static_iocs(spark, sf), manifests=manifests,
         access=t.access(spark, sf).withColumn("ts", F.col("ts") * 60), artifacts=t.artifacts(spark, sf),
         samples=t.manifests(spark, sf).select("case_id", F.sha2("case_id", 256).alias("sample_id")),
         stage=reliable_checkpoint,
@@ -1110,10 +1179,11 @@ def case_events(spark, sf):
 
 @query
 def dga_learned(spark, sf):
-    weights = dga.name_features(_labels(spark, sf)).select("feature").distinct().withColumn(
+    asked = reliable_checkpoint(dn.name_index(t.dns(spark, sf).withColumn("query", F.lower("query"))))
+    weights = dga.name_features(_labels(spark, sf, asked)).select("feature").distinct().withColumn(
         "weight", ((F.ascii(F.substr("feature", F.lit(4))) % 7) - 3) * 2.0
     )
-    return dga.detect_dga_ml(t.dns(spark, sf).withColumn("query", F.lower("query")), weights, -0.25, min_prob=0.6).select(
+    return dga.detect_dga_ml(asked, weights, -0.25, min_prob=0.6).select(
         "case_id", "kind", "domain", "query_count", "avg_sub_len", "confidence",
         F.array_join("resolver_ips", ",").alias("resolvers"),
     )
@@ -1134,26 +1204,69 @@ def zeek_ssl(spark, sf):
     return zeek.fingerprints_from_ssl_log(zeek.parse_log(body.unionByName(head), zeek.LOG_FIELDS["ssl"]))
 
 
-@query
-def packet_tables(spark, sf):
-    """Case tables derived from packets for the cases without logs, counted per table."""
-    messages = t.dns(spark, sf).select(
+def _dns_messages(spark, sf):
+    return t.dns(spark, sf).select(
         "case_id", "seq", "ts", "src_ip", "dst_ip", F.concat("query", F.lit(".")).alias("query"),
         F.when(F.col("qtype") == "TXT", 16).otherwise(1).alias("qtype"),
         F.when(F.col("rcode") == "NXDOMAIN", 3).otherwise(0).alias("rcode"),
         (F.col("seq") % 10 == 0).alias("is_response"),
     )
-    logged = t.read(spark, sf, "region").selectExpr("concat('case-', r_regionkey) AS case_id")
-    packets = t.packets(spark, sf).withColumn(
+
+
+def _icmp_packets(spark, sf):
+    return t.packets(spark, sf).withColumn(
         "icmp_type", F.when(F.col("seq") % 9 == 0, 8).when(F.col("seq") % 9 == 1, 0).when(F.col("seq") % 9 == 2, 3)
     )
-    tables = fl.tables_from_packets(packets, messages, tl.fingerprint_hellos(_hellos(spark, sf)), logged)
-    return cn.record_counts(tables)
+
+
+@query
+def packet_tables(spark, sf):
+    """The rows of the case tables derived from packets, for the cases without logs."""
+    logged = t.read(spark, sf, "region").selectExpr("concat('case-', r_regionkey) AS case_id")
+    tables = fl.tables_from_packets(
+        _icmp_packets(spark, sf), _dns_messages(spark, sf), tl.fingerprint_hellos(_hellos(spark, sf)), logged
+    )
+    detail = {
+        "sessions": F.concat_ws("|", "src_ip", "dst_port", "orig_bytes", "resp_bytes"),
+        "dns": F.concat_ws("|", "query", "qtype", "rcode"), "http": F.concat_ws("|", "method", "host", "uri"),
+        "ftp": F.concat_ws("|", "command", "arg"), "tls": F.concat_ws("|", "server_name", "ja3", "ja4"),
+        "smtp": F.concat_ws("|", "mail_from", "subject"), "icmp": F.col("data_len").cast("string"),
+    }
+    out = None
+    for name, text in detail.items():
+        rows = tables[name].select("case_id", F.lit(name).alias("table_name"), "seq", "dst_ip", text.alias("detail"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query
+def case_sources(spark, sf):
+    """A folder with decoded packets of all cases, read by what each case has.
+
+    Cases 0 to 3 have a connection log; the others have a log of no known type and are read from their packets.
+    """
+    number = F.substr("case_id", F.lit(6)).cast("int")
+    names = ["ts", "id.orig_h", "id.orig_p", "id.resp_h", "id.resp_p", "proto", "orig_bytes", "resp_bytes", "history"]
+    values = ["ts", "src_ip", "src_port", "dst_ip", "dst_port", "proto", "orig_bytes", "resp_bytes", "history"]
+    sessions = t.sessions(spark, sf).withColumn("log", F.when(number <= 3, "conn").otherwise("conn-summary"))
+    conn = sessions.select("case_id", "log", "seq", F.concat_ws("\t", *[F.col(v).cast("string") for v in values]).alias("value"))
+    head = sessions.select("case_id", "log").distinct().select(
+        "case_id", "log", F.lit(-1).cast("bigint").alias("seq"), F.lit("#fields\t" + "\t".join(names)).alias("value")
+    )
+    packets = _icmp_packets(spark, sf).withColumn("payload", F.base64("payload"))
+    decoded = packets.select(
+        "case_id", F.lit("packets").alias("log"), "seq", F.to_json(F.struct(*[c for c in packets.columns if c != "case_id"])).alias("value")
+    )
+    folder = work_folder(spark, "cases")
+    lines = conn.unionByName(head).unionByName(decoded).repartition("case_id", "log").sortWithinPartitions("case_id", "log", "seq")
+    lines.select("case_id", "log", "value").write.partitionBy("case_id", "log").text(folder)
+    tables = case_files.read_case_tables(spark, folder)
+    return tables["sessions"].join(tables["case_sources"], "case_id").select(
+        "case_id", "source", "src_ip", "dst_ip", "dst_port", "orig_bytes", "resp_bytes"
+    )
 
 
 @query
 def object_labels(spark, sf):
     """Whole document texts as object names, elided in the middle when over-long."""
-    return t.read(spark, sf, "documents").select("doc_id", rules.object_label(F.col("text")).alias("label")).groupBy(
-        F.length("label").alias("label_length")
-    ).agg(F.count(F.lit(1)).alias("documents"))
+    return t.read(spark, sf, "documents").select("doc_id", rules.object_label(F.col("text")).alias("label"))

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Callable, Iterator, Sequence
+from typing import BinaryIO
+from urllib.parse import unquote
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from netforensics.operators.folds import Fold, fold
 from netforensics.session import reliable_checkpoint
 from netforensics.sources.lines import case_from_path
 from netforensics.vocab import GENESIS
@@ -160,30 +165,81 @@ def verify_chain(
     )
 
 
-def hash_inputs(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(case_id, role, path, sha256, size_bytes) of evidence files."""
-    files = spark.read.format("binaryFile").load(path)
+def shared_file(path: str) -> BinaryIO:
+    """A file of the shared file system, opened for reading ranges (local, HDFS, S3 and what else Arrow knows)."""
+    if path.startswith(("/", "file:")):
+        return pa.fs.LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/"))
+    system, inside = pa.fs.FileSystem.from_uri(path)
+    return system.open_input_file(inside)
+
+
+def file_digest(stream: BinaryIO, size: int, range_bytes: int) -> str:
+    """SHA-256 of a file, read one byte range after the other; shorter than `size` is an error."""
+    digest, left = hashlib.sha256(), size
+    while left:
+        part = stream.read(min(range_bytes, left))
+        if not part:
+            raise EOFError(f"{left} bytes are missing")
+        digest.update(part)
+        left -= len(part)
+    return digest.hexdigest()
+
+
+def hash_inputs(
+    spark: SparkSession, path: str | list[str], range_bytes: int = 8 << 20, opener: Callable[[str], BinaryIO] = shared_file
+) -> DataFrame:
+    """(case_id, role, path, sha256, size_bytes) of evidence files of any size, below `path`.
+
+    Only paths and lengths are rows; a task reads its files range by range and keeps the state of one
+    digest, so memory does not depend on the size of a file. `opener` opens a path in a store that
+    Arrow does not know.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    # A scan passes over empty files, the listing that Spark keeps for it has them.
+    listed = [(re.sub("^file:/+", "file:/", unquote(p)),) for p in found.inputFiles()]
+    sizes = found.select("path", "length")
+    files = spark.createDataFrame(listed, "path string").join(sizes, "path", "left").select("path", F.coalesce("length", F.lit(0)).alias("length"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, size in zip(*(batch.column(c).to_pylist() for c in ("path", "length")), strict=True):
+                with opener(name) as stream:
+                    digest = file_digest(stream, size, range_bytes)
+                yield pa.RecordBatch.from_pydict({"path": [name], "size_bytes": [size], "sha256": [digest]})
+
+    # Dealt by path: the listing comes in few partitions, and reading the files is the work.
+    hashed = files.repartition("path").mapInArrow(run, "path string, size_bytes long, sha256 string")
     role = (
         F.when(F.col("path").endswith(".log"), "zeek_log")
         .when(F.col("path").rlike(r"\.pcap(ng)?$"), "pcap").otherwise("sample")
     )
-    return files.select(
-        case_from_path(F.col("path")).alias("case_id"), role.alias("role"), "path",
-        F.sha2("content", 256).alias("sha256"), F.col("length").alias("size_bytes"),
-    )
+    return hashed.select(case_from_path(F.col("path")).alias("case_id"), role.alias("role"), "path", "sha256", "size_bytes")
+
+
+class _Identity(Fold):
+    """Digest of the text {"inputs":[sorted hashes],"parameters":...} as its parts come in."""
+
+    def __init__(self):
+        self.digest, self.inputs, self.bytes, self.parameters, self.between = hashlib.sha256(b'{"inputs":["'), 0, 0, "", ""
+
+    def add(self, sha256, size_bytes, parameters) -> None:
+        self.inputs, self.bytes, self.parameters = self.inputs + 1, self.bytes + (size_bytes or 0), parameters
+        if sha256 is not None:
+            self.digest.update((self.between + sha256).encode())
+            self.between = '","'
+
+    def result(self) -> tuple:
+        self.digest.update(f'"],"parameters":{self.parameters}}}'.encode())
+        return self.inputs, self.bytes, self.digest.hexdigest()
 
 
 def case_manifest(inputs: DataFrame, parameters: Column | None = None) -> DataFrame:
     """Deterministic case identity from the sorted input hashes and the parameters, not from time.
 
-    A case lists its evidence files (a capture and a handful of logs), so the list stays small.
+    The hashes of a case stream in order into one digest; they are never gathered.
     """
-    parameters = parameters if parameters is not None else F.lit("{}")
-    grouped = inputs.groupBy("case_id").agg(
-        F.array_sort(F.collect_list("sha256")).alias("hashes"), F.count(F.lit(1)).alias("inputs"),
-        F.sum("size_bytes").alias("total_bytes"),
-    )
-    basis = F.concat(
-        F.lit('{"inputs":["'), F.array_join("hashes", '","'), F.lit('"],"parameters":'), parameters, F.lit("}")
+    rows = inputs.select(
+        "case_id", "sha256", "size_bytes", (parameters if parameters is not None else F.lit("{}")).alias("parameters")
     )
-    return grouped.select("case_id", "inputs", "total_bytes", F.sha2(basis, 256).alias("manifest_id"))
+    schema = StructType([rows.schema["case_id"]]).add("inputs", "long").add("total_bytes", "long").add("manifest_id", "string")
+    return fold(rows, ["case_id"], ["sha256"], _Identity, schema)

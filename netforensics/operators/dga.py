@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from netforensics.functions.numbers import round_even
 from netforensics.functions.text import char_ngrams, count_matching, entropy, first_label, longest_run, registered_domain
-from netforensics.operators.dns import top_resolvers
+from netforensics.operators.dns import indexed, top_resolvers
 from netforensics.session import reliable_checkpoint
 
 SCALARS = ["f:len", "f:vowel_ratio", "f:digit_ratio", "f:max_consonant_run", "f:entropy"]
@@ -171,8 +171,10 @@ def detect_dga_ml(
     dns: DataFrame, weights: DataFrame, bias: float, min_prob: float = 0.75, already: DataFrame | None = None
 ) -> DataFrame:
     """Registered domains whose first label the model finds algorithmic, with their drivers."""
-    queries = dns.select("case_id", "seq", "dst_ip", registered_domain(F.col("query")).alias("domain"))
-    domains = queries.groupBy("case_id", "domain").agg(F.count(F.lit(1)).alias("query_count"))
+    queries = indexed(dns).select(
+        "case_id", "first_seq", "dst_ip", registered_domain(F.col("query")).alias("domain"), "n_queries"
+    )
+    domains = queries.groupBy("case_id", "domain").agg(F.sum("n_queries").alias("query_count"))
     if already is not None:
         domains = domains.join(already.select("case_id", "domain").distinct(), ["case_id", "domain"], "left_anti")
     label = first_label(F.col("domain"))

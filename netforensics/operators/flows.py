@@ -5,15 +5,19 @@ Packets: case_id, seq, ts, src_ip, src_port, dst_ip, dst_port, proto, payload (B
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from netforensics.functions.ip import is_private
 from netforensics.functions.lookup import mapped
+from netforensics.operators.folds import Fold, fold
 from netforensics.operators.tls import first_client_hello
 from netforensics.vocab import DNS_QTYPES, DNS_RCODES, SMTP_PORTS
 
-CHUNK = 65_536
+PREVIEW_BYTES = 300
 _LINE = r"(?:(?!\r\n).)*"
 
 
@@ -24,9 +28,10 @@ def latin1(payload: Column) -> Column:
 def _http_parts(head: Column) -> tuple[Column, Column, Column]:
     method = F.regexp_extract(head, r"^(POST|GET|PUT) ", 1)
     uri = F.substring_index(F.substring_index(head, " ", 2), " ", -1)
-    # The greedy prefix finds the last Host line of the request head.
+    # The greedy prefix finds the last Host line of the request head, which ends at the first blank line.
     pattern = rf"(?is)^(?:.*\r\n)?host:({_LINE})"
-    host = F.when(head.rlike(pattern), F.trim(F.regexp_extract(head, pattern, 1)))
+    lines = F.substring_index(head, "\r\n\r\n", 1)
+    host = F.when(lines.rlike(pattern), F.trim(F.regexp_extract(lines, pattern, 1)))
     return F.when(method != "", method), uri, host
 
 
@@ -36,16 +41,19 @@ def _store_command(head: Column) -> Column:
     return F.when(found != "", found)
 
 
-def assemble_flows(packets: DataFrame) -> DataFrame:
+def assemble_flows(packets: DataFrame, head_bytes: int | None = None) -> DataFrame:
     """One row per bidirectional TCP flow with bytes per direction and what the client asked.
 
+    Requests and commands are looked for in the whole payload of a packet, or in its first
+    `head_bytes` bytes only.
+
     Both directions are summed under the sorted endpoints in one aggregate; which side is the
     client is decided afterwards (the internal side, else the first packet's source).
     """
     source = F.struct(F.col("src_ip").alias("ip"), F.col("src_port").alias("port"))
     target = F.struct(F.col("dst_ip").alias("ip"), F.col("dst_port").alias("port"))
     forward = source <= target
-    head = latin1(F.substring("payload", 1, 200))
+    head = latin1(F.col("payload") if head_bytes is None else F.substring("payload", 1, head_bytes))
     method, uri, host = _http_parts(F.col("_head"))
     base = packets.filter(F.lower("proto") == "tcp").withColumn("_head", head).select(
         "case_id", "seq", "ts",
@@ -91,39 +99,70 @@ def assemble_flows(packets: DataFrame) -> DataFrame:
     )
 
 
-def smtp_envelopes(packets: DataFrame) -> DataFrame:
-    """Envelope fields per client-to-server mail flow; the last sender and subject win."""
-    flow = ["case_id", "src_ip", "dst_ip", "dst_port"]
+MAIL_FLOW = ["case_id", "src_ip", "dst_ip", "dst_port"]
+
+
+def _mail_lines(packets: DataFrame) -> DataFrame:
     mail = packets.filter(
         (F.lower("proto") == "tcp") & F.col("dst_port").isin(SMTP_PORTS) & (F.octet_length("payload") > 0)
     )
     lines = mail.select(
-        *flow, "seq", "ts", F.posexplode(F.split(latin1(F.col("payload")), "\r\n")).alias("line_no", "line")
+        *MAIL_FLOW, "seq", "ts", F.posexplode(F.split(latin1(F.col("payload")), "\r\n")).alias("line_no", "line")
     )
     low = F.lower("line")
-    after = F.trim(F.regexp_replace("line", r"^[^:]*:", ""))
-    address = F.btrim(after, F.lit("<>"))
-    place = F.struct("seq", "line_no")
     attachment = low.startswith("content-disposition:") & low.contains("attachment")
-    main = lines.groupBy(*flow).agg(
+    kind = (
+        F.when(low.startswith("mail from:"), "sender").when(low.startswith("rcpt to:"), "recipient")
+        .when(low.startswith("subject:"), "subject").when(attachment, "attachment")
+    )
+    after = F.trim(F.regexp_replace("line", r"^[^:]*:", ""))
+    value = (
+        F.when(kind.isin("sender", "recipient"), F.btrim(after, F.lit("<>"))).when(kind == "attachment", "attachment").otherwise(after)
+    )
+    return lines.select(*MAIL_FLOW, "seq", "ts", F.struct("seq", "line_no").alias("place"), kind.alias("kind"), value.alias("value"))
+
+
+def smtp_envelopes(packets: DataFrame) -> DataFrame:
+    """One row per client-to-server mail flow: the last sender and subject, and how many attachments.
+
+    Recipients and attachments are rows of `smtp_items`, so that a flow may have any number of them.
+    """
+    kind, valued = F.col("kind"), F.struct("place", "value")
+    main = _mail_lines(packets).groupBy(*MAIL_FLOW).agg(
         F.min(F.struct("seq", "ts")).alias("first"),
-        F.max(F.when(low.startswith("mail from:"), F.struct(place.alias("p"), address.alias("v")))).alias("sender"),
-        F.max(F.when(low.startswith("subject:"), F.struct(place.alias("p"), after.alias("v")))).alias("subject"),
-        F.sum(attachment.cast("int")).alias("attached"),
-    )
-    recipients = (
-        lines.filter(low.startswith("rcpt to:")).select(*flow, place.alias("p"), address.alias("v"))
-        .filter(F.col("v") != "")
-        .groupBy(*flow, "v").agg(F.min("p").alias("p"))
-        .groupBy(*flow)
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "v"))), lambda r: r["v"]).alias("rcpt_to"))
-    )
-    return main.join(recipients, flow, "left").select(
+        F.max(F.when(kind == "sender", valued)).alias("sender"),
+        F.max(F.when(kind == "subject", valued)).alias("subject"),
+        F.count(F.when(kind == "attachment", 1)).alias("attached"),
+    )
+    return main.select(
         "case_id", F.col("first.seq").alias("seq"), F.col("first.ts").alias("ts"), "src_ip", "dst_ip", "dst_port",
-        F.col("sender.v").alias("mail_from"),
-        F.coalesce("rcpt_to", F.array().cast("array<string>")).alias("rcpt_to"),
-        F.col("subject.v").alias("subject"),
-        F.array_repeat(F.lit("attachment"), F.col("attached").cast("int")).alias("attachments"),
+        F.col("sender.value").alias("mail_from"), F.col("subject.value").alias("subject"), "attached",
+    )
+
+
+def smtp_items(packets: DataFrame) -> DataFrame:
+    """(flow, kind, position, value): recipients (each address once) and attachments in order of appearance."""
+    items = _mail_lines(packets).filter(
+        ((F.col("kind") == "recipient") & (F.col("value") != "")) | (F.col("kind") == "attachment")
+    )
+    # A recipient is one item wherever it is named again, an attachment one for each time.
+    again = F.when(F.col("kind") == "attachment", F.col("place"))
+    once = items.groupBy(*MAIL_FLOW, "kind", "value", again.alias("_again")).agg(F.min("place").alias("place"))
+    order = Window.partitionBy(*MAIL_FLOW, "kind").orderBy("place")
+    return once.select(*MAIL_FLOW, "kind", F.row_number().over(order).alias("position"), "value")
+
+
+def smtp_with_lists(envelopes: DataFrame, items: DataFrame) -> DataFrame:
+    """Envelopes in the shape of a mail log, with both lists; for sinks and tables that are known to be read as lists."""
+    def listed(kind: str) -> Column:
+        own = F.collect_list(F.when(F.col("kind") == kind, F.struct("position", "value")))
+        return F.transform(F.array_sort(own), lambda i: i["value"])
+
+    lists = items.groupBy(*MAIL_FLOW).agg(listed("recipient").alias("rcpt_to"), listed("attachment").alias("attachments"))
+    none = F.array().cast("array<string>")
+    return envelopes.join(lists, MAIL_FLOW, "left").select(
+        "case_id", "seq", "ts", "src_ip", "dst_ip", "dst_port", "mail_from", F.coalesce("rcpt_to", none).alias("rcpt_to"),
+        "subject", F.coalesce("attachments", none).alias("attachments"),
     )
 
 
@@ -134,50 +173,50 @@ def icmp_echoes(packets: DataFrame) -> DataFrame:
     )
 
 
-def outbound_content(packets: DataFrame, min_bytes: int = 64, max_flow_bytes: int = 1 << 20) -> DataFrame:
-    """Content sent to public hosts per (src, dst, port): true size, hash and preview of the head.
+class _Content(Fold):
+    """Digest of all bytes of a flow, digest of its head, the first bytes and the size."""
+
+    def __init__(self, head_bytes: int):
+        self.whole, self.head, self.room = hashlib.sha256(), hashlib.sha256(), head_bytes
+        self.first, self.size, self.start = None, 0, b""
+
+    def add(self, seq, ts, payload) -> None:
+        if self.first is None:
+            self.first = (seq, ts)
+        self.whole.update(payload)
+        self.size += len(payload)
+        if self.room:
+            own = payload[: self.room]
+            self.head.update(own)
+            self.room -= len(own)
+        if len(self.start) < PREVIEW_BYTES:
+            self.start += payload[: PREVIEW_BYTES - len(self.start)]
+
+    def result(self) -> tuple:
+        return (*self.first, self.size, self.whole.hexdigest(), self.head.hexdigest(), self.start)
 
-    The head of a flow is found with chunk totals, so only the packets that reach into the first
-    `max_flow_bytes` are gathered; the list collected per flow is bounded by that many bytes.
+
+def outbound_content(packets: DataFrame, min_bytes: int = 64, head_bytes: int = 1 << 20) -> DataFrame:
+    """Content sent to public hosts per (src, dst, port): true size, hash of every byte and preview.
+
+    The packets of a flow stream in order through a task that carries the state of two digests, so a
+    flow may have any size and packets are read once. `head_sha256` covers the first `head_bytes`
+    bytes, for comparison with tools that stop there.
     """
     flow = ["case_id", "src_ip", "dst_ip", "dst_port"]
-    sent = (
-        packets.filter((F.lower("proto") == "tcp") & (F.octet_length("payload") > 0) & ~is_private(F.col("dst_ip")))
-        .select(*flow, "seq", "ts", "payload", F.octet_length("payload").cast("bigint").alias("size"))
-        .withColumn("_chunk", F.floor(F.col("seq") / CHUNK))
-    )
-    chunks = sent.groupBy(*flow, "_chunk").agg(
-        F.sum("size").alias("size"), F.min(F.struct("seq", "ts")).alias("first")
-    )
-    before = Window.partitionBy(*flow).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    totals = chunks.groupBy(*flow).agg(F.sum("size").alias("total_bytes"), F.min("first").alias("first"))
-    heads = (
-        chunks.withColumn("_offset", F.coalesce(F.sum("size").over(before), F.lit(0)))
-        .filter(F.col("_offset") < max_flow_bytes)
-        .select(*flow, "_chunk", "_offset")
-    )
-    inside = Window.partitionBy(*flow, "_chunk").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    start = F.col("_offset") + F.sum("size").over(inside) - F.col("size")
-    room = F.lit(max_flow_bytes) - F.col("_start")
-    content = (
-        sent.join(heads, [*flow, "_chunk"])
-        .withColumn("_start", start)
-        .filter(F.col("_start") < max_flow_bytes)
-        .select(*flow, "seq", F.substr("payload", F.lit(1), room.cast("int")).alias("piece"))
-        .groupBy(*flow)
-        .agg(F.expr("listagg(piece) WITHIN GROUP (ORDER BY seq, piece)").alias("content"))
-    )
-    preview = F.regexp_replace(latin1(F.substring("content", 1, 300)), "[^ -~]", ".")
+    sent = packets.filter(
+        (F.lower("proto") == "tcp") & (F.octet_length("payload") > 0) & ~is_private(F.col("dst_ip"))
+    ).select(*flow, "seq", "ts", "payload")
+    schema = StructType([sent.schema[c] for c in (*flow, "seq", "ts")])
+    for name, kind in (("total_bytes", "long"), ("sha256", "string"), ("head_sha256", "string"), ("start", "binary")):
+        schema = schema.add(name, kind)
+    content = fold(sent, flow, ["seq", "ts", "payload"], lambda: _Content(head_bytes), schema)
+    preview = F.regexp_replace(latin1(F.col("start")), "[^ -~]", ".")
     none = F.lit(None).cast("string")
-    return (
-        totals.filter(F.col("total_bytes") >= min_bytes)
-        .join(content, flow)
-        .select(
-            "case_id", F.col("first.seq").alias("seq"), F.col("first.ts").alias("ts"), none.alias("filename"),
-            none.alias("mime_type"), "total_bytes", none.alias("md5"), F.sha2("content", 256).alias("sha256"),
-            F.col("src_ip").alias("source_ip"), F.col("dst_ip").alias("dest_ip"), F.lit(True).alias("is_outbound"),
-            none.alias("uid"), preview.alias("preview"),
-        )
+    return content.filter(F.col("total_bytes") >= min_bytes).select(
+        "case_id", "seq", "ts", none.alias("filename"), none.alias("mime_type"), "total_bytes", none.alias("md5"), "sha256",
+        F.col("src_ip").alias("source_ip"), F.col("dst_ip").alias("dest_ip"), F.lit(True).alias("is_outbound"),
+        none.alias("uid"), preview.alias("preview"), "head_sha256",
     )
 
 
@@ -190,7 +229,7 @@ def outbound_artifacts(files: DataFrame, packets: DataFrame | None = None) -> Da
     if packets is None:
         return logged
     have = logged.select("case_id").distinct()
-    return logged.unionByName(outbound_content(packets.join(have, "case_id", "left_anti")))
+    return logged.unionByName(outbound_content(packets.join(have, "case_id", "left_anti")), allowMissingColumns=True)
 
 
 def decoded_dns(rows: DataFrame) -> DataFrame:
@@ -237,7 +276,7 @@ def tables_from_packets(
         none.alias("uid"),
     )
     out = {"sessions": sessions, "dns": decoded_dns(dns_messages), "http": http, "tls": tls, "ftp": ftp,
-           "smtp": smtp_envelopes(packets).drop("dst_port").withColumn("uid", none)}
+           "smtp": smtp_with_lists(smtp_envelopes(packets), smtp_items(packets)).drop("dst_port").withColumn("uid", none)}
     if "icmp_type" in packets.columns:
         out["icmp"] = icmp_echoes(packets)
     return out

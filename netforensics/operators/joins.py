@@ -1,17 +1,21 @@
 """Lookups against intelligence, allowlists and address ranges.
 
-No join here carries a broadcast hint: intelligence and range tables grow, so Spark decides from
-the measured size (autoBroadcastJoinThreshold, re-checked by AQE) and falls back to a shuffle join
-whose hot keys AQE splits.
+Intelligence and range tables carry no broadcast hint: they grow, so Spark decides from the measured
+size (autoBroadcastJoinThreshold, re-checked by AQE) and falls back to a shuffle join whose hot keys
+AQE splits. Only the prefix lengths in use are broadcast, 42 short rows at most.
 """
 
 from __future__ import annotations
 
+import ipaddress
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from netforensics.functions.ip import cidr_bounds, ip_key, v4_number
-from netforensics.functions.lookup import literals
+from netforensics.functions.ip import cidr_bounds, ip_key
 from netforensics.functions.text import clean_name, name_suffixes, registered_domain
 from netforensics.vocab import ALLOWLIST_DOMAINS
 
@@ -86,6 +90,22 @@ def suffix_lookup(names: DataFrame, listed: DataFrame, column: str) -> DataFrame
     return hits.groupBy(column).agg(F.max_by("matched", F.length("matched")).alias("matched"))
 
 
+def _address_prefixes(rows: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """(column, _key, _prefix): the prefixes of each distinct address that a `table` of prefixes could hold.
+
+    Which lengths are in use is itself a join, on the family (the first digit of a key): a v4 key has 9
+    digits and a v6 key 33, so at most 42 rows are broadcast whatever the size of the table.
+    """
+    first = F.substr("_prefix", F.lit(1), F.lit(1))
+    lengths = table.select(first.alias("_family"), F.length("_prefix").alias("_len")).distinct()
+    # A key that is not null keeps the optimizer from pushing its test below the distinct.
+    key = F.coalesce(ip_key(F.col(column)), F.lit(""))
+    addresses = rows.select(column).distinct().withColumn("_key", key).withColumn("_family", F.substr("_key", F.lit(1), F.lit(1)))
+    return addresses.join(F.broadcast(lengths), "_family").select(
+        column, "_key", F.substr("_key", F.lit(1), F.col("_len")).alias("_prefix")
+    )
+
+
 def network_lookup(rows: DataFrame, networks: DataFrame, column: str = "dst_ip") -> DataFrame:
     """Join each distinct address with the narrowest network that contains it.
 
@@ -101,17 +121,7 @@ def network_lookup(rows: DataFrame, networks: DataFrame, column: str = "dst_ip")
     table = table.withColumn("_len", F.array_max(same)).withColumn(
         "_prefix", F.substr("_low", F.lit(1), F.col("_len"))
     )
-    # At most 33 different prefix lengths exist, whatever the size of the table.
-    lengths = [r[0] for r in table.select("_len").distinct().collect()]
-    if not lengths:
-        lengths = [1]
-    addresses = (
-        rows.select(column).distinct()
-        .withColumn("_key", F.coalesce(ip_key(F.col(column)), F.lit("")))
-        .withColumn("_len", F.explode(literals(sorted(lengths))))
-        .filter(F.col("_len") <= F.length("_key"))
-        .withColumn("_prefix", F.substr("_key", F.lit(1), F.col("_len")))
-    )
+    addresses = _address_prefixes(rows, table, column)
     payload = [c for c in networks.columns]
     hits = addresses.join(table.select("_prefix", "_low", "_high", *payload), "_prefix").filter(
         F.col("_key").between(F.col("_low"), F.col("_high"))
@@ -148,29 +158,71 @@ def allowlist_lookup(
     )
 
 
+def _number(value: int | str | None) -> tuple[str, int] | None:
+    """Family digit and number of an address; a plain number is a v4 address."""
+    if value is None:
+        return None
+    if isinstance(value, str):
+        try:
+            address = ipaddress.ip_address(value.strip())
+        except ValueError:
+            return None
+        return str(address.version), int(address)
+    return ("4", int(value)) if 0 <= value < 1 << 32 else None
+
+
+def aligned_prefixes(low: int, high: int, digits: int) -> Iterator[str]:
+    """The fewest hex prefixes of keys of so many digits that cover low..high exactly, in order."""
+    while low <= high:
+        free = 0
+        while free < digits and not low & ((16 << 4 * free) - 1) and low + (16 << 4 * free) - 1 <= high:
+            free += 1
+        yield f"{low >> 4 * free:0{digits - free}x}" if free < digits else ""
+        low += 1 << 4 * free
+
+
+def range_prefixes(ranges: DataFrame) -> DataFrame:
+    """Ranges (lo, hi, payload) as rows (_prefix, _width, _low, payload), one for each aligned prefix.
+
+    lo and hi are numbers (v4) or address texts of either family. A range of v4 gives at most 210
+    prefixes, one of v6 at most 930; one that starts and ends at a network border gives a few. Ranges
+    that are unreadable, mixed or empty hold no address.
+    """
+    payload = [c for c in ranges.columns if c not in ("lo", "hi")]
+    text = [StructField(c, StringType()) for c in ("_prefix", "_width", "_low")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, rows = [], []
+            for row, (lo, hi) in enumerate(zip(batch.column("lo").to_pylist(), batch.column("hi").to_pylist(), strict=True)):
+                low, high = _number(lo), _number(hi)
+                if low is None or high is None or low[0] != high[0]:
+                    continue
+                digits = 8 if low[0] == "4" else 32
+                for prefix in aligned_prefixes(low[1], high[1], digits):
+                    found.append((low[0] + prefix, f"{high[1] - low[1]:032x}", f"{low[1]:032x}"))
+                    rows.append(row)
+            if rows:
+                keys = [pa.array(c, pa.string()) for c in zip(*found, strict=True)]
+                own = batch.select(payload).take(pa.array(rows, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*keys, *own.columns], ["_prefix", "_width", "_low", *payload])
+
+    return ranges.select("lo", "hi", *payload).mapInArrow(run, StructType([*text, *(ranges.schema[c] for c in payload)]))
+
+
 def range_lookup(rows: DataFrame, ranges: DataFrame, column: str = "dst_ip") -> DataFrame:
-    """Join each distinct v4 address with its (lo, hi) numeric range by /16 bucket."""
-    # An address that is not v4 gets number -1, which no range holds. A nullable number would let
-    # the optimizer push its IS NOT NULL test, and with it the parsing, below the distinct.
-    addresses = (
-        rows.select(column).distinct()
-        .withColumn("_n", F.coalesce(v4_number(F.col(column)), F.lit(-1)))
-        .withColumn("_bucket", F.floor(F.col("_n") / 65536))
-    )
-    table = ranges.withColumn(
-        "_bucket", F.explode(F.sequence(F.floor(F.col("lo") / 65536), F.floor(F.col("hi") / 65536)))
-    )
+    """Join each distinct address, v4 or v6, with the narrowest (lo, hi) range that holds it."""
+    table = range_prefixes(ranges)
     payload = [c for c in ranges.columns if c not in ("lo", "hi")]
-    hits = addresses.join(table, "_bucket").filter(F.col("_n").between(F.col("lo"), F.col("hi")))
-    # The narrowest range wins should ranges overlap.
-    best = F.min(F.struct((F.col("hi") - F.col("lo")).alias("_w"), F.col("lo"), *payload))
+    hits = _address_prefixes(rows, table, column).join(table, "_prefix")
+    best = F.min(F.struct("_width", "_low", *payload))
     return hits.groupBy(column).agg(best.alias("_b")).select(column, *[F.col(f"_b.{c}").alias(c) for c in payload])
 
 
 def geo_enrich(rows: DataFrame, geo: DataFrame, column: str = "dst_ip") -> DataFrame:
     """Fill empty geo_country, asn and asn_org; present values are never replaced.
 
-    `geo` holds either numeric (lo, hi) ranges or CIDR text in `network`.
+    `geo` holds either ranges (lo, hi), as v4 numbers or address texts, or CIDR text in `network`.
     """
     lookup = network_lookup if "network" in geo.columns else range_lookup
     found = lookup(rows, geo, column).select(

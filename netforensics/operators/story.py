@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from netforensics.functions.lookup import mapped
@@ -238,3 +238,10 @@ def family_verdicts(evidence: DataFrame) -> DataFrame:
     )
 
 
+def family_evidence(evidence: DataFrame) -> DataFrame:
+    """(case_id, family, place, confidence, basis, evidence): the texts behind each verdict, the strongest first.
+
+    Rows instead of a list in the verdict: a family may rest on any number of notes.
+    """
+    order = Window.partitionBy("case_id", "family").orderBy(F.desc(mapped(F.col("confidence"), FAMILY_RANK)), "evidence")
+    return evidence.select("case_id", "family", F.row_number().over(order).alias("place"), "confidence", "basis", "evidence")

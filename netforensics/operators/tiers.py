@@ -14,6 +14,10 @@ from netforensics.operators.joins import allowlist_lookup, geo_enrich, lookup_do
 from netforensics.vocab import CONFIG_SOURCES, TIMING_KINDS
 
 
+# The rank of fingerprint and certificate findings among the detectors of a case.
+TLS_RANK = 2
+
+
 def _set(df: DataFrame, **columns: Column) -> DataFrame:
     return df.withColumns(columns)
 
@@ -48,8 +52,41 @@ def network_tier(reputation: Column, signals: Column) -> Column:
     return F.when(reputation, "confirmed").when(signals >= 2, "strong").otherwise("weak")
 
 
+def settle_candidates(candidates: DataFrame) -> DataFrame:
+    """Findings of all detectors run side by side: drop what an earlier rule explains, count the signals.
+
+    A fingerprint or certificate finding falls to a flow finding on the same destination, unexplained
+    egress to any other finding there. One small row per (case, destination) decides; it also holds
+    the number of distinct kinds left, `signal_kinds`, for `apply_corroboration`.
+    """
+    flow, egress = F.col("kind").isin("exfil", "beacon"), F.col("kind") == "unclassified_egress"
+    tls = F.col("kind_rank") == TLS_RANK
+    place = ["case_id", "dst_ip"]
+
+    def count(test: Column) -> Column:
+        return F.count(F.when(test, 1))
+
+    kinds = candidates.filter(F.col("dst_ip").isNotNull()).select(*place, "kind", "kind_rank").distinct().groupBy(*place).agg(
+        (count(flow) > 0).alias("_flow"), count(tls).alias("_tls"), count(egress).alias("_egress"), count(~tls & ~egress).alias("_other")
+    )
+    explained = F.col("_other") + F.when(F.col("_flow"), 0).otherwise(F.col("_tls"))
+    joined = candidates.join(kinds, place, "left")
+    dropped = (tls & F.col("_flow")) | (egress & (F.col("_tls") + F.col("_other") > 0))
+    signals = F.when(explained > 0, explained).otherwise(F.col("_egress"))
+    return joined.withColumn("signal_kinds", F.coalesce(signals, F.lit(0))).filter(~F.coalesce(dropped, F.lit(False))).drop(
+        "_flow", "_tls", "_egress", "_other"
+    )
+
+
 def apply_corroboration(findings: DataFrame) -> DataFrame:
-    """Final tier: the preset one, else by reputation and the number of distinct signal kinds."""
+    """Final tier: the preset one, else by reputation and the number of distinct signal kinds.
+
+    The kinds per destination are counted here unless `signal_kinds` brings them.
+    """
+    if "signal_kinds" in findings.columns:
+        return findings.withColumn(
+            "confidence_tier", F.coalesce("preset_tier", network_tier(F.col("reputation_hit"), F.col("signal_kinds")))
+        )
     kinds = (
         findings.filter(F.col("dst_ip").isNotNull()).select("case_id", "dst_ip", "kind").distinct()
         .groupBy("case_id", "dst_ip").agg(F.count(F.lit(1)).alias("signal_kinds"))
@@ -234,57 +271,97 @@ def gate_findings(findings: DataFrame, manifests: DataFrame) -> DataFrame:
     ).drop("_has", "_mode", "_clock_ok", "_pinned", "_gated")
 
 
-def case_notes(manifests: DataFrame, findings: DataFrame) -> DataFrame:
-    """The caveats a manifest puts on a case: (case_id, code, note)."""
-    capped = (
-        findings.filter(F.col("capped_by_caveat") == "clock_quality")
-        .groupBy("case_id").agg(F.count(F.lit(1)).alias("_capped"))
-    )
-    m = manifests.join(capped, "case_id", "left")
+def _capped(rows: DataFrame | None, caveat: str, name: str, like: DataFrame) -> DataFrame:
+    if rows is None:
+        return like.select("case_id", F.lit(0).cast("bigint").alias(name)).limit(0)
+    return rows.filter(F.col("capped_by_caveat") == caveat).groupBy("case_id").agg(F.count(F.lit(1)).alias(name))
+
+
+def case_notes(
+    manifests: DataFrame, findings: DataFrame, correlated: DataFrame | None = None, alignment: DataFrame | None = None,
+    provider_map: dict[str, list[str]] | None = None,
+) -> DataFrame:
+    """The ledger of caveats: (case_id, gate, code, affected, note), one row for each that holds for a case.
+
+    The network and correlation gates, the handoff and the clock check append to it. `affected` counts
+    the rows that a gate has capped, null where it caps none by nature. `correlated` has gone through
+    `gate_correlated`, `alignment` is the result of `verify_clock_alignment`.
+    """
+    m = manifests
+    for rows, caveat, name in (
+        (findings, "clock_quality", "_capped"), (correlated, "clock_quality", "_unclocked"), (correlated, "telemetry_degraded", "_blind"),
+    ):
+        m = m.join(_capped(rows, caveat, name, manifests), "case_id", "left").withColumn(name, F.coalesce(name, F.lit(0)))
     mode = network_mode(F.col("network_mode"))
     status = F.col("tls_interception_status")
     stated = F.col("network_mode").isNotNull()
-
-    def item(code: str, test: Column, *text: Column) -> Column:
-        return F.when(test, F.struct(F.lit(code).alias("code"), F.concat(*text).alias("note")))
-
-    items = F.array(
+    clock_bad = ~F.coalesce("clock_quality_acceptable", F.lit(False))
+    providers = F.coalesce("providers_unavailable", F.array().cast("array<string>"))
+    types = F.nullif(F.array_join(F.array_sort(degraded_types(providers, provider_map)), ", "), F.lit(""))
+    scope = F.when(degraded_everywhere(providers, provider_map), "all data types").otherwise(F.coalesce(types, F.lit("none")))
+    named = F.coalesce(F.nullif(F.array_join(providers, ", "), F.lit("")), F.lit("unspecified"))
+    no_count = F.lit(None).cast("bigint")
+
+    def item(gate: str, code: str, test: Column, *text: Column, affected: Column = no_count) -> Column:
+        return F.when(
+            test,
+            F.struct(F.lit(gate).alias("gate"), F.lit(code).alias("code"), affected.alias("affected"), F.concat(*text).alias("note")),
+        )
+
+    items = [
         item(
-            "network_simulated", mode == "simulated",
+            "network", "network_simulated", mode == "simulated",
             F.lit("NETWORK SIMULATED: destinations and cadence are attempted, not confirmed-delivered. The absence "
                   "of exfil is not evidence that the sample is clean."),
         ),
         item(
-            "network_live", mode == "real", F.lit("NETWORK LIVE (mode='"), F.col("network_mode"),
+            "network", "network_live", mode == "real", F.lit("NETWORK LIVE (mode='"), F.col("network_mode"),
             F.lit("'): contacted destinations were really reached; blocked ones look like ones never attempted."),
         ),
         item(
-            "network_unrecognised", stated & (mode == "unknown"), F.lit("NETWORK MODE UNRECOGNISED ('"),
+            "network", "network_unrecognised", stated & (mode == "unknown"), F.lit("NETWORK MODE UNRECOGNISED ('"),
             F.col("network_mode"), F.lit("'): treat the absence of exfil as uninterpreted."),
         ),
         item(
-            "clock_quality", ~F.col("clock_quality_acceptable"),
+            "network", "clock_quality", clock_bad,
             F.lit("CLOCK QUALITY NOT ACCEPTABLE: timing-based findings capped to weak ("),
-            F.coalesce("_capped", F.lit(0)).cast("string"), F.lit(" affected)."),
+            F.col("_capped").cast("string"), F.lit(" affected)."), affected=F.col("_capped"),
         ),
         item(
-            "tls_not_intercepted", pinning_suspected(status), F.lit("TLS NOT INTERCEPTED ("), status,
+            "network", "tls_not_intercepted", pinning_suspected(status), F.lit("TLS NOT INTERCEPTED ("), status,
             F.lit("): detection falls back to metadata-only signals."),
         ),
-        item("tls_intercepted", tls_intercepted(status), F.lit("TLS INTERCEPTED: decrypted payloads were available.")),
+        item("network", "tls_intercepted", tls_intercepted(status), F.lit("TLS INTERCEPTED: decrypted payloads were available.")),
         item(
-            "correlation_disabled",
+            "correlation", "correlation_clock", clock_bad & (F.col("_unclocked") > 0),
+            F.lit("CLOCK QUALITY NOT ACCEPTABLE: links between host and network rest on time; "),
+            F.col("_unclocked").cast("string"), F.lit(" capped to weak."), affected=F.col("_unclocked"),
+        ),
+        item(
+            "correlation", "telemetry_degraded", F.coalesce("telemetry_degraded", F.lit(False)),
+            F.lit("TELEMETRY DEGRADED (providers unavailable: "), named, F.lit("): missing host data proves nothing for ["), scope,
+            F.lit("]; "), F.col("_blind").cast("string"), F.lit(" correlated finding(s) capped to weak."), affected=F.col("_blind"),
+        ),
+        item(
+            "handoff", "correlation_disabled",
             ~(F.col("host_network_correlation_enabled") & F.col("access_events_correlation_eligible")),
             F.lit("HOST<->NETWORK CORRELATION DISABLED BY SANDBOX: "),
             F.coalesce("correlation_reason", F.lit("not stated")),
         ),
         item(
-            "access_events_rejected", F.coalesce("access_events_rejected_count", F.lit(0)) > 0,
+            "handoff", "access_events_rejected", F.coalesce("access_events_rejected_count", F.lit(0)) > 0,
             F.lit("ACCESS EVENTS PARTIALLY REJECTED: "), F.col("access_events_rejected_count").cast("string"),
             F.lit(" event(s) discarded before handoff."),
         ),
-    )
-    return m.select("case_id", F.explode(F.array_compact(items)).alias("n")).select("case_id", "n.code", "n.note")
+    ]
+    out = m.select("case_id", F.explode(F.array_compact(F.array(*items))).alias("n")).select("case_id", "n.*")
+    if alignment is not None:
+        out = out.unionByName(
+            alignment.select(
+                "case_id", F.lit("clock").alias("gate"), F.lit("clock_alignment").alias("code"), no_count.alias("affected"), "note"
+            )
+        )
+    return out
 
 
 def gate_correlated(

@@ -163,17 +163,18 @@ def certificate_findings(tls: DataFrame) -> DataFrame:
     )
 
 
-def tls_findings(tls: DataFrame, covered: DataFrame, intel: DataFrame) -> DataFrame:
+def tls_findings(tls: DataFrame, covered: DataFrame | None, intel: DataFrame) -> DataFrame:
     """Reputation hits (first per destination) and certificate findings seen before such a hit.
 
-    Only public destinations that no earlier detector covered count. A certificate row is kept
-    when its destination had no reputation hit up to and including that row.
+    Only public destinations that no earlier detector covered count; without `covered` the caller drops
+    the others. A certificate row is kept when its destination had no reputation hit up to and
+    including that row.
     """
     from netforensics.operators.joins import lookup_indicators
 
-    public = tls.filter(~is_private(F.col("dst_ip"))).join(
-        covered.select("case_id", "dst_ip").distinct(), ["case_id", "dst_ip"], "left_anti"
-    )
+    public = tls.filter(~is_private(F.col("dst_ip")))
+    if covered is not None:
+        public = public.join(covered.select("case_id", "dst_ip").distinct(), ["case_id", "dst_ip"], "left_anti")
     hits = lookup_indicators(public, intel).filter(F.col("reputation_hit"))
     first_hits = first_per(
         hits.select(

@@ -194,19 +194,23 @@ def merge_exfil(volume: DataFrame, ftp: DataFrame) -> DataFrame:
 
 def detect_unclassified_egress(
     conns: DataFrame,
-    covered: DataFrame,
+    covered: DataFrame | None,
     min_bytes: int = 2048,
     min_ratio: float = 0.6,
     allow: DataFrame | None = None,
 ) -> DataFrame:
-    """Upload-heavy services no other detector explained, first connection per service."""
+    """Upload-heavy services no other detector explained, first connection per service.
+
+    Without `covered` the caller drops the explained ones.
+    """
     rows = (
         remote_only(conns, allow)
         .withColumn("_ratio", upload_ratio())
         .filter((F.col("orig_bytes") >= min_bytes) & (F.col("_ratio") >= min_ratio))
         .select(*SERVICE, "seq", "orig_bytes", "_ratio")
-        .join(covered.select("case_id", "dst_ip").distinct(), ["case_id", "dst_ip"], "left_anti")
     )
+    if covered is not None:
+        rows = rows.join(covered.select("case_id", "dst_ip").distinct(), ["case_id", "dst_ip"], "left_anti")
     return first_per(rows, SERVICE).select(
         *SERVICE, "seq", "orig_bytes", round_even(F.col("_ratio"), 2).alias("upload_ratio")
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,19 +14,19 @@ from netforensics.functions.text import host_header_domain
 from netforensics.operators.connections import (
     infrastructure, scope_case, scope_rules, simulated_scope, to_connections,
 )
-from netforensics.operators.correlate import apply_veto, correlate_best
+from netforensics.operators.correlate import apply_veto, assess_clock_sync, correlate_best, verify_clock_alignment
 from netforensics.operators.custody import seal_segments
 from netforensics.operators.dga import detect_dga_ml
-from netforensics.operators.dns import detect_dga, detect_dns_tunneling, detect_resolved_destinations
+from netforensics.operators.dns import detect_dga, detect_dns_tunneling, detect_doh, detect_resolved_destinations, name_index
 from netforensics.operators.emit import emit_events, event_rows, event_table, ioc_rows
 from netforensics.operators.keyed import first_per
 from netforensics.operators.services import (
     detect_cloud_exfil, detect_http_exfil, detect_icmp_tunnel, detect_port_mismatch, detect_smtp_exfil,
 )
-from netforensics.operators.story import attribute_family, build_provenance, build_timeline
+from netforensics.operators.story import attribute_family, build_provenance, build_timeline, family_evidence, family_verdicts
 from netforensics.operators.tiers import (
     apply_allowlist, apply_corroboration, apply_domain_reputation, apply_geo, apply_reputation, apply_static_prior,
-    case_notes, gate_correlated, gate_findings, promote_static,
+    TLS_RANK, case_notes, gate_correlated, gate_findings, promote_static, settle_candidates,
 )
 from netforensics.operators.tls import service_fingerprint, tls_findings
 from netforensics.operators.traffic import (
@@ -107,19 +107,25 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def case_times(conns: DataFrame, dns: DataFrame) -> DataFrame:
-    """(case_id, case_time): the earliest DNS time, else the time of the first connection."""
+def case_times(conns: DataFrame, asked: DataFrame) -> DataFrame:
+    """(case_id, case_time): the earliest DNS time, else the time of the first connection. `asked`: the name index."""
     first = conns.groupBy("case_id").agg(F.min(F.struct("seq", "ts")).alias("c"))
-    asked = dns.groupBy("case_id").agg(F.min("ts").alias("d"))
+    asked = asked.groupBy("case_id").agg(F.min("first_ts").alias("d"))
     return first.join(asked, "case_id", "full_outer").select(
         "case_id", F.coalesce("d", "c.ts").alias("case_time"), F.col("c.ts").alias("first_conn_time")
     )
 
 
-def detect(case: dict[str, DataFrame], conns: DataFrame, ctx: Context, allow: DataFrame | None = None) -> DataFrame:
-    """All detector outputs as findings without tiers (preset_tier where a detector sets one)."""
+def candidates(
+    case: dict[str, DataFrame], conns: DataFrame, asked: DataFrame, ctx: Context, allow: DataFrame | None = None
+) -> DataFrame:
+    """All detector outputs as findings without tiers (preset_tier where a detector sets one).
+
+    Every detector runs on its whole input, none waits for another: `settle_candidates` drops afterwards
+    what an earlier rule explains. `asked` is the name index of the case's DNS.
+    """
     service = ["case_id", "dst_ip", "dst_port"]
-    times = ctx.stage(case_times(conns, case["dns"]))
+    times = case_times(conns, asked)
     first_seen = conns.groupBy(*service).agg(F.min(F.struct("seq", "ts")).alias("_f")).select(
         *service, F.col("_f.ts").alias("_first_ts")
     )
@@ -142,17 +148,15 @@ def detect(case: dict[str, DataFrame], conns: DataFrame, ctx: Context, allow: Da
     where = F.coalesce("_http_domain", "_sni")
     endpoint = F.concat_ws(":", "dst_ip", "dst_port")
 
-    exfil = ctx.stage(
-        merge_exfil(
-            detect_exfil(conns, min_raw_upload_bytes=RAW_UPLOAD_BYTES, allow=allow), detect_ftp_exfil(conns, allow)
-        )
+    exfil = merge_exfil(
+        detect_exfil(conns, min_raw_upload_bytes=RAW_UPLOAD_BYTES, allow=allow), detect_ftp_exfil(conns, allow)
     )
     f_exfil = _finding(
         described(exfil), "exfil", 0, F.col("seq"), dst_ip=F.col("dst_ip"), dst_port=F.col("dst_port"),
         event_time=own_time, confidence=F.col("confidence"), http_uri=F.col("http_uri"), destination_domain=where,
         ja3_hash=F.col("ja3"), plaintext_available=F.col("http_method").isNotNull(),
     )
-    beacons = ctx.stage(detect_beaconing(conns, allow=allow).filter("is_beacon"))
+    beacons = detect_beaconing(conns, allow=allow).filter("is_beacon")
     unanswered = F.col("unanswered")
     f_beacon = _finding(
         described(beacons), "beacon", 1, name=endpoint, dst_ip=F.col("dst_ip"), dst_port=F.col("dst_port"),
@@ -168,20 +172,18 @@ def detect(case: dict[str, DataFrame], conns: DataFrame, ctx: Context, allow: Da
             ),
         ),
     )
-    flows_covered = exfil.select("case_id", "dst_ip").unionByName(beacons.select("case_id", "dst_ip"))
-    flows_covered = ctx.stage(flows_covered.distinct())
-    tls = placed(tls_findings(case["tls"], flows_covered, ctx.intel))
+    tls = placed(tls_findings(case["tls"], None, ctx.intel))
     f_tls = _finding(
-        tls, F.col("kind"), 2, F.col("seq"), dst_ip=F.col("dst_ip"), dst_port=F.col("dst_port"), event_time=own_time,
+        tls, F.col("kind"), TLS_RANK, F.col("seq"), dst_ip=F.col("dst_ip"), dst_port=F.col("dst_port"), event_time=own_time,
         confidence=F.col("confidence"), destination_domain=F.col("server_name"), ja3_hash=F.col("ja3"),
         ja4=F.col("ja4"), plaintext_available=F.lit(False), preset_tier=F.col("severity"), cert_reason=F.col("reason"),
     )
 
-    tunnels, bursts = ctx.stage(detect_dns_tunneling(case["dns"])), ctx.stage(detect_dga(case["dns"]))
+    tunnels, bursts = detect_dns_tunneling(asked), detect_dga(asked)
     dns_found = [(tunnels, "dns_tunnel", 3, "strong"), (bursts, "dga", 4, "strong")]
     claimed = tunnels.select("case_id", "domain").unionByName(bursts.select("case_id", "domain"))
     if ctx.dga_weights is not None:
-        learned = detect_dga_ml(case["dns"], ctx.dga_weights, ctx.dga_bias, already=bursts)
+        learned = detect_dga_ml(asked, ctx.dga_weights, ctx.dga_bias, already=bursts)
         dns_found.append((learned, "dga", 5, "weak"))
         claimed = claimed.unionByName(learned.select("case_id", "domain"))
     f_dns = [
@@ -194,7 +196,7 @@ def detect(case: dict[str, DataFrame], conns: DataFrame, ctx: Context, allow: Da
         for rows, kind, rank, tier in dns_found
     ]
     names = detect_resolved_destinations(
-        case["dns"], claimed, ctx.allow_domains if ctx.allow_domains is not None else ALLOWLIST_DOMAINS
+        asked, claimed, ctx.allow_domains if ctx.allow_domains is not None else ALLOWLIST_DOMAINS
     )
     f_names = _finding(
         names.join(times, "case_id", "left"), "resolved_domain", 6, name=F.col("domain"), event_time=case_time,
@@ -234,15 +236,13 @@ def detect(case: dict[str, DataFrame], conns: DataFrame, ctx: Context, allow: Da
         )
         for rows, kind, rank in covert
     ]
-    specific = ctx.stage(_union([f_exfil, f_beacon, f_tls, *f_dns, f_names, f_cloud, f_mail, f_web, *f_covert]))
-    covered = specific.filter(F.col("dst_ip").isNotNull()).select("case_id", "dst_ip")
     sni = (
         case["tls"].filter(F.coalesce("server_name", F.lit("")) != "")
         .groupBy("case_id", "dst_ip").agg(F.max(F.struct("seq", "server_name")).alias("_s"))
         .select("case_id", "dst_ip", F.col("_s.server_name").alias("_sni"))
     )
     egress = (
-        detect_unclassified_egress(conns, covered, allow=allow)
+        detect_unclassified_egress(conns, None, allow=allow)
         .join(sni, ["case_id", "dst_ip"], "left").join(times, "case_id", "left")
     )
     f_egress = _finding(
@@ -254,41 +254,35 @@ def detect(case: dict[str, DataFrame], conns: DataFrame, ctx: Context, allow: Da
             F.lit(" (unexplained by specific detectors)"),
         ),
     )
-    return specific.unionByName(_union([f_egress]))
-
-
-def staged_inputs(ctx: Context) -> Context:
-    """Side inputs read in many places, staged once."""
-    names = ("intel", "manifests", "static_iocs", "access", "sample_meta", "static_families", "samples")
-    return replace(ctx, **{n: ctx.stage(getattr(ctx, n)) for n in names if getattr(ctx, n) is not None})
+    return _union([f_exfil, f_beacon, f_tls, *f_dns, f_names, f_cloud, f_mail, f_web, *f_covert, f_egress])
 
 
 def network_findings(case: dict[str, DataFrame], ctx: Context) -> DataFrame:
-    """Scope, detect, enrich, tier and gate: the findings of every case."""
-    return _network_findings(case, staged_inputs(ctx))
-
+    """Scope, detect, enrich, tier and gate: the findings of every case.
 
-def _network_findings(case: dict[str, DataFrame], ctx: Context) -> DataFrame:
-    allow, infra = None, ctx.stage(infrastructure(case["dns"]))
+    Three tables are staged: the connections, the name index and the candidates of all detectors.
+    Everything else is part of the plan of one of them or of the result.
+    """
+    allow, guest, everyone = None, None, case["dns"]
     if ctx.manifests is not None:
-        # One small row per case; staged because every table below is scoped by it.
-        scope = ctx.stage(scope_rules(ctx.manifests, case["sessions"]))
+        scope = scope_rules(ctx.manifests, case["sessions"])
         guest = scope.select("case_id", "guest_ip")
-        infra = ctx.stage(infrastructure(case["dns"], guest))
         case = scope_case(case, scope)
-        simulated = ctx.manifests.filter(network_mode(F.col("network_mode")) == "simulated").select("case_id")
-        sessions = case["sessions"].join(simulated, "case_id", "left_semi")
-        allow = ctx.stage(simulated_scope(sessions, guest, infra))
     conns = ctx.stage(to_connections(case["sessions"], case["http"], case["ftp"]))
-    found = detect(case, conns, ctx, allow)
+    asked = ctx.stage(name_index(case["dns"]))
+    infra = infrastructure(everyone, guest)
+    if ctx.manifests is not None:
+        simulated = ctx.manifests.filter(network_mode(F.col("network_mode")) == "simulated").select("case_id")
+        allow = simulated_scope(conns.join(simulated, "case_id", "left_semi"), guest, infra)
+    found = settle_candidates(ctx.stage(candidates(case, conns, asked, ctx, allow)))
     found = apply_reputation(found, ctx.intel)
-    found = ctx.stage(apply_domain_reputation(found, ctx.intel))
-    found = ctx.stage(apply_corroboration(found))
+    found = apply_domain_reputation(found, ctx.intel)
+    found = apply_corroboration(found)
     if ctx.static_iocs is not None:
         found = apply_static_prior(
             found, ctx.static_iocs, conns.select("case_id", "dst_ip"),
-            case["dns"].select("case_id", F.lower("query").alias("domain")), infra,
-            case_times(conns, case["dns"]).select("case_id", F.col("case_time").alias("event_time")),
+            asked.select("case_id", F.lower("query").alias("domain")), infra,
+            case_times(conns, asked).select("case_id", F.col("case_time").alias("event_time")),
         )
     found = apply_geo(found, ctx.geo)
     found = apply_allowlist(found, ctx.allow_domains, ctx.allow_cidrs)
@@ -299,14 +293,16 @@ def _network_findings(case: dict[str, DataFrame], ctx: Context) -> DataFrame:
 
 def analyse(case: dict[str, DataFrame], ctx: Context) -> dict[str, DataFrame]:
     """Everything a case report needs, as lazy DataFrames by name."""
-    ctx = staged_inputs(ctx)
-    findings = ctx.stage(_network_findings(case, ctx))
-    out = {"findings": findings}
-    if ctx.manifests is not None:
-        out["notes"] = case_notes(ctx.manifests, findings)
-    out["families"] = attribute_family(findings, ctx.intel, ctx.static_families)
+    findings = ctx.stage(network_findings(case, ctx))
+    out = {"findings": findings, "doh": detect_doh(case["tls"], case["http"])}
+    families = ctx.stage(attribute_family(findings, ctx.intel, ctx.static_families))
+    out |= {"families": families, "family_verdicts": family_verdicts(families), "family_evidence": family_evidence(families)}
     if ctx.access is None:
+        if ctx.manifests is not None:
+            out["notes"] = case_notes(ctx.manifests, findings)
         return out
+    out["clock_sync"] = assess_clock_sync(ctx.access, findings)
+    out["clock_alignment"] = verify_clock_alignment(ctx.access, findings, manifests=ctx.manifests)
     correlated = correlate_best(ctx.access, findings)
     if ctx.manifests is not None:
         correlated = gate_correlated(apply_veto(correlated, ctx.manifests), ctx.manifests, ctx.provider_map)
@@ -314,6 +310,8 @@ def analyse(case: dict[str, DataFrame], ctx: Context) -> dict[str, DataFrame]:
         correlated = promote_static(correlated, ctx.sample_meta)
     correlated = ctx.stage(correlated)
     out["correlated"] = correlated
+    if ctx.manifests is not None:
+        out["notes"] = case_notes(ctx.manifests, findings, correlated, out["clock_alignment"], ctx.provider_map)
     out["provenance"] = build_provenance(correlated, findings, ctx.artifacts, ctx.allow_domains, ctx.allow_cidrs)
     out["timeline"] = build_timeline(ctx.access, findings)
     if ctx.samples is not None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, name: str =
         .config("spark.driver.memory", "12g")
         # Small results of costly expressions stay spread over the cores.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
+        # Call sites for error messages cost more than building the plans does.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -42,12 +45,8 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage of `df` in the shared folder named by spark.checkpoint.dir.
-
-    The folder is only chosen here when the session names none and runs locally.
-    """
-    spark = df.sparkSession
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder named by spark.checkpoint.dir; a temporary one only where a local session names none."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -56,4 +55,15 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
             folder = tempfile.mkdtemp(prefix="netforensics-checkpoint-")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder, for tables that are written and read again."""
+    return f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage of `df` in the shared folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -163,22 +163,26 @@ def read_log(spark: SparkSession, path: str | list[str], log: str) -> DataFrame:
     return typed_table(log, parse_log(read_lines(spark, path), LOG_FIELDS[log]))
 
 
-def _has_files(spark: SparkSession, pattern: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return found is not None and len(found) > 0
+def found_files(spark: SparkSession, *patterns: str) -> list[str]:
+    """The patterns that match anything."""
+    def matches(pattern: str) -> bool:
+        path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+        found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+        return found is not None and len(found) > 0
+
+    return [p for p in patterns if matches(p)]
 
 
 def read_cases(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Record tables of every case folder below `root`; a missing log gives an empty table.
 
-    Only cases that have a conn.log count as log cases; see flows.tables_from_packets for others.
+    Only cases that have a conn.log count as log cases; `sources.cases` reads the others from packets.
     """
     tables = {}
     for log, name in TABLE_OF_LOG.items():
-        pattern = f"{root}/*/{log}.log"
-        if _has_files(spark, pattern):
-            tables[name] = read_log(spark, pattern, log)
+        paths = found_files(spark, f"{root}/*/{log}.log", f"{root}/*/log={log}")
+        if paths:
+            tables[name] = read_log(spark, paths, log)
         else:
             empty = spark.createDataFrame([], "case_id string, file string, seq bigint, value string")
             tables[name] = typed_table(log, parse_log(empty, LOG_FIELDS[log]))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+
 import pytest
 
 from netforensics.functions import rules
@@ -129,8 +131,10 @@ def test_flows_orientation_and_content(spark):
     flow = fl.assemble_flows(packets).first()
     assert (flow.src_ip, flow.dst_port, flow.ts, flow.resp_bytes) == ("10.0.0.5", 80, 2.0, 15)
     assert (flow.http_method, flow.http_uri, flow.http_host) == ("GET", "/b", "x.example")
-    item = fl.outbound_content(packets, max_flow_bytes=40).first()
-    assert item.total_bytes == flow.orig_bytes and item.preview == (rows[1][8] + rows[2][8])[:40].decode().replace("\r", ".").replace("\n", ".")
+    item = fl.outbound_content(packets, head_bytes=40).first()
+    sent = bytes(rows[1][8] + rows[2][8])
+    assert item.total_bytes == flow.orig_bytes and item.preview == sent.decode().replace("\r", ".").replace("\n", ".")
+    assert (item.sha256, item.head_sha256) == (hashlib.sha256(sent).hexdigest(), hashlib.sha256(sent[:40]).hexdigest())
 
 
 def test_sinks(spark, tmp_path):
