@@ -35,7 +35,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 from .common import only, remembers
 
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 WINDOWS = 1 << 21  # a shard of the sketch takes about so many
 WORD_BYTES = 6  # of a word and the space behind it, on average
 CELL_BITS = 24  # cells of a shard's row: eight a window
@@ -280,7 +280,7 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", w
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SLICE_BYTES))
-    shards = max(1, -(-total // (WINDOWS * WORD_BYTES)))
+    shards = max(slices, -(-total // (WINDOWS * WORD_BYTES)))
     names = [key, *columns]
     place = {c: "text" if c == text else f"k{i}" for i, c in enumerate(names)}
     sent = [F.col(c).alias(k) for c, k in place.items() if k != "text"]
