@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -69,6 +70,16 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of tables that nothing refers to any more.
+
+    It does so when the driver collects its garbage, which one with memory to spare never does between
+    the rounds of an iteration; their files would pile up on the executors' disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that `df` does not have."""
     taken = {c.lower() for c in df.columns}

@@ -39,13 +39,14 @@ from pyspark.sql.types import LongType, StructField, StructType
 from netforensics.session import reliable_checkpoint
 
 from .blobs import HASHES, mixed
-from .common import only, slices, texts
+from .common import only, release, slices, texts
 from .components import components
 
 COORDINATES, MATCHES = 32, 12
 BYTES, BYTE_MATCHES = 128, 78  # at a similarity of 0.8 five standard deviations below the mean
 BLOCK = 500
 HOT = 4 * BLOCK  # rows of a list beyond which its members meet under shingles
+PAIRS_A_PART = 100
 SLOTS = 1 << 22  # counters by which shingles are ordered from rare to common
 EDGES = [1]  # sizes at which the bands of sizes begin
 while EDGES[-1] < 1 << 40:
@@ -333,6 +334,7 @@ def _cross_links(posts: DataFrame, docs: DataFrame, width: int, percent: int) ->
     dealt = rows.repartition(*CELL).sortWithinPartitions(*CELL, "cid").select(*CELL, "side", *POSTS, "posted")
     types = "key long, block int, other int, side int, cid long, n long, marks binary, comp long"
     hits = reliable_checkpoint(dealt.mapInArrow(candidates, types))
+    release(docs.sparkSession)
     sets = _sets(hits.select(F.col("cid").alias("id")).distinct(), docs, width)
     rows = hits.join(sets, F.col("cid") == F.col("id")).repartition(*CELL).sortWithinPartitions(*CELL, "cid")
     return rows.select(*CELL, "side", *POSTS, "members").mapInArrow(compare, PAIR).select("a", "b").distinct()
@@ -367,9 +369,16 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> D
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    # All near copies of a text propose it: its set is sent once for each PAIRS_A_PART of its pairs.
+    parts = pairs.groupBy(F.col("b").alias("idb")).agg(F.ceil(F.count("*") / PAIRS_A_PART).alias("parts"))
+    several = parts.where("parts > 1")
     left = sets.select(F.col("id").alias("ida"), F.col("members").alias("of_a"))
     right = sets.select(F.col("id").alias("idb"), F.col("members").alias("of_b"))
-    joined = pairs.join(left, F.col("a") == F.col("ida")).join(right, F.col("b") == F.col("idb"))
+    salted = pairs.join(several, F.col("b") == F.col("idb"), "left").select(
+        "a", "b", F.pmod(F.xxhash64("a"), F.coalesce("parts", F.lit(1))).alias("part")
+    )
+    right = right.join(parts, "idb").withColumn("part_b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    joined = salted.join(left, F.col("a") == F.col("ida")).join(right, (F.col("b") == F.col("idb")) & (F.col("part") == F.col("part_b")))
     return joined.select("a", "b", "of_a", "of_b").mapInArrow(compare, "a long, b long")
 
 
@@ -401,6 +410,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     posts = reliable_checkpoint(posts.select(F.col("post.key").alias("key"), F.col("post.length").alias("length"), "cid", "n", "marks", "posted"))
     blocks = F.ceil(F.col("length") / BLOCK)
     alone = posts.withColumn("comp", F.col("cid")).withColumn("block", F.pmod(F.xxhash64("cid"), blocks).cast("int"))
+    release(docs.sparkSession)
     links = reliable_checkpoint(_confirmed(_best_pairs(alone), source, width, percent))
 
     def labelled(found: DataFrame) -> DataFrame:
@@ -408,6 +418,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         return posts.join(parts, F.col("cid") == F.col("id"), "left").withColumn("comp", F.coalesce("component", "cid")).drop("id", "component")
 
     links = reliable_checkpoint(links.unionByName(_confirmed(_best_pairs(_heads(labelled(links))), source, width, percent)))
+    release(docs.sparkSession)
     links = links.unionByName(_cross_links(labelled(links).drop("length"), source, width, percent))
     parts = components(links)
     of_class = classes.join(parts, F.col("cid") == F.col("id"), "left").select("cls", F.coalesce("component", "cid").alias("component"))
