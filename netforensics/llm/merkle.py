@@ -24,9 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from netforensics.session import reliable_checkpoint
-
-from .common import slices, texts
+from .common import shared_folder, slices, texts
 
 # A sentence of at least 24 characters, cut after 160.
 SEGMENT = re.compile(r".{0,24}[^.!?|]{0,136}[.!?|]*\s*")
@@ -181,7 +179,10 @@ def edit_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         ]
     )
     found = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(run, report)
-    found = reliable_checkpoint(found)
+    # Compressed, unlike a checkpoint: fingerprints are hex digits. Both reads below get the same ranges.
+    path = shared_folder(docs.sparkSession, "fingerprints")
+    found.write.option("compression", "zstd").parquet(path)
+    found = docs.sparkSession.read.schema(report).parquet(path)
 
     def join_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Heads and tails in order: every tail goes with the head that follows, the last with the first."""
