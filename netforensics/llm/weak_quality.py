@@ -7,7 +7,8 @@ good. The posteriors are the targets of a linear scorer over hashed words, word
 repetitions, fitted on a bounded sample of `sample` documents; the scorer judges every document.
 
 There are at most 3^7 patterns, whatever the corpus: the estimation needs no more than their
-counts. Null and empty texts have no features and score the intercept; all labellers abstain.
+counts. Null and empty texts have no features and score the intercept; all labellers abstain, and
+they are not kept. Rows are judged one by one: repeated rows and null keys come back as they are.
 """
 
 from __future__ import annotations
@@ -237,7 +238,9 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: fl
 
 
 def _kept(text: str, score: str, limit: float) -> F.Column:
-    return F.coalesce(F.length(F.trim(F.col(text))) > 0, F.lit(False)) & (F.col(score) >= limit)
+    # What the labellers split at: Unicode's white space and the four separators from FS on.
+    has_words = F.col(text).rlike(r"(?U)[^\s\x1c-\x1f]")
+    return F.coalesce(has_words, F.lit(False)) & (F.col(score) >= limit)
 
 
 def keep_good(docs: DataFrame, text: str = "text", limit: float = 0.5, sample: int = SAMPLE) -> DataFrame:
