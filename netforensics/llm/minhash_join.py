@@ -34,12 +34,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegralType, LongType, StructField, StructType
 
 from netforensics.session import reliable_checkpoint
 
 from .blobs import HASHES, mixed
-from .common import only, release, slices, texts
+from .common import free_name, only, release, slices, texts
 from .components import components
 
 COORDINATES, MATCHES = 32, 12
@@ -386,10 +386,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     """Per row: key, n_shingles, component_id, kept (the row whose key names its component).
 
     `percent` is the similarity in hundredths that links; the counts of agreements are made for 80 and
-    hold for more as well. Rows with a null key are kept alone.
+    hold for more as well. Rows with a null key are kept alone. Keys are whole numbers; others are refused.
     """
     if percent < 80:
         raise ValueError("the signature thresholds are made for a similarity of 0.8 and more")
+    if not isinstance(docs.schema[key].dataType, IntegralType):
+        raise TypeError(f"{key} has to be a whole number")
     source = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     rows = reliable_checkpoint(_rows(source, width))
     classes = (
@@ -434,7 +436,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """`docs` with one row's document of each group of near duplicates; columns unchanged."""
-    gone = near_duplicates(docs, key, text, width, percent).where("not kept").select(F.col(key).cast("long").alias("_gone"))
+    own = free_name(docs, "_gone")
+    gone = near_duplicates(docs.select(key, text), key, text, width, percent).where("not kept").select(F.col(key).cast("long").alias(own))
     gone = reliable_checkpoint(gone)
     few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, F.col(key).cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(F.broadcast(gone) if few else gone, F.col(key).cast("long") == F.col(own), "left_anti")

@@ -56,8 +56,8 @@ def measure(text: str) -> tuple[int, ...]:
     words = text.encode().split()
     lines = text.split("\n")
     distinct = set(lines)
-    blank = [line for line in distinct if not line.strip(SPACES)]
-    filled = len(lines) - sum(map(lines.count, blank))
+    blank = {line for line in distinct if not line.strip(SPACES)}
+    filled = len(lines) - (sum(line in blank for line in lines) if blank else 0)
     return (
         len(words),
         len(text) - sum(map(text.count, SPACES)),
@@ -131,8 +131,9 @@ def host_verdicts(measured: DataFrame, counts: str, host: str = "source", limit:
 
 def _join_hosts(rows: DataFrame, hosts: DataFrame, host: str, how: str) -> DataFrame:
     few = hosts.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
-    side = hosts.withColumnRenamed("host", "_host")
-    return rows.join(F.broadcast(side) if few else side, F.col(host) == F.col("_host"), how)
+    own = free_name(rows, "_host")
+    side = hosts.withColumnRenamed("host", own)
+    return rows.join(F.broadcast(side) if few else side, F.col(host) == F.col(own), how)
 
 
 def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
