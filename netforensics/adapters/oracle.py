@@ -1065,6 +1065,45 @@ UNION ALL SELECT case_id, 'capture', src_ip, dst_ip, dst_port, orig_bytes, resp_
 SQL["object_labels"] = """WITH n AS (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM documents)
 SELECT doc_id, CASE WHEN t = '' THEN NULL WHEN length(t) <= 160 THEN t ELSE concat(substr(t, 1, 78), '...', substr(t, length(t) - 77)) END AS label FROM n"""
 
+SQL["dga_split"] = """WITH p AS (
+  SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS name, 0 AS label FROM documents
+  UNION ALL SELECT unnest(list_transform(list_zip(w[1:len(w) - 1], w[2:]), lambda x: x[1] || x[2])), 1
+  FROM (SELECT regexp_extract_all(lower(text), '[a-z]+') AS w FROM conversations) WHERE len(w) > 1),
+n AS (SELECT name, min(label) AS label FROM p GROUP BY 1)
+SELECT CASE WHEN ('0x' || substr(md5(name), 1, 7))::BIGINT % 10000 < 8500 THEN 'train' ELSE 'held_out' END AS part, label::INT AS label,
+  count(*) AS names, sum(length(name))::BIGINT AS letters FROM n GROUP BY 1, 2"""
+SQL["manifest_sidecars"] = """SELECT concat('case-', n_nationkey) AS case_id, greatest(n_nationkey * 1000000, n_regionkey * 5000000) / 1e6 AS clock_uncertainty_ms,
+  concat('a', n_regionkey) AS clock_algorithm, n_nationkey % 2 = 0 AS clock_quality_reported, concat('etw', n_regionkey) AS access_events_source,
+  n_nationkey % 3 <> 0 AS access_events_correlation_eligible, (n_nationkey % 4)::INT AS access_events_rejected_count,
+  CASE WHEN n_nationkey % 3 = 2 THEN 'r' ELSE concat('c', n_nationkey) END AS correlation_reason FROM nation"""
+SQL["allowlist_file"] = f"""SELECT 'domain' AS kind, unnest([{_list(vocab.ALLOWLIST_DOMAINS)}]) AS value
+UNION SELECT 'domain', concat('site', s_suppkey, '.com') FROM supplier UNION SELECT 'domain', 'all.example' FROM supplier
+UNION SELECT 'cidr', concat('203.0.', s_nationkey, '.0/24') FROM supplier WHERE s_suppkey % 5 <> 0"""
+SQL["infrastructure_removal"] = sql("conn", "dns", "ioc", "ohttp", body="""
+SELECT case_id, seq, type, value FROM ioc ANTI JOIN (SELECT DISTINCT case_id, dst_ip AS value, 'ip' AS type FROM ohttp) USING (case_id, type, value)""")
+SQL["event_sinks"] = sql("intel", "find", "evt", body=f"""
+SELECT unnest(['table', 'json', 'store']) AS sink, case_id, {uuid5('seq::VARCHAR')} AS event_id, final AS confidence_tier, seq AS chain_pos FROM evt""")
+SQL["feed_guard"] = SQL["feed_refresh"].replace(
+    "SELECT value, source, note, indicator_type, last_seen FROM u QUALIFY row_number() OVER (PARTITION BY value ORDER BY rk DESC, seq DESC) = 1",
+    "SELECT count(DISTINCT value) AS indicators, 500 AS minimum, count(DISTINCT value) >= 500 AS enough FROM u")
+SQL["correlated_events"] = sql("acc", body="""
+, fs AS (SELECT case_id, dst_ip, dst_port, arg_min(kind, seq) AS kind, arg_min(coalesce(domain, ''), seq) AS domain, arg_min(plain, seq) AS plain FROM net GROUP BY 1, 2, 3),
+e AS (SELECT b.*, f.kind, nullif(f.domain, '') AS domain, f.plain, CASE WHEN b.tier = 'weak' AND f.domain = 'events.data.microsoft.com' THEN 'allowlisted' ELSE b.tier END AS graded,
+  round_even(b.delta * 100.0, 0) / 100.0 AS d, make_timestamp(n_us) AS moment, n_us % 1000000 AS fraction FROM best b JOIN fs f USING (case_id, dst_ip, dst_port)),
+x AS (SELECT *, concat(strftime(moment, '%Y-%m-%dT%H:%M:%S'), CASE WHEN fraction <> 0 THEN concat('.', lpad(fraction::VARCHAR, 6, '0')) ELSE '' END, '+00:00') AS stamp,
+  acc.user_id FROM e JOIN (SELECT case_id, seq AS access_seq, user_id FROM acc) acc USING (case_id, access_seq))
+SELECT case_id, sha256(case_id) AS sample_id, access_seq, dst_ip AS destination_ip, dst_port AS destination_port, domain AS destination_domain, plain AS plaintext_available,
+  score AS confidence_score, graded AS confidence_tier, 'correlation' AS finding_kind,
+  concat('This sample read ', CASE WHEN obj IS NULL THEN replace(data_type, '_', ' ') WHEN data_type = 'file_access' THEN concat('the file ', obj)
+      ELSE concat(replace(data_type, '_', ' '), ' from ', obj) END, ' on the computer and contacted ',
+    CASE WHEN domain IS NOT NULL THEN concat(domain, ' (', dst_ip, ')') ELSE concat(dst_ip, ':', dst_port) END, ' ', regexp_replace(d::VARCHAR, '\\.0$', ''), ' seconds later.',
+    CASE WHEN graded = 'allowlisted' THEN ' Reviewed and assessed as normal activity, not a threat.' WHEN graded IN ('weak', 'unconfirmed')
+      THEN ' This is shown for review and is not confirmed.' ELSE '' END) AS plain_language,
+  concat('[{"type":"network_event","detector":"', kind, '","destination_ip":"', dst_ip, '","destination_port":', dst_port,
+    CASE WHEN domain IS NOT NULL THEN concat(',"destination_domain":"', domain, '"') ELSE '' END, ',"timestamp":"', stamp, '"},{"type":"host_access","data_type":"', data_type,
+    '","api_call":"', api_call, '","time_delta_s":', d::VARCHAR, CASE WHEN obj IS NOT NULL THEN concat(',"object_path":"', obj, '"') ELSE '' END,
+    ',"process":"proc', user_id % 5, '.exe","process_id":', user_id, '}]') AS evidence_refs FROM x""")
+
 # --- the whole analysis ------------------------------------------------------------------
 
 _GUEST_OF = "(r.g IS NULL OR src_ip = r.g OR dst_ip = r.g)"

@@ -484,6 +484,13 @@ def static_prior_match(spark, sf):
     )
 
 
+@query
+def infrastructure_removal(spark, sf):
+    """Static indicators without the addresses that answered the orders of their case."""
+    servers = cn.infrastructure(t.order_http(spark, sf))
+    return ti.without_infrastructure(t.static_iocs(spark, sf), servers).select("case_id", "seq", "type", "value")
+
+
 @query
 def static_prior_tiers(spark, sf):
     dns = t.dns(spark, sf).select("case_id", F.lower("query").alias("domain"))
@@ -794,6 +801,35 @@ def new_events(spark, sf):
     return em.new_events(events, stored).select("case_id", "event_id", "destination_ip", "confidence_tier")
 
 
+@query
+def event_sinks(spark, sf):
+    """Events through each sink and back; the store is written twice and keeps one row of each."""
+    events = reliable_checkpoint(_events(spark, sf).select("case_id", "event_id", "confidence_tier", "chain_pos"))
+    folder = work_folder(spark, "sinks")
+    em.write_table(events, f"{folder}/table")
+    em.write_json(events, f"{folder}/json")
+    em.store_events(events, f"{folder}/store")
+    em.store_events(events, f"{folder}/store")
+    out = None
+    for name, back in (("table", spark.read.parquet(f"{folder}/table")), ("json", spark.read.json(f"{folder}/json")), ("store", spark.read.parquet(f"{folder}/store"))):
+        rows = back.select(F.lit(name).alias("sink"), F.col("case_id").cast("string").alias("case_id"), "event_id", "confidence_tier", "chain_pos")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query
+def correlated_events(spark, sf):
+    """Event rows of correlated accesses, enriched by the first finding on their service."""
+    network = t.network(spark, sf)
+    best = co.correlate_best(t.access(spark, sf), network)
+    samples = t.manifests(spark, sf).select("case_id", F.sha2("case_id", 256).alias("sample_id"))
+    rows = em.event_rows(network, best, samples).filter("chain_order.stage = 0")
+    return rows.select(
+        "case_id", "sample_id", F.col("chain_order.access").alias("access_seq"), "destination_ip", "destination_port", "destination_domain",
+        "plaintext_available", "confidence_score", "confidence_tier", "finding_kind", "plain_language", "evidence_refs",
+    )
+
+
 # --- evaluation ---------------------------------------------------------------------------------------------------------------
 
 
@@ -849,15 +885,28 @@ def dga_score(spark, sf):
     return dga.score_names(names, weights, bias=-0.25).select("name", "probability", "is_dga")
 
 
+def _training_samples(spark, sf):
+    """Words of documents against names made of two neighbouring words of conversations."""
+    def words(table):
+        return t.read(spark, sf, table).select(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), F.lit(1)).alias("w"))
+
+    single = words("documents").select(F.explode("w").alias("name"))
+    pairs = F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.size("w")), lambda a, b: F.concat(a, b))
+    joined = words("conversations").filter(F.size("w") > 0).select(F.explode(pairs).alias("name"))
+    return dga.training_set((single, 0), (joined, 1))
+
+
+@query
+def dga_split(spark, sf):
+    train, held = dga.split_training(_training_samples(spark, sf))
+    parts = train.withColumn("part", F.lit("train")).unionByName(held.withColumn("part", F.lit("held_out")))
+    return parts.groupBy("part", "label").agg(F.count(F.lit(1)).alias("names"), F.sum(F.length("name")).alias("letters"))
+
+
 @query
 def dga_training(spark, sf):
-    """Train on page and document words against hashed names; metrics on both splits."""
-    words = t.read(spark, sf, "documents").select(
-        F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), F.lit(1))).alias("name")
-    )
-    hashed = t.read(spark, sf, "events").select(F.substr(F.md5(F.col("event_id").cast("string")), F.lit(1), F.lit(16)).alias("name"))
-    samples = dga.training_set((words, 0), (hashed, 1))
-    train, held = dga.split_training(samples)
+    """Train on single words against joined words; metrics on both splits."""
+    train, held = dga.split_training(reliable_checkpoint(_training_samples(spark, sf)))
     weights, bias = dga.train(train, max_iter=20)
     out = None
     for name, part in (("train", train), ("held_out", held)):
@@ -1037,6 +1086,40 @@ def handoff_manifest(spark, sf):
     )
 
 
+@query
+def manifest_sidecars(spark, sf):
+    """Manifests with their clock and access-status documents."""
+    cases = t.read(spark, sf, "nation")
+    clock = cases.selectExpr(
+        "concat('case-', n_nationkey) AS case_id",
+        "concat('{\"algorithm\":\"a', n_regionkey, '\",\"measurements\":{\"start\":{\"uncertainty_ns\":', n_nationkey * 1000000L, "
+        "'},\"end\":{\"uncertainty_ns\":', n_regionkey * 5000000L, '}},\"quality\":{\"acceptable\":', "
+        "CASE WHEN n_nationkey % 2 = 0 THEN 'true' ELSE 'false' END, '}}') AS raw",
+    )
+    status = cases.selectExpr(
+        "concat('case-', n_nationkey) AS case_id",
+        "concat('{\"source\":\"etw', n_regionkey, '\",\"correlation_eligible\":', CASE WHEN n_nationkey % 3 = 0 THEN 'false' ELSE 'true' END, "
+        "',\"rejected_event_count\":', n_nationkey % 4, ',\"reason_code\":\"c', n_nationkey, '\"}') AS raw",
+    )
+    return doc.parse_manifests(t.manifest_documents(spark, sf), clock, status).select(
+        "case_id", "clock_uncertainty_ms", "clock_algorithm", "clock_quality_reported", "access_events_source",
+        "access_events_correlation_eligible", "access_events_rejected_count", "correlation_reason",
+    )
+
+
+@query
+def allowlist_file(spark, sf):
+    """The built-in names and those of one site document per supplier; malformed networks are left out."""
+    docs = t.read(spark, sf, "supplier").selectExpr(
+        "concat('{\"domains\":[\" Site', s_suppkey, '.COM \",\"all.example\"],\"cidrs\":[\"203.0.', s_nationkey, '.0/', "
+        "CASE WHEN s_suppkey % 5 = 0 THEN '99' ELSE '24' END, '\"]}') AS raw"
+    )
+    domains, cidrs = doc.parse_allowlist(docs)
+    return domains.select(F.lit("domain").alias("kind"), F.col("domain").alias("value")).unionByName(
+        cidrs.select(F.lit("cidr").alias("kind"), F.col("cidr").alias("value"))
+    )
+
+
 @query
 def clock_quality(spark, sf):
     docs = t.read(spark, sf, "supplier").selectExpr(
@@ -1123,6 +1206,11 @@ def feed_refresh(spark, sf):
     return fd.merge_indicators(fd.demo_indicators(spark), fd.known_fingerprints(spark), fd.parse_feeds(_feed_files(spark, sf)))
 
 
+@query
+def feed_guard(spark, sf):
+    return fd.indicator_guard(fd.merge_indicators(fd.demo_indicators(spark), fd.known_fingerprints(spark), fd.parse_feeds(_feed_files(spark, sf))))
+
+
 @query
 def intel_counts(spark, sf):
     return fd.indicator_counts(t.intel(spark, sf))

@@ -75,8 +75,8 @@ def training_set(*labelled: tuple[DataFrame, int]) -> DataFrame:
 
 
 def split_training(samples: DataFrame, train_share: float = 0.85) -> tuple[DataFrame, DataFrame]:
-    """Deterministic split by a hash of the name, the same on every run and cluster."""
-    bucket = F.pmod(F.xxhash64("name"), F.lit(10_000))
+    """Deterministic split by a digest of the name, the same on every run, cluster and engine."""
+    bucket = F.conv(F.substr(F.md5("name"), F.lit(1), F.lit(7)), 16, 10).cast("bigint") % 10_000
     cut = int(train_share * 10_000)
     return samples.filter(bucket < cut), samples.filter(bucket >= cut)
 

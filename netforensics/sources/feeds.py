@@ -202,9 +202,16 @@ def indicator_counts(intel: DataFrame) -> DataFrame:
     )
 
 
+def indicator_guard(intel: DataFrame, minimum: int = MIN_INDICATORS) -> DataFrame:
+    """One row (indicators, minimum, enough): whether the table is large enough to be a complete one."""
+    return intel.agg(F.count(F.lit(1)).alias("indicators")).select(
+        "indicators", F.lit(minimum).alias("minimum"), (F.col("indicators") >= minimum).alias("enough")
+    )
+
+
 def require_indicators(intel: DataFrame, minimum: int = MIN_INDICATORS) -> int:
     """Raise when the table is suspiciously small; a broken feed must not look like a clean one."""
-    found = intel.count()
-    if found < minimum:
-        raise ValueError(f"only {found} indicators, expected at least {minimum}")
-    return found
+    found = indicator_guard(intel, minimum).first()
+    if not found["enough"]:
+        raise ValueError(f"only {found['indicators']} indicators, expected at least {minimum}")
+    return found["indicators"]
