@@ -23,7 +23,7 @@ HEADLINE = [
     "tls_certificate", "ja3_hash", "ja4_hash", "flow_assembly", "intel_lookup", "domain_reputation",
     "suffix_allowlist", "geo_range", "corroboration_tier", "correlate_best", "clock_sync", "static_prior_match",
     "provenance", "timeline", "family", "hash_chain", "chain_verify", "ioc_export", "contract_violations",
-    "precision_recall", "dga_score", "zeek_conn",
+    "precision_recall", "dga_score", "zeek_conn", "outbound_content", "evidence_hashes", "stix_bundles", "network_findings",
 ]
 
 

@@ -432,9 +432,9 @@ bg AS (SELECT *, NOT list_has_any({suffixes('domain')}, [{_list(vocab.ABUSED_HOS
   list_has_any({suffixes('domain')}, [{_list(vocab.OS_BACKGROUND)}]) AS back, {subdomain('domain')} AS sub FROM keep)
 SELECT case_id, domain, query_count, round(CASE WHEN sub <> '' THEN {ent('sub')} ELSE {ent('domain')} END, 6) AS avg_entropy,
   length(sub)::DOUBLE AS avg_sub_len, CASE WHEN back THEN 0.0 ELSE 0.4 END AS confidence,
-  concat(domain, ' was resolved ', query_count, ' time(s). ', CASE WHEN back
-    THEN 'Matches expected operating-system or vendor background traffic.'
-    ELSE 'Not part of expected operating-system background traffic — treat as a destination the sample intended to contact.' END)
+  concat(domain, ' was asked for ', query_count, ' time(s). ', CASE WHEN back
+    THEN 'Known background traffic of the operating system or a vendor.'
+    ELSE 'Not known as background traffic: the sample meant to reach this name.' END)
     AS evidence FROM bg""")
 
 SQL["name_features"] = sql("dns", body=f""", n AS (SELECT DISTINCT lower(query) AS q FROM dns)
@@ -660,7 +660,7 @@ _CAPPED = """b AS (SELECT best.*, m.clock_ok, (NOT best.rep AND best.tier IN ('s
 _ALIGNED = """t AS (SELECT concat('case-', event_id % 7) AS case_id, event_type NOT IN ('purchase', 'signup') AS host,
   round_even(epoch(ts) / 60 * 60 * 1e6, 0)::BIGINT AS us FROM events),
 r AS (SELECT *, row_number() OVER (PARTITION BY case_id, host ORDER BY us) AS k, count(*) OVER (PARTITION BY case_id, host) AS n FROM t),
-aligned AS (SELECT *, concat('CLOCK ALIGNMENT SUSPECT: the median host access lies ', CASE WHEN g > 0 THEN '+' ELSE '' END, round_even(g, 0)::BIGINT,
+aligned AS (SELECT *, concat('CLOCKS MAY DISAGREE: the median host access lies ', CASE WHEN g > 0 THEN '+' ELSE '' END, round_even(g, 0)::BIGINT,
     's from the median network event (algorithm: n/a). Host times should already be on the common clock; links in time are unreliable here and were not shifted.') AS note
   FROM (SELECT case_id, (max(us) FILTER (host) - max(us) FILTER (NOT host)) / 1e6 AS g FROM r WHERE k = n // 2 + 1 GROUP BY 1) WHERE abs(g) > 120)"""
 _GATED = """g AS (SELECT t.*, m.mode, m.pinned, (t.kind = 'beacon' AND NOT m.clock_ok AND NOT t.hit AND t.tier IN ('strong', 'confirmed'))
@@ -672,20 +672,20 @@ SQL["case_notes"] = sql("intel", "find", "man", "acc", body=f""", {_GATED}, c AS
 {_CAPPED}, k AS (SELECT case_id, count(*) FILTER (NOT clock_ok) AS links, count(*) FILTER (clock_ok) AS blind_n FROM b WHERE cap GROUP BY 1),
 {_ALIGNED},
 x AS (SELECT m.*, coalesce(c.n, 0) AS n, coalesce(k.links, 0) AS links, coalesce(k.blind_n, 0) AS blind_n FROM man m LEFT JOIN c USING (case_id) LEFT JOIN k USING (case_id))
-SELECT case_id, 'network' AS gate, 'network_simulated' AS code, NULL::BIGINT AS affected, 'NETWORK SIMULATED: destinations and cadence are attempted, not confirmed-delivered. The absence of exfil is not evidence that the sample is clean.' AS note FROM x WHERE mode = 'simulated'
-UNION ALL SELECT case_id, 'network', 'network_live', NULL, concat('NETWORK LIVE (mode=''', raw_mode, '''): contacted destinations were really reached; blocked ones look like ones never attempted.') FROM x WHERE mode = 'real'
-UNION ALL SELECT case_id, 'network', 'network_unrecognised', NULL, concat('NETWORK MODE UNRECOGNISED (''', raw_mode, '''): treat the absence of exfil as uninterpreted.') FROM x WHERE mode = 'unknown'
-UNION ALL SELECT case_id, 'network', 'clock_quality', n, concat('CLOCK QUALITY NOT ACCEPTABLE: timing-based findings capped to weak (', n, ' affected).') FROM x WHERE NOT clock_ok
-UNION ALL SELECT case_id, 'network', 'tls_not_intercepted', NULL, 'TLS NOT INTERCEPTED (certificate_rejected): detection falls back to metadata-only signals.' FROM x WHERE pinned
-UNION ALL SELECT case_id, 'network', 'tls_intercepted', NULL, 'TLS INTERCEPTED: decrypted payloads were available.' FROM x WHERE NOT pinned
-UNION ALL SELECT case_id, 'correlation', 'correlation_clock', links, concat('CLOCK QUALITY NOT ACCEPTABLE: links between host and network rest on time; ', links, ' capped to weak.')
+SELECT case_id, 'network' AS gate, 'network_simulated' AS code, NULL::BIGINT AS affected, 'NETWORK SIMULATED: what was contacted was only attempted, nothing was delivered. Finding no upload does not clear the sample.' AS note FROM x WHERE mode = 'simulated'
+UNION ALL SELECT case_id, 'network', 'network_live', NULL, concat('NETWORK LIVE (mode ''', raw_mode, '''): contacted destinations were reached; a blocked one cannot be told from one never tried.') FROM x WHERE mode = 'real'
+UNION ALL SELECT case_id, 'network', 'network_unrecognised', NULL, concat('NETWORK MODE UNKNOWN (''', raw_mode, '''): missing uploads allow no conclusion.') FROM x WHERE mode = 'unknown'
+UNION ALL SELECT case_id, 'network', 'clock_quality', n, concat('CLOCKS NOT RELIABLE: ', n, ' timing finding(s) lowered to weak.') FROM x WHERE NOT clock_ok
+UNION ALL SELECT case_id, 'network', 'tls_not_intercepted', NULL, 'TLS NOT READABLE (certificate_rejected): only metadata of encrypted traffic was judged.' FROM x WHERE pinned
+UNION ALL SELECT case_id, 'network', 'tls_intercepted', NULL, 'TLS READABLE: decrypted payloads were at hand.' FROM x WHERE NOT pinned
+UNION ALL SELECT case_id, 'correlation', 'correlation_clock', links, concat('CLOCKS NOT RELIABLE: ', links, ' link(s) between host and network lowered to weak.')
   FROM x WHERE NOT clock_ok AND links > 0
-UNION ALL SELECT case_id, 'correlation', 'telemetry_degraded', blind_n, concat('TELEMETRY DEGRADED (providers unavailable: ',
+UNION ALL SELECT case_id, 'correlation', 'telemetry_degraded', blind_n, concat('TELEMETRY INCOMPLETE (providers missing: ',
     CASE WHEN providers = '' THEN 'unspecified' WHEN providers = 'Kernel-File' THEN 'Kernel-File' ELSE providers END,
-    '): missing host data proves nothing for [', CASE WHEN blind_all THEN 'all data types' ELSE blind END, ']; ', blind_n, ' correlated finding(s) capped to weak.')
+    '): missing host data proves nothing for [', CASE WHEN blind_all THEN 'all data types' ELSE blind END, ']; ', blind_n, ' link(s) lowered to weak.')
   FROM x WHERE degraded
 UNION ALL SELECT case_id, 'clock', 'clock_alignment', NULL, note FROM aligned
-UNION ALL SELECT case_id, 'handoff', 'correlation_disabled', NULL, concat('HOST<->NETWORK CORRELATION DISABLED BY SANDBOX: ', coalesce(reason, 'not stated')) FROM x WHERE NOT corr_ok""")
+UNION ALL SELECT case_id, 'handoff', 'correlation_disabled', NULL, concat('SANDBOX SWITCHED OFF HOST-NETWORK LINKS: ', coalesce(reason, 'not stated')) FROM x WHERE NOT corr_ok""")
 
 SQL["static_prior_match"] = sql("conn", "dns", "ioc", body="""
 SELECT i.case_id, i.seq, i.type, i.value, h.matched IS NOT NULL AS observed, coalesce(h.matched, '') AS matched, i.config
@@ -769,13 +769,13 @@ pr AS (SELECT b.case_id, b.access_seq, CASE b.data_type WHEN 'browser_credential
 SQL["provenance"] = sql("acc", "prov", body="SELECT * FROM pr")
 SQL["provenance_statements"] = sql("acc", "prov", body="""
 SELECT case_id, access_seq, CASE WHEN confidence_tier = 'allowlisted'
-  THEN concat(item_type, coalesce(' ' || accessed_object, ''), ' via ', accessed_via, ' at ', accessed_at, ' was read, and routine background traffic to ',
-    coalesce(destination_domain, destination_ip), ' followed at T (+', time_delta_s::VARCHAR, 's). ', coalesce(destination_domain, destination_ip),
-    ' is a known-good service; no transfer of this item is claimed. [allowlisted]')
-  ELSE concat(item_type, coalesce(' ' || accessed_object, ''), ' via ', accessed_via, ' at ', accessed_at, ' ',
-    CASE WHEN inferred THEN 'was (inferred to be) exfiltrated' ELSE 'was exfiltrated' END, ' to ', coalesce(destination_domain, destination_ip),
-    ' over ', exfil_protocol, ' at T (+', time_delta_s::VARCHAR, 's) [', confidence_tier, ']', CASE WHEN recovered_bytes > 0
-      THEN concat(' — recovered ', recovered_bytes, ' B (sha256 ', substr(recovered_sha256, 1, 12), '…)') ELSE '' END) END AS statement FROM pr""")
+  THEN concat(item_type, coalesce(' ' || accessed_object, ''), ' via ', accessed_via, ' was read at ', accessed_at, '; regular background traffic to ',
+    coalesce(destination_domain, destination_ip), ' came at T (+', time_delta_s::VARCHAR, 's). ', coalesce(destination_domain, destination_ip),
+    ' is known to be harmless, so no transfer is claimed. [allowlisted]')
+  ELSE concat(item_type, coalesce(' ' || accessed_object, ''), ' via ', accessed_via, ', read at ', accessed_at, ', ',
+    CASE WHEN inferred THEN 'probably went' ELSE 'went' END, ' to ', coalesce(destination_domain, destination_ip),
+    ' by ', exfil_protocol, ' at T (+', time_delta_s::VARCHAR, 's) [', confidence_tier, ']', CASE WHEN recovered_bytes > 0
+      THEN concat(', ', recovered_bytes, ' bytes recovered (sha256 ', substr(recovered_sha256, 1, 12), '…)') ELSE '' END) END AS statement FROM pr""")
 SQL["timeline"] = sql("acc", body="""
 SELECT case_id, round(ts, 4) AS event_time, seq, 'host' AS actor, CASE technique WHEN 'T1082' THEN 'discovery' ELSE 'collection' END AS phase,
   technique AS mitre, concat('host accessed ', data_type, ' via ', api_call) AS description, NULL::VARCHAR AS tier FROM acc
@@ -863,9 +863,9 @@ w AS (SELECT *, concat('indicator--', {uuid5('ob')}) AS iid, concat('observed-da
 f AS (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY case_id, ob ORDER BY seq) = 1),
 obj AS (
 SELECT case_id, 'indicator' AS type, iid AS id, concat('Malicious ', label, coalesce(' — ' || note, '')) AS name,
-  concat('Destination ', CASE WHEN ip IS NOT NULL THEN concat(ip, ':443') ELSE domain END, ' flagged as ', final, ' by netforensics. ',
-    CASE WHEN note IS NOT NULL THEN concat('Attribution: ', note, ' (source: ', coalesce(source, 'n/a'), '). ') ELSE '' END,
-    'MITRE: ', coalesce(technique, 'N/A'), '.') AS description,
+  concat(CASE WHEN ip IS NOT NULL THEN concat(ip, ':443') ELSE domain END, ': graded ', final, ' by netforensics. ',
+    CASE WHEN note IS NOT NULL THEN concat('Known as ', note, ' according to ', coalesce(source, 'n/a'), '. ') ELSE '' END,
+    'Technique: ', coalesce(technique, 'none'), '.') AS description,
   CASE WHEN ip IS NOT NULL THEN concat('[ipv4-addr:value = ''', ip, ''']') ELSE concat('[domain-name:value = ''', domain, ''']') END AS pattern,
   'stix' AS pattern_type, concat('T', seq) AS valid_from, CASE final WHEN 'confirmed' THEN '95' WHEN 'strong' THEN '75' ELSE '40' END AS confidence,
   '["malicious-activity"]' AS labels, CASE WHEN technique IS NOT NULL THEN concat('[{{"source_name":"mitre-attack","external_id":"', technique,
@@ -881,18 +881,18 @@ SQL["stix_bundles"] = sql("intel", "find", "evt", body=f""", {_STIX}
 SELECT case_id, concat('bundle--', {uuid5('case_id')}) AS bundle_id, type, id, name, pattern, source_ref, target_ref FROM obj""")
 
 _DEST = """CASE WHEN domain IS NOT NULL AND ip IS NOT NULL THEN concat(domain, ' (', ip, ')') WHEN domain IS NOT NULL THEN domain
-  WHEN ip IS NOT NULL THEN concat(ip, ':443') ELSE 'an unidentified destination' END"""
+  WHEN ip IS NOT NULL THEN concat(ip, ':443') ELSE 'a destination that could not be identified' END"""
 SQL["plain_language"] = sql("intel", "find", "evt", body=f""",
 d AS (SELECT *, {_DEST} AS dest, CASE WHEN seq % 4 = 0 THEN ' in DE' ELSE '' END AS geo FROM evt)
 SELECT case_id, seq, CASE kind WHEN 'beacon' THEN 'beacon' WHEN 'dns_tunnel' THEN 'dns' WHEN 'http_c2' THEN
     CASE WHEN hit THEN 'reputation' ELSE 'exfil' END ELSE 'exfil' END AS finding_kind,
-  concat(CASE kind WHEN 'beacon' THEN concat('This sample contacted ', dest, geo, ' repeatedly at regular intervals, a pattern typical of remote-control software.')
-    WHEN 'dns_tunnel' THEN concat('This sample used the domain-name system to reach ', dest, ' in a way normal software does not.')
-    WHEN 'http_c2' THEN concat('This sample sent data out to ', dest, geo, '.')
-    ELSE concat('This sample uploaded data from the computer to ', dest, geo, '.') END,
-    CASE WHEN hit THEN concat(' That destination is on a threat-intelligence list (', note, ').') ELSE '' END,
-    CASE final WHEN 'allowlisted' THEN ' Reviewed and assessed as normal activity, not a threat.'
-      WHEN 'weak' THEN ' This is shown for review and is not confirmed.' ELSE '' END) AS plain_language FROM d""")
+  concat(CASE kind WHEN 'beacon' THEN concat('The sample called ', dest, geo, ' at steady intervals, as programs do that wait for remote orders.')
+    WHEN 'dns_tunnel' THEN concat('The sample made name lookups for ', dest, ' of a kind that ordinary programs do not make.')
+    WHEN 'http_c2' THEN concat('The sample transferred data to ', dest, geo, '.')
+    ELSE concat('The sample sent data from this computer to ', dest, geo, '.') END,
+    CASE WHEN hit THEN concat(' Threat intelligence lists this destination (', note, ').') ELSE '' END,
+    CASE final WHEN 'allowlisted' THEN ' It was examined and found to be normal activity.'
+      WHEN 'weak' THEN ' It is listed for review only; nothing is confirmed.' ELSE '' END) AS plain_language FROM d""")
 SQL["evidence_refs"] = sql("intel", "find", "evt", body="""
 SELECT case_id, seq, concat('[{"type":"network_event","detector":"', kind, '"', CASE WHEN ip IS NOT NULL THEN concat(',"destination_ip":"', ip, '"') ELSE '' END,
   ',"destination_port":443', CASE WHEN domain IS NOT NULL THEN concat(',"destination_domain":"', domain, '"') ELSE '' END,
@@ -1094,11 +1094,11 @@ x AS (SELECT *, concat(strftime(moment, '%Y-%m-%dT%H:%M:%S'), CASE WHEN fraction
   acc.user_id FROM e JOIN (SELECT case_id, seq AS access_seq, user_id FROM acc) acc USING (case_id, access_seq))
 SELECT case_id, sha256(case_id) AS sample_id, access_seq, dst_ip AS destination_ip, dst_port AS destination_port, domain AS destination_domain, plain AS plaintext_available,
   score AS confidence_score, graded AS confidence_tier, 'correlation' AS finding_kind,
-  concat('This sample read ', CASE WHEN obj IS NULL THEN replace(data_type, '_', ' ') WHEN data_type = 'file_access' THEN concat('the file ', obj)
-      ELSE concat(replace(data_type, '_', ' '), ' from ', obj) END, ' on the computer and contacted ',
-    CASE WHEN domain IS NOT NULL THEN concat(domain, ' (', dst_ip, ')') ELSE concat(dst_ip, ':', dst_port) END, ' ', regexp_replace(d::VARCHAR, '\\.0$', ''), ' seconds later.',
-    CASE WHEN graded = 'allowlisted' THEN ' Reviewed and assessed as normal activity, not a threat.' WHEN graded IN ('weak', 'unconfirmed')
-      THEN ' This is shown for review and is not confirmed.' ELSE '' END) AS plain_language,
+  concat('On this computer the sample accessed ', CASE WHEN obj IS NULL THEN replace(data_type, '_', ' ') WHEN data_type = 'file_access' THEN concat('the file ', obj)
+      ELSE concat(replace(data_type, '_', ' '), ' from ', obj) END, '; ', regexp_replace(d::VARCHAR, '\\.0$', ''), ' seconds afterwards it was in contact with ',
+    CASE WHEN domain IS NOT NULL THEN concat(domain, ' (', dst_ip, ')') ELSE concat(dst_ip, ':', dst_port) END, '.',
+    CASE WHEN graded = 'allowlisted' THEN ' It was examined and found to be normal activity.' WHEN graded IN ('weak', 'unconfirmed')
+      THEN ' It is listed for review only; nothing is confirmed.' ELSE '' END) AS plain_language,
   concat('[{"type":"network_event","detector":"', kind, '","destination_ip":"', dst_ip, '","destination_port":', dst_port,
     CASE WHEN domain IS NOT NULL THEN concat(',"destination_domain":"', domain, '"') ELSE '' END, ',"timestamp":"', stamp, '"},{"type":"host_access","data_type":"', data_type,
     '","api_call":"', api_call, '","time_delta_s":', d::VARCHAR, CASE WHEN obj IS NOT NULL THEN concat(',"object_path":"', obj, '"') ELSE '' END,

@@ -311,47 +311,46 @@ def case_notes(
     items = [
         item(
             "network", "network_simulated", mode == "simulated",
-            F.lit("NETWORK SIMULATED: destinations and cadence are attempted, not confirmed-delivered. The absence "
-                  "of exfil is not evidence that the sample is clean."),
+            F.lit("NETWORK SIMULATED: what was contacted was only attempted, nothing was delivered. Finding no upload does "
+                  "not clear the sample."),
         ),
         item(
-            "network", "network_live", mode == "real", F.lit("NETWORK LIVE (mode='"), F.col("network_mode"),
-            F.lit("'): contacted destinations were really reached; blocked ones look like ones never attempted."),
+            "network", "network_live", mode == "real", F.lit("NETWORK LIVE (mode '"), F.col("network_mode"),
+            F.lit("'): contacted destinations were reached; a blocked one cannot be told from one never tried."),
         ),
         item(
-            "network", "network_unrecognised", stated & (mode == "unknown"), F.lit("NETWORK MODE UNRECOGNISED ('"),
-            F.col("network_mode"), F.lit("'): treat the absence of exfil as uninterpreted."),
+            "network", "network_unrecognised", stated & (mode == "unknown"), F.lit("NETWORK MODE UNKNOWN ('"),
+            F.col("network_mode"), F.lit("'): missing uploads allow no conclusion."),
         ),
         item(
             "network", "clock_quality", clock_bad,
-            F.lit("CLOCK QUALITY NOT ACCEPTABLE: timing-based findings capped to weak ("),
-            F.col("_capped").cast("string"), F.lit(" affected)."), affected=F.col("_capped"),
+            F.lit("CLOCKS NOT RELIABLE: "), F.col("_capped").cast("string"), F.lit(" timing finding(s) lowered to weak."), affected=F.col("_capped"),
         ),
         item(
-            "network", "tls_not_intercepted", pinning_suspected(status), F.lit("TLS NOT INTERCEPTED ("), status,
-            F.lit("): detection falls back to metadata-only signals."),
+            "network", "tls_not_intercepted", pinning_suspected(status), F.lit("TLS NOT READABLE ("), status,
+            F.lit("): only metadata of encrypted traffic was judged."),
         ),
-        item("network", "tls_intercepted", tls_intercepted(status), F.lit("TLS INTERCEPTED: decrypted payloads were available.")),
+        item("network", "tls_intercepted", tls_intercepted(status), F.lit("TLS READABLE: decrypted payloads were at hand.")),
         item(
             "correlation", "correlation_clock", clock_bad & (F.col("_unclocked") > 0),
-            F.lit("CLOCK QUALITY NOT ACCEPTABLE: links between host and network rest on time; "),
-            F.col("_unclocked").cast("string"), F.lit(" capped to weak."), affected=F.col("_unclocked"),
+            F.lit("CLOCKS NOT RELIABLE: "), F.col("_unclocked").cast("string"),
+            F.lit(" link(s) between host and network lowered to weak."), affected=F.col("_unclocked"),
         ),
         item(
             "correlation", "telemetry_degraded", F.coalesce("telemetry_degraded", F.lit(False)),
-            F.lit("TELEMETRY DEGRADED (providers unavailable: "), named, F.lit("): missing host data proves nothing for ["), scope,
-            F.lit("]; "), F.col("_blind").cast("string"), F.lit(" correlated finding(s) capped to weak."), affected=F.col("_blind"),
+            F.lit("TELEMETRY INCOMPLETE (providers missing: "), named, F.lit("): missing host data proves nothing for ["), scope,
+            F.lit("]; "), F.col("_blind").cast("string"), F.lit(" link(s) lowered to weak."), affected=F.col("_blind"),
         ),
         item(
             "handoff", "correlation_disabled",
             ~(F.col("host_network_correlation_enabled") & F.col("access_events_correlation_eligible")),
-            F.lit("HOST<->NETWORK CORRELATION DISABLED BY SANDBOX: "),
+            F.lit("SANDBOX SWITCHED OFF HOST-NETWORK LINKS: "),
             F.coalesce("correlation_reason", F.lit("not stated")),
         ),
         item(
             "handoff", "access_events_rejected", F.coalesce("access_events_rejected_count", F.lit(0)) > 0,
-            F.lit("ACCESS EVENTS PARTIALLY REJECTED: "), F.col("access_events_rejected_count").cast("string"),
-            F.lit(" event(s) discarded before handoff."),
+            F.lit("ACCESS EVENTS INCOMPLETE: "), F.col("access_events_rejected_count").cast("string"),
+            F.lit(" event(s) were dropped before they arrived."),
         ),
     ]
     out = m.select("case_id", F.explode(F.array_compact(F.array(*items))).alias("n")).select("case_id", "n.*")

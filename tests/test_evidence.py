@@ -181,7 +181,7 @@ def test_note_ledger_counts_what_each_gate_capped(spark):
         ("c0", "network_live"): None, ("c1", "network_live"): None, ("c0", "clock_quality"): 2, ("c0", "tls_not_intercepted"): None,
         ("c1", "tls_not_intercepted"): None, ("c0", "correlation_clock"): 1, ("c0", "telemetry_degraded"): 0, ("c1", "telemetry_degraded"): 2,
         ("c1", "access_events_rejected"): None, ("c1", "clock_alignment"): None}
-    assert got["c1", "telemetry_degraded"][2].endswith("[file_access]; 2 correlated finding(s) capped to weak.") and got["c1", "clock_alignment"][0] == "clock"
+    assert got["c1", "telemetry_degraded"][2].endswith("[file_access]; 2 link(s) lowered to weak.") and got["c1", "clock_alignment"][0] == "clock"
 
 
 def test_family_evidence_is_ranked(spark):
