@@ -351,3 +351,40 @@ def test_an_anchor_with_many_neighbours_is_not_one_collection(spark, monkeypatch
             seen.add(part)
         kept = "".join(b for b, c in zip(text, cut, strict=True) if not c)
         assert (got[i]["n_removed"], got[i]["kept_sha256"]) == (sum(cut), hashlib.sha256(kept.encode()).hexdigest())
+
+
+def test_names_and_keys_of_the_input(spark):
+    """Clashing names, repeated rows, null keys, texts of white space, keys that are not numbers."""
+    base = " ".join(f"word{i}" for i in range(80))
+    rows = [(1, base, "h", 1, 2), (1, base, "h", 1, 2), (2, base + " more", "h", 1, 2), (None, base, "h", 1, 2), (3, "\n\t\n", "h", 1, 2), (4, " \x1c\u2003", None, 1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _gone int, _host int")
+    kept = minhash_join.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "1", "3", "4", "None"]
+    assert quality_rules.keep_good(docs).columns == docs.columns
+    assert {r["doc_id"]: r["kept"] for r in weak_quality.classify(docs).collect() if r["doc_id"] in (3, 4)} == {3: False, 4: False}
+    with pytest.raises(TypeError):
+        minhash_join.near_duplicates(docs.selectExpr("cast(doc_id as string) as doc_id", "text"))
+
+
+def test_many_copies_of_one_partner(spark):
+    """More near copies of one text than a part of its pairs holds: all of them are one component."""
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(words[:k] + [f"x{i}"] + words[k:])) for i, k in ((i, i % 200) for i in range(400))]
+    got = minhash_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["component_id"] for r in got} == {0} and sum(r["kept"] for r in got) == 1
+
+
+def test_merkle_likeness_equals_brute_force(docs):
+    """The likeness settled by levels is that of the multisets of leaves, but for 1 only with equal roots."""
+    texts = [t or "" for t in _texts()]
+    leaves = [Counter(leaf for section in merkle.tree(t) for paragraph in section for leaf in paragraph) for t in texts]
+    got = _by_id(merkle.edit_report(docs))
+    order = sorted(range(len(texts)), reverse=True)
+    for place, i in enumerate(order):
+        following = order[(place + 1) % len(order)]
+        new = merkle.edited(texts[i], texts[following])
+        own = Counter(leaf for section in merkle.tree(new) for paragraph in section for leaf in paragraph)
+        for name, other, text in (("near_edited", own, new), ("near_next", leaves[following], texts[following])):
+            shared = sum((leaves[i] & other).values())
+            want = 1.0 if text == texts[i] else min(2 * shared / (sum(leaves[i].values()) + sum(other.values())), 1 - 1e-6)
+            assert abs(got[i][name] - want) < 1e-12
