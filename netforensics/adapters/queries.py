@@ -432,14 +432,20 @@ def geo_network(spark, sf):
 # --- tiers ------------------------------------------------------------------------------------------------
 
 
-def _tiered(spark, sf):
+def _intel(spark, sf):
+    """The merged indicators; staged, since every lookup below reads them again."""
+    return reliable_checkpoint(t.intel(spark, sf))
+
+
+def _tiered(spark, sf, intel=None):
+    intel = _intel(spark, sf) if intel is None else intel
     found = ti.apply_reputation(
         t.findings(spark, sf).withColumns(
             {c: F.lit(None).cast("string") for c in ("reputation_hit", "reputation_source", "reputation_note", "match_on")}
         ),
-        t.intel(spark, sf),
+        intel,
     )
-    return ti.apply_corroboration(ti.apply_domain_reputation(found, t.intel(spark, sf)))
+    return ti.apply_corroboration(ti.apply_domain_reputation(found, intel))
 
 
 @query
@@ -494,7 +500,7 @@ def infrastructure_removal(spark, sf):
 @query
 def static_prior_tiers(spark, sf):
     dns = t.dns(spark, sf).select("case_id", F.lower("query").alias("domain"))
-    found = ti.apply_static_prior(_tiered(spark, sf), t.static_iocs(spark, sf), t.connections(spark, sf), dns)
+    found = ti.apply_static_prior(reliable_checkpoint(_tiered(spark, sf)), t.static_iocs(spark, sf), t.connections(spark, sf), dns)
     return found.select(
         "case_id", F.col("finding_no.seq").alias("seq"), "kind", "dst_ip", "destination_domain", "confidence",
         "confidence_tier", "reputation_hit", "static_match", "static_note",
@@ -612,7 +618,8 @@ def timeline(spark, sf):
 
 def _families(spark, sf):
     stated = t.static_iocs(spark, sf).groupBy("case_id").agg(F.max("family").alias("family"))
-    return st.attribute_family(_tiered(spark, sf), t.intel(spark, sf), stated)
+    intel = _intel(spark, sf)
+    return st.attribute_family(reliable_checkpoint(_tiered(spark, sf, intel)), intel, stated)
 
 
 @query
@@ -834,10 +841,11 @@ def correlated_events(spark, sf):
 
 
 def _outcomes(spark, sf):
-    truth = t.intel(spark, sf).filter("indicator_type = 'ip'").withColumn(
+    intel = _intel(spark, sf)
+    truth = intel.filter("indicator_type = 'ip'").withColumn(
         "c", F.explode(F.sequence(F.lit(0), F.lit(7)))
     ).selectExpr("concat('case-', c) AS case_id", "CASE WHEN c < 5 THEN value END AS indicator", "c < 5 AS is_malware").distinct()
-    return ev.case_outcomes(ev.flagged_by_threshold(_tiered(spark, sf)), truth)
+    return ev.case_outcomes(ev.flagged_by_threshold(_tiered(spark, sf, intel)), truth)
 
 
 @query
