@@ -1122,11 +1122,11 @@ c_ftp AS (SELECT f.* FROM oftp f JOIN r USING (case_id) WHERE {_IN}),
 c_dns AS (SELECT d.* FROM dns d JOIN r USING (case_id) WHERE {_IN}),
 c_tls AS (SELECT t.* FROM ptls t JOIN r USING (case_id) WHERE {_IN}),
 c_icmp AS (SELECT i.* FROM (
-  SELECT concat('case-', event_id % 2) AS case_id, '10.0.0.5' AS src_ip, CASE WHEN event_type = 'error' THEN floor(value)::INT ELSE 56 END AS len,
+  SELECT concat('case-', event_id % 2) AS case_id, event_id AS seq, '10.0.0.5' AS src_ip, CASE WHEN event_type = 'error' THEN floor(value)::INT ELSE 56 END AS len,
     concat(CASE WHEN event_type = 'error' THEN '198.51.' ELSE '198.52.' END, user_id // 250, '.', user_id % 250) AS dst_ip FROM events) i
   JOIN r USING (case_id) WHERE {_GUEST_OF}),
 c_mail AS (SELECT m.* FROM (
-  SELECT concat('case-', conv_id % 7) AS case_id, 1704067200.0 + conv_id AS ts, concat('10.0.0.', conv_id % 200 + 1) AS src_ip,
+  SELECT concat('case-', conv_id % 7) AS case_id, conv_id * 1000 + turn AS seq, 1704067200.0 + conv_id AS ts, concat('10.0.0.', conv_id % 200 + 1) AS src_ip,
     concat('198.51.100.', conv_id % 50) AS dst_ip, conv_id % 16 = 0 AS empty, concat('u', turn % 9, '@example.com') AS r1,
     concat('c', conv_id, '@drop.example') AS r2, length(text) % 3 = 0 AS att, CASE WHEN role <> 'user' THEN concat('bot', conv_id % 5, '@service.example')
       WHEN conv_id % 8 <> 0 THEN concat('U', conv_id % 9, '@Example.com') END AS mail_from FROM conversations) m JOIN r USING (case_id) WHERE {_IN}),
@@ -1156,8 +1156,8 @@ fx AS (SELECT *, http_method IS NOT DISTINCT FROM 'POST' AND orig_bytes >= 1024
 vol AS (SELECT * FROM fx WHERE big OR (orig_bytes >= CASE WHEN http_method IS NOT DISTINCT FROM 'POST' THEN 1024 ELSE 204800 END AND ratio >= 0.7)),
 ftp AS (SELECT * FROM pub WHERE ftp_upload_cmd IS NOT NULL QUALIFY row_number() OVER (PARTITION BY case_id, dst_ip
   ORDER BY seq, src_ip, dst_port, orig_bytes, resp_bytes, ftp_upload_cmd) = 1),
-exf AS (SELECT case_id, dst_ip, dst_port, {rnd("0.5 + CASE WHEN big THEN 0.3 ELSE 0 END + CASE WHEN ratio >= 0.7 THEN 0.2 ELSE 0 END", 2)} AS conf FROM vol
-  UNION ALL SELECT case_id, dst_ip, dst_port, 0.8 FROM ftp ANTI JOIN vol USING (case_id, dst_ip, dst_port)),
+exf AS (SELECT case_id, seq, dst_ip, dst_port, http_method IS NOT NULL AS plain, {rnd("0.5 + CASE WHEN big THEN 0.3 ELSE 0 END + CASE WHEN ratio >= 0.7 THEN 0.2 ELSE 0 END", 2)} AS conf FROM vol
+  UNION ALL SELECT case_id, seq, dst_ip, dst_port, true, 0.8 FROM ftp ANTI JOIN vol USING (case_id, dst_ip, dst_port)),
 bi AS (SELECT *, ts - lag(ts) OVER (PARTITION BY case_id, dst_ip, dst_port ORDER BY ts) AS iv, (resp_bytes > 0 OR regexp_matches(history, '[a-z]')) AS answered FROM pub),
 bs AS (SELECT case_id, dst_ip, dst_port, count(*) AS n, avg(iv) AS m, coalesce(stddev_pop(iv), 0) AS sd, avg(orig_bytes) AS mz, stddev_pop(orig_bytes) AS sz,
   count(*) FILTER (answered) AS a FROM bi GROUP BY 1, 2, 3 HAVING count(*) >= 4),
@@ -1184,47 +1184,57 @@ em AS (SELECT *, {clean('host')} AS h FROM ep WHERE host <> ''),
 es AS (SELECT *, {_SERVICE} AS no FROM em),
 ef AS (SELECT * FROM es WHERE no IS NOT NULL QUALIFY row_number() OVER (PARTITION BY case_id, dst_ip, host ORDER BY src, seq) = 1),
 ls AS (SELECT * FROM c_sess QUALIFY row_number() OVER (PARTITION BY case_id, src_ip, dst_ip, dst_port ORDER BY seq DESC) = 1),
-cl AS (SELECT f.case_id, f.dst_ip, f.dst_port, f.host, [{_list(k for _, _, k in vocab.CLOUD_SERVICES)}][no] AS risk,
+cl AS (SELECT f.case_id, f.seq, f.src, f.dst_ip, f.dst_port, f.host, [{_list(k for _, _, k in vocab.CLOUD_SERVICES)}][no] AS risk,
   coalesce(s.orig_bytes, 0) AS o, coalesce(s.resp_bytes, 0) AS i FROM ef f LEFT JOIN ls s USING (case_id, src_ip, dst_ip, dst_port)),
 ml AS (SELECT *, coalesce(NOT empty AND lower(mail_from) IN (r1, r2), false) AS self FROM c_mail WHERE mail_from IS NOT NULL OR NOT empty),
 wb AS (SELECT *, regexp_matches(uri, '{_GATE}') AS gate, coalesce(lower(trim(user_agent)) IN ({_list(vocab.SUSPICIOUS_AGENTS)}), false) AS ua FROM c_http),
 wf AS (SELECT * FROM wb WHERE gate OR ua QUALIFY row_number() OVER (PARTITION BY case_id, dst_ip, uri ORDER BY seq) = 1),
-ic AS (SELECT case_id, dst_ip FROM c_icmp GROUP BY 1, 2 HAVING count(*) >= 8 AND avg(len) >= 64),
-pm AS (SELECT case_id, dst_ip, dst_port FROM c_http WHERE dst_port NOT IN ({', '.join(map(str, vocab.HTTP_PORTS))})
-  UNION SELECT case_id, dst_ip, dst_port FROM c_tls WHERE dst_port NOT IN ({', '.join(map(str, vocab.TLS_PORTS))})),
+ic AS (SELECT case_id, dst_ip, min(seq) AS seq FROM c_icmp GROUP BY 1, 2 HAVING count(*) >= 8 AND avg(len) >= 64),
+pn AS (SELECT case_id, dst_ip, dst_port, 0 AS src, seq FROM c_http WHERE dst_port NOT IN ({', '.join(map(str, vocab.HTTP_PORTS))})
+  UNION ALL SELECT case_id, dst_ip, dst_port, 1, seq FROM c_tls WHERE dst_port NOT IN ({', '.join(map(str, vocab.TLS_PORTS))})),
+pm AS (SELECT case_id, dst_ip, dst_port, seq FROM pn QUALIFY row_number() OVER (PARTITION BY case_id, dst_ip, dst_port ORDER BY src, seq) = 1),
 sn AS (SELECT case_id, dst_ip, arg_max(server_name, seq) AS sni FROM c_tls WHERE server_name <> '' GROUP BY 1, 2),
-eg AS (SELECT DISTINCT case_id, dst_ip, dst_port FROM pub WHERE orig_bytes >= 2048 AND ratio >= 0.6),
+eg AS (SELECT case_id, dst_ip, dst_port, seq FROM pub WHERE orig_bytes >= 2048 AND ratio >= 0.6
+  QUALIFY row_number() OVER (PARTITION BY case_id, dst_ip, dst_port ORDER BY seq, orig_bytes, ratio) = 1),
 cand AS (
-  SELECT e.case_id, 'exfil' AS kind, e.dst_ip, e.dst_port, coalesce(hh.h, fp.sni) AS domain, e.conf, NULL::VARCHAR AS preset
+  SELECT e.case_id, 'exfil' AS kind, e.dst_ip, e.dst_port, coalesce(hh.h, fp.sni) AS domain, e.conf, NULL::VARCHAR AS preset,
+    0 AS rank, e.seq AS seqno, '' AS name, true AS own, e.plain AS plain
     FROM exf e LEFT JOIN hh USING (case_id, dst_ip) LEFT JOIN fp ON fp.case_id = e.case_id AND fp.dst_ip = e.dst_ip AND fp.dst_port = e.dst_port
-  UNION ALL SELECT b.case_id, 'beacon', b.dst_ip, b.dst_port, coalesce(hh.h, fp.sni), b.conf, b.preset
+  UNION ALL SELECT b.case_id, 'beacon', b.dst_ip, b.dst_port, coalesce(hh.h, fp.sni), b.conf, b.preset, 1, NULL, concat(b.dst_ip, ':', b.dst_port), true, false
     FROM bea b LEFT JOIN hh USING (case_id, dst_ip) LEFT JOIN fp ON fp.case_id = b.case_id AND fp.dst_ip = b.dst_ip AND fp.dst_port = b.dst_port
-  UNION ALL SELECT case_id, 'ja3', dst_ip, dst_port, server_name, 0.7, NULL FROM th
-  UNION ALL SELECT case_id, 'tls_cert', dst_ip, dst_port, server_name, 0.6, preset FROM tc
-  UNION ALL SELECT t.case_id, 'dns_tunnel', rr.dst_ip, 53, t.domain, {rnd('least(1.0, 0.5 + 0.15 * t.score)', 2)}, 'strong' FROM tunnels t JOIN rr USING (case_id, domain)
-  UNION ALL SELECT case_id, 'dga', '', 53, domain, 0.7, 'strong' FROM burst
-  UNION ALL SELECT case_id, 'resolved_domain', NULL, NULL, domain, CASE WHEN back THEN 0.0 ELSE 0.4 END, CASE WHEN back THEN 'allowlisted' ELSE 'weak' END FROM nk
+  UNION ALL SELECT case_id, 'ja3', dst_ip, dst_port, server_name, 0.7, NULL, 2, seq, '', true, false FROM th
+  UNION ALL SELECT case_id, 'tls_cert', dst_ip, dst_port, server_name, 0.6, preset, 2, seq, '', true, false FROM tc
+  UNION ALL SELECT t.case_id, 'dns_tunnel', rr.dst_ip, 53, t.domain, {rnd('least(1.0, 0.5 + 0.15 * t.score)', 2)}, 'strong', 3, NULL, t.domain, false, true
+    FROM tunnels t JOIN rr USING (case_id, domain)
+  UNION ALL SELECT case_id, 'dga', '', 53, domain, 0.7, 'strong', 4, NULL, domain, false, true FROM burst
+  UNION ALL SELECT case_id, 'resolved_domain', NULL, NULL, domain, CASE WHEN back THEN 0.0 ELSE 0.4 END, CASE WHEN back THEN 'allowlisted' ELSE 'weak' END,
+    6, NULL, domain, false, false FROM nk
   UNION ALL SELECT case_id, CASE WHEN NOT (o > i * 1.2 AND o > 0) AND i > o THEN 'cloud_staging' ELSE 'cloud_exfil' END, dst_ip, dst_port, host,
-    CASE risk WHEN 'high' THEN 0.75 ELSE 0.4 END, CASE risk WHEN 'high' THEN 'strong' ELSE 'weak' END FROM cl
+    CASE risk WHEN 'high' THEN 0.75 ELSE 0.4 END, CASE risk WHEN 'high' THEN 'strong' ELSE 'weak' END, 7, seq, concat(src, '|', dst_ip, '|', host), false, false FROM cl
   UNION ALL SELECT case_id, 'smtp_exfil', dst_ip, 25, CASE WHEN NOT empty THEN r1 END,
-    {rnd('0.6 + CASE WHEN att THEN 0.15 ELSE 0 END + CASE WHEN self THEN 0.15 ELSE 0 END', 2)}, CASE WHEN att OR self THEN 'strong' ELSE 'weak' END FROM ml
-  UNION ALL SELECT case_id, 'http_c2', dst_ip, dst_port, host, CASE WHEN gate THEN 0.7 ELSE 0.45 END, CASE WHEN gate THEN 'strong' ELSE 'weak' END
+    {rnd('0.6 + CASE WHEN att THEN 0.15 ELSE 0 END + CASE WHEN self THEN 0.15 ELSE 0 END', 2)}, CASE WHEN att OR self THEN 'strong' ELSE 'weak' END, 8, seq, '', false, true FROM ml
+  UNION ALL SELECT case_id, 'http_c2', dst_ip, dst_port, host, CASE WHEN gate THEN 0.7 ELSE 0.45 END, CASE WHEN gate THEN 'strong' ELSE 'weak' END, 9, seq, '', false, true
     FROM wf WHERE NOT {private('dst_ip')}
-  UNION ALL SELECT case_id, 'icmp_tunnel', dst_ip, 0, NULL, 0.75, 'strong' FROM ic
-  UNION ALL SELECT case_id, 'port_mismatch', dst_ip, dst_port, NULL, 0.4, 'weak' FROM pm WHERE NOT {private('dst_ip')}
-  UNION ALL SELECT e.case_id, 'unclassified_egress', e.dst_ip, e.dst_port, sn.sni, 0.4, 'weak' FROM eg e LEFT JOIN sn USING (case_id, dst_ip)),
+  UNION ALL SELECT case_id, 'icmp_tunnel', dst_ip, 0, NULL, 0.75, 'strong', 10, seq, concat(dst_ip, ':0'), false, false FROM ic
+  UNION ALL SELECT case_id, 'port_mismatch', dst_ip, dst_port, NULL, 0.4, 'weak', 11, seq, concat(dst_ip, ':', dst_port), false, false FROM pm WHERE NOT {private('dst_ip')}
+  UNION ALL SELECT e.case_id, 'unclassified_egress', e.dst_ip, e.dst_port, sn.sni, 0.4, 'weak', 12, e.seq, '', false, false FROM eg e LEFT JOIN sn USING (case_id, dst_ip)),
+ct AS (SELECT case_id, arg_min(ts, seq) AS first_ts FROM cc GROUP BY 1),
+dt AS (SELECT case_id, min(ts) AS d FROM c_dns GROUP BY 1),
+tm AS (SELECT coalesce(ct.case_id, dt.case_id) AS case_id, first_ts, coalesce(d, first_ts) AS case_ts FROM ct FULL JOIN dt ON ct.case_id = dt.case_id),
+fs AS (SELECT case_id, dst_ip, dst_port, arg_min(ts, (seq, ts)) AS ts FROM cc GROUP BY 1, 2, 3),
 kd AS (SELECT case_id, dst_ip, bool_or(kind IN ('exfil', 'beacon')) AS flow, bool_or(kind <> 'unclassified_egress') AS other FROM cand GROUP BY 1, 2),
 fnd AS (SELECT c.* FROM cand c LEFT JOIN kd ON kd.case_id = c.case_id AND kd.dst_ip = c.dst_ip
   WHERE NOT coalesce(c.kind IN ('ja3', 'tls_cert') AND kd.flow, false) AND NOT coalesce(c.kind = 'unclassified_egress' AND kd.other, false)),
 sk AS (SELECT case_id, dst_ip, count(DISTINCT kind) AS k FROM fnd WHERE dst_ip IS NOT NULL GROUP BY 1, 2),
 rp AS (
   SELECT f.*, sk.k, i.value IS NOT NULL AS ip_hit, i.note AS ip_note, coalesce(f.domain, '') <> '' AND (d.value IS NOT NULL OR e.value IS NOT NULL) AS dom_hit,
-    CASE WHEN d.value IS NOT NULL THEN d.note ELSE e.note END AS dom_note
-  FROM fnd f LEFT JOIN sk ON sk.case_id = f.case_id AND sk.dst_ip = f.dst_ip LEFT JOIN intel i ON i.value = f.dst_ip
+    CASE WHEN d.value IS NOT NULL THEN d.note ELSE e.note END AS dom_note, i.source AS ip_source, CASE WHEN d.value IS NOT NULL THEN d.source ELSE e.source END AS dom_source,
+    CASE WHEN f.own THEN coalesce(fs.ts, tm.first_ts, 0.0) ELSE coalesce(tm.case_ts, 0.0) END AS event_time
+  FROM fnd f LEFT JOIN tm ON tm.case_id = f.case_id LEFT JOIN fs ON fs.case_id = f.case_id AND fs.dst_ip = f.dst_ip AND fs.dst_port = f.dst_port LEFT JOIN sk ON sk.case_id = f.case_id AND sk.dst_ip = f.dst_ip LEFT JOIN intel i ON i.value = f.dst_ip
     LEFT JOIN intel d ON d.value = {clean('f.domain')} LEFT JOIN intel e ON e.value = {registered(clean('f.domain'))}),
 tr AS (
-  SELECT case_id, kind, dst_ip, dst_port, domain, conf, ip_hit OR dom_hit AS hit,
-    CASE WHEN ip_hit THEN ip_note WHEN dom_hit THEN concat('domain intel: ', dom_note) END AS note,
+  SELECT case_id, kind, dst_ip, dst_port, domain, conf, ip_hit OR dom_hit AS hit, rank, seqno, name, plain, event_time,
+    CASE WHEN ip_hit THEN ip_source WHEN dom_hit THEN dom_source END AS source, CASE WHEN ip_hit THEN ip_note WHEN dom_hit THEN concat('domain intel: ', dom_note) END AS note,
     CASE WHEN preset IS NOT NULL AND (ip_hit OR dom_hit) THEN 'confirmed' WHEN dom_hit AND NOT ip_hit THEN 'confirmed' WHEN preset IS NOT NULL THEN preset
       WHEN ip_hit THEN 'confirmed' WHEN k >= 2 THEN 'strong' ELSE 'weak' END AS tier FROM rp),
 io AS (SELECT * FROM ioc ANTI JOIN (SELECT case_id, dst_ip AS value, 'ip' AS type FROM infra) USING (case_id, type, value)),
@@ -1243,11 +1253,12 @@ xi AS (SELECT i.*, EXISTS (SELECT 1 FROM ih WHERE ih.case_id = i.case_id AND ih.
   CASE WHEN config THEN 'decrypted from the sample''s configuration' ELSE 'found as a string inside the sample' END AS how FROM io i),
 al AS (
   SELECT case_id, kind, dst_ip, dst_port, domain, conf, CASE WHEN fam IS NOT NULL THEN 'confirmed' ELSE tier END AS tier, hit OR fam IS NOT NULL AS hit, note,
-    CASE WHEN fam IS NOT NULL THEN concat('matches static-extracted C2', fam) END AS matched FROM pr
-  UNION ALL SELECT case_id, 'static_ioc', CASE WHEN type = 'ip' THEN value ELSE '' END, 0, CASE WHEN type <> 'ip' THEN value END,
+    CASE WHEN fam IS NOT NULL THEN concat('matches static-extracted C2', fam) END AS matched, rank, seqno, name, plain, event_time, source FROM pr
+  UNION ALL SELECT xi.case_id, 'static_ioc', CASE WHEN type = 'ip' THEN value ELSE '' END, 0, CASE WHEN type <> 'ip' THEN value END,
     CASE WHEN obs AND config THEN 0.9 WHEN obs THEN 0.7 WHEN config THEN 0.8 ELSE 0.4 END,
     CASE WHEN obs AND config THEN 'confirmed' WHEN obs OR config THEN 'strong' ELSE 'weak' END, obs, NULL,
-    CASE WHEN obs THEN concat('C2', f, ' ', how, ' and contacted on network') END FROM xi WHERE NOT obs OR NOT known),
+    CASE WHEN obs THEN concat('C2', f, ' ', how, ' and contacted on network') END, 99, seq, value, false, tm.case_ts, NULL
+    FROM xi LEFT JOIN tm ON tm.case_id = xi.case_id WHERE NOT obs OR NOT known),
 lk AS (SELECT *, CASE WHEN tier = 'weak' THEN {_allow('domain', '')} END AS sanctioned FROM al),
 gt AS (SELECT lk.*, CASE WHEN sanctioned IS NOT NULL THEN 'allowlisted' ELSE tier END AS graded, r.clock_ok FROM lk LEFT JOIN r USING (case_id)),
 final AS (SELECT *, kind = 'beacon' AND NOT clock_ok AND NOT hit AND coalesce(matched, '') = '' AND graded IN ('strong', 'confirmed') AS cap FROM gt)"""
@@ -1256,3 +1267,51 @@ SQL["network_findings"] = sql("sess", "ohttp", "oftp", "dns", "phttp", "ptls", "
 SELECT case_id, kind, dst_ip, dst_port::INT AS dst_port, domain AS destination_domain, conf AS confidence, CASE WHEN cap THEN 'weak' ELSE graded END AS confidence_tier,
   hit AS reputation_hit, note AS reputation_note, matched AS static_match, sanctioned AS allowlist_match, CASE WHEN cap THEN 'clock_quality' END AS capped_by_caveat
 FROM final""")
+
+_KINDS = "CASE " + " ".join(f"WHEN kind = '{k}' THEN '{v}'" for k, v in vocab.FINDING_KIND.items()) + " WHEN hit THEN 'reputation' ELSE 'exfil' END"
+_TO = """CASE WHEN coalesce(domain, '') <> '' AND coalesce(dst_ip, '') <> '' THEN concat(domain, ' (', dst_ip, ')') WHEN coalesce(domain, '') <> '' THEN domain
+  WHEN coalesce(dst_ip, '') <> '' AND coalesce(dst_port, 0) <> 0 THEN concat(dst_ip, ':', dst_port) WHEN coalesce(dst_ip, '') <> '' THEN dst_ip
+  ELSE 'a destination that could not be identified' END"""
+_STAMP = """concat(strftime(make_timestamp({us}), '%Y-%m-%dT%H:%M:%S'), CASE WHEN {us} % 1000000 <> 0 THEN concat('.', lpad(({us} % 1000000)::VARCHAR, 6, '0')) ELSE '' END, '+00:00')"""
+_GRADE = """CASE WHEN coalesce(hit, false) AND coalesce(note, '') <> '' THEN concat(' Threat intelligence lists this destination (', note, ').') ELSE '' END,
+  CASE WHEN tier = 'allowlisted' THEN ' It was examined and found to be normal activity.' WHEN tier IN ('weak', 'unconfirmed')
+    THEN ' It is listed for review only; nothing is confirmed.' ELSE '' END"""
+SQL["case_event_rows"] = sql("sess", "ohttp", "oftp", "dns", "phttp", "ptls", "man", "intel", body=""",
+""" + CTE["ioc"].split(",\nseen AS")[0] + ",\n" + CTE["scoped"] + ",\n" + CTE["candidates"] + f""",
+ne AS (SELECT *, round_even(event_time * 1e6, 0)::BIGINT AS us FROM (SELECT final.* EXCLUDE (tier), CASE WHEN cap THEN 'weak' ELSE graded END AS tier FROM final)),
+ha AS (SELECT concat('case-', event_id % 7) AS case_id, event_id AS seq, round_even(epoch(ts) / 60 * 60 * 1e6, 0)::BIGINT AS us,
+    concat('t', round_even(epoch(ts) / 60 * 1e6, 0)::BIGINT) AS raw, user_id,
+    ['browser_credentials', 'keystrokes', 'screenshot', 'clipboard', 'crypto_wallet', 'system_info', 'file_access'][user_id % 7 + 1] AS data_type,
+    ['T1555.003', 'T1056.001', 'T1113', 'T1115', 'T1005', 'T1082', 'T1005'][user_id % 7 + 1] AS technique,
+    CASE WHEN event_type = 'click' THEN 'GetClipboardData' ELSE 'NtReadFile' END AS api_call,
+    CASE WHEN user_id % 3 = 0 THEN concat('C:/Users/u', user_id, '/Login Data') WHEN user_id % 2 = 0 THEN 'Login Data' END AS obj
+  FROM events WHERE event_type NOT IN ('purchase', 'signup')),
+pq AS (SELECT a.case_id, a.seq AS access_seq, a.raw, a.data_type, a.technique, a.api_call, a.obj, n.us AS n_us, n.dst_ip, coalesce(n.dst_port, 0) AS dst_port, n.hit, n.rank, n.seqno,
+    n.name, (n.us - a.us) / 1e6 AS delta,
+    round_even(least((1.0 - ((n.us - a.us) / 1e6 / 15.0) * 0.5) * 0.5 + n.conf * 0.3 + CASE WHEN n.hit THEN 0.2 ELSE 0.0 END, 1.0) * 100.0, 0) / 100.0 AS score
+  FROM ha a JOIN ne n ON a.case_id = n.case_id AND n.us BETWEEN a.us AND a.us + 15000000),
+pb AS (SELECT * FROM pq QUALIFY row_number() OVER (PARTITION BY case_id, raw, data_type, api_call
+  ORDER BY score DESC, n_us, access_seq, rank, seqno NULLS FIRST, name) = 1),
+pc AS (SELECT pb.*, CASE WHEN hit AND score >= 0.6 THEN 'confirmed' WHEN score >= 0.6 THEN 'strong' WHEN score > 0 THEN 'weak' ELSE 'unconfirmed' END AS graded,
+    m.clock_ok, m.degraded AND (m.blind_all OR data_type = m.blind) AS unseen FROM pb JOIN man m USING (case_id) WHERE m.corr_ok),
+pd AS (SELECT *, NOT hit AND graded IN ('strong', 'confirmed') AND (NOT clock_ok OR unseen) AS cap FROM pc),
+sv AS (SELECT * FROM ne WHERE dst_ip IS NOT NULL QUALIFY row_number() OVER (PARTITION BY case_id, dst_ip, dst_port ORDER BY rank, seqno NULLS FIRST, name) = 1),
+pe AS (SELECT p.*, s.domain, s.note, s.source, s.plain, round_even(p.delta * 100.0, 0) / 100.0 AS d,
+    CASE WHEN CASE WHEN p.cap THEN 'weak' ELSE p.graded END = 'weak' AND {_allow('s.domain', '')} IS NOT NULL THEN 'allowlisted' WHEN p.cap THEN 'weak' ELSE p.graded END AS tier
+  FROM pd p LEFT JOIN sv s ON s.case_id = p.case_id AND s.dst_ip = p.dst_ip AND s.dst_port = p.dst_port),
+lang AS (SELECT *, {_TO} AS dest FROM ne)
+SELECT case_id, 1 AS stage, 0::BIGINT AS access_seq, {_STAMP.format(us='us')} AS timestamp, NULL::VARCHAR AS data_type_accessed, dst_ip AS destination_ip, dst_port::INT AS destination_port,
+  domain AS destination_domain, CASE WHEN hit THEN 1.0 ELSE 0.0 END AS reputation_score, note AS reputation_note, source AS reputation_source, plain AS plaintext_available,
+  conf AS confidence_score, tier AS confidence_tier, {technique('kind')} AS mitre_technique_id, {_KINDS} AS finding_kind,
+  concat(CASE WHEN kind = 'static_ioc' THEN concat('The file carries ', dest, ' in its own code as an address to contact.')
+    WHEN kind = 'beacon' THEN concat('The sample called ', dest, ' at steady intervals, as programs do that wait for remote orders.')
+    WHEN kind IN ('dga', 'dga_ml', 'dns_tunnel') THEN concat('The sample made name lookups for ', dest, ' of a kind that ordinary programs do not make.')
+    WHEN kind IN ('icmp_tunnel', 'port_mismatch') THEN concat('The sample passed data to ', dest, ' through a channel that is seldom used for it, which can hide it from monitoring.')
+    WHEN kind IN ('exfil', 'smtp_exfil') THEN concat('The sample sent data from this computer to ', dest, '.')
+    WHEN kind = 'resolved_domain' THEN concat('The sample asked for the address of ', dest, ', so it meant to reach it; no connection was seen.')
+    WHEN kind = 'tls_cert' THEN concat('Encrypted traffic with ', dest, ' carries a mark that is known from malicious software.')
+    ELSE concat('The sample transferred data to ', dest, '.') END, {_GRADE}) AS plain_language, CASE WHEN cap THEN 'clock_quality' END AS capped_by_caveat FROM lang
+UNION ALL SELECT case_id, 0, access_seq, {_STAMP.format(us='n_us')}, data_type, dst_ip, dst_port::INT, domain, CASE WHEN hit THEN 1.0 ELSE 0.0 END, note, source, plain, score, tier,
+  technique, 'correlation', concat('On this computer the sample accessed ', CASE WHEN obj IS NULL THEN replace(data_type, '_', ' ') WHEN data_type = 'file_access'
+    THEN concat('the file ', obj) ELSE concat(replace(data_type, '_', ' '), ' from ', obj) END, '; ', regexp_replace(d::VARCHAR, '\\.0$', ''), ' seconds afterwards it was in contact with ',
+    {_TO}, '.', {_GRADE}), CASE WHEN cap THEN CASE WHEN NOT clock_ok THEN 'clock_quality' ELSE 'telemetry_degraded' END END FROM pe""")

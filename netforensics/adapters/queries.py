@@ -1273,6 +1273,17 @@ def case_events(spark, sf):
     return analyse(_case_tables(spark, sf), _context(spark, sf))["events"]
 
 
+@query
+def case_event_rows(spark, sf):
+    """The event rows of every case in full but for the columns that hash or name other rows."""
+    rows = analyse(_case_tables(spark, sf), _context(spark, sf))["chained_events"]
+    return rows.select(
+        "case_id", F.col("chain_order.stage").alias("stage"), F.col("chain_order.access").alias("access_seq"), "timestamp", "data_type_accessed",
+        "destination_ip", "destination_port", "destination_domain", "reputation_score", "reputation_note", "reputation_source", "plaintext_available",
+        "confidence_score", "confidence_tier", "mitre_technique_id", "finding_kind", "plain_language", "capped_by_caveat",
+    )
+
+
 @query
 def dga_learned(spark, sf):
     asked = reliable_checkpoint(dn.name_index(t.dns(spark, sf).withColumn("query", F.lower("query"))))
