@@ -131,10 +131,12 @@ def edit_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     Rows are range-partitioned and sorted by key, so that a document and the next one lie in one
     task. Only the two rows at the ends of each range meet elsewhere: as many as there are ranges.
-    After the last document comes the first one. Equal keys are ordered by text, null keys last.
+    After the last document comes the first one. Equal keys are ordered by a hash of the text and the
+    text, null keys last; the ranges are drawn by key and hash, so that no texts are sampled.
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    order = [F.col("key").desc_nulls_last(), F.col("text").desc()]
+    by = [F.col("key").desc_nulls_last(), F.xxhash64("text").desc()]
+    order = [*by, F.col("text").desc()]
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema[key].dataType
 
@@ -178,7 +180,7 @@ def edit_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             StructField("loose", StringType()),
         ]
     )
-    found = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(run, report)
+    found = rows.repartitionByRange(ranges, *by).sortWithinPartitions(*order).mapInArrow(run, report)
     # Compressed, unlike a checkpoint: fingerprints are hex digits. Both reads below get the same ranges.
     path = shared_folder(docs.sparkSession, "fingerprints")
     found.write.option("compression", "zstd").parquet(path)
@@ -210,7 +212,7 @@ def edit_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     ends = found.where("place <> 'inner'").select("key", "place", "loose")
     # In key order; within one key a head stands before the tail of the same range.
-    sequence = [F.col("key").desc_nulls_last(), F.col("loose").desc(), F.when(F.col("place") == "head", 0).otherwise(1)]
+    sequence = [F.col("key").desc_nulls_last(), F.xxhash64("loose").desc(), F.col("loose").desc(), F.when(F.col("place") == "head", 0).otherwise(1)]
     joined = ends.repartition(1).sortWithinPartitions(*sequence).mapInArrow(join_ends, StructType([f for f in report if f.name not in ("place", "loose")]))
     inner = found.where("place = 'inner'").select("key", *FIELDS)
     return inner.unionByName(joined).withColumnRenamed("key", key)
