@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from netforensics.functions.text import blank_to_null
 from netforensics.operators.keyed import last_per
+from netforensics.session import stored
 from netforensics.sources.lines import read_lines
 
 ADDRESS = ["ts", "id.orig_h", "id.orig_p", "id.resp_h", "id.resp_p", "uid"]
@@ -49,9 +50,9 @@ def parse_log(lines: DataFrame, fields: list[str]) -> DataFrame:
 
     TSV values are found by the place of their name in the file's header; a JSON line that is not
     valid is skipped. Lists (LIST_FIELDS) come out as JSON arrays whichever encoding they had. TSV
-    lines meet their header in an equi join on (case, file), without a hint: the headers are a tiny
-    side that Spark broadcasts by measured size, and a large file is split by AQE if it shuffles.
-    JSON lines go around the join.
+    lines meet their header in an equi join on (case, file). The headers, one short row each, are
+    stored first, so that Spark knows their size: it broadcasts them and the lines stay in the splits
+    they were read in, however large a file is. JSON lines go around the join.
     """
     body = lines.filter((F.col("value") != "") & ~F.col("value").startswith("#"))
     is_json = F.col("value").startswith("{")
@@ -61,7 +62,7 @@ def parse_log(lines: DataFrame, fields: list[str]) -> DataFrame:
     encoded = body.filter(is_json).select("case_id", "seq", F.inline(F.array(parsed))).filter(F.col("_bad").isNull())
     from_json = encoded.select("case_id", "seq", *[blank_to_null(F.col(f"`{n}`")).alias(n) for n in fields])
     ruled = body.filter(~is_json).join(
-        file_headers(lines, fields).withColumnsRenamed({"case_id": "_case", "file": "_file"}),
+        stored(file_headers(lines, fields), "headers").withColumnsRenamed({"case_id": "_case", "file": "_file"}),
         (F.col("case_id") == F.col("_case")) & (F.col("file") == F.col("_file"))
         & (F.col("seq") > F.col("_from")) & (F.col("_to").isNull() | (F.col("seq") < F.col("_to"))),
     )
@@ -178,19 +179,25 @@ def read_cases(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
     Only cases that have a conn.log count as log cases; `sources.cases` reads the others from packets.
     """
+    return read_logged_cases(spark, root)[0]
+
+
+def read_logged_cases(spark: SparkSession, root: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The tables of `read_cases`, and the log cases (case_id); the connections are parsed once and stored."""
     tables = {}
     for log, name in TABLE_OF_LOG.items():
         paths = found_files(spark, f"{root}/*/{log}.log", f"{root}/*/log={log}")
         if paths:
             tables[name] = read_log(spark, paths, log)
         else:
-            empty = spark.createDataFrame([], "case_id string, file string, seq bigint, value string")
-            tables[name] = typed_table(log, parse_log(empty, LOG_FIELDS[log]))
-    logged = tables["sessions"].select("case_id").distinct()
+            fields = ", ".join(f"`{n}` string" for n in LOG_FIELDS[log])
+            tables[name] = typed_table(log, spark.createDataFrame([], f"case_id string, seq bigint, {fields}"))
+    tables["sessions"] = stored(tables["sessions"], "sessions")
+    logged = stored(tables["sessions"].select("case_id").distinct(), "logged")
     return {
         name: table if name == "sessions" else table.join(logged, "case_id", "left_semi")
         for name, table in tables.items()
-    }
+    }, logged
 
 
 def connections_from_conn_log(rows: DataFrame) -> DataFrame:
