@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from netforensics.operators.flows import tables_from_packets
 from netforensics.operators.tls import fingerprint_hellos
+from netforensics.session import stored
 from netforensics.sources.lines import read_lines
-from netforensics.sources.zeek import found_files, read_cases
+from netforensics.sources.zeek import found_files, read_logged_cases
 
 DECODED = {
     "packets": "seq bigint, ts double, src_ip string, src_port int, dst_ip string, dst_port int, proto string, payload string, icmp_type int",
@@ -46,9 +47,9 @@ def read_case_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     A case with a conn.log is read from its logs, any other from its decoded capture; the choice is a
     join on the case inside one read of all folders, so a root may mix both kinds.
     """
-    logs = read_cases(spark, root)
-    logged = logs["sessions"].select("case_id").distinct()
-    packets, messages, hellos = (read_decoded(spark, root, name) for name in DECODED)
+    logs, logged = read_logged_cases(spark, root)
+    # Both the tables and the list of cases read them, so each is parsed once and stored.
+    packets, messages, hellos = (stored(read_decoded(spark, root, name), name) for name in DECODED)
     captured = tables_from_packets(packets, messages, fingerprint_hellos(hellos), logged)
     tables = {
         name: captured[name] if name not in logs else logs[name] if name not in captured

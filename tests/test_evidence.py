@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from netforensics.operators import correlate as co, custody as cu, emit as em, flows as fl, joins as jn, story as st, tiers as ti
-from netforensics.sources import cases
+from netforensics.sources import cases, zeek
 
 PACKETS = (
     "case_id string, seq bigint, ts double, src_ip string, src_port int, dst_ip string, dst_port int, proto string, payload binary"
@@ -220,3 +220,26 @@ def test_folders_with_logs_and_captures(spark, tmp_path):
     assert [(r.case_id, r.host) for r in tables["http"].collect()] == [("captured", "h.example")]
     assert [(r.case_id, r.query, r.qtype, r.rcode) for r in tables["dns"].collect()] == [("captured", "a.example", "TXT", "NXDOMAIN")]
     assert [r.dst_ip for r in tables["icmp"].collect()] == ["198.51.100.9"]
+
+
+def test_lines_of_a_large_log_are_not_dealt_by_file(spark):
+    lines = spark.range(2000).selectExpr(
+        "concat('c', id % 2) AS case_id", "concat('c', id % 2, '/conn.log') AS file", "id AS seq",
+        "CASE WHEN id % 1000 < 2 THEN '#fields\tts\tid.orig_h\tid.resp_p' ELSE concat(id, '.0\t10.0.0.5\t', id) END AS value")
+    rows = zeek.typed_table("conn", zeek.parse_log(lines, zeek.LOG_FIELDS["conn"]))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert rows.where("dst_port = seq AND ts = seq").count() == 1996
+
+
+def test_case_logs_are_written_in_pieces(spark, tmp_path):
+    from netforensics.adapters.queries import _write_case_logs
+
+    logs = spark.range(5000).selectExpr("'a' AS case_id", "'conn' AS log", "id AS seq", "concat(id, '.0\t198.51.100.', id % 9) AS value")
+    packets = spark.range(300).selectExpr("'b' AS case_id", "'packets' AS log", "id AS seq", "concat('{\"seq\":', id, '}') AS value")
+    _write_case_logs(logs, packets, "#fields\tts\tid.resp_h", str(tmp_path / "out"), piece_lines=500)
+    files = [f.read_text().splitlines() for f in (tmp_path / "out" / "case_id=a" / "log=conn").glob("part-*")]
+    assert all(f[0].startswith("#fields") for f in files) and sum(line.startswith("#fields") for f in files for line in f) == 10
+    got = zeek.read_log(spark, f"{tmp_path}/out/*/log=conn", "conn")
+    assert sorted(int(r.ts) for r in got.collect()) == list(range(5000))
+    assert spark.read.text(f"{tmp_path}/out/case_id=b/log=packets").count() == 300
