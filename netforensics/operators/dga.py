@@ -25,7 +25,7 @@ def scalar_features(name: Column) -> list[Column]:
     ]
 
 
-def name_features(names: DataFrame, column: str = "name") -> DataFrame:
+def name_features(names: DataFrame, column: str = "name", with_scalars: bool = True) -> DataFrame:
     """(name, feature, value): length-normalised n-gram counts and five scalars, in one pass.
 
     A label has at most 63 characters, so the per-name feature list is built inside the row and
@@ -36,10 +36,7 @@ def name_features(names: DataFrame, column: str = "name") -> DataFrame:
     # Sorted n-grams form runs; a run's length is the distance to the next start, so counting is
     # linear in the length of the name.
     size = F.size("_sorted")
-    starts = F.filter(
-        F.sequence(F.lit(1), size),
-        lambda i: (i == 1) | (F.element_at("_sorted", i) != F.element_at("_sorted", F.greatest(i - 1, F.lit(1)))),
-    )
+    starts = F.filter(F.sequence(F.lit(1), size), lambda i: ~F.get("_sorted", i - 1).eqNullSafe(F.get("_sorted", i - 2)))
     grams = F.transform(
         "_starts",
         lambda s, i: F.struct(
@@ -51,16 +48,24 @@ def name_features(names: DataFrame, column: str = "name") -> DataFrame:
         *[F.struct(F.lit(n).alias("feature"), v.alias("value")) for n, v in zip(SCALARS, scalar_features(F.col("_low")))]
     )
     keep = [c for c in names.columns]
-    listed = base.withColumn("_sorted", F.array_sort(char_ngrams(F.col("_low")))).withColumn("_starts", starts)
-    return listed.select(*keep, F.inline(F.concat(grams, scalars)))
+    listed = base.withColumn("_sorted", F.sort_array(char_ngrams(F.col("_low")))).withColumn("_starts", starts)
+    return listed.select(*keep, F.inline(F.concat(grams, scalars) if with_scalars else grams))
+
+
+def _frequencies(features: DataFrame) -> DataFrame:
+    return features.groupBy("feature").agg(F.count(F.lit(1)).alias("df"))
+
+
+def frequent_grams(df: DataFrame, min_df: int = 20, max_features: int = 6000) -> DataFrame:
+    """(feature, df): the most frequent n-grams of enough names."""
+    scalar = F.col("feature").startswith("f:")
+    return df.filter(~scalar & (F.col("df") >= min_df)).orderBy(F.desc("df"), "feature").limit(max_features)
 
 
 def build_vocabulary(features: DataFrame, min_df: int = 20, max_features: int = 6000) -> DataFrame:
     """(feature, df): every scalar and the most frequent n-grams of enough names."""
-    df = features.groupBy("feature").agg(F.count(F.lit(1)).alias("df"))
-    scalar = F.col("feature").startswith("f:")
-    grams = df.filter(~scalar & (F.col("df") >= min_df)).orderBy(F.desc("df"), "feature").limit(max_features)
-    return grams.unionByName(df.filter(scalar))
+    df = _frequencies(features)
+    return frequent_grams(df, min_df, max_features).unionByName(df.filter(F.col("feature").startswith("f:")))
 
 
 def training_set(*labelled: tuple[DataFrame, int]) -> DataFrame:
@@ -84,36 +89,34 @@ def split_training(samples: DataFrame, train_share: float = 0.85) -> tuple[DataF
 def train(samples: DataFrame, min_df: int = 20, max_features: int = 6000, l2: float = 1e-4, max_iter: int = 100):
     """Fit L2 logistic regression with Spark ML; returns (weights DataFrame, bias).
 
-    The vocabulary is that of `build_vocabulary`. Only it and the weight table (at most
-    max_features + 5 rows each) come to the driver.
+    The vocabulary is that of `build_vocabulary`; every name has the scalars, so only the n-grams are
+    counted. Only it and the weight table (at most max_features + 5 rows each) come to the driver.
     """
-    from pyspark.ml import Pipeline
+    from pyspark.ml import PipelineModel
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import CountVectorizerModel, Interaction, VectorAssembler
 
     spark = samples.sparkSession
     low = F.col("name")
     # At most max_features short texts, ranked by the number of names that hold them.
-    ranked = build_vocabulary(name_features(samples.select("name")), min_df, max_features)
-    grams = sorted(r.feature[len("ng:"):] for r in ranked.filter(F.col("feature").startswith("ng:")).collect())
+    counted = _frequencies(name_features(samples.select("name"), with_scalars=False))
+    grams = sorted(r.feature[len("ng:"):] for r in frequent_grams(counted, min_df, max_features).collect())
     if not grams:
         raise ValueError("no n-gram occurs in min_df names")
     prepared = samples.select(
         F.col("label").cast("double").alias("label"), char_ngrams(low).alias("grams"),
-        (F.lit(1.0) / F.size(char_ngrams(low))).alias("inverse"),
         *[v.alias(n.replace(":", "_")) for n, v in zip(SCALARS, scalar_features(low))],
-    )
+    ).withColumn("inverse", F.lit(1.0) / F.size("grams"))
     scalars = [n.replace(":", "_") for n in SCALARS]
     stages = [
         CountVectorizerModel.from_vocabulary(grams, inputCol="grams", outputCol="counts"),
         Interaction(inputCols=["inverse", "counts"], outputCol="shares"),
         VectorAssembler(inputCols=["shares", *scalars], outputCol="features"),
-        LogisticRegression(regParam=l2, elasticNetParam=0.0, standardization=False, maxIter=max_iter),
     ]
-    # The optimiser reads the input many times; do not rebuild it from the sources.
-    model = Pipeline(stages=stages).fit(reliable_checkpoint(prepared))
+    # The optimiser reads the input more than once; do not rebuild the vectors from the names each time.
+    vectors = reliable_checkpoint(PipelineModel(stages).transform(prepared).select("label", "features"))
+    fitted = LogisticRegression(regParam=l2, elasticNetParam=0.0, standardization=False, maxIter=max_iter).fit(vectors)
     names = ["ng:" + g for g in grams] + SCALARS
-    fitted = model.stages[-1]
     rows = [(n, float(w)) for n, w in zip(names, fitted.coefficients.toArray())]
     return spark.createDataFrame(rows, "feature string, weight double"), float(fitted.intercept)
 
