@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +32,7 @@ from netforensics.operators.tls import service_fingerprint, tls_findings
 from netforensics.operators.traffic import (
     detect_beaconing, detect_exfil, detect_ftp_exfil, detect_unclassified_egress, merge_exfil,
 )
+from netforensics.session import stored
 from netforensics.vocab import ALLOWLIST_DOMAINS
 
 RAW_UPLOAD_BYTES = 200 * 1024
@@ -59,6 +60,16 @@ class Context:
     stage: Callable[[DataFrame], DataFrame] = field(default=lambda df: df)
 
 
+def _by_case(ctx: Context) -> Context:
+    """`ctx` with its tables of one row per case stored.
+
+    Their size is known then, so joins with them are broadcast from the start; a join planned without
+    it would deal whole record tables by case, to as many tasks as there are cases.
+    """
+    small = {name: getattr(ctx, name) for name in ("manifests", "samples", "sample_meta")}
+    return replace(ctx, **{name: stored(rows, name) for name, rows in small.items() if rows is not None})
+
+
 def _text(value: str | None = None) -> Column:
     return F.lit(value).cast("string")
 
@@ -117,15 +128,14 @@ def case_times(conns: DataFrame, asked: DataFrame) -> DataFrame:
 
 
 def candidates(
-    case: dict[str, DataFrame], conns: DataFrame, asked: DataFrame, ctx: Context, allow: DataFrame | None = None
+    case: dict[str, DataFrame], conns: DataFrame, asked: DataFrame, ctx: Context, times: DataFrame, allow: DataFrame | None = None
 ) -> DataFrame:
     """All detector outputs as findings without tiers (preset_tier where a detector sets one).
 
     Every detector runs on its whole input, none waits for another: `settle_candidates` drops afterwards
-    what an earlier rule explains. `asked` is the name index of the case's DNS.
+    what an earlier rule explains. `asked` is the name index of the case's DNS, `times` its stored `case_times`.
     """
     service = ["case_id", "dst_ip", "dst_port"]
-    times = case_times(conns, asked)
     first_seen = conns.groupBy(*service).agg(F.min(F.struct("seq", "ts")).alias("_f")).select(
         *service, F.col("_f.ts").alias("_first_ts")
     )
@@ -260,21 +270,26 @@ def candidates(
 def network_findings(case: dict[str, DataFrame], ctx: Context) -> DataFrame:
     """Scope, detect, enrich, tier and gate: the findings of every case.
 
-    Three tables are staged: the connections, the name index and the candidates of all detectors.
-    Everything else is part of the plan of one of them or of the result.
+    Three tables are staged: the connections, the name index and the candidates of all detectors; those
+    of one row per case are stored. Everything else is part of the plan of one of them or of the result.
     """
+    return _findings(case, _by_case(ctx))
+
+
+def _findings(case: dict[str, DataFrame], ctx: Context) -> DataFrame:
     allow, guest, everyone = None, None, case["dns"]
     if ctx.manifests is not None:
-        scope = scope_rules(ctx.manifests, case["sessions"])
+        scope = stored(scope_rules(ctx.manifests, case["sessions"]), "scope")
         guest = scope.select("case_id", "guest_ip")
         case = scope_case(case, scope)
     conns = ctx.stage(to_connections(case["sessions"], case["http"], case["ftp"]))
     asked = ctx.stage(name_index(case["dns"]))
+    times = stored(case_times(conns, asked), "case-times")
     infra = infrastructure(everyone, guest)
     if ctx.manifests is not None:
         simulated = ctx.manifests.filter(network_mode(F.col("network_mode")) == "simulated").select("case_id")
         allow = simulated_scope(conns.join(simulated, "case_id", "left_semi"), guest, infra)
-    found = settle_candidates(ctx.stage(candidates(case, conns, asked, ctx, allow)))
+    found = settle_candidates(ctx.stage(candidates(case, conns, asked, ctx, times, allow)))
     found = apply_reputation(found, ctx.intel)
     found = apply_domain_reputation(found, ctx.intel)
     found = apply_corroboration(found)
@@ -282,7 +297,7 @@ def network_findings(case: dict[str, DataFrame], ctx: Context) -> DataFrame:
         found = apply_static_prior(
             found, ctx.static_iocs, conns.select("case_id", "dst_ip"),
             asked.select("case_id", F.lower("query").alias("domain")), infra,
-            case_times(conns, asked).select("case_id", F.col("case_time").alias("event_time")),
+            times.select("case_id", F.col("case_time").alias("event_time")),
         )
     found = apply_geo(found, ctx.geo)
     found = apply_allowlist(found, ctx.allow_domains, ctx.allow_cidrs)
@@ -293,7 +308,8 @@ def network_findings(case: dict[str, DataFrame], ctx: Context) -> DataFrame:
 
 def analyse(case: dict[str, DataFrame], ctx: Context) -> dict[str, DataFrame]:
     """Everything a case report needs, as lazy DataFrames by name."""
-    findings = ctx.stage(network_findings(case, ctx))
+    ctx = _by_case(ctx)
+    findings = ctx.stage(_findings(case, ctx))
     out = {"findings": findings, "doh": detect_doh(case["tls"], case["http"])}
     families = ctx.stage(attribute_family(findings, ctx.intel, ctx.static_families))
     out |= {"families": families, "family_verdicts": family_verdicts(families), "family_evidence": family_evidence(families)}
@@ -315,10 +331,8 @@ def analyse(case: dict[str, DataFrame], ctx: Context) -> dict[str, DataFrame]:
     out["provenance"] = build_provenance(correlated, findings, ctx.artifacts, ctx.allow_domains, ctx.allow_cidrs)
     out["timeline"] = build_timeline(ctx.access, findings)
     if ctx.samples is not None:
-        chained = emit_events(
-            event_rows(findings, correlated, ctx.samples, ctx.manifests, ctx.allow_domains, ctx.allow_cidrs)
-        )
-        chained = ctx.stage(chained)
+        rows = event_rows(findings, correlated, ctx.samples, ctx.manifests, ctx.allow_domains, ctx.allow_cidrs)
+        chained = ctx.stage(emit_events(ctx.stage(rows)))
         out["chained_events"] = chained
         out["seals"] = seal_segments(chained)
         out["events"] = event_table(chained)
