@@ -28,8 +28,11 @@ DECODED = {
 }
 
 
-def read_decoded(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A decoded table of all cases; lines that are not JSON objects are skipped, a payload becomes bytes."""
+def read_decoded(spark: SparkSession, root: str, name: str, logged: DataFrame | None = None) -> DataFrame:
+    """A decoded table of all cases; lines that are not JSON objects are skipped, a payload becomes bytes.
+
+    Cases of `logged` (case_id) are left out before their lines are parsed: they are read from their logs.
+    """
     paths = found_files(spark, f"{root}/*/{name}.jsonl", f"{root}/*/log={name}")
     schema = f"{DECODED[name]}, _bad string"
     if not paths:
@@ -37,6 +40,8 @@ def read_decoded(spark: SparkSession, root: str, name: str) -> DataFrame:
     else:
         parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_bad"})
         lines = read_lines(spark, paths).filter(F.col("value").startswith("{"))
+        if logged is not None:
+            lines = lines.join(logged, "case_id", "left_anti")
         rows = lines.select("case_id", F.inline(F.array(parsed))).filter(F.col("_bad").isNull()).drop("_bad")
     return rows.withColumn("payload", F.unbase64("payload")) if name == "packets" else rows
 
@@ -48,8 +53,8 @@ def read_case_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     join on the case inside one read of all folders, so a root may mix both kinds.
     """
     logs, logged = read_logged_cases(spark, root)
-    # Both the tables and the list of cases read them, so each is parsed once and stored.
-    packets, messages, hellos = (stored(read_decoded(spark, root, name), name) for name in DECODED)
+    # Both the tables and the list of cases read them, so each is parsed once and stored; only what is used is.
+    packets, messages, hellos = (stored(read_decoded(spark, root, name, logged), name) for name in DECODED)
     captured = tables_from_packets(packets, messages, fingerprint_hellos(hellos), logged)
     tables = {
         name: captured[name] if name not in logs else logs[name] if name not in captured

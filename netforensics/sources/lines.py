@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 
 def case_from_path(path: Column) -> Column:
-    """The name of the folder that holds the file, or holds the folder log=... that does (see `sources.cases`)."""
-    return F.regexp_extract(path, r"(?:^|/)(?:case_id=)?([^/]+)/(?:log=[^/]+/)?[^/]+$", 1)
+    """The name of the folder that holds the file, or holds the folder log=... that does (see `sources.cases`).
+
+    It is worked out for every line, so the pattern is only tried on the end of the path.
+    """
+    end = F.substring_index(path, "/", -3)
+    return F.regexp_extract(end, r"(?:^|/)(?:case_id=)?([^/]+)/(?:log=[^/]+/)?[^/]+$", 1)
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import ipaddress
 import json
@@ -262,3 +263,25 @@ def test_case_logs_are_written_in_pieces(spark, tmp_path):
     got = zeek.read_log(spark, f"{tmp_path}/out/*/log=conn", "conn")
     assert sorted(int(r.ts) for r in got.collect()) == list(range(5000))
     assert spark.read.text(f"{tmp_path}/out/case_id=b/log=packets").count() == 300
+
+
+def test_case_logs_are_written_where_they_are_made(spark, tmp_path):
+    from netforensics.adapters.queries import _write_case_logs
+
+    logs = spark.range(0, 8000, 1, 4).selectExpr("concat('c', id % 2) AS case_id", "'conn' AS log", "id AS seq", "concat(id, '.0\t \"q\"\\\\ ', id) AS value")
+    packets = spark.range(40).selectExpr("concat('c', id % 4) AS case_id", "'packets' AS log", "id AS seq",
+                                         "concat('{\"seq\":', id, ',\"ts\":1.0,\"src_ip\":\"10.0.0.5\",\"dst_ip\":\"198.51.100.7\",\"src_port\":1,\"dst_port\":2,\"proto\":\"tcp\"}') AS value")
+    root = str(tmp_path / "out")
+    _write_case_logs(logs, packets, "#fields\tts\tid.resp_h", root, piece_lines=100, compress=True)
+    # Nothing is dealt: a file has lines of one split only, and it is compressed.
+    for f in tmp_path.glob("out/case_id=*/log=conn/part-*"):
+        lines = gzip.open(f, "rt").read().splitlines()
+        places = [int(line.split(".")[0]) for line in lines[1:]]
+        assert lines[0] == "#fields\tts\tid.resp_h" and places == sorted(places) and len(places) <= 100 and len({p // 2000 for p in places}) == 1
+    got = zeek.read_log(spark, f"{root}/*/log=conn", "conn").collect()
+    assert sorted((int(r.ts), r.dst_ip) for r in got) == [(i, f' "q"\\ {i}') for i in range(8000)]
+    # Packets of cases with a connection log are not even parsed.
+    logged = spark.createDataFrame([("c0",), ("c1",)], "case_id string")
+    assert {r.case_id for r in cases.read_decoded(spark, root, "packets", logged).collect()} == {"c2", "c3"}
+    assert {(r.case_id, r.source) for r in cases.read_case_tables(spark, root)["case_sources"].collect()} == {
+        ("c0", "logs"), ("c1", "logs"), ("c2", "capture"), ("c3", "capture")}
