@@ -300,6 +300,10 @@ def test_case_logs_are_written_where_they_are_made(spark, tmp_path):
         assert lines[0] == "#fields\tts\tid.resp_h" and places == sorted(places) and len(places) <= 100 and len({p // 2000 for p in places}) == 1
     got = zeek.read_log(spark, f"{root}/*/log=conn", "conn").collect()
     assert sorted((int(r.ts), r.dst_ip) for r in got) == [(i, f' "q"\\ {i}') for i in range(8000)]
+    # A line without a place comes before any header, so it is not read.
+    odd = logs.limit(1).selectExpr("case_id", "log", "CAST(NULL AS bigint) AS seq", "'9.0\t198.51.100.9' AS value")
+    _write_case_logs(logs.limit(9).unionByName(odd), packets, "#fields\tts\tid.resp_h", str(tmp_path / "odd"))
+    assert zeek.read_log(spark, f"{tmp_path}/odd/*/log=conn", "conn").count() == 9
     # Packets of cases with a connection log are not even parsed.
     logged = spark.createDataFrame([("c0",), ("c1",)], "case_id string")
     assert {r.case_id for r in cases.read_decoded(spark, root, "packets", logged).collect()} == {"c2", "c3"}
